@@ -45,13 +45,16 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def export_json(df: DataFrame) -> DataFrame:
-    """Each event as one JSON text (``event_json``): ISO timestamp,
-    payload/metadata as nested JSON, missing metadata as ``{}``."""
-    ts = python_isoformat(F.col("timestamp"))
+def export_json_column() -> Column:
+    """P11 as one column: the event as JSON text with an ISO timestamp,
+    payload/metadata nested as JSON, missing metadata as ``{}``."""
     payload = F.coalesce(F.col("payload"), F.lit("{}"))
     metadata = F.coalesce(F.col("metadata"), F.lit("{}"))
-    obj = F.to_json(F.struct(
-        F.col("event_id"), F.col("event_type"), ts.alias("timestamp"),
+    return F.to_json(F.struct(
+        F.col("event_id"), F.col("event_type"), python_isoformat(F.col("timestamp")).alias("timestamp"),
         F.parse_json(payload).alias("payload"), F.col("source"), F.parse_json(metadata).alias("metadata")))
-    return df.select(F.col("event_id"), obj.alias("event_json"))
+
+
+def export_json(df: DataFrame) -> DataFrame:
+    """``event_id`` and the exported ``event_json`` per row."""
+    return df.select(F.col("event_id"), export_json_column().alias("event_json"))

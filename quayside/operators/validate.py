@@ -65,19 +65,33 @@ def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False)
     )
     pv, mv = F.col("_payload_v"), F.col("_metadata_v")
     present_p, present_m = J.is_present(F.col("payload")), J.is_present(F.col("metadata"))
-    out = parsed.select(
-        *[c for c in events.columns if c != "timestamp"],
-        F.coalesce(F.col("_event_time"), F.col("batch_ts")).alias("timestamp"),
-        F.col("timestamp").cast("string").alias("timestamp_text"),
-        F.col("_event_time").isNull().alias("timestamp_defaulted"),
-        F.col("batch_ts"),
-        (~present_p | pv.isNotNull()).alias("payload_valid"),
-        F.coalesce(present_p & J.is_truthy(pv), F.lit(False)).alias("payload_truthy"),
-        (~present_m | mv.isNotNull()).alias("metadata_valid"),
-        F.coalesce(present_m & J.is_truthy(mv), F.lit(False)).alias("metadata_truthy"),
-        F.coalesce(J.is_object(mv), F.lit(False)).alias("metadata_is_object"),
-    )
-    return out
+    facts = {
+        "timestamp": F.coalesce(F.col("_event_time"), F.col("batch_ts")),
+        "timestamp_text": F.col("timestamp").cast("string"),
+        "timestamp_defaulted": F.col("_event_time").isNull(),
+        "payload_valid": ~present_p | pv.isNotNull(),
+        "payload_truthy": F.coalesce(present_p & J.is_truthy(pv), F.lit(False)),
+        "metadata_valid": ~present_m | mv.isNotNull(),
+        "metadata_truthy": F.coalesce(present_m & J.is_truthy(mv), F.lit(False)),
+        "metadata_is_object": F.coalesce(J.is_object(mv), F.lit(False)),
+    }
+    kept = [c for c in events.columns if c != "timestamp"] + ["batch_ts"]
+    return with_settled_columns(parsed.select(*kept, "timestamp", "_payload_v", "_metadata_v", "_event_time"),
+                                facts, keep=kept)
+
+
+def with_settled_columns(df: DataFrame, exprs: dict[str, Column], keep: list[str]) -> DataFrame:
+    """``keep`` columns plus ``exprs``, computed once per row.
+
+    Catalyst pushes a filter through projections by substituting each column
+    with its definition; for the parse chain here (JSON decode, VARIANT
+    parses, time regexes) a later ``reject_reason IS NULL`` would re-run all
+    of it inside the filter.  Emitting the results through a one-row
+    ``inline`` (a Generate node) keeps them as real attributes: filters on
+    them stay above it and the parse work runs exactly once per row.
+    """
+    fenced = F.inline(F.array(F.struct(*[c.alias(n) for n, c in exprs.items()])))
+    return df.select(*keep, fenced)
 
 
 def reject_reason() -> Column:

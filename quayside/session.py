@@ -27,6 +27,7 @@ def build_session(master: str = "local[*]", app: str = "quayside",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
