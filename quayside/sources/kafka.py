@@ -36,11 +36,16 @@ def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = Non
     return opts
 
 
+def _missing_kafka(e: Exception) -> bool:
+    msg = str(e)
+    return "DATA_SOURCE_NOT_FOUND" in msg or "find data source: kafka" in msg
+
+
 def _load(reader, what: str) -> DataFrame:
     try:
         return reader.load()
     except Exception as e:
-        if "kafka" in str(e).lower() and ("not find" in str(e).lower() or "DATA_SOURCE_NOT_FOUND" in str(e)):
+        if _missing_kafka(e):
             raise MissingConnectorError(f"{what} needs {KAFKA_PACKAGE}:<spark version> on the classpath") from e
         raise
 
@@ -65,7 +70,7 @@ def publish(envelopes: DataFrame, bootstrap_servers: str, topic: str | None = No
     try:
         writer.save()
     except Exception as e:
-        if "DATA_SOURCE_NOT_FOUND" in str(e) or "Failed to find data source: kafka" in str(e):
+        if _missing_kafka(e):
             raise MissingConnectorError(f"publishing to Kafka needs {KAFKA_PACKAGE}:<spark version>") from e
         raise
 
