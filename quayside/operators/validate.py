@@ -52,8 +52,14 @@ def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False)
 
     Adds ``payload_valid``, ``payload_truthy``, ``metadata_valid``,
     ``metadata_truthy``, ``metadata_is_object``, ``timestamp_text``,
-    ``timestamp_defaulted``, ``batch_ts``; replaces ``timestamp`` with the
-    coerced instant (the batch time when the text is missing or unknown).
+    ``timestamp_defaulted``, ``batch_ts`` and ``event_date``; replaces
+    ``timestamp`` with the coerced instant (the batch time when the text is
+    missing or unknown).
+
+    ``event_date`` is the partition date of file sinks and the pruning key of
+    replay dedup, so it must not change when a record is delivered again:
+    the parsed event time's date, else the broker timestamp's date, else the
+    batch date.
     """
     ts_type = events.schema["timestamp"].dataType
     parsed = events.select(
@@ -64,6 +70,8 @@ def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False)
         batch_time(as_of).alias("batch_ts"),
     )
     pv, mv = F.col("_payload_v"), F.col("_metadata_v")
+    # the broker time is the same on every replay of a record, the batch time is not
+    stable_time = [F.col("kafka_timestamp")] if "kafka_timestamp" in events.columns else []
     present_p, present_m = J.is_present(F.col("payload")), J.is_present(F.col("metadata"))
     facts = {
         "timestamp": F.coalesce(F.col("_event_time"), F.col("batch_ts")),
@@ -74,9 +82,11 @@ def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False)
         "metadata_valid": ~present_m | mv.isNotNull(),
         "metadata_truthy": F.coalesce(present_m & J.is_truthy(mv), F.lit(False)),
         "metadata_is_object": F.coalesce(J.is_object(mv), F.lit(False)),
+        "event_date": F.to_date(F.coalesce(F.col("_event_time"), *stable_time, F.col("batch_ts"))),
     }
     kept = [c for c in events.columns if c != "timestamp"] + ["batch_ts"]
-    return with_settled_columns(parsed.select(*kept, "timestamp", "_payload_v", "_metadata_v", "_event_time"),
+    inputs = [*kept, "timestamp", "_payload_v", "_metadata_v", "_event_time"]
+    return with_settled_columns(parsed.select(*inputs),
                                 facts, keep=kept)
 
 

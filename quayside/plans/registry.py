@@ -185,7 +185,7 @@ def q_dedup_in_batch(spark, sf_dir):
 
 def q_dedup_against_sink(spark, sf_dir):
     ensure_checkpoint_dir(spark)
-    batch = with_event_date(_deduped(spark, sf_dir))
+    batch = keep_first(_accepted(spark, sf_dir, keep=("partition", "offset", "event_date")))
     path = scratch_path(spark, "dedup-target")
     first = batch.filter(F.col("timestamp") < F.lit(SPLIT_TIME).cast("timestamp")).drop("partition", "offset")
     files_sink("target", path).write(first, 0)
@@ -202,7 +202,7 @@ def _broken_sink(name: str = "broken") -> Sink:
 
 def q_fanout_counts(spark, sf_dir):
     ensure_checkpoint_dir(spark)
-    a = _accepted(spark, sf_dir)
+    a = _accepted(spark, sf_dir, keep=("partition", "offset", "event_date"))
     sinks = [files_sink("a", scratch_path(spark, "sink-a")), _broken_sink(),
              files_sink("b", scratch_path(spark, "sink-b"))]
     ledger = deliver(a, 0, sinks, scratch_path(spark, "ledger"), dedup=True)
@@ -211,7 +211,7 @@ def q_fanout_counts(spark, sf_dir):
 
 def q_replay_safe(spark, sf_dir):
     ensure_checkpoint_dir(spark)
-    a = _accepted(spark, sf_dir)
+    a = _accepted(spark, sf_dir, keep=("partition", "offset", "event_date"))
     path, ledger = scratch_path(spark, "replay-sink"), scratch_path(spark, "replay-ledger")
     sink = files_sink("events", path)
     deliver(a, 7, [sink], ledger, dedup=True)        # first delivery
@@ -234,7 +234,7 @@ def q_stream_parity(spark, sf_dir):
 def q_layout_by_day(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, "by-day")
-    files_sink("by_day", path).write(_accepted(spark, sf_dir, keep=()), 0)
+    files_sink("by_day", path).write(_accepted(spark, sf_dir, keep=("event_date",)), 0)
     return spark.read.parquet(path).groupBy("event_date").agg(F.count(F.lit(1)).alias("events"))
 
 

@@ -92,6 +92,8 @@ def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str |
                     out = drop_existing(with_event_date(batch), target, batch_keys=batch_keys) \
                         if target is not None else batch
                 out = out.drop(*drop_cols)
+                if not sink.wants_event_date:
+                    out = out.drop("event_date")
                 obs = Observation(f"rows_{sink.name}_{batch_id}")
                 try:
                     sink.write(out.observe(obs, F.count(F.lit(1)).alias("rows")), batch_id)

@@ -26,6 +26,8 @@ class Sink:
     # (spark) → DataFrame with the sink's existing (event_date, event_id);
     # None when the sink cannot be read back (then only the ledger guards replays)
     existing: Callable | None = field(default=None, compare=False)
+    # file/catalog sinks partition by event_date; other sinks never see it
+    wants_event_date: bool = False
 
 
 def with_event_date(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
@@ -50,7 +52,7 @@ def files_sink(name: str, path: str, fmt: str = "parquet", partition_by: tuple[s
             return spark.read.format(fmt).load(path)
         except Exception:  # nothing written yet
             return None
-    return Sink(name, write, existing)
+    return Sink(name, write, existing, wants_event_date=True)
 
 
 def table_sink(name: str, table: str, using: str = "parquet") -> Sink:
@@ -67,7 +69,7 @@ def table_sink(name: str, table: str, using: str = "parquet") -> Sink:
     def existing(spark):
         t = spark.table(table)
         return t if "event_date" in t.columns else with_event_date(t)
-    return Sink(name, write, existing)
+    return Sink(name, write, existing, wants_event_date=using.lower() != "iceberg")
 
 
 def iceberg_sink(name: str, database: str, table: str) -> Sink:

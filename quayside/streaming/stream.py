@@ -32,7 +32,7 @@ def handle_batch(processed: DataFrame, batch_id: int, sinks: list[Sink], ledger_
     once (persisted) for all outputs."""
     b = processed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        accepted = accepted_conformed(b, schema, keep=("partition", "offset"))
+        accepted = accepted_conformed(b, schema, keep=("partition", "offset", "event_date"))
         deliver(accepted, batch_id, sinks, ledger_path, on_error=on_error, dedup=dedup)
         if quarantine is not None:
             deliver(quarantine_rows(b), batch_id, [quarantine], ledger_path, on_error=on_error, drop_cols=())
