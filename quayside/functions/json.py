@@ -1,6 +1,8 @@
-"""JSON checks and edits as Spark column expressions.
+"""JSON checks and edits as Spark expressions.
 
-All of it runs on the VARIANT type inside the JVM: no Python per row.
+All of it runs on the VARIANT type inside the JVM: no Python per row.  The
+checks are produced as SQL text over a column name / SQL expression (one
+parse on the JVM side); the ``Column``-returning helpers wrap that text.
 """
 
 from __future__ import annotations
@@ -14,7 +16,17 @@ from pyspark.sql import functions as F
 FALSY_JSON_TEXT = ("null", "false", '""', "{}", "[]")
 
 
-def try_parse(text: Column) -> Column:
+def _sql(x: str) -> str:
+    return x if x.startswith("`") or "(" in x or "_" == x[:1] else f"`{x}`"
+
+
+def present_sql(text: str) -> str:
+    """The producer's "given" test: not NULL and not the empty string."""
+    t = _sql(text)
+    return f"({t} IS NOT NULL AND {t} <> '')"
+
+
+def try_parse_sql(text: str) -> str:
     """Text → VARIANT, NULL when the text is not one complete JSON document.
 
     ``try_parse_json`` alone stops after the first value (``{"a":1} junk``
@@ -22,27 +34,38 @@ def try_parse(text: Column) -> Column:
     trailing or unbalanced content a syntax error, so the conjunction is
     strict.  Duplicate object keys and ``NaN`` are rejected too.
     """
-    v = F.try_parse_json(text)
-    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return F.when(v.isNotNull() & in_array.isNotNull() & in_object.isNotNull(), v)
+    t = _sql(text)
+    return (f"CASE WHEN try_parse_json({t}) IS NOT NULL "
+            f"AND try_parse_json(concat('[', {t}, ']')) IS NOT NULL "
+            f"AND try_parse_json(concat('{{\"v\":', {t}, '}}')) IS NOT NULL THEN try_parse_json({t}) END")
 
 
-def is_present(text: Column) -> Column:
-    """The producer's "given" test: not NULL and not the empty string."""
-    return text.isNotNull() & (text != "")
+def truthy_sql(v: str) -> str:
+    """Python truthiness of a parsed JSON value (VARIANT); NULL → NULL."""
+    j = f"to_json({_sql(v)})"
+    falsy = ", ".join("'" + t.replace("'", "\\'") + "'" for t in FALSY_JSON_TEXT)
+    return (f"NOT ({j} IN ({falsy}) OR (substr({j}, 1, 1) RLIKE '[-0-9]' "
+            f"AND try_variant_get({_sql(v)}, '$', 'double') = 0.0))")
+
+
+def object_sql(v: str) -> str:
+    return f"startswith(to_json({_sql(v)}), '{{')"
+
+
+def try_parse(text: str) -> Column:
+    return F.expr(try_parse_sql(text))
+
+
+def is_present(text: str) -> Column:
+    return F.expr(present_sql(text))
 
 
-def is_truthy(v: Column) -> Column:
-    """Python truthiness of a parsed JSON value (VARIANT).  NULL input → NULL."""
-    j = F.to_json(v)
-    numeric = F.substring(j, 1, 1).rlike(r"[-0-9]")
-    zero = F.try_variant_get(v, "$", "double") == F.lit(0.0)
-    return ~(j.isin(*FALSY_JSON_TEXT) | (numeric & zero))
+def is_truthy(v: str) -> Column:
+    return F.expr(truthy_sql(v))
 
 
-def is_object(v: Column) -> Column:
-    return F.startswith(F.to_json(v), F.lit("{"))
+def is_object(v: str) -> Column:
+    return F.expr(object_sql(v))
 
 
 def set_object_keys(obj_text: Column, values: dict[str, Column]) -> Column:

@@ -1,4 +1,4 @@
-"""Event-time coercion as Spark column expressions.
+"""Event-time coercion as Spark SQL expressions.
 
 The accepted text forms follow the event producer's contract: ISO 8601 as read
 by Python's ``datetime.fromisoformat`` (after ``Z`` is read as ``+00:00``),
@@ -17,7 +17,10 @@ Grammar accepted as ISO (documented divergences in README):
   ``±HH:MM:SS``
 * naive values are wall-clock time in the session zone (pinned to UTC)
 
-Everything is regexp + ``try_make_timestamp``: JVM-side, codegen'd, no UDF.
+The expressions are produced as SQL text (one parse on the JVM side instead
+of hundreds of client calls) and evaluate with one ``rlike`` plus one
+``regexp_replace`` that lays all capture groups out for ``split``; the rest is
+``try_make_timestamp``.  JVM-side, codegen'd, no UDF.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ ISO_PATTERN = (
     r"(Z|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d)?)?)?"
     r")?$"
 )
+ISO_GROUPS = 14
 
 # fixed values: the two strptime layouts, with strptime's field rules
 # (%m 1-12, %d 1-31 with optional leading space, %H 0-23, %M/%S 0-59
@@ -47,86 +51,125 @@ STRPTIME_PATTERN = (
     r"(?:\s+|[Tt])"
     r"(2[0-3]|[01]\d|\d):([0-5]\d|\d):([0-5]\d|\d)$"
 )
+STRPTIME_GROUPS = 6
 
 
-def _g(s: Column, pattern: str, idx: int) -> Column:
-    return F.regexp_extract(s, pattern, idx)
+def sql_literal(text: str) -> str:
+    """A Spark SQL string literal for ``text`` (backslashes and quotes escaped)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _nz(c: Column) -> Column:
-    """'' (group did not take part) → NULL."""
-    return F.when(c != "", c)
+def groups_sql(s: str, pattern: str, n: int) -> str:
+    """SQL: the pattern's ``n`` capture groups as an array, NULL on no match.
+
+    On a match the whole text is replaced by its groups joined with ``,``
+    (no group can contain a comma), so one regex pass yields every group.
+    Compute this once as its own column: Spark does not share common
+    subexpressions inside ``CASE`` branches, so 14 group lookups on an inline
+    expression would run the regex 14 times.
+    """
+    p = sql_literal(pattern)
+    laid_out = f"regexp_replace({s}, {p}, '{','.join(f'${i}' for i in range(1, n + 1))}')"
+    return f"CASE WHEN {s} RLIKE {p} AND substr({s}, 1, 4) <> '0000' THEN split({laid_out}, ',') END"
+
+
+def _group(parts: str):
+    return lambda i: f"nullif(get({parts}, {i - 1}), '')"
+
+
+def _zone_sql(z: str) -> str:
+    digits = f"regexp_replace({z}, '[:+-]', '')"
+    offset = (f"concat(substr({z}, 1, 1), substr({digits}, 1, 2), ':', "
+              f"coalesce(nullif(substr({digits}, 3, 2), ''), '00'), "
+              f"CASE WHEN length({digits}) > 4 THEN concat(':', substr({digits}, 5, 2)) ELSE '' END)")
+    return f"CASE WHEN {z} IS NULL OR {z} = 'Z' THEN 'UTC' ELSE {offset} END"
+
+
+def iso_from_groups_sql(parts: str) -> str:
+    """SQL: ISO group array (from ``groups_sql(s, ISO_PATTERN, 14)``) → TIMESTAMP."""
+    g = _group(parts)
+    sec = f"coalesce({g(8)}, {g(12)}, '00')"
+    frac = f"coalesce({g(9)}, {g(13)}, '')"
+    seconds = f"CAST(concat({sec}, '.', rpad(substr({frac}, 1, 6), 6, '0')) AS DECIMAL(8,6))"
+    return (f"CASE WHEN {parts} IS NOT NULL THEN try_make_timestamp("
+            f"CAST({g(1)} AS INT), CAST(coalesce({g(2)}, {g(4)}) AS INT), CAST(coalesce({g(3)}, {g(5)}) AS INT), "
+            f"CAST(coalesce({g(6)}, {g(10)}, '0') AS INT), CAST(coalesce({g(7)}, {g(11)}, '0') AS INT), "
+            f"{seconds}, {_zone_sql(g(14))}) END")
 
 
-def _zone(z: Column) -> Column:
-    """Normalize a zone suffix to something ``make_timestamp`` takes."""
-    digits = F.regexp_replace(z, r"[:+-]", "")
-    sign = F.substring(z, 1, 1)
-    hh = F.substring(digits, 1, 2)
-    mm = F.coalesce(_nz(F.substring(digits, 3, 2)), F.lit("00"))
-    ss = _nz(F.substring(digits, 5, 2))
-    offset = F.concat(sign, hh, F.lit(":"), mm, F.when(ss.isNotNull(), F.concat(F.lit(":"), ss)).otherwise(F.lit("")))
-    return (F.when((z == "") | z.isNull(), F.lit(None).cast("string"))
-             .when(z == "Z", F.lit("UTC"))
-             .otherwise(offset))
+def strptime_from_groups_sql(parts: str) -> str:
+    """SQL: strptime group array → TIMESTAMP (session zone UTC)."""
+    g = _group(parts)
+    return (f"CASE WHEN {parts} IS NOT NULL THEN try_make_timestamp("
+            f"CAST({g(1)} AS INT), CAST({g(2)} AS INT), CAST(trim({g(3)}) AS INT), CAST({g(4)} AS INT), "
+            f"CAST({g(5)} AS INT), CAST({g(6)} AS DECIMAL(8,6)), 'UTC') END")
 
 
-def _seconds(sec: Column, frac: Column) -> Column:
-    frac6 = F.rpad(F.substring(F.coalesce(frac, F.lit("")), 1, 6), 6, "0")
-    return F.concat(F.coalesce(_nz(sec), F.lit("00")), F.lit("."), frac6).cast("decimal(8,6)")
+def iso_timestamp_sql(s: str) -> str:
+    """SQL: ISO 8601 text → TIMESTAMP, NULL when not in the grammar (one expression)."""
+    return iso_from_groups_sql(groups_sql(s, ISO_PATTERN, ISO_GROUPS))
 
 
-def parse_iso_timestamp(s: Column) -> Column:
-    """ISO 8601 text → TimestampType, NULL when the text is not in the grammar."""
-    year = _g(s, ISO_PATTERN, 1)
-    month = F.coalesce(_nz(_g(s, ISO_PATTERN, 2)), _nz(_g(s, ISO_PATTERN, 4)))
-    day = F.coalesce(_nz(_g(s, ISO_PATTERN, 3)), _nz(_g(s, ISO_PATTERN, 5)))
-    hour = F.coalesce(_nz(_g(s, ISO_PATTERN, 6)), _nz(_g(s, ISO_PATTERN, 10)), F.lit("0"))
-    minute = F.coalesce(_nz(_g(s, ISO_PATTERN, 7)), _nz(_g(s, ISO_PATTERN, 11)), F.lit("0"))
-    sec = F.coalesce(_nz(_g(s, ISO_PATTERN, 8)), _nz(_g(s, ISO_PATTERN, 12)))
-    frac = F.coalesce(_nz(_g(s, ISO_PATTERN, 9)), _nz(_g(s, ISO_PATTERN, 13)))
-    zone = _zone(_g(s, ISO_PATTERN, 14))
-    ts = F.try_make_timestamp(year.cast("int"), month.cast("int"), day.cast("int"),
-                              hour.cast("int"), minute.cast("int"), _seconds(sec, frac),
-                              F.coalesce(zone, F.lit("UTC")))
-    return F.when(s.rlike(ISO_PATTERN) & (year != "0000"), ts)
+def strptime_timestamp_sql(s: str) -> str:
+    return strptime_from_groups_sql(groups_sql(s, STRPTIME_PATTERN, STRPTIME_GROUPS))
 
 
-def parse_strptime_timestamp(s: Column) -> Column:
-    """The two ``strptime`` layouts (unpadded fields allowed) → TimestampType."""
-    p = STRPTIME_PATTERN
-    ts = F.try_make_timestamp(_g(s, p, 1).cast("int"), _g(s, p, 2).cast("int"), F.trim(_g(s, p, 3)).cast("int"),
-                              _g(s, p, 4).cast("int"), _g(s, p, 5).cast("int"),
-                              _g(s, p, 6).cast("decimal(8,6)"), F.lit("UTC"))
-    return F.when(s.rlike(p) & (_g(s, p, 1) != "0000"), ts)
+def epoch_digits_sql(s: str) -> str:
+    return f"CASE WHEN {s} RLIKE '^[0-9]{{1,12}}$' THEN timestamp_seconds(CAST({s} AS BIGINT)) END"
 
 
-def parse_event_time(s: Column, digits_as_epoch: bool = False) -> Column:
-    """Text → instant by the producer contract; NULL when nothing applies.
+def event_time_sql(s: str, digits_as_epoch: bool = False) -> str:
+    """SQL: text → instant by the producer contract; NULL when nothing applies.
 
     ``digits_as_epoch`` additionally reads an all-digit string as epoch seconds
     (off by default: the JSON contract carries times as text, so ``"1704067200"``
     is not a recognised time and falls back like any other unknown text).
     """
-    parsed = F.coalesce(parse_iso_timestamp(s), parse_strptime_timestamp(s))
+    parts = [iso_timestamp_sql(s), strptime_timestamp_sql(s)]
     if digits_as_epoch:
-        parsed = F.coalesce(parsed, F.when(s.rlike(r"^\d{1,12}$"), F.timestamp_seconds(s.cast("long"))))
-    return parsed
+        parts.append(epoch_digits_sql(s))
+    return f"coalesce({', '.join(parts)})"
 
 
-def coerce_timestamp_column(c: Column, dtype, digits_as_epoch: bool = False) -> Column:
-    """Dispatch on the decoded column's type: text, epoch number or timestamp."""
+def event_time_columns(col: str, dtype, digits_as_epoch: bool = False) -> tuple[dict[str, str], str]:
+    """Two-step SQL for a decoded time column: helper columns to compute
+    first (the regex group arrays, each once per row) and the final
+    expression over them.  Text, epoch numbers and timestamps are accepted."""
+    c = _name(col)
     if isinstance(dtype, StringType):
-        return parse_event_time(c, digits_as_epoch)
+        helpers = {"_iso_groups": groups_sql(c, ISO_PATTERN, ISO_GROUPS),
+                   "_strptime_groups": groups_sql(c, STRPTIME_PATTERN, STRPTIME_GROUPS)}
+        parts = [iso_from_groups_sql("_iso_groups"), strptime_from_groups_sql("_strptime_groups")]
+        if digits_as_epoch:
+            parts.append(epoch_digits_sql(c))
+        return helpers, f"coalesce({', '.join(parts)})"
     if isinstance(dtype, NumericType):
-        return F.timestamp_seconds(c)
+        return {}, f"timestamp_seconds({c})"
     if isinstance(dtype, TimestampNTZType):
-        return c.cast("timestamp")
+        return {}, f"CAST({c} AS TIMESTAMP)"
     if isinstance(dtype, TimestampType):
-        return c
+        return {}, c
     raise TypeError(f"cannot read an event time from a {dtype.simpleString()} column")
 
 
+def _name(col: str) -> str:
+    return col if col.startswith("`") or "(" in col else f"`{col}`"
+
+
+def parse_iso_timestamp(col: str) -> Column:
+    """Column (by name or SQL expression) → TimestampType via the ISO grammar."""
+    return F.expr(iso_timestamp_sql(_name(col)))
+
+
+def parse_strptime_timestamp(col: str) -> Column:
+    return F.expr(strptime_timestamp_sql(_name(col)))
+
+
+def parse_event_time(col: str, digits_as_epoch: bool = False) -> Column:
+    """Column (by name or SQL expression) → instant by the producer contract."""
+    return F.expr(event_time_sql(_name(col), digits_as_epoch))
+
+
 def python_isoformat(ts: Column) -> Column:
     """ISO text like Python's ``datetime.isoformat()`` for naive values:
     the fraction is written only when it is not zero."""

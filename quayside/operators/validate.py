@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import json as J
-from quayside.functions.timestamps import coerce_timestamp_column
+from quayside.functions.timestamps import event_time_columns
 
 # Reject reasons, in the order the rules are applied (first match wins).
 # fixed values: reject reason codes in rule order
@@ -62,32 +62,31 @@ def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False)
     batch date.
     """
     ts_type = events.schema["timestamp"].dataType
+    time_helpers, event_time = event_time_columns("timestamp", ts_type, digits_as_epoch)
     parsed = events.select(
         "*",
-        F.when(J.is_present(F.col("payload")), J.try_parse(F.col("payload"))).alias("_payload_v"),
-        F.when(J.is_present(F.col("metadata")), J.try_parse(F.col("metadata"))).alias("_metadata_v"),
-        coerce_timestamp_column(F.col("timestamp"), ts_type, digits_as_epoch).alias("_event_time"),
+        F.expr(f"CASE WHEN {J.present_sql('payload')} THEN {J.try_parse_sql('payload')} END").alias("_payload_v"),
+        F.expr(f"CASE WHEN {J.present_sql('metadata')} THEN {J.try_parse_sql('metadata')} END").alias("_metadata_v"),
+        *[F.expr(sql).alias(name) for name, sql in time_helpers.items()],
         batch_time(as_of).alias("batch_ts"),
-    )
-    pv, mv = F.col("_payload_v"), F.col("_metadata_v")
+    ).withColumn("_event_time", F.expr(event_time))
     # the broker time is the same on every replay of a record, the batch time is not
-    stable_time = [F.col("kafka_timestamp")] if "kafka_timestamp" in events.columns else []
-    present_p, present_m = J.is_present(F.col("payload")), J.is_present(F.col("metadata"))
+    stable = "kafka_timestamp, " if "kafka_timestamp" in events.columns else ""
+    pp, mp = J.present_sql("payload"), J.present_sql("metadata")
     facts = {
-        "timestamp": F.coalesce(F.col("_event_time"), F.col("batch_ts")),
-        "timestamp_text": F.col("timestamp").cast("string"),
-        "timestamp_defaulted": F.col("_event_time").isNull(),
-        "payload_valid": ~present_p | pv.isNotNull(),
-        "payload_truthy": F.coalesce(present_p & J.is_truthy(pv), F.lit(False)),
-        "metadata_valid": ~present_m | mv.isNotNull(),
-        "metadata_truthy": F.coalesce(present_m & J.is_truthy(mv), F.lit(False)),
-        "metadata_is_object": F.coalesce(J.is_object(mv), F.lit(False)),
-        "event_date": F.to_date(F.coalesce(F.col("_event_time"), *stable_time, F.col("batch_ts"))),
+        "timestamp": "coalesce(_event_time, batch_ts)",
+        "timestamp_text": "CAST(`timestamp` AS STRING)",
+        "timestamp_defaulted": "_event_time IS NULL",
+        "payload_valid": f"NOT {pp} OR _payload_v IS NOT NULL",
+        "payload_truthy": f"coalesce({pp} AND {J.truthy_sql('_payload_v')}, false)",
+        "metadata_valid": f"NOT {mp} OR _metadata_v IS NOT NULL",
+        "metadata_truthy": f"coalesce({mp} AND {J.truthy_sql('_metadata_v')}, false)",
+        "metadata_is_object": f"coalesce({J.object_sql('_metadata_v')}, false)",
+        "event_date": f"to_date(coalesce(_event_time, {stable}batch_ts))",
     }
     kept = [c for c in events.columns if c != "timestamp"] + ["batch_ts"]
     inputs = [*kept, "timestamp", "_payload_v", "_metadata_v", "_event_time"]
-    return with_settled_columns(parsed.select(*inputs),
-                                facts, keep=kept)
+    return with_settled_columns(parsed.select(*inputs), {k: F.expr(v) for k, v in facts.items()}, keep=kept)
 
 
 def with_settled_columns(df: DataFrame, exprs: dict[str, Column], keep: list[str]) -> DataFrame:
@@ -107,7 +106,7 @@ def with_settled_columns(df: DataFrame, exprs: dict[str, Column], keep: list[str
 def reject_reason() -> Column:
     """First failing rule, in REJECT_REASONS order; NULL when all pass."""
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    value_is_object = F.coalesce(J.is_object(F.try_parse_json(F.col("raw_value"))), F.lit(False))
+    value_is_object = F.expr(f"coalesce({J.object_sql('try_parse_json(raw_value)')}, false)")
     decode_failed = F.col("decode_error").isNotNull() | (F.col("event_id").isNull() & ~value_is_object)
     return (F.when(decode_failed, F.lit("malformed_value"))
             .when(F.col("event_id").isNull(), F.lit("missing_event_id"))

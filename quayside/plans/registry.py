@@ -22,7 +22,7 @@ from quayside.operators.dedup import drop_existing, keep_first
 from quayside.operators.validate import coerce_events, quarantine
 from quayside.plans.ingest import accepted_conformed, process_events
 from quayside.schema import add_field, ensure_table, event_schema, evolve_table, field
-from quayside.session import ensure_checkpoint_dir, pin_session, scratch_path
+from quayside.session import ensure_checkpoint_dir, pin_session, scratch_path, spread_for_cpu
 from quayside.sinks.deliver import deliver
 from quayside.sinks.writers import Sink, clickhouse_layout, files_sink, table_sink, with_event_date
 from quayside.sources.envelope import envelope_from_events, read_envelope_files, write_envelope_files
@@ -42,7 +42,7 @@ CONFORMED = ("event_id", "event_type", "timestamp", "payload", "source", "metada
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_session(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread_for_cpu(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
 def _envelopes(spark, sf_dir) -> DataFrame:

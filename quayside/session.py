@@ -73,3 +73,17 @@ def local_path(path: str) -> str:
 
 def cpu_count() -> int:
     return os.cpu_count() or 1
+
+
+def spread_for_cpu(df):
+    """Round-robin a batch input that has fewer partitions than the cluster
+    has task slots, so per-row CPU work (JSON/VARIANT parsing, regexes) uses
+    every core.  Inputs with enough partitions (any large scan) are returned
+    unchanged, so at scale this adds no shuffle.  Streaming inputs are left
+    alone (their partitioning is per micro-batch)."""
+    if df.isStreaming:
+        return df
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)

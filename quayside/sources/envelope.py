@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from quayside.session import spread_for_cpu
 from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
@@ -33,7 +34,7 @@ TIME_LAYOUTS = 12         # event_id % 12 picks the event-time text layout
 DIRT_CYCLE = 37           # event_id % 37 picks the record variant
 
 # G1 record variants.  Fragments are SQL valid in both Spark SQL and DuckDB
-# over the columns id_txt, uid, src, props (see ``_fragments``).  Each entry
+# over the columns id_txt, dup_txt, uid, src, props (see ``record_sql``).  Each entry
 # replaces one JSON member ('' = member left out); the rest stay clean.
 # fixed values: G1 variant table (code → member overrides)
 DIRT: dict[int, dict[str, str]] = {
@@ -103,60 +104,54 @@ def record_sql() -> tuple[str, str]:
     return clean, f"CASE dirt {value_cases} ELSE clean END"
 
 
-def _time_text(ts):
-    """event_id % 12 → one of the accepted (or deliberately unaccepted) layouts."""
-    layouts = [
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
-        F.date_format(ts, "yyyy-MM-dd HH:mm:ss"),
-        F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z")),
-        F.concat(F.date_format(ts + F.expr("INTERVAL '5:30' HOUR TO MINUTE"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
-                 F.lit("+05:30")),
-        F.date_format(ts, "yyyy-MM-dd"),
-        F.date_format(ts, "yyyyMMdd'T'HHmmss"),
-        F.date_format(ts, "yyyy-M-d H:m:s"),
-        F.date_format(ts, "MM/dd/yyyy"),
-        F.unix_seconds(ts).cast("string"),
-        F.lit(None).cast("string"),
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss,SSS"),
-        F.concat(F.date_format(ts - F.expr("INTERVAL '8' HOUR"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-0800")),
-    ]
-    k = F.col("event_id") % TIME_LAYOUTS
-    expr = F.lit(None).cast("string")
-    for i, layout in enumerate(layouts):
-        expr = F.when(k == i, layout).otherwise(expr) if i else F.when(k == i, layout)
-    return expr
+# event_id % 12 → one of the accepted (or deliberately unaccepted) layouts
+# fixed values: G1 event-time text layouts (Spark SQL over the instant `ts`)
+TIME_LAYOUT_SQL = (
+    "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")",
+    "date_format(ts, 'yyyy-MM-dd HH:mm:ss')",
+    "concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\"), 'Z')",
+    "concat(date_format(ts + INTERVAL '5:30' HOUR TO MINUTE, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+05:30')",
+    "date_format(ts, 'yyyy-MM-dd')",
+    "date_format(ts, \"yyyyMMdd'T'HHmmss\")",
+    "date_format(ts, 'yyyy-M-d H:m:s')",
+    "date_format(ts, 'MM/dd/yyyy')",
+    "CAST(unix_seconds(ts) AS STRING)",
+    "CAST(NULL AS STRING)",
+    "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss,SSS\")",
+    "concat(date_format(ts - INTERVAL '8' HOUR, \"yyyy-MM-dd'T'HH:mm:ss\"), '-0800')",
+)
 
 
 def envelope_from_events(events: DataFrame, dirty: bool = True, topic: str = "events") -> DataFrame:
     """G1: the ``events`` table as Kafka JSON envelopes (one per event row)."""
-    ts = F.col("ts").cast("timestamp")
-    base = events.select(
-        F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("props"), ts.alias("ts"),
-        F.col("event_id").cast("string").alias("id_txt"),
-        (F.col("event_id") - 1).cast("string").alias("dup_txt"),
-        F.col("user_id").cast("string").alias("uid"),
-        F.concat(F.lit("src-"), (F.col("user_id") % 3).cast("string")).alias("src"),
-        _time_text(ts).alias("ts_txt"),
-        (F.col("event_id") % DIRT_CYCLE if dirty else F.lit(-1)).alias("dirt"),
-    )
+    layouts = " ".join(f"WHEN {i} THEN {sql}" for i, sql in enumerate(TIME_LAYOUT_SQL))
+    base = events.selectExpr(
+        "event_id", "user_id", "event_type", "props", "CAST(ts AS TIMESTAMP) AS ts",
+        "CAST(event_id AS STRING) AS id_txt", "CAST(event_id - 1 AS STRING) AS dup_txt",
+        "CAST(user_id AS STRING) AS uid", "concat('src-', CAST(user_id % 3 AS STRING)) AS src",
+        f"event_id % {DIRT_CYCLE if dirty else 1} + {0 if dirty else -1} AS dirt",
+    ).selectExpr("*", f"CASE event_id % {TIME_LAYOUTS} {layouts} END AS ts_txt")
     clean_sql, value_sql = record_sql()
-    with_clean = base.withColumn("clean", F.expr(clean_sql))
-    return with_clean.select(
-        F.col("id_txt").cast("binary").alias("key"),
-        F.expr(value_sql).cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        (F.col("user_id") % ENVELOPE_PARTITIONS).cast("int").alias("partition"),
-        F.col("event_id").cast("long").alias("offset"),
-        F.col("ts").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
+    return base.selectExpr("*", f"{clean_sql} AS clean").selectExpr(
+        "CAST(id_txt AS BINARY) AS key",
+        f"CAST({value_sql} AS BINARY) AS value",
+        f"{sql_str(topic)} AS topic",
+        f"CAST(user_id % {ENVELOPE_PARTITIONS} AS INT) AS `partition`",
+        "CAST(event_id AS BIGINT) AS `offset`",
+        "ts AS `timestamp`",
+        "0 AS timestampType",
     )
 
 
+def sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def read_envelope_files(spark: SparkSession, path: str, streaming: bool = False,
                         max_files_per_trigger: int | None = None) -> DataFrame:
     """Envelope Parquet files, batch or as a file stream with a fixed schema."""
     if not streaming:
-        return spark.read.schema(ENVELOPE_SCHEMA).parquet(path)
+        return spread_for_cpu(spark.read.schema(ENVELOPE_SCHEMA).parquet(path))
     reader = spark.readStream.schema(ENVELOPE_SCHEMA).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.decode import MissingConnectorError
+from quayside.session import spread_for_cpu
 
 KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13"
 
@@ -58,7 +59,8 @@ def read_kafka(spark: SparkSession, options: dict[str, str], streaming: bool = T
         if opts.get("startingOffsets") == "latest":
             opts["startingOffsets"] = "earliest"
     reader = (spark.readStream if streaming else spark.read).format("kafka").options(**opts)
-    return _load(reader, "reading Kafka")
+    df = _load(reader, "reading Kafka")
+    return df if streaming else spread_for_cpu(df)
 
 
 def publish(envelopes: DataFrame, bootstrap_servers: str, topic: str | None = None) -> None:

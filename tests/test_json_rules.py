@@ -27,8 +27,9 @@ def py_valid(s):
 @pytest.fixture(scope="module")
 def rows(spark):
     df = spark.createDataFrame([(c,) for c in CASES], "s string")
-    v = try_parse(F.col("s"))
-    out = df.select("s", v.isNotNull().alias("valid"), is_truthy(v).alias("truthy"), is_object(v).alias("obj"))
+    parsed = df.select("s", try_parse("s").alias("v"))
+    out = parsed.select("s", F.col("v").isNotNull().alias("valid"), is_truthy("v").alias("truthy"),
+                        is_object("v").alias("obj"))
     return {r["s"]: r for r in out.collect()}
 
 
@@ -47,5 +48,5 @@ def test_truthiness(rows, text):
 
 def test_rejected_python_extensions(spark):
     df = spark.createDataFrame([("NaN",), ('{"a":1,"a":2}',)], "s string")
-    assert all(r[0] is None for r in df.select(try_parse(F.col("s"))).collect())
+    assert all(r[0] is None for r in df.select(try_parse("s")).collect())
     assert math.isnan(json.loads("NaN"))

@@ -51,7 +51,7 @@ def python_reference(s):
 @pytest.fixture(scope="module")
 def parsed(spark):
     df = spark.createDataFrame([(c,) for c in CASES], "s string")
-    rows = df.select("s", parse_event_time(F.col("s")).cast("timestamp_ntz").alias("t")).collect()
+    rows = df.select("s", parse_event_time("s").cast("timestamp_ntz").alias("t")).collect()
     return {r["s"]: r["t"] for r in rows}
 
 
@@ -62,7 +62,7 @@ def test_matches_python(parsed, text):
 
 @pytest.mark.parametrize("text", sorted(DOCUMENTED_GAPS))
 def test_documented_gaps_default(spark, text):
-    r = spark.createDataFrame([(text,)], "s string").select(parse_event_time(F.col("s")).alias("t")).first()
+    r = spark.createDataFrame([(text,)], "s string").select(parse_event_time("s").alias("t")).first()
     assert r["t"] is None
 
 
@@ -91,7 +91,7 @@ def test_generated_corpus(spark):
         texts.append(t)
         expect.append(python_reference(t))
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
-    got = {r["i"]: r["t"] for r in df.select("i", parse_event_time(F.col("s")).cast("timestamp_ntz").alias("t"))
+    got = {r["i"]: r["t"] for r in df.select("i", parse_event_time("s").cast("timestamp_ntz").alias("t"))
            .collect()}
     bad = [(texts[i], got[i], expect[i]) for i in range(len(texts)) if got[i] != expect[i]]
     assert not bad, bad[:5]
