@@ -23,8 +23,11 @@ def keep_first(df: DataFrame, key: str = "event_id", order: tuple[str, ...] = DE
                copies_col: str | None = None) -> DataFrame:
     """One row per ``key``: the row with the smallest ``order`` tuple.
 
-    ``min(struct(order..., rest...))`` picks the whole first row in one hash
-    aggregation; ``copies_col`` (optional) holds how many rows shared the key.
+    ``min(struct(order..., rest...))`` picks the whole first row in one
+    aggregation.  Spark plans it as a sort-based aggregate with a partial
+    (map-side) phase, so a hot key is reduced to one row per map task before
+    the exchange and both sorts can spill.  ``copies_col`` (optional) holds
+    how many rows shared the key.
     Column order of the input is kept.
     """
     rest = [c for c in df.columns if c != key and c not in order]

@@ -75,13 +75,15 @@ def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str |
     cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
     batch = cached
     try:
-        if batch.isEmpty():
+        # one pass over the persisted batch for both the empty check and the metrics
+        stats = batch.agg(F.count(F.lit(1)).alias("n"),
+                          (F.sum(F.col("_copies") - 1) if dedup else F.sum(F.lit(0))).alias("dups")).first()
+        batch_keys, duplicates = int(stats["n"]), int(stats["dups"] or 0)
+        if dedup:
+            batch = batch.drop("_copies")
+        if batch_keys == 0:
             records = [(s.name, batch_id, "empty", 0, 0, None, now, 1) for s in sinks]
         else:
-            if dedup:
-                duplicates = batch.agg(F.sum(F.col("_copies") - 1)).first()[0] or 0
-                batch_keys = batch.count()
-                batch = batch.drop("_copies")
             for sink in sinks:
                 if sink.name in done:
                     records.append((sink.name, batch_id, "replay_skipped", 0, 0, None, now, 1))
