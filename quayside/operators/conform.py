@@ -58,3 +58,16 @@ def export_json_column() -> Column:
 def export_json(df: DataFrame) -> DataFrame:
     """``event_id`` and the exported ``event_json`` per row."""
     return df.select(F.col("event_id"), export_json_column().alias("event_json"))
+
+
+def read_conformed(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
+                   keep: tuple[str, ...] = ("event_date",)) -> DataFrame:
+    """Files written under older schema versions, read under ``schema``.
+
+    ``mergeSchema`` unifies the file footers (added columns appear, old
+    files read NULL for them); ``conform`` then fixes order and types and
+    gives declared columns no file has as typed NULLs.  Columns dropped from
+    the schema stay in the files but are not returned.
+    """
+    df = spark.read.option("mergeSchema", "true").format(fmt).load(path)
+    return conform(df, schema, keep=tuple(k for k in keep if k in df.columns))

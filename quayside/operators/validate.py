@@ -139,3 +139,10 @@ QUARANTINE_COLUMNS = ("raw_value", "kafka_timestamp", "partition", "offset", "ev
 def quarantine(classified: DataFrame) -> DataFrame:
     """V7: rejected rows with their raw value, source position and reason."""
     return rejected(classified).select(*QUARANTINE_COLUMNS)
+
+
+def outcome_counts(classified: DataFrame) -> DataFrame:
+    """K9: rows per outcome (``accepted`` or the reject reason), one small
+    distributed aggregate (at most len(REJECT_REASONS) + 1 rows)."""
+    return (classified.groupBy(F.coalesce(F.col("reject_reason"), F.lit("accepted")).alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("events")))

@@ -19,7 +19,7 @@ from quayside.functions import wire
 from quayside.operators.conform import conform, export_json_column
 from quayside.operators.decode import decode_events
 from quayside.operators.dedup import drop_existing, keep_first
-from quayside.operators.validate import coerce_events, quarantine
+from quayside.operators.validate import coerce_events, outcome_counts, quarantine
 from quayside.plans.ingest import accepted_conformed, process_events
 from quayside.schema import add_field, ensure_table, event_schema, evolve_table, field
 from quayside.session import ensure_checkpoint_dir, pin_session, scratch_path, spread_for_cpu
@@ -128,9 +128,7 @@ def q_rejected_events(spark, sf_dir):
 
 
 def q_reject_counts(spark, sf_dir):
-    p = _processed(spark, sf_dir)
-    return (p.groupBy(F.coalesce(F.col("reject_reason"), F.lit("accepted")).alias("outcome"))
-            .agg(F.count(F.lit(1)).alias("events")))
+    return outcome_counts(_processed(spark, sf_dir))
 
 
 def q_enrich_metadata(spark, sf_dir):

@@ -84,15 +84,19 @@ def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str |
         if batch_keys == 0:
             records = [(s.name, batch_id, "empty", 0, 0, None, now, 1) for s in sinks]
         else:
+            dates = None
+            if dedup and any(s.existing is not None for s in sinks):
+                batch = with_event_date(batch)
+                # partition keys only: at most one row per calendar day
+                dates = sorted(r[0] for r in batch.select("event_date").distinct().collect())
             for sink in sinks:
                 if sink.name in done:
                     records.append((sink.name, batch_id, "replay_skipped", 0, 0, None, now, 1))
                     continue
                 out = batch
                 if dedup and sink.existing is not None:
-                    target = sink.existing(spark)
-                    out = drop_existing(with_event_date(batch), target, batch_keys=batch_keys) \
-                        if target is not None else batch
+                    target = sink.existing(spark, dates)
+                    out = drop_existing(batch, target, batch_keys=batch_keys) if target is not None else batch
                 out = out.drop(*drop_cols)
                 if not sink.wants_event_date:
                     out = out.drop("event_date")

@@ -23,8 +23,9 @@ WriteFn = Callable[[DataFrame, int], None]
 class Sink:
     name: str
     write: WriteFn
-    # (spark) → DataFrame with the sink's existing (event_date, event_id);
-    # None when the sink cannot be read back (then only the ledger guards replays)
+    # (spark, dates | None) → DataFrame with the sink's existing (event_date,
+    # event_id), limited to those dates when given; None when the sink cannot
+    # be read back (then only the ledger guards replays)
     existing: Callable | None = field(default=None, compare=False)
     # file/catalog sinks partition by event_date; other sinks never see it
     wants_event_date: bool = False
@@ -47,10 +48,17 @@ def files_sink(name: str, path: str, fmt: str = "parquet", partition_by: tuple[s
         (out.write.mode("append").format(fmt).option("maxRecordsPerFile", max_records_per_file)
          .partitionBy(*partition_by).save(path))
 
-    def existing(spark):
+    def existing(spark, dates=None):
+        """Only the given dates' partition folders are listed: a path-based
+        read otherwise lists every file of the table up front."""
         try:
+            if dates is not None and partition_by == ("event_date",):
+                if not dates:
+                    return None
+                glob = f"{path}/event_date={{{','.join(str(d) for d in dates)}}}"
+                return spark.read.format(fmt).option("basePath", path).load(glob)
             return spark.read.format(fmt).load(path)
-        except Exception:  # nothing written yet
+        except Exception:  # nothing written yet for these dates
             return None
     return Sink(name, write, existing, wants_event_date=True)
 
@@ -66,7 +74,8 @@ def table_sink(name: str, table: str, using: str = "parquet") -> Sink:
             cols = df.sparkSession.table(table).columns
             with_event_date(df).hint("rebalance", "event_date").select(*cols).write.insertInto(table)
 
-    def existing(spark):
+    def existing(spark, dates=None):
+        # catalog tables prune partitions from metadata; no listing of the table
         t = spark.table(table)
         return t if "event_date" in t.columns else with_event_date(t)
     return Sink(name, write, existing, wants_event_date=using.lower() != "iceberg")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quayside.operators.validate import quarantine as quarantine_rows
+from quayside.operators.validate import outcome_counts, quarantine as quarantine_rows
 from quayside.plans.ingest import accepted_conformed
 from quayside.schema import VersionedSchema
 from quayside.session import scratch_path
@@ -26,12 +26,16 @@ DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
 def handle_batch(processed: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str | None = None,
                  quarantine: Sink | None = None, schema: VersionedSchema | None = None,
-                 dedup: bool = False, on_error: str = "isolate") -> None:
+                 dedup: bool = False, on_error: str = "isolate", metrics_path: str | None = None) -> None:
     """One micro-batch (or one batch run): accepted rows to every sink,
-    rejected rows to the quarantine sink.  The processed batch is computed
-    once (persisted) for all outputs."""
+    rejected rows to the quarantine sink, per-outcome counts to
+    ``metrics_path``.  The processed batch is computed once (persisted) for
+    all outputs."""
     b = processed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if metrics_path:
+            (outcome_counts(b).withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .coalesce(1).write.mode("append").parquet(metrics_path))
         accepted = accepted_conformed(b, schema, keep=("partition", "offset", "event_date"))
         deliver(accepted, batch_id, sinks, ledger_path, on_error=on_error, dedup=dedup)
         if quarantine is not None:
@@ -43,7 +47,7 @@ def handle_batch(processed: DataFrame, batch_id: int, sinks: list[Sink], ledger_
 def start_stream(processed_stream: DataFrame, sinks: list[Sink], ledger_path: str | None = None,
                  quarantine: Sink | None = None, checkpoint: str | None = None, trigger: dict | None = None,
                  schema: VersionedSchema | None = None, dedup: bool = False, on_error: str = "isolate",
-                 query_name: str | None = None) -> StreamingQuery:
+                 query_name: str | None = None, metrics_path: str | None = None) -> StreamingQuery:
     """Start the ``foreachBatch`` query and return it (the caller
     waits with ``awaitTermination`` / ``processAllAvailable``).
 
@@ -57,7 +61,7 @@ def start_stream(processed_stream: DataFrame, sinks: list[Sink], ledger_path: st
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
 
     def on_batch(batch_df: DataFrame, batch_id: int) -> None:
-        handle_batch(batch_df, batch_id, sinks, ledger_path, quarantine, schema, dedup, on_error)
+        handle_batch(batch_df, batch_id, sinks, ledger_path, quarantine, schema, dedup, on_error, metrics_path)
 
     writer = processed_stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if query_name:

@@ -89,3 +89,18 @@ def test_evolve_catalog_table(spark, tmp_dir):
 def test_ensure_table_unknown_format_fails(spark):
     with pytest.raises(Exception):
         ensure_table(spark, event_schema(), f"bad_{uuid.uuid4().hex[:6]}", using="nosuchformat")
+
+
+def test_read_old_files_under_new_schema(spark, tmp_dir):
+    from quayside.operators.conform import conform, read_conformed
+    v1 = event_schema()
+    v2 = add_field(v1, field("region", "string"), version=2)
+    rows = spark.createDataFrame([("a", "2024-01-01 00:00:00"), ("b", "2024-01-02 00:00:00")],
+                                 "event_id string, ts string") \
+        .select("event_id", F.lit("t").alias("event_type"), F.col("ts").cast("timestamp").alias("timestamp"),
+                F.lit("{}").alias("payload"), F.lit("s").alias("source"))
+    conform(rows.filter("event_id = 'a'"), v1.struct).write.parquet(f"{tmp_dir}/t/v=1")
+    conform(rows.filter("event_id = 'b'").withColumn("region", F.lit("eu")), v2.struct).write.parquet(f"{tmp_dir}/t/v=2")
+    out = {r.event_id: r for r in read_conformed(spark, f"{tmp_dir}/t", v2.struct).collect()}
+    assert out["a"].region is None and out["b"].region == "eu"
+    assert list(out["a"].asDict())[:8] == v2.names

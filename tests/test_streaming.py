@@ -30,9 +30,11 @@ def test_stream_matches_batch(spark, tmp_dir, landed, per_trigger):
     stream = read_envelope_files(spark, src, streaming=True, max_files_per_trigger=per_trigger)
     q = start_stream(process_events(stream, as_of=AS_OF), [files_sink("out", f"{tmp_dir}/out")],
                      ledger_path=f"{tmp_dir}/ledger", quarantine=files_sink("q", f"{tmp_dir}/q", partition_by=()),
-                     checkpoint=f"{tmp_dir}/ckpt", trigger={"availableNow": True})
+                     checkpoint=f"{tmp_dir}/ckpt", trigger={"availableNow": True}, metrics_path=f"{tmp_dir}/m")
     q.awaitTermination()
     assert _rows(spark.read.parquet(f"{tmp_dir}/out")) == expected
+    metrics = spark.read.parquet(f"{tmp_dir}/m")
+    assert metrics.agg(F.sum("events")).first()[0] == spark.read.parquet(src).count()
     ledger = spark.read.parquet(f"{tmp_dir}/ledger")
     assert ledger.select("batch_id").distinct().count() == 4 // per_trigger
     total = spark.read.parquet(f"{tmp_dir}/out").count() + spark.read.parquet(f"{tmp_dir}/q").count()
