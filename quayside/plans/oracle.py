@@ -225,6 +225,10 @@ def oracle_queries() -> dict[str, str]:
                               AS duplicates FROM acc)""",
         "replay_safe": b + f"SELECT {CONFORMED} FROM dd",
         "stream_parity": b + f"SELECT {CONFORMED} FROM acc",
+        "stream_outcome_metrics": b + """SELECT coalesce(reject_reason, 'accepted') AS outcome,
+            count(*) AS events FROM r GROUP BY 1""",
+        "schema_merge_read": b + f"""SELECT event_id, "timestamp",
+            CASE WHEN "timestamp" >= {_ts(EVOLVE_TIME)} THEN 'region-' || source END AS region FROM acc""",
         "layout_by_day": b + """SELECT event_date, count(*) AS events FROM acc GROUP BY 1""",
         "layout_by_month": b + """SELECT CAST(strftime("timestamp", '%Y%m') AS INTEGER) AS event_month,
             count(*) AS events FROM acc GROUP BY 1""",

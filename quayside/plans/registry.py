@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import wire
-from quayside.operators.conform import conform, export_json_column
+from quayside.operators.conform import conform, export_json_column, read_conformed
 from quayside.operators.decode import decode_events
 from quayside.operators.dedup import drop_existing, keep_first
 from quayside.operators.validate import coerce_events, outcome_counts, quarantine
@@ -229,6 +229,30 @@ def q_stream_parity(spark, sf_dir):
     return _out(spark.read.parquet(out).drop("event_date"))
 
 
+def q_stream_outcome_metrics(spark, sf_dir):
+    ensure_checkpoint_dir(spark)
+    src, metrics = scratch_path(spark, "metrics-src"), scratch_path(spark, "metrics")
+    write_envelope_files(_envelopes(spark, sf_dir), src, files=4)
+    stream = read_envelope_files(spark, src, streaming=True, max_files_per_trigger=2)
+    q = start_stream(process_events(stream, as_of=AS_OF), [files_sink("out", scratch_path(spark, "metrics-out"))],
+                     trigger={"availableNow": True}, metrics_path=metrics)
+    q.awaitTermination()
+    return spark.read.parquet(metrics).groupBy("outcome").agg(F.sum("events").alias("events"))
+
+
+def q_schema_merge_read(spark, sf_dir):
+    ensure_checkpoint_dir(spark)
+    v1 = event_schema(1)
+    v2 = add_field(v1, field("region", "string"), version=2)
+    path = scratch_path(spark, "merge")
+    a = _accepted(spark, sf_dir, keep=())
+    cut = F.lit(EVOLVE_TIME).cast("timestamp")
+    conform(a.filter(F.col("timestamp") < cut), v1.struct).write.parquet(f"{path}/schema_version=1")
+    later = a.filter(F.col("timestamp") >= cut).withColumn("region", F.concat(F.lit("region-"), F.col("source")))
+    conform(later, v2.struct).write.parquet(f"{path}/schema_version=2")
+    return _out(read_conformed(spark, path, v2.struct).select("event_id", "timestamp", "region"))
+
+
 def q_layout_by_day(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, "by-day")
@@ -288,6 +312,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fanout_counts": q_fanout_counts,
     "replay_safe": q_replay_safe,
     "stream_parity": q_stream_parity,
+    "stream_outcome_metrics": q_stream_outcome_metrics,
+    "schema_merge_read": q_schema_merge_read,
     "layout_by_day": q_layout_by_day,
     "layout_by_month": q_layout_by_month,
     "schema_evolve_read": q_schema_evolve_read,

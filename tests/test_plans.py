@@ -42,3 +42,21 @@ def test_keep_first_is_one_aggregation_shuffle(spark):
     plan = _plan(keep_first(_accepted(spark)))
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Window" not in plan
+
+
+def test_keep_first_with_a_hot_key(spark):
+    """A third of the rows share one key: result is exact and the plan
+    aggregates partially before the exchange (no single-task group)."""
+    from pyspark.sql import functions as F
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("event_id"),
+        (F.col("id") % 7).cast("int").alias("partition"), F.col("id").alias("offset"),
+        F.col("id").cast("string").alias("payload")).repartition(8)
+    out = keep_first(df, copies_col="copies")
+    rows = {r.event_id: r for r in out.filter("event_id = 'hot' OR event_id = '1'").collect()}
+    assert rows["hot"].copies == n // 3 and rows["hot"].partition == 0 and rows["hot"].offset == 0
+    assert rows["1"].copies == 1
+    assert out.count() == n - n // 3 + 1
+    plan = _plan(out)
+    assert "partial_min" in plan

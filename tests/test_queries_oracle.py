@@ -24,6 +24,7 @@ def test_query_matches_oracle(spark, con, name):
     assert r["columns_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["hash_match"], r
+    assert not r["type_mismatches"], r
 
 
 def test_entry_smoke(spark):
