@@ -222,7 +222,8 @@ def q_stream_parity(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     src, out = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-out")
     write_envelope_files(_envelopes(spark, sf_dir), src, files=4)
-    stream = read_envelope_files(spark, src, streaming=True, max_files_per_trigger=1)
+    stream = read_envelope_files(spark, src, streaming=True, max_files_per_trigger=1,
+                                 partitions=spark.sparkContext.defaultParallelism)
     q = start_stream(process_events(stream, as_of=AS_OF), [files_sink("out", out)],
                      ledger_path=scratch_path(spark, "stream-ledger"), trigger={"availableNow": True})
     q.awaitTermination()
@@ -233,7 +234,8 @@ def q_stream_outcome_metrics(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     src, metrics = scratch_path(spark, "metrics-src"), scratch_path(spark, "metrics")
     write_envelope_files(_envelopes(spark, sf_dir), src, files=4)
-    stream = read_envelope_files(spark, src, streaming=True, max_files_per_trigger=2)
+    stream = read_envelope_files(spark, src, streaming=True, max_files_per_trigger=2,
+                                 partitions=spark.sparkContext.defaultParallelism)
     q = start_stream(process_events(stream, as_of=AS_OF), [files_sink("out", scratch_path(spark, "metrics-out"))],
                      trigger={"availableNow": True}, metrics_path=metrics)
     q.awaitTermination()

@@ -81,9 +81,36 @@ def table_sink(name: str, table: str, using: str = "parquet") -> Sink:
     return Sink(name, write, existing, wants_event_date=using.lower() != "iceberg")
 
 
-def iceberg_sink(name: str, database: str, table: str) -> Sink:
-    """K3: append to an Iceberg table ``database.table``."""
-    return table_sink(name, f"{database}.{table}", using="iceberg")
+def iceberg_sink(name: str, database: str, table: str, merge: bool = False) -> Sink:
+    """K3: append to an Iceberg table ``database.table``.
+
+    ``merge=True`` (K8 for table formats with MERGE): insert only events whose
+    ``event_id`` the table does not hold yet, in one atomic commit, so a
+    replayed batch is a no-op even without the ledger.
+    """
+    full = f"{database}.{table}"
+    if not merge:
+        return table_sink(name, full, using="iceberg")
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        view = f"quayside_batch_{name}_{batch_id}"
+        df.createOrReplaceTempView(view)
+        try:
+            df.sparkSession.sql(merge_insert_sql(full, view, df.columns))
+        finally:
+            df.sparkSession.catalog.dropTempView(view)
+    return Sink(name, write)
+
+
+def merge_insert_sql(table: str, view: str, columns: list[str], key: str = "event_id") -> str:
+    """``MERGE INTO`` that inserts rows with new keys only.  The day of the
+    event time is in the match condition so the table's ``days(timestamp)``
+    partitions prune the lookup."""
+    cols = ", ".join(f"`{c}`" for c in columns)
+    vals = ", ".join(f"s.`{c}`" for c in columns)
+    return (f"MERGE INTO {table} t USING {view} s "
+            f"ON t.`{key}` = s.`{key}` AND CAST(t.`timestamp` AS DATE) = CAST(s.`timestamp` AS DATE) "
+            f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})")
 
 
 def jdbc_options(url: str, table: str, user: str, password: str, driver: str, num_partitions: int = 8,
@@ -122,11 +149,22 @@ def postgres_column_types(schema: VersionedSchema | None = None) -> str:
                      if (f.metadata or {}).get("logical_type") == "string")
 
 
+POSTGRES_DRIVER = "org.postgresql.Driver"  # fixed value: the Postgres JDBC driver class
+
+
+def postgres_options(host: str, port: int, database: str, table: str, user: str | None = None,
+                     password: str | None = None, schema: VersionedSchema | None = None,
+                     num_partitions: int = 8, batchsize: int = 10_000) -> dict[str, str]:
+    """JDBC writer options for Postgres (user defaults to ``postgres``)."""
+    return jdbc_options(f"jdbc:postgresql://{host}:{port}/{database}", table, user or "postgres", password or "",
+                        POSTGRES_DRIVER, num_partitions, batchsize, postgres_column_types(schema))
+
+
 def postgres_sink(name: str, host: str, port: int, database: str, table: str, user: str | None = None,
                   password: str | None = None, schema: VersionedSchema | None = None, **kw) -> Sink:
     """K2 with the Postgres URL, driver class and default user."""
     return jdbc_sink(name, f"jdbc:postgresql://{host}:{port}/{database}", table, user or "postgres",
-                     password or "", "org.postgresql.Driver", column_types=postgres_column_types(schema), **kw)
+                     password or "", POSTGRES_DRIVER, column_types=postgres_column_types(schema), **kw)
 
 
 CLICKHOUSE_TABLE_OPTIONS = "ENGINE = MergeTree() ORDER BY (timestamp, event_id) PARTITION BY toYYYYMM(timestamp)"
@@ -148,9 +186,34 @@ def clickhouse_options(host: str, port: int, database: str, table: str, user: st
             "user": user or "default", "password": password or ""}
 
 
+CLICKHOUSE_DRIVER = "com.clickhouse.jdbc.ClickHouseDriver"  # fixed value: ClickHouse JDBC driver class
+
+
+def clickhouse_jdbc_options(host: str, port: int, database: str, table: str, user: str | None = None,
+                            password: str | None = None, num_partitions: int = 8,
+                            batchsize: int = 100_000) -> dict[str, str]:
+    """D10 over JDBC: the first append creates a MergeTree table with the
+    ``(timestamp, event_id)`` sorting key and monthly partitions."""
+    return jdbc_options(f"jdbc:clickhouse://{host}:{port}/{database}", table, user or "default", password or "",
+                        CLICKHOUSE_DRIVER, num_partitions, batchsize, table_options=CLICKHOUSE_TABLE_OPTIONS)
+
+
 def clickhouse_sink(name: str, host: str, port: int, database: str, table: str, user: str | None = None,
-                    password: str | None = None) -> Sink:
-    """K1: append through the ClickHouse Spark connector (format ``clickhouse``)."""
+                    password: str | None = None, via: str = "connector") -> Sink:
+    """K1: append to ClickHouse, rows laid out by month and sorting key.
+
+    ``via="connector"``: the ClickHouse Spark connector (format
+    ``clickhouse``); ``via="jdbc"``: Spark's JDBC writer with the MergeTree
+    DDL as ``createTableOptions``.
+    """
+    if via == "jdbc":
+        jopts = clickhouse_jdbc_options(host, port, database, table, user, password)
+
+        def write_jdbc(df: DataFrame, batch_id: int) -> None:
+            clickhouse_layout(df).write.format("jdbc").options(**jopts).mode("append").save()
+        return Sink(name, write_jdbc)
+    if via != "connector":
+        raise ValueError("via must be 'connector' or 'jdbc'")
     opts = {f"clickhouse.{k}": v for k, v in clickhouse_options(host, port, database, table, user, password).items()}
 
     def write(df: DataFrame, batch_id: int) -> None:

@@ -20,9 +20,11 @@ KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13"
 def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = None,
                   starting_offsets: str = "latest", fail_on_data_loss: bool = False,
                   max_offsets_per_trigger: int | None = None, ending_offsets: str | None = None,
-                  extra: dict | None = None) -> dict[str, str]:
+                  min_partitions: int | None = None, extra: dict | None = None) -> dict[str, str]:
     """Subscribe to one topic; start at ``latest`` and tolerate lost
-    offsets by default.  ``max_offsets_per_trigger`` bounds a micro-batch."""
+    offsets by default.  ``max_offsets_per_trigger`` bounds a micro-batch;
+    ``min_partitions`` splits large offset ranges into more Spark tasks
+    without a shuffle (for topics with fewer partitions than task slots)."""
     if not bootstrap_servers or not topic:
         raise ValueError("bootstrap_servers and topic are required")
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
@@ -33,6 +35,8 @@ def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = Non
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if ending_offsets:
         opts["endingOffsets"] = ending_offsets
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(extra or {})
     return opts
 

@@ -16,6 +16,7 @@ def test_kafka_options_defaults():
     assert o == {"kafka.bootstrap.servers": "b:9092", "subscribe": "events", "startingOffsets": "latest",
                  "failOnDataLoss": "false", "kafka.group.id": "g"}
     assert kafka_options("b", "t", max_offsets_per_trigger=1000)["maxOffsetsPerTrigger"] == "1000"
+    assert kafka_options("b", "t", min_partitions=64)["minPartitions"] == "64"
     assert offsets_json("t", {0: 5, 1: 7}) == '{"t": {"0": 5, "1": 7}}'
     with pytest.raises(ValueError):
         kafka_options("", "t")
