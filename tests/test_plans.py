@@ -60,3 +60,23 @@ def test_keep_first_with_a_hot_key(spark):
     assert out.count() == n - n // 3 + 1
     plan = _plan(out)
     assert "partial_min" in plan
+
+
+def test_replay_check_prunes_target_partitions(spark, tmp_dir):
+    """Against-sink dedup reads only the batch's date partitions of the
+    target (dynamic partition pruning) and only the key column."""
+    from pyspark.sql import functions as F
+    from quayside.operators.dedup import drop_existing
+    from quayside.sinks.writers import files_sink
+    acc = _accepted(spark).withColumn("event_date", F.to_date("timestamp"))
+    files_sink("t", f"{tmp_dir}/t").write(acc.drop("partition", "offset"), 0)
+    batch = acc.filter(F.col("event_date") >= F.lit("2024-01-20").cast("date"))
+    for keys in (None, 100):
+        out = drop_existing(batch, spark.read.parquet(f"{tmp_dir}/t"), batch_keys=keys)
+        out.collect()
+        plan = _plan(out)
+        scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "event_date" in line
+                 and "PartitionFilters" in line]
+        assert scans and all("dynamicpruningexpression" in s or "event_date" in s.split("PartitionFilters")[1][:80]
+                             for s in scans)
+        assert any("ReadSchema: struct<event_id:string>" in s for s in scans)
