@@ -68,18 +68,21 @@ def is_object(v: str) -> Column:
     return F.expr(object_sql(v))
 
 
-def set_object_keys(obj_text: Column, values: dict[str, Column]) -> Column:
-    """Set (or overwrite) top-level keys of a JSON object text.
+def set_object_keys_sql(obj_text: str, values: dict[str, str]) -> str:
+    """SQL: set (or overwrite) top-level keys of a JSON object text.
 
     ``obj_text`` must be a strict JSON object or NULL (NULL → a new object).
     Existing keys keep their order and their nested values; the given keys
-    are removed and appended at the end with string values.
+    (SQL string expressions) are removed and appended at the end.
     """
-    existing = F.coalesce(F.from_json(obj_text, "map<string,variant>"),
-                          F.create_map().cast("map<string,variant>"))
-    names = list(values)
-    kept = F.map_filter(existing, lambda k, _v: ~k.isin(*names))
-    added_pairs = []
-    for name, col in values.items():
-        added_pairs += [F.lit(name), F.variant_get(F.to_variant_object(F.struct(col.alias("v"))), "$.v", "variant")]
-    return F.to_json(F.map_concat(kept, F.create_map(*added_pairs)))
+    names = ", ".join("'" + n.replace("'", "\\'") + "'" for n in values)
+    existing = f"coalesce(from_json({obj_text}, 'map<string,variant>'), CAST(map() AS map<string,variant>))"
+    kept = f"map_filter({existing}, (k, v) -> NOT k IN ({names}))"
+    added = ", ".join(
+        "'" + n.replace("'", "\\'") + "', " + f"variant_get(to_variant_object(named_struct('v', {v})), '$.v', 'variant')"
+        for n, v in values.items())
+    return f"to_json(map_concat({kept}, map({added})))"
+
+
+def set_object_keys(obj_text: str, values: dict[str, str]) -> Column:
+    return F.expr(set_object_keys_sql(_sql(obj_text), values))

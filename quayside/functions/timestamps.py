@@ -170,9 +170,14 @@ def parse_event_time(col: str, digits_as_epoch: bool = False) -> Column:
     return F.expr(event_time_sql(_name(col), digits_as_epoch))
 
 
-def python_isoformat(ts: Column) -> Column:
-    """ISO text like Python's ``datetime.isoformat()`` for naive values:
-    the fraction is written only when it is not zero."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
+def python_isoformat_sql(ts: str) -> str:
+    """SQL: ISO text like Python's ``datetime.isoformat()`` for naive values
+    (the fraction is written only when it is not zero)."""
+    whole = f"date_format({ts}, {sql_literal("yyyy-MM-dd'T'HH:mm:ss")})"
+    micros = f"date_format({ts}, 'SSSSSS')"
+    return f"CASE WHEN {micros} = '000000' THEN {whole} ELSE concat({whole}, '.', {micros}) END"
+
+
+def python_isoformat(ts: str) -> Column:
+    """Column (by name or SQL expression) → ISO text like ``isoformat()``."""
+    return F.expr(python_isoformat_sql(_name(ts)))

@@ -7,37 +7,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType, TimestampType
 
 from quayside.functions.timestamps import python_isoformat
-from quayside.schema import JSON_TYPES, declared_default, logical_type
+from quayside.schema import JSON_TYPES, declared_default_sql, logical_type
 
 
-def _field_value(df: DataFrame, field) -> Column:
+def _field_sql(df: DataFrame, field) -> str:
     name, dtype = field.name, field.dataType
+    t = dtype.simpleString()
     if name in df.columns:
-        src = F.col(name)
         src_type = df.schema[name].dataType
         if logical_type(field) in JSON_TYPES and not isinstance(src_type, StringType):
-            return F.to_json(src)
+            return f"to_json(`{name}`)"
         if isinstance(dtype, TimestampType) and isinstance(src_type, StringType):
-            return F.to_timestamp(src)
-        return src.cast(dtype)
+            return f"to_timestamp(`{name}`)"
+        return f"CAST(`{name}` AS {t})"
     if name == "processed_at" and "batch_ts" in df.columns:
-        return F.col("batch_ts").cast(dtype)
-    default = declared_default(field)
-    if default is not None:
-        return default.cast(dtype)
-    return F.lit(None).cast(dtype)
+        return f"CAST(batch_ts AS {t})"
+    default = declared_default_sql(field)
+    return f"CAST({default if default is not None else 'NULL'} AS {t})"
 
 
 def conform(df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One ``select`` generated from the declared schema, in its order.
+    """One projection generated from the declared schema, in its order.
 
     A declared field is taken from the same-named column (cast to the declared
     type; JSON fields must be text, non-text is written with ``to_json``), else
     ``processed_at`` is the batch time, else the declared default, else a
     typed NULL.  ``keep`` appends extra columns (e.g. source positions).
     """
-    cols = [_field_value(df, f).alias(f.name) for f in schema.fields]
-    return df.select(*cols, *[F.col(k) for k in keep if k not in schema.fieldNames()])
+    cols = [f"{_field_sql(df, f)} AS `{f.name}`" for f in schema.fields]
+    return df.selectExpr(*cols, *[f"`{k}`" for k in keep if k not in schema.fieldNames()])
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -51,7 +49,7 @@ def export_json_column() -> Column:
     payload = F.coalesce(F.col("payload"), F.lit("{}"))
     metadata = F.coalesce(F.col("metadata"), F.lit("{}"))
     return F.to_json(F.struct(
-        F.col("event_id"), F.col("event_type"), python_isoformat(F.col("timestamp")).alias("timestamp"),
+        F.col("event_id"), F.col("event_type"), python_isoformat("timestamp").alias("timestamp"),
         F.parse_json(payload).alias("payload"), F.col("source"), F.parse_json(metadata).alias("metadata")))
 
 

@@ -43,15 +43,14 @@ def _check_format(fmt: str, schemas) -> str:
 
 
 def decode_json(envelopes: DataFrame, keep_key: bool = False) -> DataFrame:
-    value_txt = F.col("value").cast("string")
-    cols = [F.from_json(value_txt, JSON_READ_SCHEMA).alias("data"), *_positions(envelopes),
-            value_txt.alias("raw_value")]
+    schema = ", ".join(f"`{f}` STRING" for f in EVENT_FIELDS)
+    cols = [f"from_json(CAST(value AS STRING), '{schema}') AS data",
+            "`timestamp` AS kafka_timestamp", "`partition`", "`offset`", "CAST(value AS STRING) AS raw_value"]
     if keep_key:
-        cols.append(F.col("key").cast("string").alias("key"))
-    out = envelopes.select(*cols)
-    fields = [F.col(f"data.{f}").alias(f) for f in EVENT_FIELDS]
-    rest = [c for c in out.columns if c != "data"]
-    return out.select(*fields, *rest, F.lit(None).cast("string").alias("decode_error"))
+        cols.append("CAST(key AS STRING) AS key")
+    rest = ["kafka_timestamp", "`partition`", "`offset`", "raw_value"] + (["key"] if keep_key else [])
+    return envelopes.selectExpr(*cols).selectExpr(
+        *[f"data.`{f}` AS `{f}`" for f in EVENT_FIELDS], *rest, "CAST(NULL AS STRING) AS decode_error")
 
 
 def _as_text(c: Column, dtype) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import json as J
-from quayside.functions.timestamps import python_isoformat
+from quayside.functions.timestamps import python_isoformat_sql, sql_literal
 
 PROCESSING_VERSION = "1.0"  # fixed value: the enrichment's processing_version
 
@@ -21,13 +21,11 @@ def enrich_events(classified: DataFrame, version: str = PROCESSING_VERSION) -> D
     holding only the two keys; existing keys and nested values are kept.
     Rejected rows are left as they are.
     """
-    base = F.when(F.col("metadata_truthy"), F.col("metadata"))
-    merged = J.set_object_keys(base, {
-        "processed_at": python_isoformat(F.col("batch_ts")),
-        "processing_version": F.lit(version),
+    merged = J.set_object_keys_sql("CASE WHEN metadata_truthy THEN metadata END", {
+        "processed_at": python_isoformat_sql("batch_ts"),
+        "processing_version": sql_literal(version),
     })
-    return classified.withColumn(
-        "metadata", F.when(F.col("reject_reason").isNull(), merged).otherwise(F.col("metadata")))
+    return classified.withColumn("metadata", F.expr(f"CASE WHEN reject_reason IS NULL THEN {merged} ELSE metadata END"))
 
 
 def apply_transform(df: DataFrame, transform: Callable[[DataFrame], DataFrame] | None) -> DataFrame:

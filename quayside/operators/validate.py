@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import json as J
-from quayside.functions.timestamps import event_time_columns
+from quayside.functions.timestamps import event_time_columns, sql_literal
 
 # Reject reasons, in the order the rules are applied (first match wins).
 # fixed values: reject reason codes in rule order
@@ -32,19 +32,23 @@ REJECT_REASONS = (
 )
 
 
-def batch_time(as_of=None) -> Column:
-    """The batch timestamp: a fixed instant, or the query's current time.
+def batch_time_sql(as_of=None) -> str:
+    """SQL: the batch timestamp, a fixed instant or the query's current time.
 
     ``current_timestamp()`` is evaluated once per query / micro-batch, so all
     rows (and every sink of one ``foreachBatch``) see the same value.
     """
     if as_of is None:
-        return F.current_timestamp()
+        return "current_timestamp()"
     if isinstance(as_of, _dt.datetime):
         if as_of.tzinfo is not None:
             as_of = as_of.astimezone(_dt.timezone.utc).replace(tzinfo=None)
         as_of = as_of.isoformat()
-    return F.lit(str(as_of)).cast("timestamp")
+    return f"CAST({sql_literal(str(as_of))} AS TIMESTAMP)"
+
+
+def batch_time(as_of=None) -> Column:
+    return F.expr(batch_time_sql(as_of))
 
 
 def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False) -> DataFrame:
@@ -63,13 +67,13 @@ def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False)
     """
     ts_type = events.schema["timestamp"].dataType
     time_helpers, event_time = event_time_columns("timestamp", ts_type, digits_as_epoch)
-    parsed = events.select(
+    parsed = events.selectExpr(
         "*",
-        F.expr(f"CASE WHEN {J.present_sql('payload')} THEN {J.try_parse_sql('payload')} END").alias("_payload_v"),
-        F.expr(f"CASE WHEN {J.present_sql('metadata')} THEN {J.try_parse_sql('metadata')} END").alias("_metadata_v"),
-        *[F.expr(sql).alias(name) for name, sql in time_helpers.items()],
-        batch_time(as_of).alias("batch_ts"),
-    ).withColumn("_event_time", F.expr(event_time))
+        f"CASE WHEN {J.present_sql('payload')} THEN {J.try_parse_sql('payload')} END AS _payload_v",
+        f"CASE WHEN {J.present_sql('metadata')} THEN {J.try_parse_sql('metadata')} END AS _metadata_v",
+        *[f"{sql} AS {name}" for name, sql in time_helpers.items()],
+        f"{batch_time_sql(as_of)} AS batch_ts",
+    ).selectExpr("*", f"{event_time} AS _event_time")
     # the broker time is the same on every replay of a record, the batch time is not
     stable = "kafka_timestamp, " if "kafka_timestamp" in events.columns else ""
     pp, mp = J.present_sql("payload"), J.present_sql("metadata")
@@ -86,10 +90,10 @@ def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False)
     }
     kept = [c for c in events.columns if c != "timestamp"] + ["batch_ts"]
     inputs = [*kept, "timestamp", "_payload_v", "_metadata_v", "_event_time"]
-    return with_settled_columns(parsed.select(*inputs), {k: F.expr(v) for k, v in facts.items()}, keep=kept)
+    return with_settled_columns(parsed.selectExpr(*[f"`{c}`" for c in inputs]), facts, keep=kept)
 
 
-def with_settled_columns(df: DataFrame, exprs: dict[str, Column], keep: list[str]) -> DataFrame:
+def with_settled_columns(df: DataFrame, exprs: dict[str, str], keep: list[str]) -> DataFrame:
     """``keep`` columns plus ``exprs``, computed once per row.
 
     Catalyst pushes a filter through projections by substituting each column
@@ -99,30 +103,36 @@ def with_settled_columns(df: DataFrame, exprs: dict[str, Column], keep: list[str
     ``inline`` (a Generate node) keeps them as real attributes: filters on
     them stay above it and the parse work runs exactly once per row.
     """
-    fenced = F.inline(F.array(F.struct(*[c.alias(n) for n, c in exprs.items()])))
-    return df.select(*keep, fenced)
+    fields = ", ".join(f"'{n}', {sql}" for n, sql in exprs.items())
+    return df.selectExpr(*[f"`{k}`" for k in keep], f"inline(array(named_struct({fields})))")
+
+
+def reject_reason_sql() -> str:
+    """SQL: first failing rule, in REJECT_REASONS order; NULL when all pass."""
+    value_is_object = f"coalesce({J.object_sql('try_parse_json(raw_value)')}, false)"
+    rules = [
+        ("decode_error IS NOT NULL OR (event_id IS NULL AND NOT " + value_is_object + ")", "malformed_value"),
+        ("event_id IS NULL", "missing_event_id"),
+        ("NOT payload_valid", "payload_invalid_json"),
+        ("NOT metadata_valid", "metadata_invalid_json"),
+        ("coalesce(event_id, '') = ''", "empty_event_id"),
+        ("coalesce(event_type, '') = ''", "empty_event_type"),
+        ("coalesce(source, '') = ''", "empty_source"),
+        ("`timestamp` > batch_ts", "future_timestamp"),
+        ("NOT payload_truthy", "empty_payload"),
+        ("metadata_truthy AND NOT metadata_is_object", "metadata_not_object"),
+    ]
+    assert [r for _, r in rules] == list(REJECT_REASONS)
+    return "CASE " + " ".join(f"WHEN {cond} THEN '{reason}'" for cond, reason in rules) + " END"
 
 
 def reject_reason() -> Column:
-    """First failing rule, in REJECT_REASONS order; NULL when all pass."""
-    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    value_is_object = F.expr(f"coalesce({J.object_sql('try_parse_json(raw_value)')}, false)")
-    decode_failed = F.col("decode_error").isNotNull() | (F.col("event_id").isNull() & ~value_is_object)
-    return (F.when(decode_failed, F.lit("malformed_value"))
-            .when(F.col("event_id").isNull(), F.lit("missing_event_id"))
-            .when(~F.col("payload_valid"), F.lit("payload_invalid_json"))
-            .when(~F.col("metadata_valid"), F.lit("metadata_invalid_json"))
-            .when(blank("event_id"), F.lit("empty_event_id"))
-            .when(blank("event_type"), F.lit("empty_event_type"))
-            .when(blank("source"), F.lit("empty_source"))
-            .when(F.col("timestamp") > F.col("batch_ts"), F.lit("future_timestamp"))
-            .when(~F.col("payload_truthy"), F.lit("empty_payload"))
-            .when(F.col("metadata_truthy") & ~F.col("metadata_is_object"), F.lit("metadata_not_object")))
+    return F.expr(reject_reason_sql())
 
 
 def classify_events(coerced: DataFrame) -> DataFrame:
     """V1–V8 as one column: ``reject_reason`` (NULL = accepted)."""
-    return coerced.withColumn("reject_reason", reject_reason())
+    return coerced.selectExpr("*", f"{reject_reason_sql()} AS reject_reason")
 
 
 def accepted(classified: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def _processed(spark, sf_dir, as_of=AS_OF, transform=None) -> DataFrame:
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"CAST(`{c}` AS TIMESTAMP_NTZ) AS `{c}`" if c in cols else f"`{c}`" for c in df.columns])
 
 
 def _out(df: DataFrame) -> DataFrame:

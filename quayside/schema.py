@@ -83,6 +83,16 @@ def _logical_from_spark(dtype: DataType) -> str:
     raise ValueError(f"no logical type for Spark type {dtype.simpleString()}")
 
 
+def declared_default_sql(f: StructField) -> str | None:
+    """Declared default as SQL; ``CURRENT_TIMESTAMP`` is the batch time."""
+    d = (f.metadata or {}).get("default")
+    if d is None:
+        return None
+    if str(d).upper() == "CURRENT_TIMESTAMP":
+        return "current_timestamp()"
+    return "'" + str(d).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def declared_default(f: StructField) -> Column | None:
     """Declared default as an expression; ``CURRENT_TIMESTAMP`` is the batch time."""
     d = (f.metadata or {}).get("default")

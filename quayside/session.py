@@ -84,6 +84,6 @@ def spread_for_cpu(df):
     if df.isStreaming:
         return df
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    if df._jdf.rdd().getNumPartitions() >= slots:
         return df
     return df.repartition(slots)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.timestamps import python_isoformat
+from quayside.functions.timestamps import python_isoformat_sql
 
 # fixed values: the sample producer's constant fields
 SAMPLE_PAGE = "/home"
@@ -29,7 +29,7 @@ def producer_events(events: DataFrame) -> DataFrame:
                        F.lit(SAMPLE_VALUE).alias("value"))
     metadata = F.struct(*[F.lit(v).alias(k) for k, v in SAMPLE_METADATA.items()])
     record = F.struct(event_id.alias("event_id"), F.col("event_type").alias("event_type"),
-                      python_isoformat(ts).alias("timestamp"), payload.alias("payload"),
+                      F.expr(python_isoformat_sql("CAST(ts AS TIMESTAMP)")).alias("timestamp"), payload.alias("payload"),
                       F.lit(SAMPLE_SOURCE).alias("source"), metadata.alias("metadata"))
     return events.select(F.col("event_id").alias("_n"), F.col("user_id").alias("_u"), ts.alias("_ts"),
                          F.to_json(record).alias("value_text"))
