@@ -55,11 +55,13 @@ def _delivered(spark: SparkSession, ledger_path: str | None, batch_id: int) -> s
 
 def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str | None = None,
             on_error: str = "isolate", dedup: bool = False,
-            drop_cols: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
+            drop_cols: tuple[str, ...] = ("partition", "offset"), persist: bool = True) -> DataFrame:
     """Write one batch to every sink; return this call's ledger rows.
 
     ``drop_cols`` (source positions used to order the dedup) are removed
-    before the sinks see the rows."""
+    before the sinks see the rows.  ``persist=False`` when the caller has
+    already persisted the rows this batch is a cheap projection of (the
+    de-duplicated batch is always persisted: it is a shuffle result)."""
     if not sinks:
         raise ValueError("deliver needs at least one sink")
     if on_error not in ON_ERROR:
@@ -72,8 +74,8 @@ def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str |
     duplicates = 0
     if dedup:
         batch = keep_first(df, copies_col="_copies")
-    cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    batch = cached
+    cached = batch.persist(StorageLevel.MEMORY_AND_DISK) if (persist or dedup) else None
+    batch = cached if cached is not None else batch
     try:
         # one pass over the persisted batch for both the empty check and the metrics
         stats = batch.agg(F.count(F.lit(1)).alias("n"),
@@ -111,7 +113,8 @@ def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str |
                         _append_ledger(spark, ledger_path, records)
                         raise
     finally:
-        cached.unpersist()
+        if cached is not None:
+            cached.unpersist()
     _append_ledger(spark, ledger_path, records)
     return spark.createDataFrame(records, LEDGER_SCHEMA)
 

@@ -37,9 +37,11 @@ def handle_batch(processed: DataFrame, batch_id: int, sinks: list[Sink], ledger_
             (outcome_counts(b).withColumn("batch_id", F.lit(batch_id).cast("long"))
              .coalesce(1).write.mode("append").parquet(metrics_path))
         accepted = accepted_conformed(b, schema, keep=("partition", "offset", "event_date"))
-        deliver(accepted, batch_id, sinks, ledger_path, on_error=on_error, dedup=dedup)
+        # b is persisted: the accepted / quarantine projections need no second cache
+        deliver(accepted, batch_id, sinks, ledger_path, on_error=on_error, dedup=dedup, persist=False)
         if quarantine is not None:
-            deliver(quarantine_rows(b), batch_id, [quarantine], ledger_path, on_error=on_error, drop_cols=())
+            deliver(quarantine_rows(b), batch_id, [quarantine], ledger_path, on_error=on_error, drop_cols=(),
+                    persist=False)
     finally:
         b.unpersist()
 
