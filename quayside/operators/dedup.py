@@ -30,6 +30,7 @@ def keep_first(df: DataFrame, key: str = "event_id", order: tuple[str, ...] = DE
     how many rows shared the key.
     Column order of the input is kept.
     """
+    order = tuple(c for c in order if c in df.columns)   # positions are gone after landing
     rest = [c for c in df.columns if c != key and c not in order]
     packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest]).alias("_first")
     aggs = [F.min(packed).alias("_first")]

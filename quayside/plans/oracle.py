@@ -224,6 +224,7 @@ def oracle_queries() -> dict[str, str]:
                             CASE WHEN s.status = 'ok' THEN count(*) - count(DISTINCT event_id) ELSE 0 END
                               AS duplicates FROM acc)""",
         "replay_safe": b + f"SELECT {CONFORMED} FROM dd",
+        "redelivery": b + f"SELECT {CONFORMED} FROM dd",
         "stream_parity": b + f"SELECT {CONFORMED} FROM acc",
         "stream_outcome_metrics": b + """SELECT coalesce(reject_reason, 'accepted') AS outcome,
             count(*) AS events FROM r GROUP BY 1""",

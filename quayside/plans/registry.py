@@ -23,8 +23,8 @@ from quayside.operators.validate import coerce_events, outcome_counts, quarantin
 from quayside.plans.ingest import accepted_conformed, process_events
 from quayside.schema import add_field, ensure_table, event_schema, evolve_table, field
 from quayside.session import ensure_checkpoint_dir, pin_session, scratch_path, spread_for_cpu
-from quayside.sinks.deliver import deliver
-from quayside.sinks.writers import Sink, clickhouse_layout, files_sink, table_sink, with_event_date
+from quayside.sinks.deliver import deliver, redeliver
+from quayside.sinks.writers import Sink, clickhouse_layout, files_sink, landing_sink, table_sink
 from quayside.sources.envelope import envelope_from_events, read_envelope_files, write_envelope_files
 from quayside.sources.producer import producer_envelopes
 from quayside.streaming.stream import start_stream
@@ -218,6 +218,16 @@ def q_replay_safe(spark, sf_dir):
     return _out(spark.read.parquet(path).drop("event_date"))
 
 
+def q_redelivery(spark, sf_dir):
+    ensure_checkpoint_dir(spark)
+    a = _accepted(spark, sf_dir, keep=("partition", "offset", "event_date"))
+    ledger, landing, target = (scratch_path(spark, "redeliver-ledger"), scratch_path(spark, "landing"),
+                               scratch_path(spark, "redeliver-target"))
+    deliver(a, 11, [landing_sink("landing", landing), _broken_sink("target")], ledger, dedup=True)
+    redeliver(spark, ledger, landing, [files_sink("target", target)])     # the sink is back
+    return _out(spark.read.parquet(target).drop("event_date"))
+
+
 def q_stream_parity(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     src, out = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-out")
@@ -313,6 +323,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_against_sink": q_dedup_against_sink,
     "fanout_counts": q_fanout_counts,
     "replay_safe": q_replay_safe,
+    "redelivery": q_redelivery,
     "stream_parity": q_stream_parity,
     "stream_outcome_metrics": q_stream_outcome_metrics,
     "schema_merge_read": q_schema_merge_read,

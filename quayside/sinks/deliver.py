@@ -132,3 +132,22 @@ def failed_deliveries(spark: SparkSession, ledger_path: str) -> DataFrame:
     ok = ledger.filter(F.col("status") == "ok").select("sink", "batch_id")
     return (ledger.filter(F.col("status") == "failed").select("sink", "batch_id").distinct()
             .join(ok, ["sink", "batch_id"], "left_anti"))
+
+
+def redeliver(spark: SparkSession, ledger_path: str, landing_path: str, sinks: list[Sink],
+              fmt: str = "parquet") -> DataFrame | None:
+    """T4: deliver again every (sink, batch_id) whose latest outcome is
+    ``failed``, reading the batch back from its landing copy
+    (``landing_sink``).  Replay-safe (ledger + sink read-back dedup), so it
+    can run any number of times.  The failure list is ledger metadata
+    (sinks × failed batches); each re-delivery is a distributed job."""
+    by_name = {s.name: s for s in sinks}
+    todo = [(r["sink"], r["batch_id"]) for r in failed_deliveries(spark, ledger_path).collect()
+            if r["sink"] in by_name]
+    out = None
+    for name, batch_id in sorted(todo, key=lambda t: (t[1], t[0])):
+        batch = (spark.read.format(fmt).option("basePath", landing_path)
+                 .load(f"{landing_path}/batch_id={batch_id}").drop("batch_id"))
+        rows = deliver(batch, batch_id, [by_name[name]], ledger_path, dedup=True)
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -63,6 +63,16 @@ def files_sink(name: str, path: str, fmt: str = "parquet", partition_by: tuple[s
     return Sink(name, write, existing, wants_event_date=True)
 
 
+def landing_sink(name: str, path: str, fmt: str = "parquet") -> Sink:
+    """The batch as delivered, partitioned by ``batch_id``: the source for
+    re-delivering a batch to a sink that failed (``deliver.redeliver``).
+    Listing one batch reads one folder."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").format(fmt)
+         .partitionBy("batch_id").save(path))
+    return Sink(name, write, wants_event_date=True)
+
+
 def table_sink(name: str, table: str, using: str = "parquet") -> Sink:
     """K3 / K7 for catalog tables.  ``using="iceberg"`` appends with
     DataFrameWriterV2 (hidden ``days(timestamp)`` partitioning comes from

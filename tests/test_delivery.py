@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from helpers import AS_OF, envelopes, record
 from quayside.plans.ingest import accepted_conformed, process_events
-from quayside.sinks.deliver import deliver, failed_deliveries, read_ledger
-from quayside.sinks.writers import Sink, files_sink, sinks_from_settings
+from quayside.sinks.deliver import deliver, failed_deliveries, read_ledger, redeliver
+from quayside.sinks.writers import Sink, files_sink, landing_sink, sinks_from_settings
 
 
 def _batch(spark, n=20, dup=3):
@@ -69,3 +69,16 @@ def test_sink_selection():
 def test_no_sinks_is_an_error(spark):
     with pytest.raises(ValueError):
         deliver(_batch(spark), 0, [])
+
+
+def test_redeliver_failed_sink_from_landing(spark, tmp_dir):
+    ledger, landing = f"{tmp_dir}/ledger", f"{tmp_dir}/landing"
+    batch = _batch(spark)
+    deliver(batch, 3, [landing_sink("landing", landing), _broken("a")], ledger, dedup=True)
+    assert [tuple(r) for r in failed_deliveries(spark, ledger).collect()] == [("a", 3)]
+    fixed = files_sink("a", f"{tmp_dir}/a")
+    rows = redeliver(spark, ledger, landing, [fixed]).collect()
+    assert [(r.sink, r.batch_id, r.status, r.rows) for r in rows] == [("a", 3, "ok", 20)]
+    assert failed_deliveries(spark, ledger).count() == 0
+    assert redeliver(spark, ledger, landing, [fixed]) is None          # nothing left to do
+    assert spark.read.parquet(f"{tmp_dir}/a").count() == 20
