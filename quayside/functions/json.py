@@ -69,19 +69,22 @@ def is_object(v: str) -> Column:
 
 
 def set_object_keys_sql(obj_text: str, values: dict[str, str]) -> str:
-    """SQL: set (or overwrite) top-level keys of a JSON object text.
+    """SQL: set top-level keys of a JSON object text, like Python's
+    ``dict.update``: a key that exists keeps its position and gets the new
+    value; new keys are appended in the given order.  Nested values, numbers
+    and JSON nulls of the other keys are kept.
 
-    ``obj_text`` must be a strict JSON object or NULL (NULL → a new object).
-    Existing keys keep their order and their nested values; the given keys
-    (SQL string expressions) are removed and appended at the end.
+    ``obj_text`` must be a strict JSON object or NULL (NULL → a new object);
+    ``values`` maps key → SQL string expression.
     """
-    names = ", ".join("'" + n.replace("'", "\\'") + "'" for n in values)
+    quote = lambda n: "'" + n.replace("'", "\\'") + "'"
+    as_variant = lambda v: f"variant_get(to_variant_object(named_struct('v', {v})), '$.v', 'variant')"
     existing = f"coalesce(from_json({obj_text}, 'map<string,variant>'), CAST(map() AS map<string,variant>))"
-    kept = f"map_filter({existing}, (k, v) -> NOT k IN ({names}))"
-    added = ", ".join(
-        "'" + n.replace("'", "\\'") + "', " + f"variant_get(to_variant_object(named_struct('v', {v})), '$.v', 'variant')"
-        for n, v in values.items())
-    return f"to_json(map_concat({kept}, map({added})))"
+    in_place = " ".join(f"WHEN {quote(n)} THEN {as_variant(v)}" for n, v in values.items())
+    updated = f"transform_values({existing}, (k, v) -> CASE k {in_place} ELSE v END)"
+    new = "map(" + ", ".join(f"{quote(n)}, {as_variant(v)}" for n, v in values.items()) + ")"
+    appended = f"map_filter({new}, (k, v) -> NOT array_contains(map_keys({existing}), k))"
+    return f"to_json(map_concat({updated}, {appended}))"
 
 
 def set_object_keys(obj_text: str, values: dict[str, str]) -> Column:

@@ -18,7 +18,8 @@ def enrich_events(classified: DataFrame, version: str = PROCESSING_VERSION) -> D
     ``processing_version`` in the metadata object of accepted rows.
 
     Falsy metadata (missing, ``{}``, ``[]``, ``0``, ``null`` …) becomes an object
-    holding only the two keys; existing keys and nested values are kept.
+    holding only the two keys; existing keys and nested values are kept, and
+    an existing ``processed_at`` is overwritten in place (``dict.update``).
     Rejected rows are left as they are.
     """
     merged = J.set_object_keys_sql("CASE WHEN metadata_truthy THEN metadata END", {

@@ -1,8 +1,8 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
 Written independently of the Spark operators: DuckDB's JSON functions
-decode the envelope, regex groups + ``make_timestamp`` coerce the time,
-``json_merge_patch`` enriches the metadata.  Only the input construction
+decode the envelope, regex groups + ``make_timestamp`` coerce the time, a
+``json_keys`` list transform rebuilds the enriched metadata.  Only the input construction
 (the G1 record table and the accepted time grammar) is shared, so both
 sides start from byte-identical envelopes.
 """
@@ -153,13 +153,18 @@ r AS (
     WHEN metadata_truthy AND NOT metadata_is_object THEN 'metadata_not_object'
   END AS reject_reason
   FROM c3),
+em AS (SELECT *, CASE WHEN metadata_truthy THEN metadata ELSE '{{}}' END AS m,
+             '"' || {_iso_text('batch_ts')} || '"' AS processed_at_json FROM r),
 e AS (
-  SELECT *, CASE WHEN reject_reason IS NULL THEN CAST(json_merge_patch(
-      json_merge_patch(CASE WHEN metadata_truthy THEN metadata ELSE '{{}}' END,
-                       '{{"processed_at":null,"processing_version":null}}'),
-      '{{"processed_at":"' || {_iso_text('batch_ts')} || '","processing_version":"1.0"}}') AS VARCHAR)
+  -- dict.update: an existing key keeps its position, new keys are appended in order
+  SELECT *, CASE WHEN reject_reason IS NULL THEN '{{' || concat_ws(',',
+      nullif(array_to_string(list_transform(json_keys(m), lambda k: CAST(to_json(k) AS VARCHAR) || ':' ||
+        CASE k WHEN 'processed_at' THEN processed_at_json WHEN 'processing_version' THEN '"1.0"'
+               ELSE CAST(json_extract(m, '$."' || k || '"') AS VARCHAR) END), ','), ''),
+      CASE WHEN NOT list_contains(json_keys(m), 'processed_at') THEN '"processed_at":' || processed_at_json END,
+      CASE WHEN NOT list_contains(json_keys(m), 'processing_version') THEN '"processing_version":"1.0"' END) || '}}'
     ELSE metadata END AS metadata_out
-  FROM r),
+  FROM em),
 acc AS (
   SELECT event_id, event_type, ts_c AS "timestamp", payload, source, metadata_out AS metadata,
          batch_ts AS processed_at, "partition", "offset",

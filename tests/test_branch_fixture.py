@@ -70,7 +70,9 @@ def test_enriched_metadata(processed):
     for i in range(5):
         assert json.loads(processed[f"metadata_falsy_{i}"]["metadata"]) == {
             "processed_at": "2024-01-25T00:00:00", "processing_version": "1.0"}
-    assert json.loads(processed["metadata_overwrite"]["metadata"])["processed_at"] == "2024-01-25T00:00:00"
+    over = json.loads(processed["metadata_overwrite"]["metadata"])
+    assert over["processed_at"] == "2024-01-25T00:00:00"
+    assert list(over) == ["processed_at", "v", "processing_version"]      # dict.update keeps the position
     nested = json.loads(processed["metadata_nested"]["metadata"])
     assert nested["n"] == {"x": [1, None]} and nested["z"] is None
 

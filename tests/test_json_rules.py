@@ -50,3 +50,18 @@ def test_rejected_python_extensions(spark):
     df = spark.createDataFrame([("NaN",), ('{"a":1,"a":2}',)], "s string")
     assert all(r[0] is None for r in df.select(try_parse("s")).collect())
     assert math.isnan(json.loads("NaN"))
+
+
+MERGE_CASES = ['{"a":1}', '{"processed_at":"old","b":[1,null]}', '{"x":{"y":{"z":null}},"processing_version":"0.9","w":true}',
+               '{"processing_version":"0.9","processed_at":"old"}', '{}', '{"s":"é\\"q"}']
+
+
+def test_set_object_keys_is_dict_update(spark):
+    from quayside.functions.json import set_object_keys
+    df = spark.createDataFrame([(m,) for m in MERGE_CASES], "m string")
+    out = df.select("m", set_object_keys("m", {"processed_at": "'NEW'", "processing_version": "'1.0'"}).alias("o"))
+    for r in out.collect():
+        expected = json.loads(r["m"])
+        expected.update({"processed_at": "NEW", "processing_version": "1.0"})
+        got = json.loads(r["o"])
+        assert got == expected and list(got) == list(expected), (r["m"], r["o"])
