@@ -68,18 +68,19 @@ def is_object(v: str) -> Column:
     return F.expr(object_sql(v))
 
 
-def set_object_keys_sql(obj_text: str, values: dict[str, str]) -> str:
-    """SQL: set top-level keys of a JSON object text, like Python's
-    ``dict.update``: a key that exists keeps its position and gets the new
-    value; new keys are appended in the given order.  Nested values, numbers
-    and JSON nulls of the other keys are kept.
+def object_map_sql(obj_text: str) -> str:
+    """SQL: a JSON object text as ``map<string,variant>`` (NULL → empty map)."""
+    return f"coalesce(from_json({obj_text}, 'map<string,variant>'), CAST(map() AS map<string,variant>))"
 
-    ``obj_text`` must be a strict JSON object or NULL (NULL → a new object);
-    ``values`` maps key → SQL string expression.
-    """
+
+def set_map_keys_sql(existing: str, values: dict[str, str]) -> str:
+    """SQL: JSON text of ``existing`` (a ``map<string,variant>``) with keys set
+    like Python's ``dict.update``: a key that exists keeps its position and
+    gets the new value; new keys are appended in the given order.  Nested
+    values, numbers and JSON nulls of the other keys are kept.  Pass a column
+    so the map is built once: it is referenced twice here."""
     quote = lambda n: "'" + n.replace("'", "\\'") + "'"
     as_variant = lambda v: f"variant_get(to_variant_object(named_struct('v', {v})), '$.v', 'variant')"
-    existing = f"coalesce(from_json({obj_text}, 'map<string,variant>'), CAST(map() AS map<string,variant>))"
     in_place = " ".join(f"WHEN {quote(n)} THEN {as_variant(v)}" for n, v in values.items())
     updated = f"transform_values({existing}, (k, v) -> CASE k {in_place} ELSE v END)"
     new = "map(" + ", ".join(f"{quote(n)}, {as_variant(v)}" for n, v in values.items()) + ")"
@@ -87,5 +88,11 @@ def set_object_keys_sql(obj_text: str, values: dict[str, str]) -> str:
     return f"to_json(map_concat({updated}, {appended}))"
 
 
+def set_object_keys_sql(obj_text: str, values: dict[str, str]) -> str:
+    """SQL: set top-level keys of a JSON object text (``dict.update``); see
+    ``set_map_keys_sql``.  ``obj_text`` must be a strict JSON object or NULL."""
+    return set_map_keys_sql(object_map_sql(obj_text), values)
+
+
 def set_object_keys(obj_text: str, values: dict[str, str]) -> Column:
     return F.expr(set_object_keys_sql(_sql(obj_text), values))

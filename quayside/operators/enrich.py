@@ -22,11 +22,16 @@ def enrich_events(classified: DataFrame, version: str = PROCESSING_VERSION) -> D
     an existing ``processed_at`` is overwritten in place (``dict.update``).
     Rejected rows are left as they are.
     """
-    merged = J.set_object_keys_sql("CASE WHEN metadata_truthy THEN metadata END", {
+    # the metadata map is built once per accepted row, then read twice by the merge
+    parsed = classified.selectExpr(
+        "*", f"CASE WHEN reject_reason IS NULL THEN "
+             f"{J.object_map_sql('CASE WHEN metadata_truthy THEN metadata END')} END AS _metadata_map")
+    merged = J.set_map_keys_sql("_metadata_map", {
         "processed_at": python_isoformat_sql("batch_ts"),
         "processing_version": sql_literal(version),
     })
-    return classified.withColumn("metadata", F.expr(f"CASE WHEN reject_reason IS NULL THEN {merged} ELSE metadata END"))
+    return parsed.withColumn(
+        "metadata", F.expr(f"CASE WHEN reject_reason IS NULL THEN {merged} ELSE metadata END")).drop("_metadata_map")
 
 
 def apply_transform(df: DataFrame, transform: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
