@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType, StructField, StructType
+from pyspark.sql.types import MapType, StructType
 
 from quayside.functions import wire
 
@@ -19,10 +19,9 @@ EVENT_FIELDS = ("event_id", "event_type", "timestamp", "payload", "source", "met
 
 # The JSON read schema: every field as text (numbers/booleans keep their
 # text, nested objects arrive as compact JSON text).
-JSON_READ_SCHEMA = StructType([StructField(f, StringType()) for f in EVENT_FIELDS])
+JSON_READ_SCHEMA_DDL = ", ".join(f"`{f}` STRING" for f in EVENT_FIELDS)
 
 VALUE_FORMATS = ("json", "avro", "protobuf")
-POSITION_COLUMNS = ("kafka_timestamp", "partition", "offset")
 
 
 class MissingConnectorError(RuntimeError):
@@ -43,8 +42,7 @@ def _check_format(fmt: str, schemas) -> str:
 
 
 def decode_json(envelopes: DataFrame, keep_key: bool = False) -> DataFrame:
-    schema = ", ".join(f"`{f}` STRING" for f in EVENT_FIELDS)
-    cols = [f"from_json(CAST(value AS STRING), '{schema}') AS data",
+    cols = [f"from_json(CAST(value AS STRING), '{JSON_READ_SCHEMA_DDL}') AS data",
             "`timestamp` AS kafka_timestamp", "`partition`", "`offset`", "CAST(value AS STRING) AS raw_value"]
     if keep_key:
         cols.append("CAST(key AS STRING) AS key")

@@ -20,9 +20,6 @@ from quayside.operators.enrich import PROCESSING_VERSION, apply_transform, enric
 from quayside.operators.validate import classify_events, coerce_events
 from quayside.schema import VersionedSchema, event_schema
 
-POSITION = ("kafka_timestamp", "partition", "offset")
-
-
 def process_events(envelopes: DataFrame, fmt: str = "json", schemas: dict | None = None, as_of=None,
                    transform: Callable[[DataFrame], DataFrame] | None = None,
                    version: str = PROCESSING_VERSION, digits_as_epoch: bool = False) -> DataFrame:

@@ -66,11 +66,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/quayside/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for tests that look at files directly."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def cpu_count() -> int:
     return os.cpu_count() or 1
 

@@ -9,7 +9,6 @@ Spark's own ``kafka`` data source; it needs the
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quayside.operators.decode import MissingConnectorError
 from quayside.session import spread_for_cpu
@@ -86,6 +85,3 @@ def offsets_json(topic: str, offsets: dict[int, int]) -> str:
     import json
     return json.dumps({topic: {str(p): int(o) for p, o in offsets.items()}})
 
-
-def position_columns() -> list:
-    return [F.col("partition"), F.col("offset"), F.col("timestamp").alias("kafka_timestamp")]

@@ -77,11 +77,3 @@ def dedup_within_watermark(stream: DataFrame, delay: str = "1 hour", key: str =
     back; state is kept per key until the watermark passes."""
     return stream.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
 
-
-def stream_metrics(query: StreamingQuery) -> list[dict]:
-    """Recent micro-batch progress (rows, durations) from the query itself."""
-    return [p for p in (query.recentProgress or [])]
-
-
-def accepted_only(processed: DataFrame) -> DataFrame:
-    return processed.filter(F.col("reject_reason").isNull())

@@ -106,3 +106,15 @@ def test_numeric_time_column_is_epoch_seconds(spark):
                     "CAST(NULL AS STRING) AS metadata")
     r = coerce_events(df, as_of=AS_OF).first()
     assert r["timestamp"].isoformat() == "2024-01-01T00:00:00"
+
+
+def test_export_json(spark):
+    from quayside.operators.conform import export_json
+    from quayside.plans.ingest import accepted_conformed
+    env = envelopes(spark, [record(), record(metadata=None, payload=[1, 2])])
+    rows = export_json(accepted_conformed(process_events(env, as_of=AS_OF))).collect()
+    docs = sorted((json.loads(r["event_json"]) for r in rows), key=lambda d: str(d["payload"]))
+    assert docs[0]["payload"] == [1, 2] and docs[1]["payload"] == {"a": 1}
+    assert docs[0]["timestamp"] == "2024-01-01T00:00:00"
+    assert docs[0]["metadata"]["processing_version"] == "1.0"
+    assert set(docs[0]) == {"event_id", "event_type", "timestamp", "payload", "source", "metadata"}

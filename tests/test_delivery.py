@@ -1,7 +1,6 @@
 """Fan-out, isolation, ledger, empty batches, replay safety (K4–K9, T4)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import AS_OF, envelopes, record
 from quayside.plans.ingest import accepted_conformed, process_events

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import AS_OF, envelopes, record
+from helpers import envelopes, record
 from quayside.functions import wire
 from quayside.operators.decode import MissingConnectorError, decode_events
 from quayside.plans.ingest import accepted_conformed, process_events
