@@ -11,6 +11,8 @@ CASES = [
     # (name, raw value, expected reject reason or None)
     ("base", record(), None),
     ("not_json", "not json", "malformed_value"),
+    ("tombstone", None, "malformed_value"),
+    ("json_array_root", '[{"event_id":"x"}]', "malformed_value"),
     ("no_event_id", record(event_id=MISSING), "missing_event_id"),
     ("empty_event_id", record(event_id=""), "empty_event_id"),
     ("numeric_event_id", record(event_id=123), None),

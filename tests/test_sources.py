@@ -61,3 +61,9 @@ def test_producer_records_are_accepted(spark):
     assert out.count() == ev.count()
     r = out.first()
     assert r["source"] == "web-app" and r["event_id"].startswith("event_")
+
+
+def test_protobuf_message_index(spark):
+    df = spark.createDataFrame([(bytearray(b"\x00rest"),), (bytearray(b"\x02\x01rest"),)], "body binary")
+    got = [r[0] for r in df.select(wire.protobuf_single_message(F.col("body"))).collect()]
+    assert got == [True, False]
