@@ -55,20 +55,24 @@ def _delivered(spark: SparkSession, ledger_path: str | None, batch_id: int) -> s
 
 def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str | None = None,
             on_error: str = "isolate", dedup: bool = False,
-            drop_cols: tuple[str, ...] = ("partition", "offset"), persist: bool = True) -> DataFrame:
+            drop_cols: tuple[str, ...] = ("partition", "offset"), persist: bool = True,
+            delivered: set[str] | None = None, write_ledger: bool = True) -> DataFrame:
     """Write one batch to every sink; return this call's ledger rows.
 
     ``drop_cols`` (source positions used to order the dedup) are removed
     before the sinks see the rows.  ``persist=False`` when the caller has
     already persisted the rows this batch is a cheap projection of (the
-    de-duplicated batch is always persisted: it is a shuffle result)."""
+    de-duplicated batch is always persisted: it is a shuffle result).
+    ``delivered`` (sinks the ledger already has for this batch) and
+    ``write_ledger=False`` let a caller that delivers several outputs of one
+    batch read and append the ledger once."""
     if not sinks:
         raise ValueError("deliver needs at least one sink")
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
     spark = df.sparkSession
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    done = _delivered(spark, ledger_path, batch_id)
+    done = delivered if delivered is not None else _delivered(spark, ledger_path, batch_id)
     records: list[tuple] = []
     batch = df
     duplicates = 0
@@ -110,12 +114,13 @@ def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str |
                     records.append((sink.name, batch_id, "failed", 0, 0, f"{type(e).__name__}: {e}"[:2000],
                                     now, 1))
                     if on_error == "fail":
-                        _append_ledger(spark, ledger_path, records)
+                        _append_ledger(spark, ledger_path, records)   # always, before failing the batch
                         raise
     finally:
         if cached is not None:
             cached.unpersist()
-    _append_ledger(spark, ledger_path, records)
+    if write_ledger:
+        _append_ledger(spark, ledger_path, records)
     return spark.createDataFrame(records, LEDGER_SCHEMA)
 
 

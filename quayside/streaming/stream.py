@@ -18,7 +18,7 @@ from quayside.operators.validate import outcome_counts, quarantine as quarantine
 from quayside.plans.ingest import accepted_conformed
 from quayside.schema import VersionedSchema
 from quayside.session import scratch_path
-from quayside.sinks.deliver import deliver
+from quayside.sinks.deliver import _append_ledger, _delivered, deliver
 from quayside.sinks.writers import Sink
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
@@ -37,11 +37,15 @@ def handle_batch(processed: DataFrame, batch_id: int, sinks: list[Sink], ledger_
             (outcome_counts(b).withColumn("batch_id", F.lit(batch_id).cast("long"))
              .coalesce(1).write.mode("append").parquet(metrics_path))
         accepted = accepted_conformed(b, schema, keep=("partition", "offset", "event_date"))
-        # b is persisted: the accepted / quarantine projections need no second cache
-        deliver(accepted, batch_id, sinks, ledger_path, on_error=on_error, dedup=dedup, persist=False)
+        # b is persisted: the accepted / quarantine projections need no second cache;
+        # the ledger is read once and appended once for both outputs
+        done = _delivered(b.sparkSession, ledger_path, batch_id)
+        rows = [deliver(accepted, batch_id, sinks, ledger_path, on_error=on_error, dedup=dedup, persist=False,
+                        delivered=done, write_ledger=False)]
         if quarantine is not None:
-            deliver(quarantine_rows(b), batch_id, [quarantine], ledger_path, on_error=on_error, drop_cols=(),
-                    persist=False)
+            rows.append(deliver(quarantine_rows(b), batch_id, [quarantine], ledger_path, on_error=on_error,
+                                drop_cols=(), persist=False, delivered=done, write_ledger=False))
+        _append_ledger(b.sparkSession, ledger_path, [tuple(r) for df in rows for r in df.collect()])
     finally:
         b.unpersist()
 
