@@ -104,3 +104,14 @@ def test_read_old_files_under_new_schema(spark, tmp_dir):
     out = {r.event_id: r for r in read_conformed(spark, f"{tmp_dir}/t", v2.struct).collect()}
     assert out["a"].region is None and out["b"].region == "eu"
     assert list(out["a"].asDict())[:8] == v2.names
+
+
+def test_ensure_database_and_empty(spark):
+    from quayside.operators.conform import empty
+    from quayside.schema import ensure_database
+    name = f"db_{uuid.uuid4().hex[:8]}"
+    ensure_database(spark, name)
+    ensure_database(spark, name)     # idempotent
+    assert spark.catalog.databaseExists(name)
+    e = empty(spark, event_schema().struct)
+    assert e.count() == 0 and e.schema == event_schema().struct

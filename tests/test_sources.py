@@ -67,3 +67,10 @@ def test_protobuf_message_index(spark):
     df = spark.createDataFrame([(bytearray(b"\x00rest"),), (bytearray(b"\x02\x01rest"),)], "body binary")
     got = [r[0] for r in df.select(wire.protobuf_single_message(F.col("body"))).collect()]
     assert got == [True, False]
+
+
+def test_publish_needs_its_package(spark):
+    from quayside.sources.kafka import publish
+    env = envelopes(spark, [record()])
+    with pytest.raises(MissingConnectorError):
+        publish(env, "localhost:1", "events")
