@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.operators.decode import MissingConnectorError
-from quayside.session import spread_for_cpu
 
 KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13"
 
@@ -61,9 +60,11 @@ def read_kafka(spark: SparkSession, options: dict[str, str], streaming: bool = T
         opts.pop("maxOffsetsPerTrigger", None)
         if opts.get("startingOffsets") == "latest":
             opts["startingOffsets"] = "earliest"
+        # split large offset ranges over every task slot; unlike a repartition
+        # this moves no data (each task reads its own offset sub-range)
+        opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
     reader = (spark.readStream if streaming else spark.read).format("kafka").options(**opts)
-    df = _load(reader, "reading Kafka")
-    return df if streaming else spread_for_cpu(df)
+    return _load(reader, "reading Kafka")
 
 
 def publish(envelopes: DataFrame, bootstrap_servers: str, topic: str | None = None) -> None:
