@@ -5,18 +5,53 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.llm import mixing, secret_scan
 from quayside.llm.bpe_automaton import bpe_round_trip
+from quayside.llm.shipping import ship_package
 from quayside.llm.texts import read_table
+from quayside.llm.token_counts import token_counts
+from quayside.llm.token_files import read_documents, write_token_files
+from quayside.session import scratch_path
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return read_table(spark, sf_dir, "documents")
+
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_round_trip(read_table(spark, sf_dir, "documents"), BYTE_BPE)
+    return bpe_round_trip(documents(spark, sf_dir), BYTE_BPE)
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digest(documents(spark, sf_dir))
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sizes(documents(spark, sf_dir))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "token-files")
+    write_token_files(documents(spark, sf_dir), BYTE_BPE, out, end_id=2)
+    return read_documents(spark, out)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), BYTE_BPE, limit=1024)
 
 
 QUERIES = {
     "op1_bpe_automaton": op1_bpe_automaton,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_mix_sources": op4_mix_sources,
+    "op6_token_files": op6_token_files,
+    "op8_token_counts": op8_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_secret_scan": secret_scan.ORACLE,
+    "op4_mix_sources": mixing.ORACLE,
+}

@@ -67,12 +67,14 @@ class ChunkCache:
 
     ``resolve`` gets distinct pre-tokens and returns one value for each; ``special`` maps a
     special token's id to its value; ``join`` folds the values of the pre-tokens of a chunk.
+    With ``split=False`` chunks go to ``resolve`` unsplit.
     At most ``limit`` chunks are kept; when full the cache starts anew.
     """
 
     def __init__(self, vocab: ByteBpe, resolve: Callable[[list[str]], list], special: Callable[[int], object],
-                 join: Callable[[list], object], limit: int = 500_000):
+                 join: Callable[[list], object], limit: int = 500_000, split: bool = True):
         self.vocab, self.resolve, self.join, self.limit = vocab, resolve, join, limit
+        self.cut = SPLIT.findall if split else lambda chunk: [chunk]
         self.special = {text: special(i) for text, i in vocab.special.items()}
         self.after_blank: dict[str, object] = {}   # word -> value of " " + word
         self.as_is: dict[str, object] = {}         # chunk -> its value
@@ -120,7 +122,8 @@ class ChunkCache:
     def _fill(self, words: set[str], whole: set[str]) -> None:
         new_words = [w for w in words if w not in self.after_blank]
         new_whole = [w for w in whole if w not in self.as_is]
-        chunks = [SPLIT.findall(" " + w) for w in new_words] + [SPLIT.findall(w) for w in new_whole]
+        cut = self.cut
+        chunks = [cut(" " + w) for w in new_words] + [cut(w) for w in new_whole]
         distinct = list(dict.fromkeys(p for c in chunks for p in c))
         value = dict(zip(distinct, self.resolve(distinct), strict=True)) if distinct else {}
         folded = [value[c[0]] if len(c) == 1 else self.join([value[p] for p in c]) for c in chunks]
