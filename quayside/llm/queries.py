@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quayside.llm import mixing, secret_scan
 from quayside.llm.bpe_automaton import bpe_round_trip
 from quayside.llm.shipping import ship_package
+from quayside.llm.simhash import simhash_components
 from quayside.llm.texts import read_table
 from quayside.llm.token_counts import token_counts
 from quayside.llm.token_files import read_documents, write_token_files
@@ -33,6 +34,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, sf_dir))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(documents(spark, sf_dir))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "token-files")
     write_token_files(documents(spark, sf_dir), BYTE_BPE, out, end_id=2)
@@ -47,6 +52,7 @@ QUERIES = {
     "op1_bpe_automaton": op1_bpe_automaton,
     "op3_secret_scan": op3_secret_scan,
     "op4_mix_sources": op4_mix_sources,
+    "op5_simhash": op5_simhash,
     "op6_token_files": op6_token_files,
     "op8_token_counts": op8_token_counts,
 }
