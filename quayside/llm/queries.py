@@ -6,7 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import mixing, secret_scan
+from quayside.llm.ann import nearest
 from quayside.llm.bpe_automaton import bpe_round_trip
+from quayside.llm.langid import language_id
+from quayside.llm.lm_score import score_documents
+from quayside.llm.quality import quality_report
 from quayside.llm.shipping import ship_package
 from quayside.llm.simhash import simhash_components
 from quayside.llm.texts import read_table
@@ -20,12 +24,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op2_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(documents(spark, sf_dir))
 
@@ -44,17 +54,33 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, out)
 
 
+def op7_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir), PIECES)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), BYTE_BPE, limit=1024)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(documents(spark, sf_dir))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_bpe_automaton": op1_bpe_automaton,
+    "op2_stable_projections": op2_stable_projections,
     "op3_secret_scan": op3_secret_scan,
     "op4_mix_sources": op4_mix_sources,
     "op5_simhash": op5_simhash,
     "op6_token_files": op6_token_files,
+    "op7_lattice_score": op7_lattice_score,
     "op8_token_counts": op8_token_counts,
+    "op9_language_id": op9_language_id,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -43,9 +43,34 @@ def lower_ascii_column(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of the runs of equal values in a sorted array."""
-    if not len(keys):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return starts, np.diff(np.append(starts, len(keys)))
+class IntTable:
+    """Hash table of numpy arrays: non-negative 64-bit keys to 32-bit values, looked up many at a time."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: int = -1):
+        self.bits, self.missing = max(4, int(4 * len(keys)).bit_length()), np.int32(missing)
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, self.missing, np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):                      # each turn fills every free slot that is asked for; the rest look one slot on
+            free = left[self.keys[slot[left]] < 0]
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.keys[slot[put]], self.values[slot[put]] = keys[put], values[put]
+            left = np.setdiff1d(left, put, assume_unique=True)
+            slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        found = self.keys[slot]
+        out = np.where(found == keys, self.values[slot], self.missing)
+        left = np.flatnonzero((found != keys) & (found >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
+            found = self.keys[slot[left]]
+            hit = found == keys[left]
+            out[left[hit]] = self.values[slot[left[hit]]]
+            left = left[~hit & (found >= 0)]
+        return out

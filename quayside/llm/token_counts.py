@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.texts import slices, texts_of
+from quayside.llm.texts import IntTable, slices, texts_of
 from quayside.llm.vocab import ByteBpe, ChunkCache, load_byte_bpe
 
 NO_PAIR = np.int32(2**31 - 1)
@@ -36,36 +36,10 @@ class RankMerger:
         merges = np.array(vocab.merges, np.int64).reshape(-1, 3)
         self.merged = merges[:, 2].astype(np.int32)
         self.base = np.array(vocab.base, np.int32)
-        self.bits = max(4, int(4 * len(merges)).bit_length())
-        self.keys = np.full(1 << self.bits, -1, np.int64)      # open addressing: pair -> rank
-        self.ranks = np.full(1 << self.bits, NO_PAIR, np.int32)
-        pairs = merges[:, 0] << 32 | merges[:, 1]
-        left = np.arange(len(pairs))
-        slot = self._slot(pairs)
-        while len(left):                                       # one pair per free slot and turn, the rest one slot on
-            free = left[self.keys[slot[left]] < 0]
-            _, first = np.unique(slot[free], return_index=True)
-            put = free[first]
-            self.keys[slot[put]], self.ranks[slot[put]] = pairs[put], put
-            left = np.setdiff1d(left, put, assume_unique=True)
-            slot[left] = (slot[left] + (self.keys[slot[left]] >= 0)) & (len(self.keys) - 1)
-
-    def _slot(self, pairs: np.ndarray) -> np.ndarray:
-        return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        self.ranks = IntTable(merges[:, 0] << 32 | merges[:, 1], np.arange(len(merges)), missing=NO_PAIR)
 
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        pairs = a.astype(np.int64) << 32 | b
-        slot = self._slot(pairs)
-        found = self.keys[slot]
-        out = np.where(found == pairs, self.ranks[slot], NO_PAIR)
-        left = np.flatnonzero((found != pairs) & (found >= 0))
-        while len(left):
-            slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
-            found = self.keys[slot[left]]
-            hit = found == pairs[left]
-            out[left[hit]] = self.ranks[slot[left[hit]]]
-            left = left[~hit & (found >= 0)]
-        return out
+        return self.ranks.get(a.astype(np.int64) << 32 | b)
 
     def count(self, words: list[bytes]) -> np.ndarray:
         """Symbols of each word that survive all merges."""
