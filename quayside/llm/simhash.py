@@ -10,7 +10,7 @@ same tree goes on down to small blocks, where links are exact.  A shard returns
 group as a star, at most one edge per member and block; stars of all shards are joined to
 components by alternating large-star and small-star rounds on written tables.
 
-The dealing tree is fitted to at most ``SAMPLE`` distinct fingerprints (the first by hash);
+The dealing tree is fitted to about ``SAMPLE`` distinct fingerprints (those with the least hashes);
 its shape only decides how even the shards are, never which links are found.
 
 Contract: null and blank texts have fingerprint zero and are linked like any other; fewer
@@ -35,7 +35,7 @@ from quayside.llm.texts import slices, texts_of
 from quayside.session import scratch_path
 
 SEED, WORDS, BITS = 42, 3, 2
-SAMPLE = 65_536          # fingerprints the dealing tree is fitted to
+SAMPLE = 32_768          # fingerprints the dealing tree is fitted to
 SHARD = 2_048            # distinct fingerprints a shard should have
 BLOCK = 64               # fingerprints compared directly
 HASHES_AT_ONCE = 1 << 16
@@ -152,9 +152,10 @@ def stars(fps: np.ndarray, bits: int) -> list[tuple[np.ndarray, np.uint64]]:
 def edges(classes: DataFrame, bits: int = BITS, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
     """(a, b) of distinct fingerprints whose components are those of the link graph; classes: one row per ``fp``, a written table."""
     n = classes.count()
-    # a bounded number of fingerprints comes to the driver
-    first = classes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()
-    tree = DealingTree(np.array([r[0] for r in first], np.int64).view(np.uint64), -(-n // shard), bits)
+    # about ``sample`` fingerprints come to the driver, whatever their number: those whose hash is under sample / n
+    part = F.pmod(F.xxhash64("fp"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, sample / max(1, n)))
+    first = classes.filter(part).select("fp").toPandas()["fp"].to_numpy(np.int64)
+    tree = DealingTree(np.sort(first).view(np.uint64), -(-n // shard), bits)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
