@@ -107,8 +107,8 @@ def findings(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES)
     return found.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))   # a list per rule
 
 
-def scan_paths(df: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """``df`` with ``spans``, an array of (start, rank, end, kind); without ``ledger`` a new one is begun."""
+def scan_paths(df: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
+    """``df`` with ``spans_col``, an array of (start, rank, end, kind), in place of any such column; without ``ledger`` a new one is begun."""
     spark = df.sparkSession
     ledger = ledger or scratch_path(spark, "secret-ledger")
     scan(df, ledger, rules, text_col)
@@ -116,7 +116,7 @@ def scan_paths(df: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...]
     findings(spark, ledger, rules).select(F.struct("blob", "spans").alias("__found")).write.parquet(by_blob)
     found = spark.read.parquet(by_blob)
     joined = df.join(found, blob_id(F.col(text_col)) == F.col("__found.blob"), "left")
-    return joined.select(*[joined[c] for c in df.columns if c != "spans"], F.coalesce(F.col("__found.spans"), F.array().cast(SPANS)).alias("spans"))
+    return joined.select(*[joined[c] for c in df.columns if c != spans_col], F.coalesce(F.col("__found.spans"), F.array().cast(SPANS)).alias(spans_col))
 
 
 def secret_digest(df: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -133,7 +133,7 @@ def secret_digest(df: DataFrame, ledger: str | None = None, rules: tuple[Rule, .
 
 def redact(df: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """``df`` with every span in its texts replaced by ``mark``; spans that touch or overlap become one."""
-    found = scan_paths(df, ledger, rules, text_col)
+    found = scan_paths(df, ledger, rules, text_col, "__spans")
     text = F.col(text_col)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -141,8 +141,8 @@ def redact(df: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = R
         piece = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when((s["start"] > acc["at"]) | (acc["out"] == ""), piece).otherwise(acc["out"]).alias("out"))
 
-    new = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-    return found.withColumn(text_col, F.when(F.size("spans") > 0, new).otherwise(text)).drop(*(set(["spans"]) - set(df.columns)))
+    new = F.aggregate("__spans", start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+    return found.withColumn(text_col, F.when(F.size("__spans") > 0, new).otherwise(text)).drop("__spans")
 
 
 ORACLE = r"""
