@@ -14,9 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_ORDER = ("partition", "offset")
-# Broadcast the batch's keys into the target scan only below this many keys;
-# above it the anti-join shuffles both sides on (date, key).
-BROADCAST_KEYS_LIMIT = 2_000_000
 
 
 def keep_first(df: DataFrame, key: str = "event_id", order: tuple[str, ...] = DEFAULT_ORDER,
@@ -44,23 +41,19 @@ def keep_first(df: DataFrame, key: str = "event_id", order: tuple[str, ...] = DE
 
 
 def drop_existing(batch: DataFrame, target: DataFrame | None, key: str = "event_id",
-                  date_col: str | None = "event_date", batch_keys: int | None = None) -> DataFrame:
+                  date_col: str | None = "event_date", dates: list | None = None) -> DataFrame:
     """Rows of ``batch`` whose ``key`` is not in ``target`` yet.
 
-    With ``date_col`` the target is read only for the batch's dates (its
-    partition column: an event's date is derived from its own time, so a
-    replayed event lands in the same partition) and the match is on
-    (date, key).  When the caller knows the batch holds at most
-    ``BROADCAST_KEYS_LIMIT`` keys (``batch_keys``), those keys are broadcast
-    into the target scan so the target side is never shuffled.
+    With ``date_col`` (the target's partition column) the match is on
+    (date, key): an event's date is derived from its own time, so a replayed
+    event lands in the same partition.  ``dates``, the batch's own dates (at
+    most one per calendar day), become a literal partition filter of the
+    target's scan.  With ``date_col=None`` the key is looked for in the whole
+    target.  How the anti-join runs is left to Spark, which knows the sizes.
     """
     if target is None:
         return batch
     on = [date_col, key] if date_col else [key]
-    existing = target.select(*on)
-    if date_col:
-        dates = batch.select(date_col).distinct()
-        existing = existing.join(F.broadcast(dates), date_col, "left_semi")
-    if batch_keys is not None and batch_keys <= BROADCAST_KEYS_LIMIT:
-        existing = existing.join(F.broadcast(batch.select(*on).distinct()), on, "left_semi")
-    return batch.join(existing, on, "left_anti")
+    if date_col and dates is not None:
+        target = target.filter(F.col(date_col).isin(*dates))
+    return batch.join(target.select(*on), on, "left_anti")

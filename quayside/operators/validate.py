@@ -143,11 +143,13 @@ def rejected(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("reject_reason").isNotNull())
 
 
-QUARANTINE_COLUMNS = ("raw_value", "kafka_timestamp", "partition", "offset", "event_id", "reject_reason", "batch_ts")
+QUARANTINE_COLUMNS = ("raw_value", "kafka_timestamp", "partition", "offset", "event_id", "reject_reason", "batch_ts",
+                      "event_date")
 
 
 def quarantine(classified: DataFrame) -> DataFrame:
-    """V7: rejected rows with their raw value, source position and reason."""
+    """V7: rejected rows with their raw value, source position, reason and the
+    date that partitions them."""
     return rejected(classified).select(*QUARANTINE_COLUMNS)
 
 

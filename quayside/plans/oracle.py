@@ -235,6 +235,15 @@ def oracle_queries() -> dict[str, str]:
             count(*) AS events FROM r GROUP BY 1""",
         "schema_merge_read": b + f"""SELECT event_id, "timestamp",
             CASE WHEN "timestamp" >= {_ts(EVOLVE_TIME)} THEN 'region-' || source END AS region FROM acc""",
+        "restart_new_query": b + f"""SELECT {CONFORMED} FROM acc""",
+        "quarantine_delivery": b + """SELECT raw_value, kafka_timestamp, "partition", "offset", event_id, reject_reason,
+            batch_ts FROM r WHERE reject_reason IS NOT NULL""",
+        "redelivery_plain": b + f"""SELECT {CONFORMED} FROM acc""",
+        "table_replay_safe": b + f"""SELECT {CONFORMED} FROM dd""",
+        "evolved_table_append": b + """SELECT event_id, "timestamp",
+            CASE WHEN "offset" % 3 > 0 THEN 'region-' || source END AS region,
+            "offset" % 3 < 2 AS has_metadata FROM acc""",
+        "dedup_all_dates": b + """SELECT event_id, CAST(1 AS BIGINT) AS row_count FROM acc GROUP BY event_id""",
         "layout_by_day": b + """SELECT event_date, count(*) AS events FROM acc GROUP BY 1""",
         "layout_by_month": b + """SELECT CAST(strftime("timestamp", '%Y%m') AS INTEGER) AS event_month,
             count(*) AS events FROM acc GROUP BY 1""",

@@ -18,16 +18,16 @@ from pyspark.sql import functions as F
 from quayside.functions import wire
 from quayside.operators.conform import conform, export_json_column, read_conformed
 from quayside.operators.decode import decode_events
-from quayside.operators.dedup import drop_existing, keep_first
+from quayside.operators.dedup import keep_first
 from quayside.operators.validate import coerce_events, outcome_counts, quarantine
-from quayside.plans.ingest import accepted_conformed, process_events
-from quayside.schema import add_field, ensure_table, event_schema, evolve_table, field
-from quayside.session import ensure_checkpoint_dir, pin_session, scratch_path, spread_for_cpu
+from quayside.plans.ingest import accepted_conformed, accepted_rows, process_events
+from quayside.schema import add_field, ensure_table, event_schema, evolve_table, field, remove_field
+from quayside.session import ensure_checkpoint_dir, pin_session, scratch_path
 from quayside.sinks.deliver import deliver, redeliver
 from quayside.sinks.writers import Sink, clickhouse_layout, files_sink, landing_sink, table_sink
 from quayside.sources.envelope import envelope_from_events, read_envelope_files, write_envelope_files
 from quayside.sources.producer import producer_envelopes
-from quayside.streaming.stream import start_stream
+from quayside.streaming.stream import handle_batch, start_stream
 
 # fixed batch time of the deterministic runs: inside the events' month, so
 # the future-time rule rejects the last days
@@ -42,15 +42,15 @@ CONFORMED = ("event_id", "event_type", "timestamp", "payload", "source", "metada
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_session(spark)
-    return spread_for_cpu(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def _envelopes(spark, sf_dir) -> DataFrame:
     return envelope_from_events(_events(spark, sf_dir))
 
 
-def _processed(spark, sf_dir, as_of=AS_OF, transform=None) -> DataFrame:
-    return process_events(_envelopes(spark, sf_dir), as_of=as_of, transform=transform)
+def _processed(spark, sf_dir, as_of=AS_OF) -> DataFrame:
+    return process_events(_envelopes(spark, sf_dir), as_of=as_of)
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -124,7 +124,7 @@ def q_accepted_events(spark, sf_dir):
 
 
 def q_rejected_events(spark, sf_dir):
-    return _out(quarantine(_processed(spark, sf_dir)))
+    return _out(quarantine(_processed(spark, sf_dir)).drop("event_date"))
 
 
 def q_reject_counts(spark, sf_dir):
@@ -148,8 +148,8 @@ def normalize_type_and_extract_k(df: DataFrame) -> DataFrame:
 
 
 def q_user_transform(spark, sf_dir):
-    p = _processed(spark, sf_dir, transform=normalize_type_and_extract_k)
-    return p.filter(F.col("reject_reason").isNull()).select("offset", "event_id", "event_type", "payload_k")
+    out = accepted_rows(_processed(spark, sf_dir), normalize_type_and_extract_k)
+    return out.select("offset", "event_id", "event_type", "payload_k")
 
 
 def q_conform_default_schema(spark, sf_dir):
@@ -182,14 +182,17 @@ def q_dedup_in_batch(spark, sf_dir):
 
 
 def q_dedup_against_sink(spark, sf_dir):
+    """The whole batch into a sink that holds its first days: what the second delivery adds."""
     ensure_checkpoint_dir(spark)
-    batch = keep_first(_accepted(spark, sf_dir, keep=("partition", "offset", "event_date")))
-    path = scratch_path(spark, "dedup-target")
-    first = batch.filter(F.col("timestamp") < F.lit(SPLIT_TIME).cast("timestamp")).drop("partition", "offset")
-    files_sink("target", path).write(first, 0)
-    target = spark.read.parquet(path)
-    new = drop_existing(batch, target)
-    return _out(new.drop("event_date"))
+    batch = _accepted(spark, sf_dir, keep=("partition", "offset", "event_date"))
+    path, added = scratch_path(spark, "dedup-target"), scratch_path(spark, "dedup-added")
+    first = keep_first(batch).filter(F.col("timestamp") < F.lit(SPLIT_TIME).cast("timestamp"))
+    target = files_sink("target", path)
+    target.write(first.drop("partition", "offset"), 0)
+    # the second delivery goes to a folder of its own, compared with what the target holds
+    deliver(batch, 1, [Sink("added", landing_sink("added", added).write, target.existing, wants_event_date=True,
+                            keeps_positions=True)], dedup=True)
+    return _out(spark.read.parquet(f"{added}/batch_id=1").drop("event_date"))
 
 
 def _broken_sink(name: str = "broken") -> Sink:
@@ -203,7 +206,7 @@ def q_fanout_counts(spark, sf_dir):
     a = _accepted(spark, sf_dir, keep=("partition", "offset", "event_date"))
     sinks = [files_sink("a", scratch_path(spark, "sink-a")), _broken_sink(),
              files_sink("b", scratch_path(spark, "sink-b"))]
-    ledger = deliver(a, 0, sinks, scratch_path(spark, "ledger"), dedup=True)
+    ledger = deliver(a, 0, sinks, scratch_path(spark, "ledger"), "fanout", dedup=True)
     return ledger.select("sink", "status", F.col("rows").alias("row_count"), "duplicates")
 
 
@@ -212,9 +215,9 @@ def q_replay_safe(spark, sf_dir):
     a = _accepted(spark, sf_dir, keep=("partition", "offset", "event_date"))
     path, ledger = scratch_path(spark, "replay-sink"), scratch_path(spark, "replay-ledger")
     sink = files_sink("events", path)
-    deliver(a, 7, [sink], ledger, dedup=True)        # first delivery
-    deliver(a, 7, [sink], None, dedup=True)          # crash before the ledger write: replay sees the sink
-    deliver(a, 7, [sink], ledger, dedup=True)        # replay after restart: ledger says done
+    deliver(a, 7, [sink], ledger, "replay", dedup=True)   # first delivery
+    deliver(a, 7, [sink], None, dedup=True)               # crash before the ledger write: replay sees the sink
+    deliver(a, 7, [sink], ledger, "replay", dedup=True)   # replay after restart: ledger says done
     return _out(spark.read.parquet(path).drop("event_date"))
 
 
@@ -223,8 +226,8 @@ def q_redelivery(spark, sf_dir):
     a = _accepted(spark, sf_dir, keep=("partition", "offset", "event_date"))
     ledger, landing, target = (scratch_path(spark, "redeliver-ledger"), scratch_path(spark, "landing"),
                                scratch_path(spark, "redeliver-target"))
-    deliver(a, 11, [landing_sink("landing", landing), _broken_sink("target")], ledger, dedup=True)
-    redeliver(spark, ledger, landing, [files_sink("target", target)])     # the sink is back
+    deliver(a, 11, [landing_sink("landing", landing), _broken_sink("target")], ledger, "redelivery", dedup=True)
+    redeliver(spark, ledger, landing, [files_sink("target", target)], "redelivery")     # the sink is back
     return _out(spark.read.parquet(target).drop("event_date"))
 
 
@@ -234,7 +237,7 @@ def q_stream_parity(spark, sf_dir):
     write_envelope_files(_envelopes(spark, sf_dir), src, files=4)
     stream = read_envelope_files(spark, src, streaming=True, max_files_per_trigger=1,
                                  partitions=spark.sparkContext.defaultParallelism)
-    q = start_stream(process_events(stream, as_of=AS_OF), [files_sink("out", out)],
+    q = start_stream(process_events(stream, as_of=AS_OF), [files_sink("out", out)], scratch_path(spark, "stream-checkpoint"),
                      ledger_path=scratch_path(spark, "stream-ledger"), trigger={"availableNow": True})
     q.awaitTermination()
     return _out(spark.read.parquet(out).drop("event_date"))
@@ -247,11 +250,87 @@ def q_stream_outcome_metrics(spark, sf_dir):
     stream = read_envelope_files(spark, src, streaming=True, max_files_per_trigger=2,
                                  partitions=spark.sparkContext.defaultParallelism)
     q = start_stream(process_events(stream, as_of=AS_OF), [files_sink("out", scratch_path(spark, "metrics-out"))],
-                     trigger={"availableNow": True}, metrics_path=metrics)
+                     scratch_path(spark, "metrics-checkpoint"), trigger={"availableNow": True}, metrics_path=metrics)
     q.awaitTermination()
     return spark.read.parquet(metrics).groupBy("outcome").agg(F.sum("events").alias("events"))
 
 
+def q_restart_new_query(spark, sf_dir):
+    """Two queries over the two halves of the events, one sink and one ledger: both count
+    their batches from 0, and neither is taken for a replay of the other."""
+    ensure_checkpoint_dir(spark)
+    env = _envelopes(spark, sf_dir)
+    out, ledger = scratch_path(spark, "restart-out"), scratch_path(spark, "restart-ledger")
+    for half in (0, 1):
+        src = scratch_path(spark, "restart-src")
+        write_envelope_files(env.filter(F.col("offset") % 2 == half), src, files=2)
+        stream = read_envelope_files(spark, src, streaming=True)
+        start_stream(process_events(stream, as_of=AS_OF), [files_sink("out", out)], scratch_path(spark, "restart-checkpoint"),
+                     ledger_path=ledger, trigger={"availableNow": True}).awaitTermination()
+    return _out(spark.read.parquet(out).drop("event_date"))
+
+
+def q_quarantine_delivery(spark, sf_dir):
+    """Rejected rows as they arrive in a quarantine sink of the default layout."""
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, "quarantine")
+    handle_batch(_processed(spark, sf_dir), 0, [files_sink("out", scratch_path(spark, "quarantine-out"))],
+                 scratch_path(spark, "quarantine-ledger"), "quarantine", quarantine=files_sink("q", path))
+    return _out(spark.read.parquet(path).drop("event_date"))
+
+
+def q_redelivery_plain(spark, sf_dir):
+    """A batch delivered without dedup is delivered again without dedup: every accepted row arrives."""
+    ensure_checkpoint_dir(spark)
+    a = _accepted(spark, sf_dir, keep=("partition", "offset", "event_date"))
+    ledger, landing, target = (scratch_path(spark, "plain-ledger"), scratch_path(spark, "plain-landing"),
+                               scratch_path(spark, "plain-target"))
+    deliver(a, 3, [landing_sink("landing", landing), _broken_sink("target")], ledger, "plain")
+    redeliver(spark, ledger, landing, [files_sink("target", target)], "plain")
+    return _out(spark.read.parquet(target).drop("event_date"))
+
+
+def q_table_replay_safe(spark, sf_dir):
+    """A batch delivered three times to a catalog table."""
+    ensure_checkpoint_dir(spark)
+    table = f"quayside_replay_{uuid.uuid4().hex[:10]}"
+    ensure_table(spark, event_schema(), table, location=scratch_path(spark, table))
+    a = _accepted(spark, sf_dir, keep=("partition", "offset", "event_date"))
+    ledger = scratch_path(spark, "table-ledger")
+    for path in (ledger, None, ledger):
+        deliver(a, 0, [table_sink("t", table)], path, "table", dedup=True)
+    return _out(spark.table(table).drop("event_date"))
+
+
+def q_evolved_table_append(spark, sf_dir):
+    """Rows of version 1, of version 2 and of a schema without ``metadata`` in one evolved table."""
+    ensure_checkpoint_dir(spark)
+    v1 = event_schema(1)
+    v2 = add_field(v1, field("region", "string"), version=2)
+    v3 = remove_field(v2, "metadata", version=3)
+    table = f"quayside_append_{uuid.uuid4().hex[:10]}"
+    ensure_table(spark, v1, table, location=scratch_path(spark, table))
+    evolve_table(spark, table, v1, v2)
+    a = _accepted(spark, sf_dir, keep=("offset",)).withColumn("region", F.concat(F.lit("region-"), F.col("source")))
+    for n, schema in enumerate((v1, v2, v3)):
+        table_sink(f"v{n + 1}", table).write(conform(a.filter(F.col("offset") % 3 == n), schema.struct), n)
+    return _out(spark.table(table).select("event_id", "timestamp", "region",
+                                          F.col("metadata").isNotNull().alias("has_metadata")))
+
+
+def q_dedup_all_dates(spark, sf_dir):
+    """One row per event_id over all batches and dates: the second batch repeats the first
+    with event times a day later, and brings the odd offsets."""
+    ensure_checkpoint_dir(spark)
+    a = _accepted(spark, sf_dir, keep=("partition", "offset", "event_date"))
+    path = scratch_path(spark, "all-dates")
+    deliver(a.filter(F.col("offset") % 2 == 0), 0, [files_sink("t", path)], dedup=True, key_scope="all")
+    later = (a.withColumn("timestamp", F.expr("`timestamp` + INTERVAL 1 DAY"))
+             .withColumn("event_date", F.date_add("event_date", 1)))
+    deliver(later, 1, [files_sink("t", path)], dedup=True, key_scope="all")
+    return spark.read.parquet(path).groupBy("event_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def q_schema_merge_read(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     v1 = event_schema(1)
@@ -331,4 +410,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layout_by_month": q_layout_by_month,
     "schema_evolve_read": q_schema_evolve_read,
     "generated_events": q_generated_events,
+    "restart_new_query": q_restart_new_query,
+    "quarantine_delivery": q_quarantine_delivery,
+    "redelivery_plain": q_redelivery_plain,
+    "table_replay_safe": q_table_replay_safe,
+    "evolved_table_append": q_evolved_table_append,
+    "dedup_all_dates": q_dedup_all_dates,
 }

@@ -174,7 +174,8 @@ def migration_statements(table: str, changes: list[SchemaChange]) -> list[str]:
 
 
 def _columns_ddl(struct: StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in struct.fields)
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}{'' if f.nullable else ' NOT NULL'}"
+                     for f in struct.fields)
 
 
 def table_version(spark: SparkSession, table: str) -> int | None:
@@ -218,19 +219,21 @@ def _partition_type(name: str) -> DataType:
 
 
 def evolve_table(spark: SparkSession, table: str, current: VersionedSchema, target: VersionedSchema) -> bool:
-    """Bring a table from ``current`` to ``target``.
+    """Bring a table to ``target``.
 
-    Same version → no change (False).  Otherwise the added columns are
-    added and the version property set; returns True when the schemas
-    differ at all (a removal alone is reported but changes nothing).
+    What is added follows from the catalog's own columns, so a run that
+    crashed between adding columns and setting the version can be repeated.
+    The table keeps columns that ``target`` lacks.  False when ``current``
+    and ``target`` do not differ, or the table already has all of ``target``.
     Errors from the catalog are raised to the caller.
     """
-    if current.version == target.version:
+    if current.version == target.version or not diff_schemas(current, target):
         return False
-    changes = diff_schemas(current, target)
-    if not changes:
+    held = set(spark.table(table).columns)
+    adds = [SchemaChange("add", f.name, None, f) for f in target.struct.fields if f.name not in held]
+    if not adds and table_version(spark, table) == target.version:
         return False
-    for stmt in migration_statements(table, changes):
+    for stmt in migration_statements(table, adds):
         spark.sql(stmt)
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{VERSION_PROPERTY}'='{target.version}')")
     return True

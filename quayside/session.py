@@ -6,7 +6,6 @@ scripts; library functions only read settings from the session they are given.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -48,11 +47,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is only
-    read.  Only when it is unset (tests, a laptop) a local folder is created.
+    read; unset there, it is an error.  In local mode, where driver and
+    executors are one process, a folder of this machine is made.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder on shared storage")
         path = tempfile.mkdtemp(prefix="quayside-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
@@ -64,21 +66,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return f"{base}/quayside/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cpu_count() -> int:
-    return os.cpu_count() or 1
-
-
-def spread_for_cpu(df):
-    """Round-robin a batch input that has fewer partitions than the cluster
-    has task slots, so per-row CPU work (JSON/VARIANT parsing, regexes) uses
-    every core.  Inputs with enough partitions (any large scan) are returned
-    unchanged, so at scale this adds no shuffle.  Streaming inputs are left
-    alone (their partitioning is per micro-batch)."""
-    if df.isStreaming:
-        return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots)

@@ -2,12 +2,20 @@
 
 ``deliver`` writes one batch to every sink in order.  The batch is persisted
 once when more than one output reads it; an empty batch writes nothing.
-Each sink's outcome becomes a ledger row ``(sink, batch_id, status, rows,
-error, delivered_at)``; a ``(sink, batch_id)`` already delivered ``ok`` is
-skipped on replay.  With ``dedup=True`` the batch keeps one row per
-``event_id`` and, for sinks that can be read back, rows the sink already
-holds are dropped, so a replay after a crash between the sink write and
-the ledger write does not duplicate rows either.
+Each sink's outcome becomes a ledger row as soon as it is known.  The ledger
+is keyed by ``(run_id, sink, batch_id)``: ``run_id`` names the query whose
+batch ids these are (a streaming query's id, or a name the caller gives a
+batch job), so a new query that counts its batches from 0 again is never
+taken for a replay of another.  A sink that has the batch is skipped, and a
+batch that all sinks have is not even computed.
+
+With ``dedup=True`` the batch keeps one row per ``event_id`` and, for sinks
+that can be read back, rows the sink already holds are dropped, so a replay
+after a crash between the sink write and the ledger write does not
+duplicate rows either.  ``key_scope="date"`` looks for a key among the
+rows of its event date only (partitions of other dates are not read);
+``key_scope="all"`` reads the keys of the whole sink, so an ``event_id``
+stays unique even if it comes back with another event time.
 """
 
 from __future__ import annotations
@@ -17,142 +25,201 @@ import datetime as _dt
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, StructField, StructType,
+                               TimestampType)
 
 from quayside.operators.dedup import drop_existing, keep_first
-from quayside.sinks.writers import Sink, with_event_date
+from quayside.sinks.writers import Sink, nothing_written, with_event_date
 
 LEDGER_SCHEMA = StructType([
+    StructField("run_id", StringType(), False),
     StructField("sink", StringType(), False),
     StructField("batch_id", LongType(), False),
     StructField("status", StringType(), False),   # ok | failed | empty | replay_skipped
     StructField("rows", LongType()),
     StructField("duplicates", LongType()),
     StructField("error", StringType()),
+    StructField("dedup", BooleanType()),
     StructField("delivered_at", TimestampType()),
     StructField("attempt", IntegerType()),
 ])
 ON_ERROR = ("isolate", "fail")
+KEY_SCOPES = ("date", "all")
+# Ledger folders hold the rows of this many batches each: a look-up lists one folder.
+LEDGER_RANGE = 1000
+
+
+def _ledger_folder(ledger_path: str, run_id: str, batch_id: int) -> str:
+    from urllib.parse import quote
+    return f"{ledger_path}/run={quote(run_id, safe='')}/range={batch_id // LEDGER_RANGE}"
 
 
 def read_ledger(spark: SparkSession, ledger_path: str | None) -> DataFrame | None:
+    """All ledger rows; None when nothing was written yet.  Any other error is raised."""
     if not ledger_path:
         return None
+    return _read(spark, f"{ledger_path}/*/*")
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
-    except Exception:  # no ledger written yet
-        return None
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    except Exception as e:
+        if nothing_written(e):
+            return None
+        raise
 
 
-def _delivered(spark: SparkSession, ledger_path: str | None, batch_id: int) -> set[str]:
-    """Sinks that hold this batch already (one small, filtered read)."""
-    ledger = read_ledger(spark, ledger_path)
+def _history(spark: SparkSession, ledger_path: str | None, run_id: str | None, batch_id: int) -> dict[str, tuple[bool, int]]:
+    """sink → (has the batch, attempts so far), from the one folder that can hold this batch."""
+    if not ledger_path:
+        return {}
+    ledger = _read(spark, _ledger_folder(ledger_path, run_id, batch_id))
     if ledger is None:
-        return set()
-    rows = ledger.filter((F.col("batch_id") == batch_id) & (F.col("status") == "ok")).select("sink").distinct()
-    return {r["sink"] for r in rows.collect()}
+        return {}
+    rows = (ledger.filter(F.col("batch_id") == batch_id).groupBy("sink")
+            .agg(F.max(F.col("status").isin("ok", "empty")).alias("done"),
+                 F.sum((F.col("status") != "replay_skipped").cast("int")).alias("attempts")).collect())
+    return {r["sink"]: (r["done"], r["attempts"]) for r in rows}
+
+
+def delivered(spark: SparkSession, ledger_path: str | None, run_id: str | None, batch_id: int) -> set[str]:
+    """Sinks that have this batch of this run."""
+    return {s for s, (done, _) in _history(spark, ledger_path, run_id, batch_id).items() if done}
 
 
 def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str | None = None,
-            on_error: str = "isolate", dedup: bool = False,
-            drop_cols: tuple[str, ...] = ("partition", "offset"), persist: bool = True,
-            delivered: set[str] | None = None, write_ledger: bool = True) -> DataFrame:
+            run_id: str | None = None, on_error: str = "isolate", dedup: bool = False,
+            key_scope: str = "date", drop_cols: tuple[str, ...] = ("partition", "offset"),
+            persist: bool = True) -> DataFrame:
     """Write one batch to every sink; return this call's ledger rows.
 
-    ``drop_cols`` (source positions used to order the dedup) are removed
-    before the sinks see the rows.  ``persist=False`` when the caller has
+    ``run_id`` is required with a ledger.  ``drop_cols`` (source positions
+    used to order the dedup) are removed before the sinks see the rows,
+    unless a sink keeps positions.  ``persist=False`` when the caller has
     already persisted the rows this batch is a cheap projection of (the
     de-duplicated batch is always persisted: it is a shuffle result).
-    ``delivered`` (sinks the ledger already has for this batch) and
-    ``write_ledger=False`` let a caller that delivers several outputs of one
-    batch read and append the ledger once."""
+    ``on_error="fail"`` raises at the first failing sink; the rows of the
+    sinks before it are in the ledger by then."""
     if not sinks:
         raise ValueError("deliver needs at least one sink")
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
+    if key_scope not in KEY_SCOPES:
+        raise ValueError(f"key_scope must be one of {KEY_SCOPES}")
+    if ledger_path and not run_id:
+        raise ValueError("a ledger needs a run_id: batch ids are only unique within one query")
+    for s in sinks:
+        s.check(df.columns)
     spark = df.sparkSession
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    done = delivered if delivered is not None else _delivered(spark, ledger_path, batch_id)
+    history = _history(spark, ledger_path, run_id, batch_id)
     records: list[tuple] = []
-    batch = df
-    duplicates = 0
-    if dedup:
-        batch = keep_first(df, copies_col="_copies")
+
+    def record(sink: Sink, status: str, rows: int = 0, duplicates: int = 0, error: str | None = None) -> None:
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        row = (run_id or "", sink.name, batch_id, status, rows, duplicates, error, dedup, now,
+               history.get(sink.name, (False, 0))[1] + (status != "replay_skipped"))
+        records.append(row)
+        if ledger_path:
+            (spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append")
+             .parquet(_ledger_folder(ledger_path, run_id, batch_id)))
+
+    todo = [s for s in sinks if not history.get(s.name, (False, 0))[0]]
+    if not todo:                      # a replay: nothing is computed
+        for s in sinks:
+            record(s, "replay_skipped")
+        return spark.createDataFrame(records, LEDGER_SCHEMA)
+    batch = keep_first(df, copies_col="_copies") if dedup else df
     cached = batch.persist(StorageLevel.MEMORY_AND_DISK) if (persist or dedup) else None
-    batch = cached if cached is not None else batch
     try:
         # one pass over the persisted batch for both the empty check and the metrics
         stats = batch.agg(F.count(F.lit(1)).alias("n"),
                           (F.sum(F.col("_copies") - 1) if dedup else F.sum(F.lit(0))).alias("dups")).first()
-        batch_keys, duplicates = int(stats["n"]), int(stats["dups"] or 0)
+        n, duplicates = int(stats["n"]), int(stats["dups"] or 0)
         if dedup:
             batch = batch.drop("_copies")
-        if batch_keys == 0:
-            records = [(s.name, batch_id, "empty", 0, 0, None, now, 1) for s in sinks]
-        else:
-            dates = None
-            if dedup and any(s.existing is not None for s in sinks):
-                batch = with_event_date(batch)
-                # partition keys only: at most one row per calendar day
-                dates = sorted(r[0] for r in batch.select("event_date").distinct().collect())
-            for sink in sinks:
-                if sink.name in done:
-                    records.append((sink.name, batch_id, "replay_skipped", 0, 0, None, now, 1))
-                    continue
-                out = batch
-                if dedup and sink.existing is not None:
-                    target = sink.existing(spark, dates)
-                    out = drop_existing(batch, target, batch_keys=batch_keys) if target is not None else batch
-                out = out.drop(*drop_cols)
-                if not sink.wants_event_date:
-                    out = out.drop("event_date")
-                obs = Observation(f"rows_{sink.name}_{batch_id}")
+        dates = None
+        if n and dedup and key_scope == "date" and any(s.existing is not None for s in todo):
+            batch = with_event_date(batch)
+            # partition keys only: at most one row per calendar day
+            dates = sorted(r[0] for r in batch.select("event_date").distinct().collect())
+        for sink in sinks:
+            if sink not in todo:
+                record(sink, "replay_skipped")
+            elif n == 0:
+                record(sink, "empty")
+            else:
                 try:
-                    sink.write(out.observe(obs, F.count(F.lit(1)).alias("rows")), batch_id)
-                    records.append((sink.name, batch_id, "ok", int(obs.get["rows"]), int(duplicates), None, now, 1))
+                    rows = _write(spark, batch, batch_id, sink, dates, dedup, key_scope, drop_cols)
                 except Exception as e:  # K5: one failing sink does not stop the others
-                    records.append((sink.name, batch_id, "failed", 0, 0, f"{type(e).__name__}: {e}"[:2000],
-                                    now, 1))
+                    record(sink, "failed", error=f"{type(e).__name__}: {e}")
                     if on_error == "fail":
-                        _append_ledger(spark, ledger_path, records)   # always, before failing the batch
                         raise
+                else:
+                    record(sink, "ok", rows, duplicates)
     finally:
         if cached is not None:
             cached.unpersist()
-    if write_ledger:
-        _append_ledger(spark, ledger_path, records)
     return spark.createDataFrame(records, LEDGER_SCHEMA)
 
 
-def _append_ledger(spark: SparkSession, ledger_path: str | None, records: list[tuple]) -> None:
-    if ledger_path and records:
-        spark.createDataFrame(records, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(ledger_path)
+def _write(spark: SparkSession, batch: DataFrame, batch_id: int, sink: Sink, dates: list | None, dedup: bool,
+           key_scope: str, drop_cols: tuple[str, ...]) -> int:
+    """Rows written to one sink."""
+    out = batch
+    if dedup and sink.existing is not None:
+        target = sink.existing(spark, dates)
+        if target is not None:
+            out = drop_existing(batch, target, date_col="event_date" if key_scope == "date" else None, dates=dates)
+    if not sink.keeps_positions:
+        out = out.drop(*drop_cols)
+    if not sink.wants_event_date:
+        out = out.drop("event_date")
+    obs = Observation(f"rows_{sink.name}_{batch_id}")
+    sink.write(out.observe(obs, F.count(F.lit(1)).alias("rows")), batch_id)
+    return int(obs.get["rows"])
 
 
 def failed_deliveries(spark: SparkSession, ledger_path: str) -> DataFrame:
-    """(sink, batch_id) whose latest outcome is ``failed``: the re-delivery list."""
+    """(run_id, sink, batch_id, dedup) that were tried and never succeeded: the re-delivery list."""
     ledger = read_ledger(spark, ledger_path)
     if ledger is None:
-        return spark.createDataFrame([], "sink string, batch_id long")
-    ok = ledger.filter(F.col("status") == "ok").select("sink", "batch_id")
-    return (ledger.filter(F.col("status") == "failed").select("sink", "batch_id").distinct()
-            .join(ok, ["sink", "batch_id"], "left_anti"))
-
-
-def redeliver(spark: SparkSession, ledger_path: str, landing_path: str, sinks: list[Sink],
-              fmt: str = "parquet") -> DataFrame | None:
-    """T4: deliver again every (sink, batch_id) whose latest outcome is
-    ``failed``, reading the batch back from its landing copy
-    (``landing_sink``).  Replay-safe (ledger + sink read-back dedup), so it
-    can run any number of times.  The failure list is ledger metadata
-    (sinks × failed batches); each re-delivery is a distributed job."""
+        return spark.createDataFrame([], "run_id string, sink string, batch_id long, dedup boolean")
+    key = ["run_id", "sink", "batch_id"]
+    ok = ledger.filter(F.col("status").isin("ok", "empty")).select(*key)
+    return (ledger.filter(F.col("status") == "failed").groupBy(*key).agg(F.max("dedup").alias("dedup"))
+            .join(ok, key, "left_anti").select(*key, "dedup"))
+
+
+def redeliver(spark: SparkSession, ledger_path: str, landing_path: str, sinks: list[Sink], run_id: str,
+              fmt: str = "parquet", key_scope: str = "date") -> DataFrame | None:
+    """T4: deliver again every (sink, batch_id) of ``run_id`` that never
+    succeeded, reading the batch back from its landing copy
+    (``landing_sink``), in the mode (plain or de-duplicated) of the first
+    try.  Replay-safe, so it can run any number of times; a batch whose
+    landing copy cannot be read gets a ``failed`` row and the others go on.
+    The failure list is ledger metadata (sinks × failed batches); each
+    re-delivery is a distributed job."""
     by_name = {s.name: s for s in sinks}
-    todo = [(r["sink"], r["batch_id"]) for r in failed_deliveries(spark, ledger_path).collect()
+    todo = [r for r in failed_deliveries(spark, ledger_path).filter(F.col("run_id") == run_id).collect()
             if r["sink"] in by_name]
     out = None
-    for name, batch_id in sorted(todo, key=lambda t: (t[1], t[0])):
-        batch = (spark.read.format(fmt).option("basePath", landing_path)
-                 .load(f"{landing_path}/batch_id={batch_id}").drop("batch_id"))
-        rows = deliver(batch, batch_id, [by_name[name]], ledger_path, dedup=True)
+    for r in sorted(todo, key=lambda r: (r["batch_id"], r["sink"])):
+        sink, batch_id = by_name[r["sink"]], r["batch_id"]
+        try:
+            batch = spark.read.format(fmt).load(f"{landing_path}/batch_id={batch_id}")
+        except Exception as e:
+            missing = Sink(sink.name, _raiser(e))
+            batch, target = spark.range(1).select(F.lit("").alias("event_id")), missing
+        else:
+            target = sink
+        rows = deliver(batch, batch_id, [target], ledger_path, run_id, dedup=r["dedup"] and target is sink,
+                       key_scope=key_scope)
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+def _raiser(error: Exception):
+    def write(df: DataFrame, batch_id: int) -> None:
+        raise error
+    return write

@@ -29,6 +29,28 @@ class Sink:
     existing: Callable | None = field(default=None, compare=False)
     # file/catalog sinks partition by event_date; other sinks never see it
     wants_event_date: bool = False
+    # the landing copy keeps partition and offset, which order a later dedup
+    keeps_positions: bool = False
+    # columns a batch must have
+    needs: tuple[str, ...] = ()
+
+    def check(self, columns: list[str]) -> None:
+        """Raise if a batch of these columns can't be written."""
+        lacking = [c for c in self.needs if c not in columns and not (c == "event_date" and "timestamp" in columns)]
+        if lacking:
+            raise ValueError(f"sink {self.name} needs the columns {', '.join(lacking)}; the batch has {', '.join(columns)}")
+
+
+# fixed values: Spark's error classes for a path without data
+NOTHING_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def nothing_written(error: Exception) -> bool:
+    """Whether a read failed only because nothing was written there yet.  Any
+    other failure (a refused or throttled listing) must be raised: taken for
+    an empty sink it would switch the replay checks off."""
+    condition = getattr(error, "getCondition", lambda: None)()
+    return condition in NOTHING_WRITTEN
 
 
 def with_event_date(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
@@ -51,26 +73,28 @@ def files_sink(name: str, path: str, fmt: str = "parquet", partition_by: tuple[s
     def existing(spark, dates=None):
         """Only the given dates' partition folders are listed: a path-based
         read otherwise lists every file of the table up front."""
-        try:
-            if dates is not None and partition_by == ("event_date",):
-                if not dates:
-                    return None
-                glob = f"{path}/event_date={{{','.join(str(d) for d in dates)}}}"
-                return spark.read.format(fmt).option("basePath", path).load(glob)
-            return spark.read.format(fmt).load(path)
-        except Exception:  # nothing written yet for these dates
+        by_date = dates is not None and partition_by == ("event_date",)
+        if by_date and not dates:
             return None
-    return Sink(name, write, existing, wants_event_date=True)
+        where = f"{path}/event_date={{{','.join(map(str, dates))}}}" if by_date else path
+        try:
+            return spark.read.format(fmt).option("basePath", path).load(where)
+        except Exception as e:
+            if nothing_written(e):
+                return None
+            raise
+    return Sink(name, write, existing, wants_event_date=True, needs=partition_by)
 
 
 def landing_sink(name: str, path: str, fmt: str = "parquet") -> Sink:
-    """The batch as delivered, partitioned by ``batch_id``: the source for
-    re-delivering a batch to a sink that failed (``deliver.redeliver``).
-    Listing one batch reads one folder."""
+    """The batch as delivered, with its source positions, in one folder per
+    ``batch_id``: the source for re-delivering a batch to a sink that failed
+    (``deliver.redeliver``).  Batch ids are those of one query: give every
+    query a path of its own."""
     def write(df: DataFrame, batch_id: int) -> None:
-        (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").format(fmt)
-         .partitionBy("batch_id").save(path))
-    return Sink(name, write, wants_event_date=True)
+        # a batch's folder is replaced, so a replay leaves one copy
+        df.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+    return Sink(name, write, wants_event_date=True, keeps_positions=True)
 
 
 def table_sink(name: str, table: str, using: str = "parquet") -> Sink:
@@ -81,13 +105,17 @@ def table_sink(name: str, table: str, using: str = "parquet") -> Sink:
         if using.lower() == "iceberg":
             df.writeTo(table).append()
         else:
-            cols = df.sparkSession.table(table).columns
-            with_event_date(df).hint("rebalance", "event_date").select(*cols).write.insertInto(table)
+            columns = df.sparkSession.table(table).schema
+            out = with_event_date(df).hint("rebalance", "event_date")
+            # rows of an older schema, or one with removed fields, have NULL in the columns they lack
+            out.select(*[F.col(f.name) if f.name in out.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in columns.fields]).write.insertInto(table)
 
     def existing(spark, dates=None):
-        # catalog tables prune partitions from metadata; no listing of the table
+        # a literal date filter prunes partitions from the catalog's metadata
         t = spark.table(table)
-        return t if "event_date" in t.columns else with_event_date(t)
+        t = t if "event_date" in t.columns else with_event_date(t)
+        return t if dates is None else t.filter(F.col("event_date").isin(*dates))
     return Sink(name, write, existing, wants_event_date=using.lower() != "iceberg")
 
 
@@ -96,7 +124,9 @@ def iceberg_sink(name: str, database: str, table: str, merge: bool = False) -> S
 
     ``merge=True`` (K8 for table formats with MERGE): insert only events whose
     ``event_id`` the table does not hold yet, in one atomic commit, so a
-    replayed batch is a no-op even without the ledger.
+    replayed batch is a no-op even without the ledger.  The match is on the
+    key alone, over the whole table: the event time of a row without a usable
+    time text is the batch time, which a replay changes.
     """
     full = f"{database}.{table}"
     if not merge:
@@ -109,25 +139,29 @@ def iceberg_sink(name: str, database: str, table: str, merge: bool = False) -> S
             df.sparkSession.sql(merge_insert_sql(full, view, df.columns))
         finally:
             df.sparkSession.catalog.dropTempView(view)
-    return Sink(name, write)
+
+    def existing(spark, dates=None):
+        t = with_event_date(spark.table(full))
+        return t if dates is None else t.filter(F.col("event_date").isin(*dates))
+    return Sink(name, write, existing)
 
 
 def merge_insert_sql(table: str, view: str, columns: list[str], key: str = "event_id") -> str:
-    """``MERGE INTO`` that inserts rows with new keys only.  The day of the
-    event time is in the match condition so the table's ``days(timestamp)``
-    partitions prune the lookup."""
+    """``MERGE INTO`` that inserts rows with new keys only."""
     cols = ", ".join(f"`{c}`" for c in columns)
     vals = ", ".join(f"s.`{c}`" for c in columns)
     return (f"MERGE INTO {table} t USING {view} s "
-            f"ON t.`{key}` = s.`{key}` AND CAST(t.`timestamp` AS DATE) = CAST(s.`timestamp` AS DATE) "
+            f"ON t.`{key}` = s.`{key}` "
             f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})")
 
 
-def jdbc_options(url: str, table: str, user: str, password: str, driver: str, num_partitions: int = 8,
+def jdbc_options(url: str, table: str, user: str, password: str, driver: str, num_partitions: int | None = None,
                  batchsize: int = 10_000, column_types: str | None = None,
                  table_options: str | None = None) -> dict[str, str]:
     opts = {"url": url, "dbtable": table, "user": user, "password": password, "driver": driver,
-            "numPartitions": str(num_partitions), "batchsize": str(batchsize)}
+            "batchsize": str(batchsize)}
+    if num_partitions:
+        opts["numPartitions"] = str(num_partitions)
     if column_types:
         opts["createTableColumnTypes"] = column_types
     if table_options:
@@ -136,10 +170,10 @@ def jdbc_options(url: str, table: str, user: str, password: str, driver: str, nu
 
 
 def jdbc_sink(name: str, url: str, table: str, user: str, password: str = "", driver: str | None = None,
-              num_partitions: int = 8, batchsize: int = 10_000, column_types: str | None = None,
+              num_partitions: int | None = None, batchsize: int = 10_000, column_types: str | None = None,
               table_options: str | None = None) -> Sink:
-    """K2: JDBC append.  ``numPartitions`` caps concurrent connections (Spark
-    coalesces to it); ``batchsize`` rows go per round trip.  The table is
+    """K2: JDBC append.  ``num_partitions`` caps concurrent connections (Spark
+    coalesces to it; unset, every task of the batch writes); ``batchsize`` rows go per round trip.  The table is
     created by the first append when it does not exist."""
     opts = jdbc_options(url, table, user, password, driver or "", num_partitions, batchsize, column_types,
                         table_options)
@@ -152,8 +186,10 @@ def jdbc_sink(name: str, url: str, table: str, user: str, password: str = "", dr
 
 
 def postgres_column_types(schema: VersionedSchema | None = None) -> str:
-    """D2/D11 for JDBC: the string fields as ``VARCHAR(255)`` (the other
-    types map to the same Postgres types Spark's dialect already uses)."""
+    """D2/D11 for JDBC: string fields as ``VARCHAR(255)``.  Spark's writer
+    can create JSON fields only as ``TEXT``: ``createTableColumnTypes`` takes
+    Spark types and ``JSONB`` is none, so a table with JSONB columns has to be
+    created beforehand (``sql_type(field, "postgres")`` has the types)."""
     schema = schema or event_schema()
     return ", ".join(f"{f.name} VARCHAR(255)" for f in schema.struct.fields
                      if (f.metadata or {}).get("logical_type") == "string")
@@ -164,7 +200,7 @@ POSTGRES_DRIVER = "org.postgresql.Driver"  # fixed value: the Postgres JDBC driv
 
 def postgres_options(host: str, port: int, database: str, table: str, user: str | None = None,
                      password: str | None = None, schema: VersionedSchema | None = None,
-                     num_partitions: int = 8, batchsize: int = 10_000) -> dict[str, str]:
+                     num_partitions: int | None = None, batchsize: int = 10_000) -> dict[str, str]:
     """JDBC writer options for Postgres (user defaults to ``postgres``)."""
     return jdbc_options(f"jdbc:postgresql://{host}:{port}/{database}", table, user or "postgres", password or "",
                         POSTGRES_DRIVER, num_partitions, batchsize, postgres_column_types(schema))
@@ -177,6 +213,7 @@ def postgres_sink(name: str, host: str, port: int, database: str, table: str, us
                      password or "", POSTGRES_DRIVER, column_types=postgres_column_types(schema), **kw)
 
 
+# fixed value: the MergeTree layout
 CLICKHOUSE_TABLE_OPTIONS = "ENGINE = MergeTree() ORDER BY (timestamp, event_id) PARTITION BY toYYYYMM(timestamp)"
 
 
@@ -200,7 +237,7 @@ CLICKHOUSE_DRIVER = "com.clickhouse.jdbc.ClickHouseDriver"  # fixed value: Click
 
 
 def clickhouse_jdbc_options(host: str, port: int, database: str, table: str, user: str | None = None,
-                            password: str | None = None, num_partitions: int = 8,
+                            password: str | None = None, num_partitions: int | None = None,
                             batchsize: int = 100_000) -> dict[str, str]:
     """D10 over JDBC: the first append creates a MergeTree table with the
     ``(timestamp, event_id)`` sorting key and monthly partitions."""

@@ -17,8 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
-from quayside.session import spread_for_cpu
-
 ENVELOPE_SCHEMA = StructType([
     StructField("key", BinaryType()),
     StructField("value", BinaryType()),
@@ -151,19 +149,19 @@ def read_envelope_files(spark: SparkSession, path: str, streaming: bool = False,
                         max_files_per_trigger: int | None = None, partitions: int | None = None) -> DataFrame:
     """Envelope Parquet files, batch or as a file stream with a fixed schema.
 
-    A micro-batch has one task per file split, so a trigger of a few small
-    files parses on a few cores.  ``partitions`` spreads each micro-batch's
-    raw envelopes (a round-robin shuffle of the undecoded rows) before the
-    CPU-heavy decode; leave it unset when files are large or many.  Batch
-    reads are spread automatically only when they have fewer splits than
-    task slots.
+    A read has one task per file split.  Where files are few and small for the
+    cores at hand, ``partitions`` spreads the raw envelopes (a round-robin
+    shuffle of the undecoded rows) before the CPU-heavy decode; leave it
+    unset when files are large or many, or set Spark's own split size
+    (``spark.sql.files.maxPartitionBytes``).
     """
-    if not streaming:
-        return spread_for_cpu(spark.read.schema(ENVELOPE_SCHEMA).parquet(path))
-    reader = spark.readStream.schema(ENVELOPE_SCHEMA).format("parquet")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = reader.load(path)
+    if streaming:
+        reader = spark.readStream.schema(ENVELOPE_SCHEMA).format("parquet")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        df = reader.load(path)
+    else:
+        df = spark.read.schema(ENVELOPE_SCHEMA).parquet(path)
     return df.repartition(partitions) if partitions else df
 
 

@@ -59,7 +59,8 @@ def read_kafka(spark: SparkSession, options: dict[str, str], streaming: bool = T
     if not streaming:
         opts.pop("maxOffsetsPerTrigger", None)
         if opts.get("startingOffsets") == "latest":
-            opts["startingOffsets"] = "earliest"
+            raise ValueError("a batch read that starts at the latest offsets reads nothing: "
+                             "give starting_offsets='earliest' or explicit offsets")
         # split large offset ranges over every task slot; unlike a repartition
         # this moves no data (each task reads its own offset sub-range)
         opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))

@@ -64,19 +64,38 @@ def test_keep_first_with_a_hot_key(spark):
 
 def test_replay_check_prunes_target_partitions(spark, tmp_dir):
     """Against-sink dedup reads only the batch's date partitions of the
-    target (dynamic partition pruning) and only the key column."""
+    target and only the key column."""
+    import datetime as dt
+
     from pyspark.sql import functions as F
     from quayside.operators.dedup import drop_existing
     from quayside.sinks.writers import files_sink
     acc = _accepted(spark).withColumn("event_date", F.to_date("timestamp"))
     files_sink("t", f"{tmp_dir}/t").write(acc.drop("partition", "offset"), 0)
-    batch = acc.filter(F.col("event_date") >= F.lit("2024-01-20").cast("date"))
-    for keys in (None, 100):
-        out = drop_existing(batch, spark.read.parquet(f"{tmp_dir}/t"), batch_keys=keys)
-        out.collect()
-        plan = _plan(out)
-        scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "event_date" in line
-                 and "PartitionFilters" in line]
-        assert scans and all("dynamicpruningexpression" in s or "event_date" in s.split("PartitionFilters")[1][:80]
-                             for s in scans)
-        assert any("ReadSchema: struct<event_id:string>" in s for s in scans)
+    batch = acc.filter(F.col("event_date") == F.lit("2024-01-20").cast("date"))
+    out = drop_existing(batch, spark.read.parquet(f"{tmp_dir}/t"), dates=[dt.date(2024, 1, 20)])
+    assert out.count() == 0
+    plan = _plan(out)
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "PartitionFilters: [" in line
+             and "event_date" in line.split("PartitionFilters: [")[1].split("]")[0]]
+    assert scans and all("2024-01-20" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans)
+    assert any("ReadSchema: struct<event_id:string>" in s for s in scans)
+
+
+def test_registered_reads_add_no_shuffle(spark):
+    from quayside.plans import registry
+    for name in ("envelope_parse", "accepted_events", "rejected_events", "user_transform"):
+        plan = _plan(registry.QUERIES[name](spark, SF))
+        assert "Exchange" not in plan, name
+
+
+def test_transform_reads_its_input_once(spark):
+    from quayside.plans import registry
+    assert _plan(registry.QUERIES["user_transform"](spark, SF)).count("FileScan parquet") == 1
+
+
+def test_accepted_rows_carry_no_raw_value(spark):
+    env = envelope_from_events(spark.read.parquet(f"{SF}/events.parquet"))
+    p = process_events(env, as_of=AS_OF)
+    assert p.filter("reject_reason IS NULL AND raw_value IS NOT NULL").count() == 0
+    assert p.filter("reject_reason IS NOT NULL AND raw_value IS NULL").count() == 0

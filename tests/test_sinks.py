@@ -11,7 +11,8 @@ def test_postgres_options():
     assert o["url"] == "jdbc:postgresql://db:5432/events"
     assert o["driver"] == "org.postgresql.Driver"
     assert o["user"] == "postgres" and o["password"] == ""
-    assert o["dbtable"] == "stream_events" and o["numPartitions"] == "8"
+    assert o["dbtable"] == "stream_events" and "numPartitions" not in o
+    assert postgres_options("db", 5432, "events", "t", num_partitions=3)["numPartitions"] == "3"
     assert o["createTableColumnTypes"] == "event_id VARCHAR(255), event_type VARCHAR(255), source VARCHAR(255)"
 
 

@@ -24,6 +24,8 @@ def test_kafka_options_defaults():
 
 def test_kafka_needs_its_package(spark):
     with pytest.raises(MissingConnectorError):
+        read_kafka(spark, kafka_options("localhost:1", "t", starting_offsets="earliest"), streaming=False)
+    with pytest.raises(ValueError):   # a batch read of nothing is refused, not turned into a read of everything
         read_kafka(spark, kafka_options("localhost:1", "t"), streaming=False)
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import AS_OF
 from quayside.plans.ingest import accepted_conformed, process_events
+from quayside.sinks.deliver import read_ledger
 from quayside.sinks.writers import files_sink
 from quayside.sources.envelope import envelope_from_events, read_envelope_files, write_envelope_files
 from quayside.streaming.stream import dedup_within_watermark, handle_batch, start_stream
@@ -29,13 +30,13 @@ def test_stream_matches_batch(spark, tmp_dir, landed, per_trigger):
     src, expected = landed
     stream = read_envelope_files(spark, src, streaming=True, max_files_per_trigger=per_trigger)
     q = start_stream(process_events(stream, as_of=AS_OF), [files_sink("out", f"{tmp_dir}/out")],
-                     ledger_path=f"{tmp_dir}/ledger", quarantine=files_sink("q", f"{tmp_dir}/q", partition_by=()),
+                     ledger_path=f"{tmp_dir}/ledger", quarantine=files_sink("q", f"{tmp_dir}/q"),
                      checkpoint=f"{tmp_dir}/ckpt", trigger={"availableNow": True}, metrics_path=f"{tmp_dir}/m")
     q.awaitTermination()
     assert _rows(spark.read.parquet(f"{tmp_dir}/out")) == expected
     metrics = spark.read.parquet(f"{tmp_dir}/m")
     assert metrics.agg(F.sum("events")).first()[0] == spark.read.parquet(src).count()
-    ledger = spark.read.parquet(f"{tmp_dir}/ledger")
+    ledger = read_ledger(spark, f"{tmp_dir}/ledger")
     assert ledger.select("batch_id").distinct().count() == 4 // per_trigger
     total = spark.read.parquet(f"{tmp_dir}/out").count() + spark.read.parquet(f"{tmp_dir}/q").count()
     assert total == spark.read.parquet(src).count()       # every row has exactly one outcome
@@ -60,7 +61,7 @@ def test_replayed_batch_is_not_duplicated(spark, tmp_dir, landed):
     src, _ = landed
     processed = process_events(read_envelope_files(spark, src), as_of=AS_OF)
     sink = files_sink("out", f"{tmp_dir}/out")
-    handle_batch(processed, 0, [sink], f"{tmp_dir}/ledger", dedup=True)
+    handle_batch(processed, 0, [sink], f"{tmp_dir}/ledger", "r", dedup=True)
     handle_batch(processed, 0, [sink], None, dedup=True)          # ledger lost: sink read-back guards
     ids = spark.read.parquet(f"{tmp_dir}/out").groupBy("event_id").count()
     assert ids.filter("count > 1").count() == 0
@@ -85,3 +86,45 @@ def test_watermark_dedup_is_streaming(spark, tmp_dir, landed):
     acc = accepted_conformed(process_events(stream, as_of=AS_OF))
     d = dedup_within_watermark(acc)
     assert d.isStreaming
+
+
+def test_a_stream_needs_a_checkpoint(spark, landed):
+    stream = read_envelope_files(spark, landed[0], streaming=True)
+    with pytest.raises(TypeError):
+        start_stream(process_events(stream), [files_sink("out", "unused")])
+    with pytest.raises(ValueError):
+        start_stream(process_events(stream), [files_sink("out", "unused")], "")
+    with pytest.raises(ValueError):
+        start_stream(process_events(stream), [files_sink("out", "unused")], "unused",
+                     quarantine=files_sink("q", "unused", partition_by=("nope",)))
+
+
+def test_a_new_query_is_no_replay_of_another(spark, tmp_dir, landed):
+    """Two queries whose batch ids both begin at 0 share a ledger and a sink."""
+    src, expected = landed
+    for n in (1, 2):
+        q = start_stream(process_events(read_envelope_files(spark, src, streaming=True), as_of=AS_OF),
+                         [files_sink("out", f"{tmp_dir}/out")], f"{tmp_dir}/ckpt{n}", ledger_path=f"{tmp_dir}/ledger",
+                         trigger={"availableNow": True})
+        q.awaitTermination()
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 2 * len(expected)
+    assert read_ledger(spark, f"{tmp_dir}/ledger").select("run_id").distinct().count() == 2
+
+
+def test_metrics_of_a_replayed_batch_are_replaced(spark, tmp_dir, landed):
+    processed = process_events(read_envelope_files(spark, landed[0]), as_of=AS_OF)
+    for _ in range(2):
+        handle_batch(processed, 0, [files_sink("out", f"{tmp_dir}/out")], None, "r", metrics_path=f"{tmp_dir}/m")
+    assert spark.read.parquet(f"{tmp_dir}/m").agg(F.sum("events")).first()[0] == spark.read.parquet(landed[0]).count()
+
+
+def test_transform_sees_accepted_rows_only(spark, tmp_dir, landed):
+    def upper(df):
+        assert "reject_reason" in df.columns
+        return df.withColumn("event_type", F.upper("event_type"))
+
+    processed = process_events(read_envelope_files(spark, landed[0]), as_of=AS_OF)
+    handle_batch(processed, 0, [files_sink("out", f"{tmp_dir}/out")], None, "r", quarantine=files_sink("q", f"{tmp_dir}/q"), transform=upper)
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert out.filter("event_type <> upper(event_type)").count() == 0 and out.count() == len(landed[1])
+    assert out.count() + spark.read.parquet(f"{tmp_dir}/q").count() == spark.read.parquet(landed[0]).count()
