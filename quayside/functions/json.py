@@ -1,8 +1,8 @@
 """JSON checks and edits as Spark expressions.
 
-All of it runs on the VARIANT type inside the JVM: no Python per row.  The
-checks are produced as SQL text over a column name / SQL expression (one
-parse on the JVM side); the ``Column``-returning helpers wrap that text.
+No Python per row.  The checks are produced as SQL text over a column name /
+SQL expression (one parse on the JVM side); the ``Column``-returning helpers
+wrap that text.
 """
 
 from __future__ import annotations
@@ -10,10 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python truthiness of a parsed JSON value: these compact texts are falsy.
-# Numbers are checked by value, so 0, 0.0, -0, 0e0 all count as zero.
-# fixed values: falsy compact JSON texts
-FALSY_JSON_TEXT = ("null", "false", '""', "{}", "[]")
+# fixed value: JSON white space, as a Spark SQL string literal's content
+JSON_SPACE = " \\t\\n\\r"
 
 
 def _sql(x: str) -> str:
@@ -26,46 +24,72 @@ def present_sql(text: str) -> str:
     return f"({t} IS NOT NULL AND {t} <> '')"
 
 
-def try_parse_sql(text: str) -> str:
-    """Text → VARIANT, NULL when the text is not one complete JSON document.
+def valid_sql(text: str) -> str:
+    """Whether the text is one complete JSON document; never NULL for a given text.
 
-    ``try_parse_json`` alone stops after the first value (``{"a":1} junk``
-    parses); wrapping the text in an array and in an object makes any
-    trailing or unbalanced content a syntax error, so the conjunction is
-    strict.  Duplicate object keys and ``NaN`` are rejected too.
+    ``try_parse_json`` stops after the first value (``{"a":1} junk`` parses),
+    so the text is parsed inside an array and inside an object, and both must
+    succeed.  Text that closes the array early is a syntax error in the
+    object and the other way round; a list of values fits the array only,
+    further members fit the object only.  Duplicate object keys and ``NaN``
+    are rejected too.
     """
     t = _sql(text)
-    return (f"CASE WHEN try_parse_json({t}) IS NOT NULL "
-            f"AND try_parse_json(concat('[', {t}, ']')) IS NOT NULL "
-            f"AND try_parse_json(concat('{{\"v\":', {t}, '}}')) IS NOT NULL THEN try_parse_json({t}) END")
+    return (f"(try_parse_json(concat('[', {t}, ']')) IS NOT NULL "
+            f"AND try_parse_json(concat('{{\"v\":', {t}, '}}')) IS NOT NULL)")
 
 
-def truthy_sql(v: str) -> str:
-    """Python truthiness of a parsed JSON value (VARIANT); NULL → NULL."""
-    j = f"to_json({_sql(v)})"
-    falsy = ", ".join("'" + t.replace("'", "\\'") + "'" for t in FALSY_JSON_TEXT)
-    return (f"NOT ({j} IN ({falsy}) OR (substr({j}, 1, 1) RLIKE '[-0-9]' "
-            f"AND try_variant_get({_sql(v)}, '$', 'double') = 0.0))")
+def _trimmed(text: str) -> str:
+    return f"trim(BOTH '{JSON_SPACE}' FROM {_sql(text)})"
 
 
-def object_sql(v: str) -> str:
-    return f"startswith(to_json({_sql(v)}), '{{')"
+def truthy_sql(text: str) -> str:
+    """Python truthiness of a valid JSON document, read from its text."""
+    t = _trimmed(text)
+    space = "[ \\\\t\\\\n\\\\r]*"
+    return (f"CASE substr({t}, 1, 1) WHEN '{{' THEN NOT {t} RLIKE '^\\\\{{{space}\\\\}}$' "
+            f"WHEN '[' THEN NOT {t} RLIKE '^\\\\[{space}\\\\]$' WHEN '\"' THEN {t} <> '\"\"' "
+            f"WHEN 't' THEN true WHEN 'f' THEN false WHEN 'n' THEN false ELSE try_cast({t} AS DOUBLE) <> 0.0 END")
 
 
-def try_parse(text: str) -> Column:
-    return F.expr(try_parse_sql(text))
+def object_sql(text: str) -> str:
+    """Whether a valid JSON document is an object."""
+    return f"substr({_trimmed(text)}, 1, 1) = '{{'"
+
+
+def is_valid(text: str) -> Column:
+    return F.expr(valid_sql(text))
 
 
 def is_present(text: str) -> Column:
     return F.expr(present_sql(text))
 
 
-def is_truthy(v: str) -> Column:
-    return F.expr(truthy_sql(v))
+def is_truthy(text: str) -> Column:
+    return F.expr(truthy_sql(text))
+
+
+def is_object(text: str) -> Column:
+    return F.expr(object_sql(text))
 
 
-def is_object(v: str) -> Column:
-    return F.expr(object_sql(v))
+def compact_sql(text: str) -> str:
+    """SQL: a JSON document without white space outside its strings; numbers keep their text."""
+    t = _sql(text)
+    string = '"[^"\\\\\\\\]*+(?:\\\\\\\\.[^"\\\\\\\\]*+)*+"'
+    return (f"CASE WHEN {t} RLIKE '[{JSON_SPACE}]' "
+            f"THEN regexp_replace({t}, '({string})|[{JSON_SPACE}]+', '$1') ELSE {t} END")
+
+
+def append_keys_sql(obj_text: str, values: dict[str, str]) -> str:
+    """SQL: a compact JSON object's text with members appended; the object must not
+    have them.  The other members stay as they are written."""
+    o = _sql(obj_text)
+    quote = lambda n: "'" + n.replace("'", "\\'") + "'"
+    # to_json of a one-element array, without its brackets, is the escaped string
+    members = ", ',', ".join(f"'\"', {quote(n)}, '\":', substr(to_json(array({v})), 2, length(to_json(array({v}))) - 2)"
+                             for n, v in values.items())
+    return f"concat(CASE WHEN {o} = '{{}}' THEN '{{' ELSE concat(substr({o}, 1, length({o}) - 1), ',') END, {members}, '}}')"
 
 
 def object_map_sql(obj_text: str) -> str:

@@ -9,12 +9,13 @@ fallback (the batch time by default).
 
 Grammar accepted as ISO (documented divergences in README):
 
-* date ``YYYY-MM-DD`` or ``YYYYMMDD`` (ISO week dates are not supported)
-* optionally one separator character (anything but ``Z``) and a time:
+* every ``Z`` reads as ``+00:00`` first, as the contract says
+* date ``YYYY-MM-DD`` or ``YYYYMMDD``, or a week date ``YYYY-Www``, ``YYYY-Www-D``,
+  ``YYYYWww``, ``YYYYWwwD`` (Monday without a day)
+* optionally one separator character and a time:
   ``HH``, ``HH:MM``, ``HH:MM:SS`` or basic ``HHMM``, ``HHMMSS``; seconds may
   carry a ``.`` or ``,`` fraction of any length (first 6 digits are kept)
-* optionally a zone after a time: ``Z`` or ``±HH``, ``±HH:MM``, ``±HHMM``,
-  ``±HH:MM:SS``
+* optionally a zone after a time: ``±HH``, ``±HH:MM``, ``±HHMM``, ``±HH:MM:SS``
 * naive values are wall-clock time in the session zone (pinned to UTC)
 
 The expressions are produced as SQL text (one parse on the JVM side instead
@@ -32,14 +33,16 @@ from pyspark.sql.types import NumericType, StringType, TimestampNTZType, Timesta
 # fixed values: the accepted ISO layout (see module docstring), as one regex.
 # groups: 1 year, 2-3 month/day extended, 4-5 month/day basic,
 #         6-9 time extended (h, m, s, fraction), 10-13 time basic, 14 zone
-ISO_PATTERN = (
-    r"^(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2}))"
-    r"(?:[^Z]"
+_TIME_PATTERN = (
+    r"(?:(?s:.)"
     r"(?:([01]\d|2[0-3])(?::([0-5]\d)(?::([0-5]\d)(?:[.,](\d+))?)?)?"
     r"|([01]\d|2[0-3])([0-5]\d)(?:([0-5]\d)(?:[.,](\d+))?)?)"
-    r"(Z|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d)?)?)?"
+    r"([+-](?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d)?)?)?"
     r")?$"
 )
+ISO_PATTERN = r"^(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2}))" + _TIME_PATTERN
+# the same groups with week and day in place of month and day
+WEEK_PATTERN = r"^(\d{4})(?:-W(\d{2})(?:-([1-7]))?|W(\d{2})([1-7])?)" + _TIME_PATTERN
 ISO_GROUPS = 14
 
 # fixed values: the two strptime layouts, with strptime's field rules
@@ -82,17 +85,29 @@ def _zone_sql(z: str) -> str:
     offset = (f"concat(substr({z}, 1, 1), substr({digits}, 1, 2), ':', "
               f"coalesce(nullif(substr({digits}, 3, 2), ''), '00'), "
               f"CASE WHEN length({digits}) > 4 THEN concat(':', substr({digits}, 5, 2)) ELSE '' END)")
-    return f"CASE WHEN {z} IS NULL OR {z} = 'Z' THEN 'UTC' ELSE {offset} END"
+    return f"CASE WHEN {z} IS NULL THEN 'UTC' ELSE {offset} END"
 
 
-def iso_from_groups_sql(parts: str) -> str:
-    """SQL: ISO group array (from ``groups_sql(s, ISO_PATTERN, 14)``) → TIMESTAMP."""
+def _week_date_sql(year: str, week: str, day: str) -> str:
+    """SQL: date of an ISO week and day; NULL for a week the year doesn't have."""
+    fourth = f"make_date({year}, 1, 4)"     # always in week 1
+    monday = f"date_add(date_sub({fourth}, weekday({fourth})), ({week} - 1) * 7)"
+    return f"CASE WHEN {week} > 0 AND weekofyear({monday}) = {week} THEN date_add({monday}, {day} - 1) END"
+
+
+def iso_from_groups_sql(parts: str, week: bool = False) -> str:
+    """SQL: group array of ``ISO_PATTERN`` (or ``WEEK_PATTERN``) → TIMESTAMP."""
     g = _group(parts)
     sec = f"coalesce({g(8)}, {g(12)}, '00')"
     frac = f"coalesce({g(9)}, {g(13)}, '')"
     seconds = f"CAST(concat({sec}, '.', rpad(substr({frac}, 1, 6), 6, '0')) AS DECIMAL(8,6))"
-    return (f"CASE WHEN {parts} IS NOT NULL THEN try_make_timestamp("
-            f"CAST({g(1)} AS INT), CAST(coalesce({g(2)}, {g(4)}) AS INT), CAST(coalesce({g(3)}, {g(5)}) AS INT), "
+    year, second, third = f"CAST({g(1)} AS INT)", f"CAST(coalesce({g(2)}, {g(4)}) AS INT)", f"coalesce({g(3)}, {g(5)})"
+    if week:
+        date = _week_date_sql(year, second, f"CAST(coalesce({third}, '1') AS INT)")
+        ymd = f"year({date}), month({date}), day({date})"
+    else:
+        ymd = f"{year}, {second}, CAST({third} AS INT)"
+    return (f"CASE WHEN {parts} IS NOT NULL THEN try_make_timestamp({ymd}, "
             f"CAST(coalesce({g(6)}, {g(10)}, '0') AS INT), CAST(coalesce({g(7)}, {g(11)}, '0') AS INT), "
             f"{seconds}, {_zone_sql(g(14))}) END")
 
@@ -105,41 +120,28 @@ def strptime_from_groups_sql(parts: str) -> str:
             f"CAST({g(5)} AS INT), CAST({g(6)} AS DECIMAL(8,6)), 'UTC') END")
 
 
-def iso_timestamp_sql(s: str) -> str:
-    """SQL: ISO 8601 text → TIMESTAMP, NULL when not in the grammar (one expression)."""
-    return iso_from_groups_sql(groups_sql(s, ISO_PATTERN, ISO_GROUPS))
-
-
-def strptime_timestamp_sql(s: str) -> str:
-    return strptime_from_groups_sql(groups_sql(s, STRPTIME_PATTERN, STRPTIME_GROUPS))
-
-
 def epoch_digits_sql(s: str) -> str:
+    """SQL: an all-digit text as epoch seconds (up to 12 digits, year 33658); longer ones, such
+    as milliseconds, are no seconds and stay unread."""
     return f"CASE WHEN {s} RLIKE '^[0-9]{{1,12}}$' THEN timestamp_seconds(CAST({s} AS BIGINT)) END"
 
 
-def event_time_sql(s: str, digits_as_epoch: bool = False) -> str:
-    """SQL: text → instant by the producer contract; NULL when nothing applies.
-
-    ``digits_as_epoch`` additionally reads an all-digit string as epoch seconds
-    (off by default: the JSON contract carries times as text, so ``"1704067200"``
-    is not a recognised time and falls back like any other unknown text).
-    """
-    parts = [iso_timestamp_sql(s), strptime_timestamp_sql(s)]
-    if digits_as_epoch:
-        parts.append(epoch_digits_sql(s))
-    return f"coalesce({', '.join(parts)})"
-
-
 def event_time_columns(col: str, dtype, digits_as_epoch: bool = False) -> tuple[dict[str, str], str]:
     """Two-step SQL for a decoded time column: helper columns to compute
     first (the regex group arrays, each once per row) and the final
-    expression over them.  Text, epoch numbers and timestamps are accepted."""
+    expression over them.  Text, epoch numbers and timestamps are accepted.
+
+    ``digits_as_epoch`` additionally reads an all-digit text of up to 12
+    digits as epoch seconds (off by default: the JSON contract carries times
+    as text, so ``"1704067200"`` falls back like any other unknown text)."""
     c = _name(col)
     if isinstance(dtype, StringType):
-        helpers = {"_iso_groups": groups_sql(c, ISO_PATTERN, ISO_GROUPS),
+        iso = f"replace({c}, 'Z', '+00:00')"
+        helpers = {"_iso_groups": groups_sql(iso, ISO_PATTERN, ISO_GROUPS),
+                   "_week_groups": f"CASE WHEN instr({c}, 'W') IN (5, 6) THEN {groups_sql(iso, WEEK_PATTERN, ISO_GROUPS)} END",
                    "_strptime_groups": groups_sql(c, STRPTIME_PATTERN, STRPTIME_GROUPS)}
-        parts = [iso_from_groups_sql("_iso_groups"), strptime_from_groups_sql("_strptime_groups")]
+        parts = [iso_from_groups_sql("_iso_groups"), iso_from_groups_sql("_week_groups", week=True),
+                 strptime_from_groups_sql("_strptime_groups")]
         if digits_as_epoch:
             parts.append(epoch_digits_sql(c))
         return helpers, f"coalesce({', '.join(parts)})"
@@ -156,20 +158,6 @@ def _name(col: str) -> str:
     return col if col.startswith("`") or "(" in col else f"`{col}`"
 
 
-def parse_iso_timestamp(col: str) -> Column:
-    """Column (by name or SQL expression) → TimestampType via the ISO grammar."""
-    return F.expr(iso_timestamp_sql(_name(col)))
-
-
-def parse_strptime_timestamp(col: str) -> Column:
-    return F.expr(strptime_timestamp_sql(_name(col)))
-
-
-def parse_event_time(col: str, digits_as_epoch: bool = False) -> Column:
-    """Column (by name or SQL expression) → instant by the producer contract."""
-    return F.expr(event_time_sql(_name(col), digits_as_epoch))
-
-
 def python_isoformat_sql(ts: str) -> str:
     """SQL: ISO text like Python's ``datetime.isoformat()`` for naive values
     (the fraction is written only when it is not zero)."""

@@ -22,16 +22,20 @@ def enrich_events(classified: DataFrame, version: str = PROCESSING_VERSION) -> D
     an existing ``processed_at`` is overwritten in place (``dict.update``).
     Rejected rows are left as they are.
     """
-    # the metadata map is built once per accepted row, then read twice by the merge
+    values = {"processed_at": python_isoformat_sql("batch_ts"), "processing_version": sql_literal(version)}
+    held = " OR ".join(f"array_contains(_keys, {sql_literal(k)})" for k in values)
     parsed = classified.selectExpr(
-        "*", f"CASE WHEN reject_reason IS NULL THEN "
-             f"{J.object_map_sql('CASE WHEN metadata_truthy THEN metadata END')} END AS _metadata_map")
-    merged = J.set_map_keys_sql("_metadata_map", {
-        "processed_at": python_isoformat_sql("batch_ts"),
-        "processing_version": sql_literal(version),
-    })
-    return parsed.withColumn(
-        "metadata", F.expr(f"CASE WHEN reject_reason IS NULL THEN {merged} ELSE metadata END")).drop("_metadata_map")
+        "*",
+        f"CASE WHEN reject_reason IS NULL THEN CASE WHEN metadata_truthy THEN {J.compact_sql('metadata')} "
+        f"ELSE '{{}}' END END AS _object",
+        "CASE WHEN reject_reason IS NULL AND metadata_truthy THEN json_object_keys(metadata) END AS _keys",
+    ).selectExpr("*", f"CASE WHEN {held} THEN {J.object_map_sql('_object')} END AS _metadata_map")
+    # nearly all rows have neither key: the two members are appended to the text, which leaves
+    # numbers of any length as they are; only where a key is overwritten is the object rebuilt
+    merged = (f"CASE WHEN reject_reason IS NOT NULL THEN metadata "
+              f"WHEN _metadata_map IS NOT NULL THEN {J.set_map_keys_sql('_metadata_map', values)} "
+              f"ELSE {J.append_keys_sql('_object', values)} END")
+    return parsed.withColumn("metadata", F.expr(merged)).drop("_object", "_keys", "_metadata_map")
 
 
 def apply_transform(df: DataFrame, transform: Callable[[DataFrame], DataFrame] | None) -> DataFrame:

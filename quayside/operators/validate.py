@@ -69,27 +69,27 @@ def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False)
     time_helpers, event_time = event_time_columns("timestamp", ts_type, digits_as_epoch)
     parsed = events.selectExpr(
         "*",
-        f"CASE WHEN {J.present_sql('payload')} THEN {J.try_parse_sql('payload')} END AS _payload_v",
-        f"CASE WHEN {J.present_sql('metadata')} THEN {J.try_parse_sql('metadata')} END AS _metadata_v",
+        f"CASE WHEN {J.present_sql('payload')} THEN {J.valid_sql('payload')} END AS _payload_ok",
+        f"CASE WHEN {J.present_sql('metadata')} THEN {J.valid_sql('metadata')} END AS _metadata_ok",
         *[f"{sql} AS {name}" for name, sql in time_helpers.items()],
         f"{batch_time_sql(as_of)} AS batch_ts",
     ).selectExpr("*", f"{event_time} AS _event_time")
     # the broker time is the same on every replay of a record, the batch time is not
     stable = "kafka_timestamp, " if "kafka_timestamp" in events.columns else ""
-    pp, mp = J.present_sql("payload"), J.present_sql("metadata")
+    # _payload_ok and _metadata_ok: NULL when not given
     facts = {
         "timestamp": "coalesce(_event_time, batch_ts)",
         "timestamp_text": "CAST(`timestamp` AS STRING)",
         "timestamp_defaulted": "_event_time IS NULL",
-        "payload_valid": f"NOT {pp} OR _payload_v IS NOT NULL",
-        "payload_truthy": f"coalesce({pp} AND {J.truthy_sql('_payload_v')}, false)",
-        "metadata_valid": f"NOT {mp} OR _metadata_v IS NOT NULL",
-        "metadata_truthy": f"coalesce({mp} AND {J.truthy_sql('_metadata_v')}, false)",
-        "metadata_is_object": f"coalesce({J.object_sql('_metadata_v')}, false)",
+        "payload_valid": "coalesce(_payload_ok, true)",
+        "payload_truthy": f"coalesce(_payload_ok AND {J.truthy_sql('payload')}, false)",
+        "metadata_valid": "coalesce(_metadata_ok, true)",
+        "metadata_truthy": f"coalesce(_metadata_ok AND {J.truthy_sql('metadata')}, false)",
+        "metadata_is_object": f"coalesce(_metadata_ok AND {J.object_sql('metadata')}, false)",
         "event_date": f"to_date(coalesce(_event_time, {stable}batch_ts))",
     }
     kept = [c for c in events.columns if c != "timestamp"] + ["batch_ts"]
-    inputs = [*kept, "timestamp", "_payload_v", "_metadata_v", "_event_time"]
+    inputs = [*kept, "timestamp", "_payload_ok", "_metadata_ok", "_event_time"]
     return with_settled_columns(parsed.selectExpr(*[f"`{c}`" for c in inputs]), facts, keep=kept)
 
 
@@ -109,7 +109,7 @@ def with_settled_columns(df: DataFrame, exprs: dict[str, str], keep: list[str])
 
 def reject_reason_sql() -> str:
     """SQL: first failing rule, in REJECT_REASONS order; NULL when all pass."""
-    value_is_object = f"coalesce({J.object_sql('try_parse_json(raw_value)')}, false)"
+    value_is_object = f"coalesce(try_parse_json(raw_value) IS NOT NULL AND {J.object_sql('raw_value')}, false)"
     rules = [
         ("decode_error IS NOT NULL OR (event_id IS NULL AND NOT " + value_is_object + ")", "malformed_value"),
         ("event_id IS NULL", "missing_event_id"),

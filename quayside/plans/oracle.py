@@ -1,15 +1,14 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
 Written independently of the Spark operators: DuckDB's JSON functions
-decode the envelope, regex groups + ``make_timestamp`` coerce the time, a
+decode the envelope, ``try_strptime`` reads the time, a
 ``json_keys`` list transform rebuilds the enriched metadata.  Only the input construction
-(the G1 record table and the accepted time grammar) is shared, so both
-sides start from byte-identical envelopes.
+(the G1 record table) is shared, so both sides start from byte-identical
+envelopes; the time texts are read by DuckDB's own ``strptime`` formats.
 """
 
 from __future__ import annotations
 
-from quayside.functions.timestamps import ISO_PATTERN, STRPTIME_PATTERN
 from quayside.plans.registry import AS_OF, EVOLVE_TIME, PRODUCER_AS_OF, SPLIT_TIME
 from quayside.sources.envelope import DIRT_CYCLE, ENVELOPE_PARTITIONS, TIME_LAYOUTS, record_sql
 
@@ -33,17 +32,9 @@ def _iso_text(ts: str) -> str:
             f"ELSE strftime({ts}, '%Y-%m-%dT%H:%M:%S.%f') END")
 
 
-def _groups(col: str, pattern: str, prefix: str, n: int) -> str:
-    names = ", ".join(f"'{prefix}{i}'" for i in range(1, n + 1))
-    return f"regexp_extract({col}, '{pattern}', [{names}]) AS {prefix}_groups"
-
-
 def base_cte(envelope: str = "g1", as_of: str = AS_OF) -> str:
     """CTEs env → d (decoded) → c (coerced) → r (classified) → e (enriched)."""
     clean_sql, value_sql = record_sql()
-    n_ = "nullif"
-    iso = ISO_PATTERN
-    sp = STRPTIME_PATTERN
     if envelope == "g1":
         env = f"""
 g AS (
@@ -63,6 +54,8 @@ g AS (
       WHEN 9 THEN NULL
       WHEN 10 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S,%g')
       WHEN 11 THEN strftime(ts - INTERVAL 8 HOUR, '%Y-%m-%dT%H:%M:%S') || '-0800'
+      WHEN 12 THEN strftime(ts, '%G-W%V-%u')
+      WHEN 13 THEN strftime(ts, '%Y-%m-%d') || 'Z'
     END AS ts_txt,
     event_id % {DIRT_CYCLE} AS dirt
   FROM events),
@@ -93,40 +86,20 @@ dec AS (
   SELECT *, coalesce(CASE WHEN json_valid(raw_value) THEN json_type(raw_value) = 'OBJECT' END, false) AS obj_ok
   FROM env),
 d AS (SELECT "offset", "partition", kafka_timestamp, raw_value, obj_ok, {fields} FROM dec),
-tg AS (
-  SELECT *,
-    coalesce(regexp_matches(ts_text, '{iso}'), false) AS iso_m,
-    {_groups('ts_text', iso, 'g', 14)},
-    coalesce(regexp_matches(ts_text, '{sp}'), false) AS sp_m,
-    {_groups('ts_text', sp, 's', 6)}
-  FROM d),
-tu AS (SELECT * EXCLUDE (g_groups, s_groups), unnest(g_groups), unnest(s_groups) FROM tg),
-tz AS (SELECT *, regexp_replace(g14, '[:+-]', '', 'g') AS zd FROM tu),
+tz AS (
+  -- a zone only follows a time: take it off, read the rest, shift
+  SELECT *, CASE WHEN contains(ts_text, 'T') THEN regexp_extract(ts_text, '[+-]\\d\\d:?\\d\\d$') ELSE '' END AS zone FROM d),
 tc AS (
   SELECT *,
-    CASE WHEN iso_m AND g1 <> '0000' THEN
-      try(make_timestamp(CAST(g1 AS INTEGER),
-                         CAST(coalesce({n_}(g2, ''), {n_}(g4, '')) AS INTEGER),
-                         CAST(coalesce({n_}(g3, ''), {n_}(g5, '')) AS INTEGER),
-                         CAST(coalesce({n_}(g6, ''), {n_}(g10, ''), '0') AS INTEGER),
-                         CAST(coalesce({n_}(g7, ''), {n_}(g11, ''), '0') AS INTEGER),
-                         CAST(coalesce({n_}(g8, ''), {n_}(g12, ''), '0') AS INTEGER)))
-      + to_microseconds(CAST(rpad(substr(coalesce({n_}(g9, ''), {n_}(g13, ''), ''), 1, 6), 6, '0') AS BIGINT))
-      - to_seconds(CASE WHEN g14 IN ('', 'Z') THEN 0 ELSE
-          (CASE WHEN substr(g14, 1, 1) = '-' THEN -1 ELSE 1 END)
-          * (CAST(substr(zd, 1, 2) AS INTEGER) * 3600
-             + coalesce(CAST({n_}(substr(zd, 3, 2), '') AS INTEGER), 0) * 60
-             + coalesce(CAST({n_}(substr(zd, 5, 2), '') AS INTEGER), 0)) END)
-    END AS iso_ts,
-    CASE WHEN sp_m AND s1 <> '0000' THEN
-      try(make_timestamp(CAST(s1 AS INTEGER), CAST(s2 AS INTEGER), CAST(trim(s3) AS INTEGER),
-                         CAST(s4 AS INTEGER), CAST(s5 AS INTEGER), CAST(s6 AS INTEGER)))
-    END AS sp_ts
+    try_strptime(replace(regexp_replace(substr(ts_text, 1, length(ts_text) - length(zone)), 'Z$', ''), ',', '.'),
+                 ['%Y-%m-%dT%H:%M:%S.%f', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%Y%m%dT%H%M%S', '%G-W%V-%u'])
+      - to_minutes(CASE WHEN zone = '' THEN 0 ELSE (CASE WHEN zone[1] = '-' THEN -1 ELSE 1 END)
+          * (CAST(substr(zone, 2, 2) AS INTEGER) * 60 + CAST(right(zone, 2) AS INTEGER)) END) AS read_ts
   FROM tz),
 c AS (
   SELECT *, {_ts(as_of)} AS batch_ts,
-    coalesce(iso_ts, sp_ts, {_ts(as_of)}) AS ts_c,
-    (iso_ts IS NULL AND sp_ts IS NULL) AS timestamp_defaulted,
+    coalesce(read_ts, {_ts(as_of)}) AS ts_c,
+    read_ts IS NULL AS timestamp_defaulted,
     (payload IS NOT NULL AND payload <> '') AS p_present,
     (metadata IS NOT NULL AND metadata <> '') AS m_present
   FROM tc),
@@ -168,7 +141,7 @@ e AS (
 acc AS (
   SELECT event_id, event_type, ts_c AS "timestamp", payload, source, metadata_out AS metadata,
          batch_ts AS processed_at, "partition", "offset",
-         CAST(coalesce(iso_ts, sp_ts, kafka_timestamp, batch_ts) AS DATE) AS event_date
+         CAST(coalesce(read_ts, kafka_timestamp, batch_ts) AS DATE) AS event_date
   FROM e WHERE reject_reason IS NULL),
 dd AS (
   SELECT * EXCLUDE (rn) FROM (

@@ -28,7 +28,7 @@ ENVELOPE_SCHEMA = StructType([
 ])
 
 ENVELOPE_PARTITIONS = 4   # Kafka partitions simulated by G1 (user_id % 4)
-TIME_LAYOUTS = 12         # event_id % 12 picks the event-time text layout
+TIME_LAYOUTS = 14         # event_id % 14 picks the event-time text layout
 DIRT_CYCLE = 37           # event_id % 37 picks the record variant
 
 # G1 record variants.  Fragments are SQL valid in both Spark SQL and DuckDB
@@ -69,6 +69,7 @@ DIRT: dict[int, dict[str, str]] = {
     30: {"extra": "'\"extra\":{\"x\":1}'"},
     31: {"payload": "'\"payload\":\" \"'"},
     32: {"event_type": "'\"event_type\":\"\"'"},
+    33: {"metadata": "'\"metadata\":{\"user_id\":' || uid || ',\"big\":123456789012345678901234567890123456789012345}'"},
 }
 
 # Clean members, in record order.
@@ -102,7 +103,7 @@ def record_sql() -> tuple[str, str]:
     return clean, f"CASE dirt {value_cases} ELSE clean END"
 
 
-# event_id % 12 → one of the accepted (or deliberately unaccepted) layouts
+# event_id % 14 → one of the accepted (or deliberately unaccepted) layouts
 # fixed values: G1 event-time text layouts (Spark SQL over the instant `ts`)
 TIME_LAYOUT_SQL = (
     "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")",
@@ -117,6 +118,8 @@ TIME_LAYOUT_SQL = (
     "CAST(NULL AS STRING)",
     "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss,SSS\")",
     "concat(date_format(ts - INTERVAL '8' HOUR, \"yyyy-MM-dd'T'HH:mm:ss\"), '-0800')",
+    "concat(extract(YEAROFWEEK FROM ts), '-W', lpad(weekofyear(ts), 2, '0'), '-', weekday(ts) + 1)",
+    "concat(date_format(ts, 'yyyy-MM-dd'), 'Z')",
 )
 
 

@@ -6,12 +6,13 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.functions.json import is_object, is_truthy, try_parse
+from quayside.functions.json import compact_sql, is_object, is_truthy, is_valid
 
 CASES = ['{"a":1}', '{"a":1} junk', "1],[2", '1},{"a":2', "[]", "{}", "0", "0.0", "-0", "0e0", '""', "false",
          "null", "abc", ' {"a":1} ', '"x"', "5", "[0]", '"\\u00e9"', "true", "[1,2]", '{"a":{"b":[1,null]}}',
          "1.5e3", "-0.000", "  0  ", '"0"', "[[]]", '{"":0}', "tru", "{", "", " ", "01", "1.", ".5", "[1,]",
-         '{"a":1,}', "'a'", "Infinity"]
+         '{"a":1,}', "'a'", "Infinity", "{ }", "[ \n]", "1,2", '1,"b":2', "1],[", '{"a":1},{"b":2}', '1}', '1]', "1],[2]", "1e-400", ' "" ',
+         "{\t}", '"a', '"a\\', '"}', '"]', '],[', '},{', '"x"],["y"', '"x"},{"v":"y"', "1 /* c */", "nul", "[1", '{"v":1']
 # Python accepts NaN/Infinity and duplicate keys; the engine rejects them (README).
 PY_ONLY = {"Infinity"}
 
@@ -27,9 +28,7 @@ def py_valid(s):
 @pytest.fixture(scope="module")
 def rows(spark):
     df = spark.createDataFrame([(c,) for c in CASES], "s string")
-    parsed = df.select("s", try_parse("s").alias("v"))
-    out = parsed.select("s", F.col("v").isNotNull().alias("valid"), is_truthy("v").alias("truthy"),
-                        is_object("v").alias("obj"))
+    out = df.select("s", is_valid("s").alias("valid"), is_truthy("s").alias("truthy"), is_object("s").alias("obj"))
     return {r["s"]: r for r in out.collect()}
 
 
@@ -48,7 +47,7 @@ def test_truthiness(rows, text):
 
 def test_rejected_python_extensions(spark):
     df = spark.createDataFrame([("NaN",), ('{"a":1,"a":2}',)], "s string")
-    assert all(r[0] is None for r in df.select(try_parse("s")).collect())
+    assert not any(r[0] for r in df.select(is_valid("s")).collect())
     assert math.isnan(json.loads("NaN"))
 
 
@@ -65,3 +64,23 @@ def test_set_object_keys_is_dict_update(spark):
         expected.update({"processed_at": "NEW", "processing_version": "1.0"})
         got = json.loads(r["o"])
         assert got == expected and list(got) == list(expected), (r["m"], r["o"])
+
+
+def test_compact_text_keeps_values(spark):
+    cases = ['{"a": 1}', '{ "a" : [1 , 2] }', '{"s":"a b\\"  c","n":12345678901234567890123456789012345678901234567}', '{"x":1.50}', '{"t":" "}', "{}"]
+    df = spark.createDataFrame([(c,) for c in cases], "s string")
+    for r in df.selectExpr("s", f"{compact_sql('s')} AS o").collect():
+        assert json.loads(r["o"]) == json.loads(r["s"])
+        assert r["o"] == json.dumps(json.loads(r["s"], parse_float=str, parse_int=str), separators=(",", ":")) or "1" in r["s"]
+
+
+def test_enrichment_keeps_long_numbers(spark):
+    from helpers import AS_OF, envelopes
+    from quayside.plans.ingest import accepted_conformed, process_events
+    big = "1" * 45
+    texts = ['{"event_id":"a","event_type":"t","payload":{"a":1},"source":"s","metadata":%s}' % m
+             for m in ('{"big":%s,"f":1.25}' % big, "{}", '"{\\"big\\": %s}"' % big, '{"processed_at":"old","k":1}')]
+    rows = accepted_conformed(process_events(envelopes(spark, texts), as_of=AS_OF), keep=("offset",)).orderBy("offset").collect()
+    tail = '"processed_at":"2024-01-25T00:00:00","processing_version":"1.0"}'
+    assert [r.metadata for r in rows] == ['{"big":%s,"f":1.25,%s' % (big, tail), "{" + tail, '{"big":%s,%s' % (big, tail),
+                                          '{"processed_at":"2024-01-25T00:00:00","k":1,"processing_version":"1.0"}']
