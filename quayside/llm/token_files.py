@@ -109,23 +109,22 @@ def _library(path: str) -> ChunkCache:
         """Chunks that open with a blank and have no white space at their ends read the same
         in a row as alone, so they are encoded in long rows; the bytes of the tokens tell
         which are whose.  Others are encoded one by one."""
-        out: list[bytes] = [b""] * len(chunks)
-        in_rows, alone = [], []
-        for i, c in enumerate(chunks):
-            (in_rows if c[0] == " " and c[1:] and not c[1].isspace() and not c[-1].isspace() else alone).append(i)
-        for i, e in zip(alone, tokenizer.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False)):
-            out[i] = np.array(e.ids, "<u4").tobytes()
-        for at in range(0, len(in_rows), ROW_CHUNKS):
-            some = in_rows[at:at + ROW_CHUNKS]
-            ids = np.array(tokenizer.encode_batch_fast(["".join(chunks[i] for i in some)], add_special_tokens=False)[0].ids, "<u4")
-            stops = np.searchsorted(np.cumsum(size[ids]), np.cumsum([len(chunks[i].encode()) for i in some])) + 1
-            packed, start = ids.tobytes(), 0
-            for i, stop in zip(some, (stops * 4).tolist()):
-                out[i] = packed[start:stop]
-                start = stop
-        return out
-
-    return ChunkCache(load_byte_bpe(path), resolve, lambda i: i.to_bytes(4, "little"), b"".join, split=False)
+        alone = [i for i, c in enumerate(chunks) if c[0] != " " or c[1:] != c.strip()]
+        skip = set(alone)
+        rows = chunks if not alone else [c for i, c in enumerate(chunks) if i not in skip]
+        out: list[bytes] = []
+        for at in range(0, len(rows), ROW_CHUNKS):
+            some = rows[at:at + ROW_CHUNKS]
+            ids = np.array(tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.searchsorted(np.cumsum(size[ids]), np.cumsum(np.fromiter((len(c.encode()) for c in some), np.int64, len(some)))) + 1
+            cut, packed = (4 * stops).tolist(), ids.tobytes()
+            out += [packed[a:b] for a, b in zip([0, *cut], cut)]
+        if not alone:
+            return out
+        row, single = iter(out), iter(tokenizer.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False))
+        return [np.array(next(single).ids, "<u4").tobytes() if i in skip else next(row) for i in range(len(chunks))]
+
+    return ChunkCache(load_byte_bpe(path), resolve, lambda i: i.to_bytes(4, "little"), b"".join)
 
 
 def library_ids(path: str, texts: list[str]) -> list[bytes]:
@@ -176,8 +175,8 @@ def write_token_files(df: DataFrame, path: str, out: str, end_id: int, id_col: s
 
 
 def read_documents(spark: SparkSession, out: str, id_col: str = "doc_id") -> DataFrame:
-    """(id, start, n_tokens, ids_crc32) of every document in the files under ``out``, its ids
-    read by random access; start counts the ids of all documents before it."""
+    """(id, start, n_tokens, ids_crc32) of every document in the files under ``out``; start
+    counts the ids of all documents before it."""
     files = spark.read.parquet(out)
     kind = files.schema["ids"].dataType.elementType.simpleString()
 
@@ -185,7 +184,8 @@ def read_documents(spark: SparkSession, out: str, id_col: str = "doc_id") -> Dat
         for part in slices(batches, 1):
             shard, first, ids, bounds, codes = (part.column(i)[0] for i in range(5))
             reader, cut = DacReader(codes.as_py()), bounds.as_py()
-            crc = [zlib.crc32(reader.read(a, b).astype("<u4").tobytes()) for a, b in zip(cut, cut[1:])]
+            packed = memoryview(reader.read(0, cut[-1]).astype("<u4").tobytes())       # the documents are one stretch
+            crc = [zlib.crc32(packed[4 * a:4 * b]) for a, b in zip(cut, cut[1:])]
             n = len(cut) - 1
             yield pa.RecordBatch.from_arrays([
                 pa.array([shard.as_py()] * n, pa.int32()), ids.values, pa.array(np.array(cut[:-1], np.int64) + first.as_py()),

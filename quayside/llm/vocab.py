@@ -9,6 +9,7 @@ of entries per worker: results never depend on what the cache holds.
 
 from __future__ import annotations
 
+import gc
 import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -62,19 +63,28 @@ def load_byte_bpe(path: str) -> ByteBpe:
     return ByteBpe(labels, merges, special, [ids[from_byte[b]] for b in range(256)], split)
 
 
+def pre_tokens(chunk: str) -> list[str]:
+    """The chunk as the split pattern cuts it; the two commonest kinds without a search."""
+    word = chunk[1:]
+    if chunk[:1] == " " and word:
+        if word.isalpha():                                    # letters only: one pre-token
+            return [chunk]
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():      # and one mark
+            return [chunk[:-1], word[-1]]
+    return SPLIT.findall(chunk)
+
+
 class ChunkCache:
     """Maps texts to lists of per-chunk values.
 
     ``resolve`` gets distinct pre-tokens and returns one value for each; ``special`` maps a
     special token's id to its value; ``join`` folds the values of the pre-tokens of a chunk.
-    With ``split=False`` chunks go to ``resolve`` unsplit.
     At most ``limit`` chunks are kept; when full the cache starts anew.
     """
 
     def __init__(self, vocab: ByteBpe, resolve: Callable[[list[str]], list], special: Callable[[int], object],
-                 join: Callable[[list], object], limit: int = 500_000, split: bool = True):
+                 join: Callable[[list], object], limit: int = 1_000_000):
         self.vocab, self.resolve, self.join, self.limit = vocab, resolve, join, limit
-        self.cut = SPLIT.findall if split else lambda chunk: [chunk]
         self.special = {text: special(i) for text, i in vocab.special.items()}
         self.after_blank: dict[str, object] = {}   # word -> value of " " + word
         self.as_is: dict[str, object] = {}         # chunk -> its value
@@ -84,48 +94,50 @@ class ChunkCache:
 
     def values(self, texts: list[str]) -> list[list]:
         """One list of chunk values per text, in order."""
-        cut, words, whole = [], set(), set()
+        gc.disable()   # nothing here makes cycles, and the collector would walk the caches again and again
+        try:
+            return self._values(texts)
+        finally:
+            gc.enable()
+
+    def _values(self, texts: list[str]) -> list[list]:
+        if len(self.after_blank) + len(self.as_is) > self.limit:
+            self.after_blank, self.as_is = {}, {}
+        out, holes = [], []                        # holes: cache, list, where in it a value is missing, its chunk
+
+        def look_up(cache: dict, chunks: list[str], into: list) -> None:
+            got = list(map(cache.get, chunks))
+            if None in got:
+                at = len(into)
+                holes.extend((cache, into, at + i, chunks[i]) for i, v in enumerate(got) if v is None)
+            into += got
+
         for text in texts:
-            pieces = []
+            values: list = []
             for part in self._parts(text):
                 if part in self.special:
-                    pieces.append((part, None))
+                    values.append(self.special[part])
                 elif "  " in part:   # blanks in a row belong together: the pattern itself cuts this part
-                    found = SPLIT.findall(part)
-                    whole.update(found)
-                    pieces.append((None, found))
+                    look_up(self.as_is, SPLIT.findall(part), values)
                 elif part:           # else every single blank opens a chunk
                     first, *rest = part.split(" ")
                     if first:
-                        whole.add(first)
-                    words.update(rest)
-                    pieces.append((first, rest))
-            cut.append(pieces)
-        if len(self.after_blank) + len(self.as_is) > self.limit:
-            self.after_blank, self.as_is = {}, {}
-        self._fill(words, whole)
-        blank, as_is, out = self.after_blank, self.as_is, []
-        for pieces in cut:
-            got: list = []
-            for first, rest in pieces:
-                if rest is None:
-                    got.append(self.special[first])
-                elif first is None:
-                    got.extend(map(as_is.__getitem__, rest))
-                else:
-                    if first:
-                        got.append(as_is[first])
-                    got.extend(map(blank.__getitem__, rest))
-            out.append(got)
+                        look_up(self.as_is, [first], values)
+                    look_up(self.after_blank, rest, values)
+            out.append(values)
+        if holes:
+            self._fill(list({c for cache, _, _, c in holes if cache is self.after_blank}), list({c for cache, _, _, c in holes if cache is self.as_is}))
+            for cache, values, i, chunk in holes:
+                values[i] = cache[chunk]
         return out
 
-    def _fill(self, words: set[str], whole: set[str]) -> None:
-        new_words = [w for w in words if w not in self.after_blank]
-        new_whole = [w for w in whole if w not in self.as_is]
-        cut = self.cut
-        chunks = [cut(" " + w) for w in new_words] + [cut(w) for w in new_whole]
-        distinct = list(dict.fromkeys(p for c in chunks for p in c))
-        value = dict(zip(distinct, self.resolve(distinct), strict=True)) if distinct else {}
-        folded = [value[c[0]] if len(c) == 1 else self.join([value[p] for p in c]) for c in chunks]
-        self.after_blank.update(zip(new_words, folded))
-        self.as_is.update(zip(new_whole, folded[len(new_words):]))
+    def _fill(self, words: list[str], whole: list[str]) -> None:
+        blank = self.after_blank
+        cut = [pre_tokens(" " + w) for w in words] + [pre_tokens(w) for w in whole]
+        value = {p: blank.get(p[1:]) if p[0] == " " else self.as_is.get(p) for c in cut for p in c}
+        unknown = [p for p, v in value.items() if v is None]
+        value.update(zip(unknown, self.resolve(unknown), strict=True))
+        blank.update((p[1:], value[p]) for p in unknown if p[0] == " " and p[1:].isalpha())   # such a pre-token is a chunk as well
+        got = [value[c[0]] if len(c) == 1 else self.join([value[p] for p in c]) for c in cut]
+        blank.update(zip(words, got))
+        self.as_is.update(zip(whole, got[len(words):]))
