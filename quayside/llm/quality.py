@@ -218,3 +218,51 @@ def keep_good(df: DataFrame, limits: Limits = Limits(), text_col: str = "text",
             yield part.filter(pa.array(good, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
+
+
+ORACLE = r"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lang, text IS NULL AS none, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM t),
+win AS (SELECT rid, i, words[i:i + 2] AS g FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+hit AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1),
+rep AS (SELECT rid, count(DISTINCT i + k) AS n FROM hit, (VALUES (0), (1), (2)) v(k) GROUP BY rid),
+f AS (
+  SELECT w.*, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(rep.n, 0) AS n_repeat_words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM w LEFT JOIN rep USING (rid)),
+b AS (SELECT *, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+cls AS (
+  SELECT rid, unnest([0, 1, 2, 3, 4, 5, 6]) AS k, unnest([lo, up, di, sp, sy, pu - ps, length(text) - lo - up - di - sp - sy - pu + ps])::DOUBLE AS n FROM (
+    SELECT rid, text, length(regexp_replace(text, '[^\p{Ll}\p{Lm}\p{Lo}\p{M}]', '', 'g')) AS lo, length(regexp_replace(text, '[^\p{Lu}\p{Lt}]', '', 'g')) AS up,
+      length(regexp_replace(text, '[^\p{N}]', '', 'g')) AS di, length(regexp_replace(text, '[^\p{Z}\p{Cc}]', '', 'g')) AS sp,
+      length(regexp_replace(text, '[^\p{S}#*%&]', '', 'g')) AS sy, length(regexp_replace(text, '[^\p{P}]', '', 'g')) AS pu,
+      length(regexp_replace(text, '[^#*%&]', '', 'g')) AS ps FROM b WHERE NOT base_failed)),
+wc AS (
+  SELECT rid, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word, count(*) AS n
+  FROM (SELECT rid, unnest(words) AS word FROM b WHERE NOT base_failed) GROUP BY ALL),
+good AS (SELECT rid, lang FROM b WHERE lang IS NOT NULL AND NOT none AND NOT base_failed AND n_symbols * 20 <= n_words),
+ref_c AS (SELECT lang, k, sum(n) AS n FROM cls JOIN good USING (rid) GROUP BY ALL),
+ref_w AS (SELECT lang, word, sum(n)::DOUBLE AS n FROM wc JOIN good USING (rid) GROUP BY ALL),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r, sum(n) OVER (PARTITION BY lang) AS total FROM ref_w) WHERE r <= 40),
+langs AS (SELECT lang, max(total) AS total, sum(n) AS held FROM top GROUP BY lang),
+buckets AS (SELECT lang, r, word, n / total AS q FROM top UNION ALL SELECT lang, 0, NULL, (total - held) / total FROM langs),
+doc_w AS (
+  SELECT b.rid, u.lang, u.r, u.q, coalesce(wc.n, 0)::DOUBLE / b.n_words AS p0 FROM b JOIN buckets u ON NOT b.base_failed AND b.n_words >= 100
+  LEFT JOIN wc ON wc.rid = b.rid AND wc.word = u.word),
+doc_p AS (SELECT *, CASE WHEN r = 0 THEN greatest(1 - sum(CASE WHEN r > 0 THEN p0 ELSE 0 END) OVER (PARTITION BY rid, lang), 0) ELSE p0 END AS p FROM doc_w),
+word_d AS (
+  SELECT rid, lang, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS d
+  FROM doc_p GROUP BY ALL),
+cls_p AS (
+  SELECT c.rid, r.lang, c.n / sum(c.n) OVER (PARTITION BY c.rid, r.lang) AS p, r.n / sum(r.n) OVER (PARTITION BY c.rid, r.lang) AS q
+  FROM cls c JOIN ref_c r USING (k) JOIN b ON b.rid = c.rid AND length(b.text) >= 600),
+class_d AS (
+  SELECT rid, lang, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS d
+  FROM cls_p GROUP BY ALL),
+near AS (
+  SELECT b.rid, bool_or(coalesce(c.d, 0) <= 0.185 AND coalesce(x.d, 0) <= 0.45) AS ok FROM b CROSS JOIN langs l
+  LEFT JOIN class_d c ON c.rid = b.rid AND c.lang = l.lang LEFT JOIN word_d x ON x.rid = b.rid AND x.lang = l.lang GROUP BY b.rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(near.ok, true) AS kept
+FROM b LEFT JOIN near USING (rid)
+"""

@@ -5,12 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import mixing, secret_scan
+from quayside.llm import mixing, quality, secret_scan
 from quayside.llm.ann import nearest
 from quayside.llm.bpe_automaton import bpe_round_trip
 from quayside.llm.langid import language_id
 from quayside.llm.lm_score import score_documents
-from quayside.llm.quality import quality_report
 from quayside.llm.shipping import ship_package
 from quayside.llm.simhash import simhash_components
 from quayside.llm.texts import read_table
@@ -67,7 +66,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(documents(spark, sf_dir))
+    return quality.quality_report(documents(spark, sf_dir)).drop("char_distance", "word_distance")
 
 
 QUERIES = {
@@ -86,4 +85,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op3_secret_scan": secret_scan.ORACLE,
     "op4_mix_sources": mixing.ORACLE,
+    "op10_quality_rules": quality.ORACLE,
 }

@@ -9,7 +9,7 @@ from oracle_check import compare, duck
 from quayside.llm import mixing, queries, secret_scan
 from quayside.llm.secret_scan import Rule
 
-@pytest.mark.parametrize("name", ["op3_secret_scan", "op4_mix_sources"])
+@pytest.mark.parametrize("name", ["op3_secret_scan", "op4_mix_sources", "op10_quality_rules"])
 def test_oracle(spark, name):
     r = compare(queries.QUERIES[name](spark, SF), duck(SF), queries.ORACLE_SQL[name])
     assert r["columns_match"] and r["hash_match"] and not r["type_mismatches"], r
