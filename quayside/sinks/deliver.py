@@ -29,7 +29,8 @@ from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, S
                                TimestampType)
 
 from quayside.operators.dedup import drop_existing, keep_first
-from quayside.sinks.writers import Sink, nothing_written, with_event_date
+from quayside.session import path_exists
+from quayside.sinks.writers import Sink, with_event_date
 
 LEDGER_SCHEMA = StructType([
     StructField("run_id", StringType(), False),
@@ -56,28 +57,19 @@ def _ledger_folder(ledger_path: str, run_id: str, batch_id: int) -> str:
 
 def read_ledger(spark: SparkSession, ledger_path: str | None) -> DataFrame | None:
     """All ledger rows; None when nothing was written yet.  Any other error is raised."""
-    if not ledger_path:
+    if not ledger_path or not path_exists(spark, ledger_path):
         return None
-    return _read(spark, f"{ledger_path}/*/*")
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except Exception as e:
-        if nothing_written(e):
-            return None
-        raise
+    return spark.read.schema(LEDGER_SCHEMA).parquet(f"{ledger_path}/*/*")
 
 
 def _history(spark: SparkSession, ledger_path: str | None, run_id: str | None, batch_id: int) -> dict[str, tuple[bool, int]]:
     """sink → (has the batch, attempts so far), from the one folder that can hold this batch."""
     if not ledger_path:
         return {}
-    ledger = _read(spark, _ledger_folder(ledger_path, run_id, batch_id))
-    if ledger is None:
+    folder = _ledger_folder(ledger_path, run_id, batch_id)
+    if not path_exists(spark, folder):
         return {}
-    rows = (ledger.filter(F.col("batch_id") == batch_id).groupBy("sink")
+    rows = (spark.read.schema(LEDGER_SCHEMA).parquet(folder).filter(F.col("batch_id") == batch_id).groupBy("sink")
             .agg(F.max(F.col("status").isin("ok", "empty")).alias("done"),
                  F.sum((F.col("status") != "replay_skipped").cast("int")).alias("attempts")).collect())
     return {r["sink"]: (r["done"], r["attempts"]) for r in rows}

@@ -11,10 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.schema import VersionedSchema, event_schema
+from quayside.session import path_exists
 
 WriteFn = Callable[[DataFrame, int], None]
 
@@ -41,16 +43,16 @@ class Sink:
             raise ValueError(f"sink {self.name} needs the columns {', '.join(lacking)}; the batch has {', '.join(columns)}")
 
 
-# fixed values: Spark's error classes for a path without data
-NOTHING_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
-
-def nothing_written(error: Exception) -> bool:
-    """Whether a read failed only because nothing was written there yet.  Any
-    other failure (a refused or throttled listing) must be raised: taken for
-    an empty sink it would switch the replay checks off."""
-    condition = getattr(error, "getCondition", lambda: None)()
-    return condition in NOTHING_WRITTEN
+def _read_written(reader, paths: list[str]) -> DataFrame | None:
+    """Read folders that exist; None if they hold no data file yet.  Any other
+    failure is raised: taken for an empty sink it would switch the replay
+    checks off."""
+    try:
+        return reader.load(paths)
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":   # fixed value: Spark's error class for a folder without data files
+            return None
+        raise
 
 
 def with_event_date(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
@@ -73,16 +75,12 @@ def files_sink(name: str, path: str, fmt: str = "parquet", partition_by: tuple[s
     def existing(spark, dates=None):
         """Only the given dates' partition folders are listed: a path-based
         read otherwise lists every file of the table up front."""
-        by_date = dates is not None and partition_by == ("event_date",)
-        if by_date and not dates:
-            return None
-        where = f"{path}/event_date={{{','.join(map(str, dates))}}}" if by_date else path
-        try:
-            return spark.read.format(fmt).option("basePath", path).load(where)
-        except Exception as e:
-            if nothing_written(e):
-                return None
-            raise
+        if dates is not None and partition_by == ("event_date",):
+            where = [f"{path}/event_date={d}" for d in dates]
+        else:
+            where = [path]
+        where = [w for w in where if path_exists(spark, w)]
+        return _read_written(spark.read.format(fmt).option("basePath", path), where) if where else None
     return Sink(name, write, existing, wants_event_date=True, needs=partition_by)
 
 
