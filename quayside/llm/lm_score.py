@@ -12,9 +12,11 @@ weighed by how often it occurs, one added to each piece.  A character that is no
 spelled with the byte pieces.
 
 Plan: each task turns its documents into batches of postings (a row per distinct word of the
-batch, with the documents that have it), written once.  Words are counted and scored over all
-batches; scores go back along the batches, so a frequent word costs one row per batch, not
-one per occurrence, and documents are summed up batch by batch.
+batch, with the documents that have it packed in one binary value), written once.  Words are
+counted and scored over all batches; scores go back to the postings by a join on the word,
+where a frequent word has one row per batch, not one per occurrence.  Each task of the join
+sums up what its words add to each document and sends one packed row per batch, and the rows
+of a batch are summed to its documents.
 
 Contract: null and blank texts are the end alone; ids that repeat give a row each; a null id
 reads as the empty text in the split; an empty table gives an empty result; extra columns
@@ -38,7 +40,13 @@ from quayside.session import scratch_path
 
 START = "▁"
 #: A batch is closed when it has so many distinct words, or so many words.
-BATCH_WORDS, BATCH_TOKENS = 300_000, 4_000_000
+BATCH_WORDS, BATCH_TOKENS = 400_000, 6_000_000
+#: Documents of a batch, and occurrences in one posting: both fit in 16 bits.
+MOST = 1 << 16
+#: Postings whose sums a task holds before it packs and sends them.
+POSTINGS_HELD = 2_000_000
+POSTING = np.dtype([("doc", "<u2"), ("n", "<u2")])
+SUMS = np.dtype([("doc", "<u2"), ("known", "<u4"), ("tokens", "<u4"), ("base", "<f8"), ("score", "<f8")])
 WORDS_AT_ONCE = 8_192
 END = ""                       # stands for the end in the postings; no word is empty
 
@@ -118,27 +126,31 @@ class Lattice:
 
 
 def postings(df: DataFrame, parts: int, part: int, id_col: str, text_col: str) -> DataFrame:
-    """(batch, word, c, docs, n, ids, held): a row per batch and distinct word, c counting its
+    """(batch, word, c, postings, ids, held): a row per batch and distinct word, c counting its
     training documents' occurrences only; the end's row also has the documents themselves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number: dict[bytes, int] = {}
         tokens: list[np.ndarray] = []
-        ids, held, names, count, flushed = [], [], [], 0, 0
+        ids, held, count, flushed = [], [], 0, 0
         where = TaskContext.get().partitionId()
 
         def flush() -> pa.RecordBatch:
             docs = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
             key, n = np.unique(np.concatenate(tokens).astype(np.int64) << 32 | docs, return_counts=True)
-            word, doc = key >> 32, key & 0xFFFFFFFF
-            trained = np.bincount(word, n * ~np.array(held, bool)[doc], minlength=len(number)).astype(np.int64)
-            offsets = pa.array(np.searchsorted(word, np.arange(len(number) + 1)).astype(np.int32))
+            trained = np.bincount(key >> 32, n * ~np.array(held, bool)[key & 0xFFFFFFFF], minlength=len(number)).astype(np.int64)
+            more = -(-n // (MOST - 1))                            # postings of a word that a document has very often
+            key, left = np.repeat(key, more), np.repeat(n, more)
+            left[:] -= (np.arange(len(left)) - np.repeat(np.cumsum(more) - more, more)) * (MOST - 1)
+            packed = np.empty(len(key), POSTING)
+            packed["doc"], packed["n"] = key & 0xFFFFFFFF, np.minimum(left, MOST - 1)
+            offsets = (np.searchsorted(key >> 32, np.arange(len(number) + 1)) * POSTING.itemsize).astype(np.int32)
             rows = len(number)
             empty = [None] * (rows - 1)
             return pa.RecordBatch.from_arrays([
                 pa.array(np.full(rows, where << 32 | flushed, np.int64)), pa.array(list(number), pa.binary()).cast(pa.string()), pa.array(trained),
-                pa.ListArray.from_arrays(offsets, pa.array(doc.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int32))),
+                pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(packed)]),
                 pa.array([ids, *empty], pa.list_(id_type)), pa.array([held, *empty], pa.list_(pa.bool_())),
-            ], ["batch", "word", "c", "docs", "n", "ids", "held"])
+            ], ["batch", "word", "c", "postings", "ids", "held"])
 
         for some in slices(batches):
             id_type = some.schema.field(0).type
@@ -150,7 +162,7 @@ def postings(df: DataFrame, parts: int, part: int, id_col: str, text_col: str) -
                 ids.append(i)
                 held.append(h)
                 count += len(found) + 1
-                if len(number) > BATCH_WORDS or count > BATCH_TOKENS:
+                if len(number) > BATCH_WORDS or count > BATCH_TOKENS or len(ids) == MOST:
                     yield flush()
                     number, tokens, ids, held, count, flushed = {}, [], [], [], 0, flushed + 1
         if ids:
@@ -158,7 +170,7 @@ def postings(df: DataFrame, parts: int, part: int, id_col: str, text_col: str) -
 
     kind = df.schema[id_col].dataType.simpleString()
     return (df.select(F.col(id_col).alias("id"), held_out(F.col(id_col), parts, part).alias("held"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, f"batch long, word string, c long, docs array<int>, n array<int>, ids array<{kind}>, held array<boolean>"))
+            .mapInArrow(run, f"batch long, word string, c long, postings binary, ids array<{kind}>, held array<boolean>"))
 
 
 def learn_pieces(words: DataFrame, path: str, ends: int) -> tuple[np.ndarray, float]:
@@ -203,31 +215,57 @@ def score_documents(df: DataFrame, path: str, parts: int = 7, part: int = 2, id_
     def marginals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(path, shared.value)
         for some in slices(batches, WORDS_AT_ONCE):
-            words, c = some.column(0).to_pylist(), some.column(1).to_numpy(zero_copy_only=False)
+            words = some.column(0).to_pylist()
             score = lattice.score(words)
             score[[i for i, w in enumerate(words) if w == END]] = end_logp
-            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(c > 0), pa.array(np.log10((c + 1) / (n + v + 1))), pa.array(score / np.log(10))],
-                                             ["word", "known", "base", "score"])
-
-    scored = counts.mapInArrow(marginals, "word string, known boolean, base double, score double")
-
-    def gather(table: pa.Table) -> pa.Table:
-        docs, sizes = table.column("docs").combine_chunks(), table.column("n").combine_chunks()
-        offsets = docs.offsets.to_numpy()
-        length, doc, times = np.diff(offsets), docs.flatten().to_numpy(), sizes.flatten().to_numpy()
-        end = np.flatnonzero(table.column("ids").is_valid().to_numpy(zero_copy_only=False))[0]
-        ids = table.column("ids").combine_chunks()[int(end)].values
-
-        def by_doc(values: np.ndarray) -> np.ndarray:
-            return np.bincount(doc, np.repeat(values, length) * times, minlength=len(ids))
-
-        known = table.column("known").to_numpy().astype(np.float64)
-        return pa.table({
-            "id": ids, "held_out": table.column("held").combine_chunks()[int(end)].values,
-            "n_tokens": pa.array(by_doc(np.ones(len(length))).astype(np.int64)), "n_known": pa.array(by_doc(known).astype(np.int64)),
-            "base_score": pa.array(by_doc(table.column("base").to_numpy())), "score": pa.array(by_doc(table.column("score").to_numpy())),
-        })
-
-    back = posted.select("batch", "word", "docs", "n", "ids", "held").join(scored, "word").drop("word")
-    return (back.groupBy("batch").applyInArrow(gather, f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(score / np.log(10))], ["word", "c", "score"])
+
+    scored = counts.mapInArrow(marginals, "word string, c long, score double")
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What the words of this task add to each document, packed by batch."""
+        keys, sums, held = [], [], 0
+
+        def pack() -> Iterator[pa.RecordBatch]:
+            batch, doc = (np.concatenate([k[i] for k in keys]) for i in (0, 1))
+            order = np.lexsort((doc, batch))
+            batch, doc = batch[order], doc[order]
+            first = np.flatnonzero(np.concatenate(([True], (batch[1:] != batch[:-1]) | (doc[1:] != doc[:-1]))))
+            packed = np.empty(len(first), SUMS)
+            packed["doc"] = doc[first]
+            for i, name in enumerate(("known", "tokens", "base", "score")):
+                packed[name] = np.add.reduceat(np.concatenate([x[i] for x in sums])[order], first)
+            batch = batch[first]
+            cut = np.flatnonzero(np.concatenate(([True], batch[1:] != batch[:-1], [True])))
+            yield pa.RecordBatch.from_arrays([pa.array(batch[cut[:-1]]), pa.array([packed[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], ["batch", "sums"])
+
+        for some in batches:
+            size = np.diff(np.frombuffer(some.column(1).buffers()[1], np.int32)[some.column(1).offset:][:some.num_rows + 1]) // POSTING.itemsize
+            posted = np.frombuffer(b"".join(some.column(1).to_pylist()), POSTING)
+            c, n = some.column(2).to_numpy(), posted["n"].astype(np.int64)
+            word = np.repeat(np.arange(some.num_rows), size)
+            keys.append((some.column(0).to_numpy()[word], posted["doc"]))
+            sums.append(((c > 0)[word] * n, n, np.log10((c + 1) / (total_n + total_v + 1))[word] * n, some.column(3).to_numpy()[word] * n))
+            held += len(n)
+            if held > POSTINGS_HELD:
+                yield from pack()
+                keys, sums, held = [], [], 0
+        if held:
+            yield from pack()
+
+    def gather(sums: pa.Table, docs: pa.Table) -> pa.Table:
+        ids, held = docs.column("ids").combine_chunks().flatten(), docs.column("held").combine_chunks().flatten()
+        added = np.frombuffer(b"".join(sums.column("sums").to_pylist()), SUMS)
+
+        def by_doc(name: str) -> np.ndarray:
+            return np.bincount(added["doc"], added[name], minlength=len(ids))
+
+        return pa.table({"id": ids, "held_out": held, "n_tokens": pa.array(by_doc("tokens").astype(np.int64)), "n_known": pa.array(by_doc("known").astype(np.int64)),
+                         "base_score": pa.array(by_doc("base")), "score": pa.array(by_doc("score"))})
+
+    total_n, total_v = n, v
+    # a row of the scored side per distinct word: hashed, the many postings need no sort
+    added = posted.select("batch", "word", "postings").join(scored.hint("shuffle_hash"), "word").select("batch", "postings", "c", "score").mapInArrow(add_up, "batch long, sums binary")
+    docs = posted.filter("ids IS NOT NULL").select("batch", "ids", "held")
+    return (added.groupBy("batch").cogroup(docs.groupBy("batch")).applyInArrow(gather, f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
             .select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"))

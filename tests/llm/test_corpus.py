@@ -300,3 +300,10 @@ def test_pipeline_stage_by_stage(spark, docs, tmp_dir):
 def test_pipeline_of_an_empty_table(spark, docs, tmp_dir):
     docs.limit(0).write.parquet(f"{tmp_dir}/documents.parquet")
     assert corpus_pipeline.run(spark, tmp_dir).count() == 0
+
+
+def test_a_word_that_a_document_has_very_often(spark):
+    ship_package(spark)
+    df = spark.createDataFrame([(i, "a " * n) for i, n in ((0, 70_000), (1, 65_535), (2, 131_071), (3, 1))], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_tokens, r.n_known) for r in lm_score.score_documents(df, PIECES, 1000, 999).collect()) == [
+        (0, 70_001, 70_001), (1, 65_536, 65_536), (2, 131_072, 131_072), (3, 2, 2)]
