@@ -40,6 +40,8 @@ from quayside.llm.vocab import ByteBpe, ChunkCache, load_byte_bpe
 TABLE_LIMIT = 150_000
 WORDS_AT_ONCE = 8_192
 LONG_WORD = 1_024
+#: Distinct chunks whose ids a worker keeps.
+CHUNKS_HELD = 500_000
 
 
 class MergeAutomaton:
@@ -251,7 +253,7 @@ def _encoder(path: str) -> ChunkCache:
     vocab = load_byte_bpe(path)
     machine = MergeAutomaton(vocab)
     return ChunkCache(vocab, lambda words: machine.encode_words([w.encode() for w in words]),
-                      lambda i: i.to_bytes(4, "little"), b"".join)
+                      lambda i: i.to_bytes(4, "little"), b"".join, limit=CHUNKS_HELD)
 
 
 def encode_texts(path: str, texts: list[str]) -> list[bytes]:
