@@ -7,7 +7,7 @@ words in one bucket), counted over the whole corpus.  A document that passes the
 is kept if it is near one language: for some reference, the Jensen-Shannon distances (base
 2, 0 to 1) of its character classes and of its common words are both within their limits.
 Short texts have noisy histograms: under ``LEAST_CHARS`` characters or ``LEAST_WORDS`` words
-the test in question is not made.
+the test in question is not made (``Limits`` sets other lengths; ``ORACLE`` has these).
 
 The references have one row per language label; more than ``MOST_LANGUAGES`` are refused.
 

@@ -272,6 +272,26 @@ def test_labels_agree_with_the_verdict(spark):
     assert sum(clean) >= 0.99 * len(clean) and sum(junk) <= 0.3 * len(junk)
 
 
+def added(docs, rows):
+    """``docs`` and more rows (doc_id, text, lang), in the columns of ``docs``."""
+    return docs.unionByName(docs.sparkSession.createDataFrame(rows, "doc_id long, text string, lang string"), allowMissingColumns=True).select(*docs.columns)
+
+
+def short_good(docs):
+    """A text of some 60 words from a document that passes the base rules."""
+    for r in docs.filter("lang = 'en'").orderBy("doc_id").collect():
+        t = " ".join((r.text or "").split()[:60])
+        if len(t) < 600 and "0" not in t and not plain_features(t)[5] and not plain_features(r.text)[5]:
+            return t
+
+
+def test_pipeline_judges_short_texts_by_their_characters(spark, docs):
+    junk, good = " ".join(map(str, range(1000, 1060))), short_good(docs)
+    assert len(junk) < quality.LEAST_CHARS and not plain_features(junk)[5]
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, added(docs, [(-1, junk, "en"), (-2, good, "en")]), SF).collect()}
+    assert -2 in kept and -1 not in kept
+
+
 # pipeline
 
 def test_pipeline_stage_by_stage(spark, docs, tmp_dir):
