@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest id."""
     ship_package(spark)
-    return simhash.near_dedup(docs)
+    return simhash.near_dedup(docs, by_label=False)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

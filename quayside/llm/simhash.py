@@ -198,7 +198,7 @@ def star_components(links: DataFrame) -> DataFrame:
 
 
 def near_groups(df: DataFrame, words: int = WORDS, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, row, fp, component_id) of every row."""
+    """(id, row, fp, root, component_id) of every row; root: the component's smallest fingerprint."""
     spark = df.sparkSession
 
     def written(frame: DataFrame, name: str) -> DataFrame:
@@ -212,8 +212,8 @@ def near_groups(df: DataFrame, words: int = WORDS, bits: int = BITS, id_col: str
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     # written, so that both sides of the last join are plain exchanges and a hot fingerprint can be split
-    labels = written(rooted.join(ids, "root").select(F.col("fp").alias("of"), "component_id"), "labels")
-    return docs.join(labels, F.col("fp") == F.col("of")).select("id", "row", "fp", "component_id")
+    labels = written(rooted.join(ids, "root").select(F.col("fp").alias("of"), "root", "component_id"), "labels")
+    return docs.join(labels, F.col("fp") == F.col("of")).select("id", "row", "fp", "root", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -225,12 +225,17 @@ def simhash_components(df: DataFrame, words: int = WORDS, bits: int = BITS, id_c
     return near_groups(df, words, bits, id_col, text_col).select(F.col("id").alias(id_col), hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def near_dedup(df: DataFrame, words: int = WORDS, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``df`` for each component: the one with the smallest id (nulls last), then the smallest hash of its text."""
+def near_dedup(df: DataFrame, words: int = WORDS, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text", by_label: bool = True) -> DataFrame:
+    """One row of ``df`` for each component: the one with the smallest id (nulls last), then the smallest hash of its text.
+
+    ``by_label``: components with the same ``component_id`` (an id that occurs with unrelated texts) count as one, and one row
+    of all of them stays; without it each of them keeps its own row."""
     groups = near_groups(df, words, bits, id_col, text_col)
     # ids are compared as numbers or texts; a null id comes last
     key = F.struct(F.col("id").isNull().alias("none"), "id", "row")
-    group = F.coalesce(F.col("component_id").cast("string"), hex_digits(F.col("fp")))
+    root = hex_digits(F.col("root"))
+    # the prefix tells a label from a root
+    group = F.coalesce(F.concat(F.lit("id "), F.col("component_id").cast("string")), root) if by_label else root
     keep = groups.groupBy(group.alias("group")).agg(F.min(key).alias("key")).select(F.col("key.id").alias("__id"), F.col("key.row").alias("__row")).distinct()
     kept = df.join(keep, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__row")))
     # rows repeated in full are one document

@@ -75,6 +75,25 @@ def test_one_row_of_each_component_stays(edge, none):
     assert simhash.near_dedup(none).count() == 0
 
 
+def test_pipeline_keeps_a_row_of_each_component(spark, edge):
+    rows = [(i, t) for i, t, _, _ in EDGE]
+    groups = collections.defaultdict(set)
+    for (i, t), g in zip(rows, components([plain_fingerprint(t) for _, t in rows])):
+        groups[g].add(i)
+    kept = corpus_pipeline.near_duplicates(spark, edge, SF)
+    assert kept.columns == edge.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(min((x for x in g if x is not None), default=None)) for g in groups.values())
+
+
+def test_linked_rows_without_ids_are_one(spark, edge):
+    words = [f"w{i}" for i in range(400)]
+    first, second = next((a, b) for k in range(400) if 0 < (plain_fingerprint(a := " ".join(words)) ^ plain_fingerprint(b := " ".join(words[:k] + words[k + 1:]))).bit_count() <= 2)
+    df = spark.createDataFrame([(None, first), (None, second), (None, "something else")], "doc_id long, text string")
+    for by_label in (True, False):
+        kept = [r.text for r in simhash.near_dedup(df, by_label=by_label).collect()]
+        assert len(kept) == 2 and "something else" in kept
+
+
 def test_trees_lose_no_link():
     rng = np.random.default_rng(1)
     points = [rng.integers(0, 2**63, 100, dtype=np.uint64)]
