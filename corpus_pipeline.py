@@ -16,8 +16,9 @@ from quayside.llm.shipping import ship_package
 from quayside.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-#: Character classes are tested at every length; what op10 reports follows its SQL, which tests them from 600 characters on.
-LIMITS = quality.Limits(least_chars=0)
+#: Character classes are tested at every length, and a label's own texts count as a reference only if there are enough of them.
+#: What op10 reports follows its SQL, which tests character classes from 600 characters on and takes every label.
+LIMITS = quality.Limits(least_chars=0, reference_documents=20, reference_words=2_000)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

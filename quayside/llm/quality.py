@@ -12,7 +12,8 @@ the test in question is not made (``Limits`` sets other lengths; ``ORACLE`` has
 The references have one row per language label; more than ``MOST_LANGUAGES`` are refused.
 
 Contract: a null text has no words and fails; a null language adds to no reference and is
-judged like any other; without any reference the base rules decide; ties in word counts go
+judged like any other, and so is a text whose label has no reference because it has too few
+documents or words (``Limits``); without any reference the base rules decide; ties in word counts go
 to the smaller word; repeated rows count as they come; an empty table gives an empty result;
 ``keep_good`` keeps extra columns.  Whole texts count.
 """
@@ -50,6 +51,9 @@ class Limits:
     word_distance: float = MAX_WORD_DISTANCE
     least_chars: int = LEAST_CHARS
     least_words: int = LEAST_WORDS
+    #: Documents and words that a label's reference needs, unless no label has as many.
+    reference_documents: int = 0
+    reference_words: int = 0
 
 
 @lru_cache(maxsize=1)
@@ -127,11 +131,12 @@ def verdict(text: str, words: list[bytes], references: list[Reference], limits:
     return (True, 0.0, 0.0) if best is None else (best[0] <= 1, best[1], best[2])
 
 
-def language_references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON) -> list[Reference]:
-    """References of all language labels, from the rows of ``df`` that pass the base rules."""
+def language_references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON, limits: Limits = Limits()) -> list[Reference]:
+    """References of the language labels, from the rows of ``df`` that pass the base rules."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = defaultdict(Counter)
         classes: dict[str, np.ndarray] = {}
+        documents: Counter = Counter()
 
         def rows(groups) -> pa.RecordBatch:
             flat = [(lang, kind, key, int(n)) for lang, kind, items in groups for key, n in items if n]
@@ -145,19 +150,21 @@ def language_references(df: DataFrame, text_col: str = "text", lang_col: str = "
                     continue
                 held[lang].update(map(bytes.lower, words))
                 classes[lang] = classes.get(lang, 0) + class_counts(text)
+                documents[lang] += 1
             if sum(map(len, held.values())) > WORDS_HELD:
                 yield rows((lang, 1, c.items()) for lang, c in held.items())
                 held.clear()
         yield rows((lang, 1, c.items()) for lang, c in held.items())
         yield rows((lang, 0, ((str(i).encode(), n) for i, n in enumerate(c))) for lang, c in classes.items())
+        yield rows((lang, 2, [(b"", n)]) for lang, n in documents.items())
 
     counted = (df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
                .filter("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(count, "lang string, kind int, key binary, n long")
                .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")))
-    return _references(counted, common)
+    return _references(counted, common, limits)
 
 
-def _references(counted: DataFrame, common: int) -> list[Reference]:
+def _references(counted: DataFrame, common: int, limits: Limits) -> list[Reference]:
     spark = counted.sparkSession
     path = scratch_path(spark, "quality-counts")
     counted.write.parquet(path)
@@ -166,6 +173,9 @@ def _references(counted: DataFrame, common: int) -> list[Reference]:
     # the row_number filter is applied in each task before rows of a language meet
     rows = counted.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= max(common, len(CLASSES))).collect()
     totals = {r["lang"]: r["n"] for r in counted.filter("kind = 1").groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    documents = {r["lang"]: r["n"] for r in counted.filter("kind = 2").select("lang", "n").collect()}
+    large = {lang: n for lang, n in totals.items() if n >= limits.reference_words and documents[lang] >= limits.reference_documents}
+    totals = large or totals
     if len(totals) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     out = []
@@ -182,7 +192,7 @@ def _references(counted: DataFrame, common: int) -> list[Reference]:
 
 def quality_report(df: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(id, base features, base_failed, kept, char_distance, word_distance) of every row."""
-    references = language_references(df, text_col, lang_col)
+    references = language_references(df, text_col, lang_col, limits=limits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -206,7 +216,7 @@ def quality_report(df: DataFrame, limits: Limits = Limits(), id_col: str = "doc_
 
 def keep_good(df: DataFrame, limits: Limits = Limits(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``df`` that are kept, with all their columns."""
-    references = language_references(df, text_col, lang_col)
+    references = language_references(df, text_col, lang_col, limits=limits)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -311,6 +311,16 @@ def test_pipeline_judges_short_texts_by_their_characters(spark, docs):
     assert -2 in kept and -1 not in kept
 
 
+def test_pipeline_takes_no_reference_from_a_rare_label(spark, docs):
+    junk = " ".join(map(str, range(10_000, 10_200)))
+    assert len(junk) >= quality.LEAST_CHARS and not plain_features(junk)[5]
+    rows = [(-1, junk, "rare"), (-2, junk + " 7", "en"), (-3, short_good(docs), "rarer")]
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, added(docs, rows), SF).collect()}
+    assert -3 in kept and not {-1, -2} & kept
+    alone = docs.limit(0).unionByName(added(docs, rows).filter("doc_id = -1"))       # no label has enough: all make references
+    assert len(quality.language_references(alone, limits=corpus_pipeline.LIMITS)) == 1
+
+
 # pipeline
 
 def test_pipeline_stage_by_stage(spark, docs, tmp_dir):
