@@ -10,6 +10,10 @@ vectors, and the search stops when the chi-square test holds: a candidate as nea
 k-th best found so far would, with probability ``CERTAINTY`` or more, project nearer than
 any leaf that is left.  The k best of all shards are merged.
 
+Candidates and queries are scaled by powers of two before they are multiplied, and ranked by the
+scaled products, so that squares and scores beyond the range of a double change no rank; the
+score itself may read as infinite or zero there.
+
 Every row is indexed.  Queries meet shards in blocks; a pair of blocks is one bounded task.
 
 Contract: rows without an id, and vectors that are null, empty, zero or hold a null or
@@ -21,7 +25,7 @@ all returned.  An empty table gives an empty result; extra columns play no part.
 
 from __future__ import annotations
 
-from math import exp
+from math import exp, frexp, ldexp
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +57,7 @@ def chi_square_quantile(p: float, dimensions: int) -> float:
 
 
 class ProjectedTree:
-    """kd-tree over projected unit vectors."""
+    """kd-tree over projected unit vectors; vectors and largest_norm: scaled by a power of two to about 1."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest_norm: float, dimensions: int = DIMENSIONS, leaf: int = LEAF):
         scaled = vectors / largest_norm
@@ -78,7 +82,7 @@ class ProjectedTree:
         self.high = np.array([points[x].max(axis=0) for x in leaves])
 
     def search(self, query_id: int, query: np.ndarray, k: int, limit: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and inner products of the k best found; limit: quantile of the stopping test."""
+        """Ids and inner products, as scaled as vectors and query, of the k best found; limit: quantile of the stopping test."""
         size = np.sqrt((query * query).sum())
         point = self.axes[:, :-1] @ (query / size)
         gap = np.maximum(0.0, np.maximum(self.low - point, point - self.high))
@@ -119,13 +123,17 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id",
     """(query_id, rank, vec_id, score): the k nearest found of every row whose id is divisible by ``every``."""
     spark = df.sparkSession
     vector = F.col(vector_col).cast("array<double>")
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x))
+    largest_component = F.array_max(F.transform(F.col("v"), F.abs))
+    norm = F.sqrt(F.aggregate(F.col("v"), F.lit(0.0), lambda acc, x: acc + (x / F.col("m")) * (x / F.col("m"))))      # over m, so 1 or more
     folder = scratch_path(spark, "vectors")
-    (df.select(F.col(id_col).cast("long").alias("id"), vector.alias("v"), norm.alias("norm"))
-     .filter("id IS NOT NULL AND norm > 0 AND NOT isnan(norm) AND norm < double('infinity')").write.parquet(folder))
+    (df.select(F.col(id_col).cast("long").alias("id"), vector.alias("v")).withColumn("m", largest_component)
+     .filter("id IS NOT NULL AND m > 0 AND NOT isnan(m) AND m < double('infinity') AND NOT exists(v, x -> x IS NULL)")
+     .withColumn("norm", norm).write.parquet(folder))
     rows = spark.read.parquet(folder)
-    stats = rows.agg(F.count("*").alias("n"), F.sum((F.col("id") % every == 0).cast("long")).alias("q"), F.max("norm").alias("norm"), F.max(F.size("v")).alias("width")).first()
-    largest, width, limit = stats["norm"], stats["width"], chi_square_quantile(certainty, dimensions)
+    stats = rows.agg(F.count("*").alias("n"), F.sum((F.col("id") % every == 0).cast("long")).alias("q"), F.max("m").alias("m"), F.max(F.size("v")).alias("width")).first()
+    shift = frexp(stats["m"] or 1.0)[1] - 1
+    largest = rows.agg(F.max(F.col("m") / F.lit(ldexp(1.0, shift)) * F.col("norm"))).first()[0]
+    width, limit = stats["width"], chi_square_quantile(certainty, dimensions)
     shards, blocks = max(1, -(-stats["n"] // shard_rows)), max(1, -(-(stats["q"] or 0) // block_queries))
 
     def deal(number: int, seed: int):
@@ -135,25 +143,29 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id",
         return F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
 
     candidates = rows.select(deal(shards, 1).alias("shard"), to_all(blocks).alias("block"), "id", "v")
-    queries = rows.filter(F.col("id") % every == 0).select(to_all(shards).alias("shard"), deal(blocks, 2).alias("block"), "id", "v")
+    # other names than the candidates': with the same columns on both sides Spark drops the queries' ones where not all of the result is read
+    queries = rows.filter(F.col("id") % every == 0).select(to_all(shards).alias("shard"), deal(blocks, 2).alias("block"), F.col("id").alias("asked"), F.col("v").alias("query"))
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        asked, ids, scores = [], [], []
+        asked, ids, scores, scaled = [], [], [], []
         if left.num_rows and right.num_rows:
-            tree = ProjectedTree(left.column("id").to_numpy(), _matrix(left.column("v"), width), largest, dimensions)
-            ask = _matrix(right.column("v"), width)
-            query_ids = right.column("id").to_numpy()
+            tree = ProjectedTree(left.column("id").to_numpy(), np.ldexp(_matrix(left.column("v"), width), -shift), largest, dimensions)
+            ask = _matrix(right.column("query"), width)
+            query_ids = right.column("asked").to_numpy()
             order = np.lexsort((*ask.T[::-1], query_ids))
             first = np.concatenate(([True], query_ids[order][1:] != query_ids[order][:-1]))
             for i in order[first].tolist():
-                found, score = tree.search(query_ids[i], ask[i], k, limit)
+                own = frexp(np.abs(ask[i]).max())[1] - 1
+                found, score = tree.search(query_ids[i], np.ldexp(ask[i], -own), k, limit)
                 asked.append(np.full(len(found), query_ids[i]))
                 ids.append(found)
-                scores.append(score)
+                scaled.append(score)
+                with np.errstate(over="ignore", under="ignore"):
+                    scores.append(np.ldexp(score, shift + own))
         return pa.table({"query_id": pa.array(np.concatenate(asked) if asked else [], pa.int64()), "vec_id": pa.array(np.concatenate(ids) if ids else [], pa.int64()),
-                         "score": pa.array(np.concatenate(scores) if scores else [], pa.float64())})
+                         "score": pa.array(np.concatenate(scores) if scores else [], pa.float64()), "scaled": pa.array(np.concatenate(scaled) if scaled else [], pa.float64())})
 
     found = (candidates.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block"))
-             .applyInArrow(search, "query_id long, vec_id long, score double"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+             .applyInArrow(search, "query_id long, vec_id long, score double, scaled double"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("scaled"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

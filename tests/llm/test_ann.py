@@ -69,3 +69,12 @@ def test_odd_vectors_and_ties(spark):
     assert found(ann.nearest(many, k=3, shard_rows=100))[20] == [(-5.0, 0), (-5.0, 1), (-5.0, 2)]
     assert ann.nearest(df.limit(0)).count() == 0
     assert ann.nearest(df.filter("vec_id = 0")).count() == 0
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1.0])
+def test_vectors_whose_squares_leave_the_range(spark, size):
+    ship_package(spark)
+    rows = [(i, [size * (1 + i % 7), size * (i % 5)]) for i in range(60)] + [(100, [size, None]), (120, [0.0, 0.0])]
+    want = brute(list(range(60)), np.array([v for _, v in rows[:60]]) / size, 5)
+    got = found(ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5, shard_rows=20))
+    assert {q: [v for _, v in near] for q, near in got.items()} == {q: [v for _, v in near] for q, near in want.items()}
