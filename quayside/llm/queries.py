@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import mixing, quality, secret_scan
+from quayside.llm import mixing, prefix_trie, quality, secret_scan
 from quayside.llm.ann import nearest
 from quayside.llm.bpe_automaton import bpe_round_trip
 from quayside.llm.langid import language_id
@@ -69,6 +69,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir)).drop("char_distance", "word_distance")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return prefix_trie.trie_nodes(prefix_trie.rebuilt(prefix_trie.sequences(read_table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_bpe_automaton": op1_bpe_automaton,
     "op2_stable_projections": op2_stable_projections,
@@ -80,10 +85,12 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_secret_scan": secret_scan.ORACLE,
     "op4_mix_sources": mixing.ORACLE,
     "op10_quality_rules": quality.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
 }
