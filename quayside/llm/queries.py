@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import mixing, prefix_trie, quality, secret_scan
+from quayside.llm import decontaminate, mixing, prefix_trie, quality, secret_scan
 from quayside.llm.ann import nearest
 from quayside.llm.bpe_automaton import bpe_round_trip
 from quayside.llm.langid import language_id
@@ -74,6 +74,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_nodes(prefix_trie.rebuilt(prefix_trie.sequences(read_table(spark, sf_dir, "conversations"))))
 
 
+def op12_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark")).drop("spans", "items")
+
+
 QUERIES = {
     "op1_bpe_automaton": op1_bpe_automaton,
     "op2_stable_projections": op2_stable_projections,
@@ -86,6 +90,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_suffix_decontamination": op12_suffix_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -93,4 +98,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_mix_sources": mixing.ORACLE,
     "op10_quality_rules": quality.ORACLE,
     "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_suffix_decontamination": decontaminate.ORACLE,
 }
