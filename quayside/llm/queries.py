@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import decontaminate, mixing, prefix_trie, quality, secret_scan
+from quayside.llm import collocations, decontaminate, mixing, prefix_trie, quality, secret_scan
 from quayside.llm.ann import nearest
 from quayside.llm.bpe_automaton import bpe_round_trip
 from quayside.llm.langid import language_id
@@ -78,6 +78,10 @@ def op12_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark")).drop("spans", "items")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_phrases(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_bpe_automaton": op1_bpe_automaton,
     "op2_stable_projections": op2_stable_projections,
@@ -91,6 +95,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_suffix_decontamination": op12_suffix_decontamination,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -99,4 +104,5 @@ ORACLE_SQL: dict[str, str] = {
     "op10_quality_rules": quality.ORACLE,
     "op11_prefix_trie": prefix_trie.ORACLE,
     "op12_suffix_decontamination": decontaminate.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
