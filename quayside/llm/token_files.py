@@ -11,7 +11,8 @@ close at the first document end after ``SEGMENT_TOKENS`` tokens, so a task holds
 
 Contract: null and empty text have the end id only; documents stand in ascending id order,
 null ids first, equal ids by text; repeated rows are written as they come; an empty table gives
-no segment; other columns of the input play no part.
+no segment; other columns of the input play no part.  Whole texts are encoded; a very long one makes a
+segment of its own, which a task holds with its ids (4 bytes a token).
 """
 
 from __future__ import annotations
@@ -24,17 +25,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.texts import slices, texts_of
-from quayside.llm.vocab import ChunkCache, load_byte_bpe
+from quayside.llm.vocab import load_byte_bpe
 
 SEGMENT_TOKENS = 1 << 18
 BLOCK = 512                     # bits between two entries of a rank directory
 MAGIC = b"DAC1"
 ROW_CHUNKS = 1_000              # chunks of text the library gets in one row
+GROUP_BYTES = 8 << 20           # text encoded together
+RANGE_CHARS = 64                # of a text, so that rows without an id, or with the same one, are dealt over shards
 
 
 def dac_encode(ids: np.ndarray) -> bytes:
@@ -94,74 +98,183 @@ class DacReader:
         return int(self.read(i, i + 1)[0])
 
 
+class Library:
+    """The tokenizers library on one vocabulary file."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+
+    def encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@lru_cache(maxsize=2)
+def _library(path: str) -> Library:
+    return Library(path)
+
+
+def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` that begin at ``start``, one after another."""
+    stop = np.cumsum(size)
+    return values[np.repeat(start - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+
+
+class WordIds:
+    """Ids of words that follow a blank: ``words`` in an Arrow array, their ids one after another.  At most ``limit`` words are kept."""
+
+    def __init__(self, path: str, limit: int = 1_000_000):
+        self.cache, self.limit = _library(path), limit
+        self.size_of = np.array([len(x) for x in load_byte_bpe(path).labels], np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.ids, self.size = pa.array([], pa.string()), np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def learn(self, words: pa.Array) -> np.ndarray:
+        """Adds distinct words; their places.  Those without white space at their ends read the same in a row as alone, and go to the library in long
+        rows; the bytes of the tokens tell which are whose."""
+        odd = pc.or_(pc.equal(words, ""), pc.or_(pc.not_equal(words, pc.utf8_trim_whitespace(words)), pc.match_substring_regex(words, r"^[\x1c-\x1f]|[\x1c-\x1f]$")))
+        rest, alone = words.filter(pc.invert(odd)), words.filter(odd)
+        found, sizes = [], []
+        for at in range(0, len(rest), ROW_CHUNKS):
+            some = rest.slice(at, ROW_CHUNKS)
+            ids = np.array(self.cache.encode(" " + " ".join(some.to_pylist())), np.uint32)
+            stops = np.searchsorted(np.cumsum(self.size_of[ids]), np.cumsum(pc.binary_length(some).to_numpy().astype(np.int64) + 1)) + 1
+            found.append(ids)
+            sizes.append(np.diff(stops, prepend=0))
+        for word in alone.to_pylist():
+            found.append(np.array(self.cache.encode(" " + word), np.uint32))
+            sizes.append(np.array([len(found[-1])]))
+        place, is_odd = np.empty(len(words), np.int64), odd.to_numpy(zero_copy_only=False)
+        place[~is_odd], place[is_odd] = len(self.words) + np.arange(len(rest)), len(self.words) + len(rest) + np.arange(len(alone))
+        self.words = pa.concat_arrays([self.words, rest, alone])
+        self.ids, self.size = np.concatenate([self.ids, *found]), np.concatenate([self.size, *sizes])
+        return place
+
+    def get(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where each of the distinct words' ids begin in ``ids``, and how many they are."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        new = at < 0
+        if new.any():
+            if len(self.words) + int(new.sum()) > self.limit:
+                self.clear()
+                new[:] = True
+            at[new] = self.learn(words.filter(pa.array(new)))
+        return (np.cumsum(self.size) - self.size)[at], self.size[at]
+
+
 @lru_cache(maxsize=2)
-def _library(path: str) -> ChunkCache:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-
-    size = np.array([len(x) for x in load_byte_bpe(path).labels], np.int64)
-
-    def resolve(chunks: list[str]) -> list[bytes]:
-        """Chunks that open with a blank and have no white space at their ends read the same
-        in a row as alone, so they are encoded in long rows; the bytes of the tokens tell
-        which are whose.  Others are encoded one by one."""
-        alone = [i for i, c in enumerate(chunks) if c[0] != " " or c[1:] != c.strip()]
-        skip = set(alone)
-        rows = chunks if not alone else [c for i, c in enumerate(chunks) if i not in skip]
-        out: list[bytes] = []
-        for at in range(0, len(rows), ROW_CHUNKS):
-            some = rows[at:at + ROW_CHUNKS]
-            ids = np.array(tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            stops = np.searchsorted(np.cumsum(size[ids]), np.cumsum(np.fromiter((len(c.encode()) for c in some), np.int64, len(some)))) + 1
-            cut, packed = (4 * stops).tolist(), ids.tobytes()
-            out += [packed[a:b] for a, b in zip([0, *cut], cut)]
-        if not alone:
-            return out
-        row, single = iter(out), iter(tokenizer.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False))
-        return [np.array(next(single).ids, "<u4").tobytes() if i in skip else next(row) for i in range(len(chunks))]
-
-    return ChunkCache(load_byte_bpe(path), resolve, lambda i: i.to_bytes(4, "little"), b"".join)
+def _word_ids(path: str) -> WordIds:
+    return WordIds(path)
+
+
+#: A word of letters with one of these marks at its end is two pre-tokens.
+MARKED = r"^\p{L}+[.,;:!?]$"
+
+
+def library_id_arrays(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in a row as the tokenizers library gives them, and how many each text has.
+
+    Texts are cut at single blanks, and each distinct word is encoded once, whatever stands before and after it; the first word of a
+    text, and texts with blanks in a row or special tokens, go to the library as they are."""
+    table = _word_ids(path)
+    special = load_byte_bpe(path).special
+    plain = np.fromiter(("  " not in t and not any(s in t for s in special) for t in texts), bool, len(texts))
+    split = pc.split_pattern(pa.array([t for t, ok in zip(texts, plain.tolist()) if ok], pa.string()), " ")
+    bounds = split.offsets.to_numpy().astype(np.int64)
+    coded = split.values.dictionary_encode()
+    # stems and marks stand for the words that have both
+    distinct = coded.dictionary
+    marked = pc.match_substring_regex(distinct, MARKED)
+    stem = pc.if_else(marked, pc.utf8_slice_codeunits(distinct, 0, -1), distinct).dictionary_encode()
+    start, size = table.get(stem.dictionary)
+    ids = table.ids
+    marks = pc.if_else(marked, pc.utf8_slice_codeunits(distinct, -1), "").dictionary_encode()
+    # a mark alone, the first words of texts, and the texts that are no row of words
+    others = [*marks.dictionary.to_pylist(), *split.values.take(pa.array(bounds[:-1])).to_pylist(), *(t for t, ok in zip(texts, plain.tolist()) if not ok)]
+    other_ids = [np.array(table.cache.encode(t), np.uint32) for t in others]
+    other_size = np.fromiter(map(len, other_ids), np.int64, len(others))
+    start, size = np.concatenate([start, len(ids) + np.cumsum(other_size) - other_size]), np.concatenate([size, other_size])
+    ids = np.concatenate([ids, *other_ids])
+    stems, mark = stem.indices.to_numpy().astype(np.int64), len(stem.dictionary) + marks.indices.to_numpy().astype(np.int64)
+    # pieces of all texts in a row: two for each word (the mark may be empty), one for each first word and each text as it is
+    word = coded.indices.to_numpy().astype(np.int64)
+    pieces = np.column_stack([stems[word], mark[word]])
+    first = len(stem.dictionary) + len(marks.dictionary)
+    empty = len(start)
+    start, size = np.append(start, 0), np.append(size, 0)
+    pieces[bounds[:-1], 0], pieces[bounds[:-1], 1] = first + np.arange(len(split)), empty
+    per_text = np.ones(len(texts), np.int64)
+    per_text[plain] = 2 * np.diff(bounds)
+    order = np.empty(int(per_text.sum()), np.int64)
+    as_is = np.repeat(~plain, per_text)
+    order[as_is], order[~as_is] = first + len(split) + np.arange(int((~plain).sum())), pieces.ravel()
+    n = size[order]
+    ends = np.concatenate(([0], np.cumsum(n)))[np.concatenate(([0], np.cumsum(per_text)))]
+    return gather(ids, start[order], n), np.diff(ends)
 
 
 def library_ids(path: str, texts: list[str]) -> list[bytes]:
-    """Packed ids of each text as the tokenizers library gives them; it sees each distinct chunk once."""
-    return [b"".join(v) for v in _library(path).values(texts)]
+    """Packed ids of each text as the tokenizers library gives them."""
+    ids, size = library_id_arrays(path, texts)
+    cut = (4 * np.concatenate(([0], np.cumsum(size)))).tolist()
+    packed = ids.tobytes()
+    return [packed[a:b] for a, b in zip(cut, cut[1:])]
+
+
+def _groups(batches: Iterator[pa.RecordBatch], nbytes: int) -> Iterator[pa.Table]:
+    """Rows in groups of about so many bytes."""
+    held, size = [], 0
+    for part in slices(batches, 64):
+        held.append(part)
+        size += part.nbytes
+        if size >= nbytes:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def write_token_files(df: DataFrame, path: str, out: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
                       segment_tokens: int = SEGMENT_TOKENS) -> None:
     """Encode every text, append ``end_id`` and write the segments under ``out``."""
     kind = df.schema[id_col].dataType.simpleString()
-    end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, segment, first, held, ids = TaskContext.get().partitionId(), 0, 0, [], []
-        id_type = None
+        shard, segment, first = TaskContext.get().partitionId(), 0, 0
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []          # document ids, their sizes, their token ids
 
         def close() -> pa.RecordBatch:
-            nonlocal segment, first, held, ids
-            sizes = np.fromiter((len(x) // 4 for x in held), np.int64, len(held))
-            stops = np.cumsum(sizes)
-            codes = dac_encode(np.frombuffer(b"".join(held), "<u4"))
+            nonlocal segment, first, held
+            stops = np.cumsum(np.concatenate([size for _, size, _ in held]))
+            docs = pa.concat_arrays([i for i, _, _ in held])
             batch = pa.RecordBatch.from_arrays([
-                pa.array([shard], pa.int32()), pa.array([segment], pa.int32()), pa.array([first], pa.int64()),
-                pa.array([int(stops[-1])], pa.int64()), pa.array([ids], pa.list_(id_type)),
-                pa.array([[0, *stops.tolist()]], pa.list_(pa.int64())), pa.array([codes], pa.binary()),
+                pa.array([shard], pa.int32()), pa.array([segment], pa.int32()), pa.array([first], pa.int64()), pa.array([int(stops[-1])], pa.int64()),
+                pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
+                pa.ListArray.from_arrays(pa.array([0, len(stops) + 1], pa.int32()), pa.array(np.concatenate(([0], stops)))),
+                pa.array([dac_encode(np.concatenate([x for _, _, x in held]))], pa.binary()),
             ], ["shard", "segment", "first", "n", "ids", "bounds", "codes"])
-            segment, first, held, ids = segment + 1, first + int(stops[-1]), [], []
+            segment, first, held = segment + 1, first + int(stops[-1]), []
             return batch
 
         open_tokens = 0
-        for part in slices(batches):
-            id_type = part.schema.field(0).type
-            for i, packed in zip(part.column(0).to_pylist(), library_ids(path, texts_of(part.column(1)))):
-                ids.append(i)
-                held.append(packed + end)
-                open_tokens += len(packed) // 4 + 1
+        for group in _groups(batches, GROUP_BYTES):
+            docs = group.column(0).combine_chunks()
+            ids, size = library_id_arrays(path, texts_of(group.column(1)))
+            ids = np.insert(ids, np.cumsum(size), end_id)                 # one after each document
+            stops = np.cumsum(size + 1)
+            at, done = 0, 0                                               # documents and ids of the group that are dealt with
+            while at < len(size):
+                # the first document end at or after the segment's size
+                to = min(int(np.searchsorted(stops, done + segment_tokens - open_tokens)) + 1, len(size))
+                held.append((docs.slice(at, to - at), size[at:to] + 1, ids[done:int(stops[to - 1])]))
+                open_tokens += int(stops[to - 1]) - done
+                at, done = to, int(stops[to - 1])
                 if open_tokens >= segment_tokens:
                     yield close()
                     open_tokens = 0
@@ -169,7 +282,7 @@ def write_token_files(df: DataFrame, path: str, out: str, end_id: int, id_col: s
             yield close()
 
     (df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-     .repartitionByRange("id").sortWithinPartitions("id", "text")
+     .repartitionByRange("id", F.substring("text", 1, RANGE_CHARS)).sortWithinPartitions("id", "text")
      .mapInArrow(run, f"shard int, segment int, first long, n long, ids array<{kind}>, bounds array<long>, codes binary")
      .write.parquet(out))
 
