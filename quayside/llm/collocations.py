@@ -13,8 +13,8 @@ the ranges of the other parts, each distinct part once per asking range, so a wo
 phrases share costs one look-up a range.  The request also tells the count of the longest phrase
 around a part, which settles the containment rule where the part lives.
 
-Memory: a task holds ``FLUSH_WORDS`` words and their n-grams, or one range, about ``RANGE_BYTES`` of
-text's n-grams; one text is held as 4 bytes a word.  Nothing is collected but the text's size.
+Memory: a task holds ``FLUSH_WORDS`` words and their n-grams (a text is cut where they are full, and its
+last words lead on), or one range, about ``RANGE_BYTES`` of text's n-grams.  Nothing is collected but the text's size.
 
 Contract: null text has no words, a null language reads as ``und``; repeated rows count as they come; ties
 are ordered by count, then phrase; a language without phrases has no row; an empty table gives an empty
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,15 +37,19 @@ from quayside.llm.texts import slices
 from quayside.session import scratch_path
 
 LONGEST, LEAST, INSIDE, TOP, NO_LANGUAGE = 3, 10, 50, 2000, "und"
-FLUSH_WORDS, RANGE_BYTES, CHUNK_BYTES = 1 << 21, 8 << 20, 1 << 20
-SCALE = 1_000_000
-BREAK = b"\xff"                   # stands between pieces; no byte of UTF-8
-_TABLE = bytes(0xFF if chr(c) in ".,;:!?\n\x0b\x0c\r" else c for c in range(256))
+FLUSH_WORDS, RANGE_BYTES, CHUNK_BYTES = 3 << 19, 4 << 20, 1 << 20
+SCALE, PARTS = 1_000_000, 32
+BREAK = b"\n"                    # stands between pieces
+_TABLE = bytes(0x0A if chr(c) in ".,;:!?\n\x0b\x0c\r" else 0x20 if c == 0x09 else c for c in range(256))
+#: Distinct n-grams: a column of label numbers for each word, in order, and their counts.
+Grams = tuple[list[np.ndarray], np.ndarray]
 
 
-def words_of(chunk: bytes) -> list[bytes]:
+def words_of(chunk: bytes) -> pa.Array:
     """Words of a text's chunk, with a ``BREAK`` between pieces."""
-    return chunk.lower().translate(_TABLE).replace(BREAK, b" \xff ").split()      # bytes: only A-Z are lower-cased, only blank and tab are left to split at
+    clean = chunk.lower().translate(_TABLE).replace(BREAK, b" \n ")         # bytes: only A-Z are lower-cased
+    words = pc.split_pattern(pa.array([clean], pa.binary()), b" ").flatten()
+    return words.filter(pc.greater(pc.binary_length(words), 0))
 
 
 def chunks(text: bytes, size: int = CHUNK_BYTES) -> Iterator[bytes]:
@@ -57,14 +62,6 @@ def chunks(text: bytes, size: int = CHUNK_BYTES) -> Iterator[bytes]:
         at = stop
 
 
-class Ids(dict):
-    """Numbers things in the order in which they come."""
-
-    def __missing__(self, key: bytes) -> int:
-        self[key] = n = len(self)
-        return n
-
-
 def hash_of(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
@@ -75,60 +72,83 @@ def ranges_of(lang: str, ranges: int, first: np.ndarray, second: np.ndarray | No
     if second is not None:
         mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) + second
     mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0x94D049BB133111EB)
-    return ((mixed >> np.uint64(16)) % np.uint64(ranges)).astype(np.int64)
+    return ((mixed >> np.uint64(16)) % np.uint64(ranges)).astype(np.min_scalar_type(ranges))
+
 
+def heads(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
 
-def totals(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sum of each one's counts."""
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+class Packing:
+    """Sequences of label numbers below ``size`` as single numbers in the same order; where 63 bits don't do, a prefix is replaced by its rank."""
+
+    def __init__(self, columns: list[np.ndarray], size: int):
+        self.size, self.ranks = max(2, size), []
+        self.keys, bound = columns[0].astype(np.int64), self.size
+        for column in columns[1:]:
+            seen = None
+            if bound * self.size >= 1 << 63:
+                seen = np.unique(self.keys)
+                self.keys, bound = np.searchsorted(seen, self.keys), len(seen)
+            self.ranks.append(seen)
+            self.keys, bound = self.keys * self.size + column, bound * self.size
+
+    def unpack(self, keys: np.ndarray) -> list[np.ndarray]:
+        columns = []
+        for seen in reversed(self.ranks):
+            columns.append(keys % self.size)
+            keys = keys // self.size
+            keys = keys if seen is None else seen[keys]
+        return [keys, *columns[::-1]]
 
 
 class Transducer:
     """Acyclic automaton over words.  arcs[k]: words of the arcs into the states of depth k + 1, in order of state and word; fan[k]: arcs
     out of each state of depth k; weight[k]: count of the n-gram that ends with the arc, 0 if there is none."""
 
-    def __init__(self, labels: list[bytes], arcs: list[np.ndarray], fan: list[np.ndarray], weight: list[np.ndarray]):
+    def __init__(self, labels: pa.Array, arcs: list[np.ndarray], fan: list[np.ndarray], weight: list[np.ndarray]):
         self.labels, self.arcs, self.fan, self.weight = labels, arcs, fan, weight
 
     @classmethod
-    def build(cls, labels: list[bytes], grams: list[tuple[np.ndarray, np.ndarray]]) -> "Transducer":
-        """grams[k]: distinct sequences of k + 1 label numbers (a matrix) and their counts; labels in order."""
+    def build(cls, labels: pa.Array, grams: list[Grams]) -> "Transducer":
+        """grams[k]: distinct sequences of k + 1 label numbers, sorted; labels: sorted."""
         size = max(1, len(labels))
         arcs, fan, weight = [], [], []
-        above = np.zeros(1, np.int64)                      # states of the depth above, as keys
-        state = [np.zeros(len(g), np.int64) for g, _ in grams]      # the state each n-gram's prefix has reached
-        for k in range(len(grams)):
-            key = [s * size + g[:, k] for s, (g, _) in zip(state[k:], grams[k:])]
-            states = np.unique(np.concatenate(key))
+        above = 1                                              # states of the depth above
+        state = [np.zeros(len(n), np.int64) for _, n in grams]      # the state each n-gram's prefix has reached
+        for k, (_, counts) in enumerate(grams):
+            key = [s * size + g[k] for s, (g, _) in zip(state[k:], grams[k:])]          # sorted, as the n-grams are
+            states = np.sort(np.concatenate([x[heads(x)] for x in key]))
+            states = states[heads(states)]
             arcs.append(states % size)
-            fan.append(np.bincount(states // size, minlength=len(above)))
+            fan.append(np.bincount(states // size, minlength=above))
             n = np.zeros(len(states), np.int64)
-            n[np.searchsorted(states, key[0])] = grams[k][1]
+            n[np.searchsorted(states, key[0])] = counts
             weight.append(n)
             state[k:] = [np.searchsorted(states, x) for x in key]
-            above = states
+            above = len(states)
         return cls(labels, arcs, fan, weight)
 
-    def grams(self) -> list[tuple[np.ndarray, np.ndarray]]:
+    def grams(self) -> list[Grams]:
         """The n-grams of each size and their counts, sorted."""
-        out, path = [], np.zeros((1, 0), np.int64)
+        out, path = [], []
         for arcs, fan, weight in zip(self.arcs, self.fan, self.weight):
-            path = np.column_stack([np.repeat(path, fan, axis=0), arcs])
-            out.append((path[weight > 0], weight[weight > 0]))
+            path = [*(np.repeat(p, fan) for p in path), arcs]
+            held = weight > 0
+            out.append((path, weight) if held.all() else ([p[held] for p in path], weight[held]))
         return out
 
-    def weights(self, paths: list[tuple[bytes, ...]]) -> np.ndarray:
-        """Count of each n-gram, 0 where it has none: all walk at once, an arc a step."""
-        number = {w: i for i, w in enumerate(self.labels)}
+    def weights(self, paths: pa.Array) -> np.ndarray:
+        """Count of each n-gram (words with blanks between), 0 where it has none: all walk at once, an arc a step."""
+        split = pc.split_pattern(paths, b" ")
+        length, start = np.diff(split.offsets.to_numpy()), split.offsets.to_numpy()[:-1]
+        number = pc.fill_null(pc.index_in(split.values, value_set=self.labels), -1).to_numpy(zero_copy_only=False)
         size, out = max(1, len(self.labels)), np.zeros(len(paths), np.int64)
-        length = np.fromiter(map(len, paths), np.int64, len(paths))
         state, live = np.zeros(len(paths), np.int64), np.arange(len(paths))
         for k, (arcs, fan, weight) in enumerate(zip(self.arcs, self.fan, self.weight)):
             live = live[length[live] > k]
-            word = np.fromiter((number.get(paths[i][k], -1) for i in live.tolist()), np.int64, len(live))
+            word = number[start[live] + k]
             keys = np.repeat(np.arange(len(fan)), fan) * size + arcs
             want = state[live] * size + word
             at = np.searchsorted(keys, want)
@@ -141,13 +161,14 @@ class Transducer:
         return out
 
     def pack(self) -> bytes:
+        """All but the labels."""
         wide = any(len(w) and w.max() >= 2**31 for w in self.weight)
         head = np.array([wide, len(self.arcs), *map(len, self.arcs), *map(len, self.fan)], "<i8")
         kinds = [*[(a, "<i4") for a in self.arcs], *[(a, "<i4") for a in self.fan], *[(a, "<i8" if wide else "<i4") for a in self.weight]]
-        return b"".join([head.tobytes(), *(a.astype(t).tobytes() for a, t in kinds), b"\n".join(self.labels)])
+        return b"".join([head.tobytes(), *(a.astype(t).tobytes() for a, t in kinds)])
 
     @classmethod
-    def unpack(cls, data: bytes) -> "Transducer":
+    def unpack(cls, labels: pa.Array, data: bytes) -> "Transducer":
         wide, k = np.frombuffer(data, "<i8", 2).tolist()
         sizes = np.frombuffer(data, "<i8", 2 * k, 16).tolist()
         at, out = 16 * (k + 1), []
@@ -155,100 +176,124 @@ class Transducer:
             part = np.frombuffer(data, t, n, at)
             at += part.nbytes
             out.append(part.astype(np.int64))
-        return cls(data[at:].split(b"\n") if at < len(data) else [], out[:k], out[k:2 * k], out[2 * k:])
+        return cls(labels, out[:k], out[k:2 * k], out[2 * k:])
 
 
-def ngram_counts(ids: np.ndarray, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """n-grams of a sequence of word numbers (0 between pieces), as matrices, and their counts."""
-    out, size = [], int(ids.max(initial=0)) + 1
-    rank, distinct = ids.astype(np.int64), np.arange(size)[:, None]        # number of the n-gram that begins at each place, and the n-grams by number
-    inside = ids > 0
+def sorted_labels(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Distinct words in order, and each word's number."""
+    coded = words.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    place = np.empty(len(order), np.int64)
+    place[order.to_numpy()] = np.arange(len(order))
+    return coded.dictionary.take(order), place[coded.indices.to_numpy()]
+
+
+def ngram_counts(ids: np.ndarray, stop: int, size: int, longest: int, stale: int = 0) -> list[Grams]:
+    """n-grams of a sequence of word numbers (``stop`` between pieces) and their counts; the first ``stale`` words only lead into n-grams that end after them."""
+    out, inside = [], np.ones(len(ids), bool)
     for k in range(longest):
-        if k:
-            inside = inside[:-1] & (ids[k:] > 0)
-            key = rank[:len(inside)] * size + ids[k:]
-        else:
-            key = rank
-        found, back, n = np.unique(key[inside], return_inverse=True, return_counts=True)
-        distinct = np.column_stack([distinct[found // size], found % size]) if k else found[:, None]
-        rank = np.zeros(len(inside), np.int64)
-        rank[inside] = back
-        out.append((distinct, n))
+        inside = inside[:len(ids) - k] & (ids[k:] != stop)
+        ends = inside.copy()
+        ends[:max(0, stale - k)] = False
+        packing = Packing([ids[j:len(ids) - k + j][ends] for j in range(k + 1)], size)
+        keys = np.sort(packing.keys)
+        first = heads(keys)
+        out.append((packing.unpack(keys[first]), np.diff(first, append=len(keys))))
     return out
 
 
-def union(parts: list[Transducer]) -> Transducer:
-    """One transducer with the sums of all weights."""
-    labels = sorted(set().union(*(p.labels for p in parts)))
-    number = {w: i for i, w in enumerate(labels)}
-    size, grams = max(1, len(labels)), []
-    renamed = [(np.fromiter(map(number.__getitem__, p.labels), np.int64, len(p.labels)), p.grams()) for p in parts]
+def union(parts: list[Transducer], least: int = 1) -> tuple[Transducer, int]:
+    """One transducer with the sums of all weights, without n-grams under ``least``; and the sum over single words, rare ones included."""
+    labels, number = sorted_labels(pa.concat_arrays([p.labels for p in parts]))
+    stop = np.cumsum([len(p.labels) for p in parts])
+    grams = [([number[b - len(p.labels):b], p.grams()]) for p, b in zip(parts, stop.tolist())]
+    out, words = [], 0
     for k in range(len(parts[0].arcs)):
-        paths = np.concatenate([to[g[k][0]] if len(g[k][0]) else g[k][0] for to, g in renamed])
-        counts = np.concatenate([g[k][1] for _, g in renamed])
-        # sequences as numbers: a prefix's rank and the next word
-        ranks, rank = [], paths[:, 0]
-        for j in range(1, k + 1):
-            ranks.append(np.unique(rank))
-            rank = np.searchsorted(ranks[-1], rank) * size + paths[:, j]
-        keys, n = totals(rank, counts)
-        columns = []
-        for seen in reversed(ranks):
-            columns.append(keys % size)
-            keys = seen[keys // size]
-        columns.append(keys)
-        grams.append((np.column_stack(columns[::-1]).reshape(-1, k + 1), n))
-    return Transducer.build(labels, grams)
-
-
-def frequent(t: Transducer, least: int) -> Transducer:
-    """What occurs ``least`` times or more, with the labels it needs."""
-    kept = [(g[n >= least], n[n >= least]) for g, n in t.grams()]
-    used = np.unique(np.concatenate([g.ravel() for g, _ in kept]))
-    return Transducer.build([t.labels[i] for i in used.tolist()], [(np.searchsorted(used, g), n) for g, n in kept])
+        packing = Packing([np.concatenate([to[g[k][0][j]] for to, g in grams]) for j in range(k + 1)], len(labels))
+        keys = np.sort(packing.keys)
+        keys = keys[heads(keys)]
+        n = np.zeros(len(keys), np.int64)
+        at = 0
+        for _, g in grams:                                   # each part's keys are in order and distinct
+            own = packing.keys[at:at + len(g[k][1])]
+            n[np.searchsorted(keys, own)] += g[k][1]
+            at += len(own)
+        words += int(n.sum()) if k == 0 else 0
+        out.append((packing.unpack(keys[n >= least]), n[n >= least]))
+    used = np.zeros(len(labels), bool)
+    for columns, _ in out:
+        for c in columns:
+            used[c] = True
+    place = np.cumsum(used) - 1
+    return Transducer.build(labels.filter(pa.array(used)), [([place[c] for c in columns], n) for columns, n in out]), words
+
+
+def by_range(lang: str, labels: pa.Array, hashes: np.ndarray, grams: list[Grams], ranges: int) -> Iterator[pa.RecordBatch]:
+    """A transducer for each range that has n-grams; labels: of all of them, in order."""
+    dealt = []
+    for columns, n in grams:
+        if len(columns) == 1:
+            where = ranges_of(lang, ranges, hashes[columns[0]])
+        else:                                                # n-grams with the same first two words stand together
+            change = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+            first = np.flatnonzero(np.concatenate(([True], change))) if len(n) else np.empty(0, np.int64)
+            where = np.repeat(ranges_of(lang, ranges, hashes[columns[0][first]], hashes[columns[1][first]]), np.diff(first, append=len(n)))
+        order = np.argsort(where, kind="stable")             # still sorted within a range
+        dealt.append(([c[order] for c in columns], n[order], np.searchsorted(where[order], np.arange(ranges + 1))))
+    filled = np.flatnonzero(sum(np.diff(cuts) for *_, cuts in dealt))
+    mark, place = np.zeros(len(labels), bool), np.zeros(len(labels), np.int64)
+    for some in np.array_split(filled, max(1, -(-len(filled) // 256))):
+        held, rows = [], []
+        for r in some.tolist():
+            mine = [([c[cuts[r]:cuts[r + 1]] for c in columns], n[cuts[r]:cuts[r + 1]]) for columns, n, cuts in dealt]
+            for columns, _ in mine:
+                for c in columns:
+                    mark[c] = True
+            used = np.flatnonzero(mark)
+            mark[used] = False
+            place[used] = np.arange(len(used))
+            held.append(used)
+            rows.append(Transducer.build(used, [([place[c] for c in columns], n) for columns, n in mine]).pack())
+        names = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(u) for u in held]))), pa.int32()), labels.take(pa.array(np.concatenate(held)))) if held else pa.array([], pa.list_(pa.binary()))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([lang] * len(some), pa.string()), names, pa.array(rows, pa.binary())], ["range", "lang", "labels", "automaton"])
 
 
 def transducers(df: DataFrame, ranges: int, longest: int, lang_col: str, text_col: str, flush_words: int) -> DataFrame:
-    """(range, lang, automaton): count transducers of some documents each."""
+    """(range, lang, labels, automaton): count transducers of some documents each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, held, n = Ids({BREAK: 0}), defaultdict(list), 0
+        held: dict[str, list[pa.Array]] = defaultdict(list)
+        stale, n = {}, 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            words = list(ids)
-            order = sorted(range(1, len(words)), key=words.__getitem__)
-            place = np.zeros(len(words), np.int64)             # numbers in the order of the words, from 1
-            place[order] = np.arange(1, len(words))
-            words = [words[i] for i in order]
-            hashes = np.fromiter(map(hash_of, words), np.uint64, len(words))
-            for lang, some in held.items():
-                grams = [(g - 1, c) for g, c in ngram_counts(place[np.concatenate(some)], longest)]
-                where = [ranges_of(lang, ranges, hashes[g[:, 0]], hashes[g[:, 1]] if k else None) for k, (g, _) in enumerate(grams)]
-                by_range = [np.argsort(w, kind="stable") for w in where]          # still sorted within a range
-                cuts = [np.searchsorted(w[o], np.arange(ranges + 1)) for w, o in zip(where, by_range)]
-                filled = np.flatnonzero(sum(np.diff(c) for c in cuts)).tolist()
-                for at in range(0, len(filled), 256):
-                    rows = []
-                    for r in filled[at:at + 256]:
-                        mine = [(g[o[c[r]:c[r + 1]]], n[o[c[r]:c[r + 1]]]) for (g, n), o, c in zip(grams, by_range, cuts)]
-                        used = np.unique(np.concatenate([g.ravel() for g, _ in mine]))
-                        rows.append(Transducer.build([words[i] for i in used.tolist()], [(np.searchsorted(used, g), n) for g, n in mine]).pack())
-                    yield pa.RecordBatch.from_arrays([pa.array(filled[at:at + 256], pa.int32()), pa.array([lang] * len(rows)), pa.array(rows, pa.binary())], ["range", "lang", "automaton"])
+            size = {lang: sum(map(len, some)) for lang, some in held.items()}
+            labels, ids = sorted_labels(pa.concat_arrays([pa.array([BREAK], pa.binary()), *(x for some in held.values() for x in some)]))
+            hashes = np.fromiter(map(hash_of, labels.to_pylist()), np.uint64, len(labels))
+            at = 1
+            for lang, count in size.items():
+                grams = ngram_counts(ids[at:at + count], int(ids[0]), len(labels), longest, stale.get(lang, 0))
+                at += count
+                yield from by_range(lang, labels, hashes, grams, ranges)
 
         for part in slices(batches):
+            texts = defaultdict(list)
             for lang, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
-                for chunk in chunks(text):
-                    found = words_of(chunk)
-                    n += len(found)
-                    held[lang].append(np.fromiter(map(ids.__getitem__, found), np.int32, len(found)))
-                held[lang].append(np.zeros(1, np.int32))
-            if n >= flush_words:
-                yield from flush()
-                ids, held, n = Ids({BREAK: 0}), defaultdict(list), 0
+                texts[lang].append(text)
+            for lang, some in texts.items():
+                for chunk in chunks(BREAK.join(some) + BREAK):
+                    words = words_of(chunk)
+                    held[lang].append(words)
+                    n += len(words)
+                    if n >= flush_words:
+                        yield from flush()
+                        # a chunk may end inside a text: its last words lead into the next n-grams
+                        last = pa.concat_arrays(held[lang][-longest:])
+                        last = last.slice(max(0, len(last) - longest + 1))
+                        held, stale, n = defaultdict(list, {lang: [last]}), {lang: len(last)}, 0
         if n:
             yield from flush()
 
     return (df.filter(F.col(text_col).isNotNull()).select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "range int, lang string, automaton binary"))
+            .mapInArrow(run, "range int, lang string, labels array<binary>, automaton binary"))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -264,24 +309,32 @@ def phrase_counts(df: DataFrame, least: int = LEAST, longest: int = LONGEST, lan
 
     def unite(key: tuple, table: pa.Table) -> pa.Table:
         by_lang = defaultdict(list)
-        for lang, data in zip(table.column("lang").to_pylist(), table.column("automaton").to_pylist()):
-            by_lang[lang].append(Transducer.unpack(data))
-        langs, rows, words = [], [], []
-        for lang in sorted(by_lang):
-            whole = union(by_lang.pop(lang))
-            langs.append(lang)
-            rows.append(frequent(whole, least).pack())
-            words.append(int(whole.weight[0].sum()))
+        for lang, t in automata_of(table):
+            by_lang[lang].append(t)
+        langs, rows, words = sorted(by_lang), [], []
+        for lang in langs:
+            whole, n = union(by_lang.pop(lang), least)
+            rows.append(whole)
+            words.append(n)
         return pa.table({"range": pa.array([key[0].as_py()] * len(rows), pa.int32()), "lang": pa.array(langs, pa.string()),
-                         "automaton": pa.array(rows, pa.binary()), "words": pa.array(words, pa.int64())})
+                         "labels": pa.array([t.labels.to_pylist() for t in rows], pa.list_(pa.binary())),
+                         "automaton": pa.array([t.pack() for t in rows], pa.binary()), "words": pa.array(words, pa.int64())})
 
-    counted = transducers(df, ranges, longest, lang_col, text_col, flush_words).groupBy("range").applyInArrow(unite, "range int, lang string, automaton binary, words long")
+    counted = (transducers(df, ranges, longest, lang_col, text_col, flush_words).groupBy("range")
+               .applyInArrow(unite, "range int, lang string, labels array<binary>, automaton binary, words long"))
     return written(counted, "phrase-counts"), ranges
 
 
+def automata_of(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[str, Transducer]]:
+    """(language, transducer) of each row."""
+    for lang, labels, data in zip(*(table.column(c) for c in ("lang", "labels", "automaton"))):
+        yield lang.as_py(), Transducer.unpack(labels.values, data.as_py())
+
+
 def phrases_of(t: Transducer) -> list[tuple[tuple[bytes, ...], int]]:
     """The phrases of two words and more, and their counts."""
-    return [(tuple(t.labels[i] for i in path), n) for g, c in t.grams()[1:] for path, n in zip(g.tolist(), c.tolist())]
+    labels = t.labels.to_pylist()
+    return [(tuple(labels[i] for i in path), n) for columns, c in t.grams()[1:] for *path, n in zip(*(x.tolist() for x in columns), c.tolist())]
 
 
 def collocations(counts: DataFrame, ranges: int, inside: int = INSIDE) -> DataFrame:
@@ -289,9 +342,9 @@ def collocations(counts: DataFrame, ranges: int, inside: int = INSIDE) -> DataFr
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Every part that another range may hold, with the largest count of a candidate around it (0 for cuts' single words)."""
         for part in slices(batches, 1):
-            source, lang, data = (part.column(i)[0].as_py() for i in range(3))
+            source, [(lang, automaton)] = part.column(0)[0].as_py(), automata_of(part)
             around: dict[tuple[bytes, ...], int] = {}
-            for path, n in phrases_of(Transducer.unpack(data)):
+            for path, n in phrases_of(automaton):
                 for k in range(1, len(path)):
                     for piece in (path[:k], path[k:]):
                         around[piece] = max(around.get(piece, 0), n)
@@ -316,8 +369,8 @@ def collocations(counts: DataFrame, ranges: int, inside: int = INSIDE) -> DataFr
 
     def answer(key: tuple, asked: pa.Table, held: pa.Table) -> pa.Table:
         """Counts of the parts for the ranges that asked, and for this range the largest candidate around each of its phrases."""
-        automata = {lang: Transducer.unpack(data) for lang, data in zip(held.column("lang").to_pylist(), held.column("automaton").to_pylist())}
-        around: dict[str, dict[bytes, int]] = defaultdict(dict)
+        automata = dict(automata_of(held))
+        around: dict[str, dict[bytes, int]] = defaultdict(dict)      # by language, then phrase
         to, langs, parts, numbers, kinds = [], [], [], [], []
 
         def add(target: int, lang: str, names: bytes, values: list[int], kind: int) -> None:
@@ -326,7 +379,7 @@ def collocations(counts: DataFrame, ranges: int, inside: int = INSIDE) -> DataFr
 
         for source, lang, names, largest in zip(*(asked.column(c).to_pylist() for c in ("source", "lang", "parts", "around"))):
             split = names.split(b"\n")
-            add(source, lang, names, automata[lang].weights([tuple(p.split(b" ")) for p in split]).tolist(), 0)
+            add(source, lang, names, automata[lang].weights(pa.array(split, pa.binary())).tolist(), 0)
             for p, n in zip(split, largest):
                 if b" " in p:
                     around[lang][p] = max(around[lang].get(p, 0), n)
@@ -341,9 +394,9 @@ def collocations(counts: DataFrame, ranges: int, inside: int = INSIDE) -> DataFr
         for lang, names, numbers, kind in zip(*(answers.column(c).to_pylist() for c in ("lang", "parts", "numbers", "kind"))):
             (longer if kind else known)[lang].update(zip(names.split(b"\n"), numbers))
         rows = []
-        for lang, data in zip(held.column("lang").to_pylist(), held.column("automaton").to_pylist()):
+        for lang, automaton in automata_of(held):
             count, around = known[lang], longer[lang]
-            for path, a in phrases_of(Transducer.unpack(data)):
+            for path, a in phrases_of(automaton):
                 phrase = b" ".join(path)
                 if 100 * around.get(phrase, 0) >= inside * a:
                     continue
@@ -355,7 +408,7 @@ def collocations(counts: DataFrame, ranges: int, inside: int = INSIDE) -> DataFr
         return pa.Table.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), *(pa.array(c, pa.int64()) for c in columns[2:])],
                                     ["lang", "phrase", "a", "l", "r", "score"])
 
-    held = counts.select("range", "lang", "automaton")
+    held = counts.select("range", "lang", "labels", "automaton")
     asked = held.mapInArrow(ask, "range int, source int, lang string, parts binary, around array<long>")
     # other names on the left side, so that Spark keeps the columns of both
     answers = (asked.groupBy("range").cogroup(held.withColumnRenamed("range", "of").groupBy("of"))
@@ -369,8 +422,12 @@ def top_phrases(df: DataFrame, top: int = TOP, least: int = LEAST, inside: int =
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases by score, count, then phrase; n: all its words."""
     counts, ranges = phrase_counts(df, least, longest, lang_col, text_col, flush_words, range_bytes)
     sizes = counts.groupBy(F.col("lang").alias("of")).agg(F.sum("words").alias("n"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = collocations(counts, ranges, inside).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    found = collocations(counts, ranges, inside)
+    # the first ones of each part of a language come first, so that no task gets more than PARTS x top rows of a language
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    found = found.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= top)
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     return ranked.join(sizes, F.col("lang") == F.col("of")).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 

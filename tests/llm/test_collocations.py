@@ -5,7 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
-import pytest
+import pyarrow as pa
 from conftest_llm import EDGE, SF
 from oracle_check import compare, duck
 
@@ -77,13 +77,36 @@ def test_ties_hot_words_and_containment(spark):
 
 
 def test_large_counts_are_exact():
-    t = Transducer.build([b"a", b"b"], [(np.array([[0], [1]]), np.array([3 * 10**12, 7])), (np.array([[0, 1]]), np.array([5])), (np.zeros((0, 3), np.int64), np.zeros(0, np.int64))])
-    t = collocations.union([Transducer.unpack(t.pack()), t])
-    assert t.weights([(b"a",), (b"a", b"b"), (b"b", b"a"), (b"b",), (b"z",), (b"a", b"b", b"a")]).tolist() == [6 * 10**12, 10, 0, 14, 0, 0]
-    assert Transducer.unpack(t.pack()).weights([(b"a",)]).tolist() == [6 * 10**12]
+    def grams(counts):
+        return Transducer.build(pa.array([b"a", b"b"]), [([np.array([0, 1])], np.array(counts)), ([np.array([0]), np.array([1])], np.array([5])), ([np.zeros(0, int)] * 3, np.zeros(0, int))])
+
+    t = grams([3 * 10**12, 7])
+    t, words = collocations.union([Transducer.unpack(t.labels, t.pack()), t])
+    assert words == 6 * 10**12 + 14
+    assert t.weights(pa.array([b"a", b"a b", b"b a", b"b", b"z", b"a b a"])).tolist() == [6 * 10**12, 10, 0, 14, 0, 0]
+    assert Transducer.unpack(t.labels, t.pack()).weights(pa.array([b"a"])).tolist() == [6 * 10**12]
+    rare, words = collocations.union([t, grams([0, 1])], least=15)
+    assert rare.labels.to_pylist() == [b"a", b"b"] and rare.weights(pa.array([b"a", b"b", b"a b"])).tolist() == [6 * 10**12, 15, 15] and words == 6 * 10**12 + 15
+
+
+def test_sequences_beyond_63_bits():
+    rng = np.random.default_rng(1)
+    columns = [rng.integers(0, 1 << 40, 500) for _ in range(3)]
+    packing = collocations.Packing(columns, 1 << 40)
+    assert [c.tolist() for c in packing.unpack(packing.keys)] == [c.tolist() for c in columns]
+    assert np.argsort(packing.keys).tolist() == np.lexsort(columns[::-1]).tolist()
 
 
 def test_chunks_keep_words_whole():
     text = b" ".join(str(i).encode() for i in range(5_000)) + b"." + b"x" * 3_000
     for size in (10, 1_000):
-        assert [w for c in collocations.chunks(text, size) for w in collocations.words_of(c)] == collocations.words_of(text)
+        assert [w for c in collocations.chunks(text, size) for w in collocations.words_of(c).to_pylist()] == collocations.words_of(text).to_pylist()
+
+
+def test_a_text_over_many_flushes(spark, monkeypatch):
+    ship_package(spark)
+    rng = random.Random(9)
+    rows = [("en", " ".join(rng.choice(["a", "b", "c d", "e. f", "g"]) for _ in range(3_000))), ("fr", "a b c " * 20)]
+    monkeypatch.setattr(collocations, "chunks", lambda text, cut=collocations.chunks: cut(text, 40))
+    df = spark.createDataFrame(rows, "lang string, text string")
+    assert got(collocations.top_phrases(df, flush_words=25, range_bytes=2_000)) == plain(rows)
