@@ -212,6 +212,7 @@ def oracle_queries() -> dict[str, str]:
         "quarantine_delivery": b + """SELECT raw_value, kafka_timestamp, "partition", "offset", event_id, reject_reason,
             batch_ts FROM r WHERE reject_reason IS NOT NULL""",
         "redelivery_plain": b + f"""SELECT {CONFORMED} FROM acc""",
+        "plain_replay_safe": b + f"""SELECT {CONFORMED} FROM acc""",
         "table_replay_safe": b + f"""SELECT {CONFORMED} FROM dd""",
         "evolved_table_append": b + """SELECT event_id, "timestamp",
             CASE WHEN "offset" % 3 > 0 THEN 'region-' || source END AS region,

@@ -23,6 +23,7 @@ from quayside.operators.validate import coerce_events, outcome_counts, quarantin
 from quayside.plans.ingest import accepted_conformed, accepted_rows, process_events
 from quayside.schema import add_field, ensure_table, event_schema, evolve_table, field, remove_field
 from quayside.session import ensure_checkpoint_dir, pin_session, scratch_path
+from quayside.sinks.commit import read_committed
 from quayside.sinks.deliver import deliver, redeliver
 from quayside.sinks.writers import Sink, clickhouse_layout, files_sink, landing_sink, table_sink
 from quayside.sources.envelope import envelope_from_events, read_envelope_files, write_envelope_files
@@ -290,6 +291,16 @@ def q_redelivery_plain(spark, sf_dir):
     return _out(spark.read.parquet(target).drop("event_date"))
 
 
+def q_plain_replay_safe(spark, sf_dir):
+    """A batch delivered without dedup whose ledger row is lost: the replay finds the sink's commit, and every accepted row stands once."""
+    ensure_checkpoint_dir(spark)
+    a = _accepted(spark, sf_dir, keep=("partition", "offset", "event_date"))
+    path = scratch_path(spark, "plain-sink")
+    for ledger in ("plain-ledger-lost", "plain-ledger"):       # the second ledger knows nothing of the first delivery
+        deliver(a, 4, [files_sink("t", path)], scratch_path(spark, ledger), "plain")
+    return _out(read_committed(spark, path).drop("event_date"))
+
+
 def q_table_replay_safe(spark, sf_dir):
     """A batch delivered three times to a catalog table."""
     ensure_checkpoint_dir(spark)
@@ -413,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "restart_new_query": q_restart_new_query,
     "quarantine_delivery": q_quarantine_delivery,
     "redelivery_plain": q_redelivery_plain,
+    "plain_replay_safe": q_plain_replay_safe,
     "table_replay_safe": q_table_replay_safe,
     "evolved_table_append": q_evolved_table_append,
     "dedup_all_dates": q_dedup_all_dates,

@@ -9,18 +9,26 @@ batch job), so a new query that counts its batches from 0 again is never
 taken for a replay of another.  A sink that has the batch is skipped, and a
 batch that all sinks have is not even computed.
 
+A file sink takes a batch of a run as one atomic commit (``sinks.commit``), so a crash between the
+sink write and the ledger write does not double a batch, with or without ``dedup``.
+
 With ``dedup=True`` the batch keeps one row per ``event_id`` and, for sinks
 that can be read back, rows the sink already holds are dropped, so a replay
 after a crash between the sink write and the ledger write does not
 duplicate rows either.  ``key_scope="date"`` looks for a key among the
 rows of its event date only (partitions of other dates are not read);
-``key_scope="all"`` reads the keys of the whole sink, so an ``event_id``
-stays unique even if it comes back with another event time.
+``key_scope="all"`` looks in the sink's key index (``sinks.keyindex``; without
+one, in the keys of the whole sink), so an ``event_id`` stays unique even if it comes back with
+another event time.
+
+The ledger is a commit log per run and 1,000 batches: a look-up opens a bounded number of small
+files and starts no Spark job.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,6 +38,8 @@ from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, S
 
 from quayside.operators.dedup import drop_existing, keep_first
 from quayside.session import path_exists
+from quayside.sinks.commit import log_folder
+from quayside.sinks.commitlog import CommitLog, HadoopFolder
 from quayside.sinks.writers import Sink, with_event_date
 
 LEDGER_SCHEMA = StructType([
@@ -46,33 +56,31 @@ LEDGER_SCHEMA = StructType([
 ])
 ON_ERROR = ("isolate", "fail")
 KEY_SCOPES = ("date", "all")
-# Ledger folders hold the rows of this many batches each: a look-up lists one folder.
-LEDGER_RANGE = 1000
 
 
-def _ledger_folder(ledger_path: str, run_id: str, batch_id: int) -> str:
-    from urllib.parse import quote
-    return f"{ledger_path}/run={quote(run_id, safe='')}/range={batch_id // LEDGER_RANGE}"
+def _ledger_log(spark: SparkSession, ledger_path: str, run_id: str, batch_id: int) -> CommitLog:
+    return CommitLog(HadoopFolder(spark, log_folder(ledger_path, run_id, batch_id)))
 
 
 def read_ledger(spark: SparkSession, ledger_path: str | None) -> DataFrame | None:
     """All ledger rows; None when nothing was written yet.  Any other error is raised."""
     if not ledger_path or not path_exists(spark, ledger_path):
         return None
-    return spark.read.schema(LEDGER_SCHEMA).parquet(f"{ledger_path}/*/*")
+    # an entry that was summed up and is not removed yet stands in two files
+    rows = spark.read.schema(StructType([*LEDGER_SCHEMA.fields, StructField("entry", StringType())])).json(f"{ledger_path}/*/*")
+    return rows.dropDuplicates(["entry"]).select(*LEDGER_SCHEMA.fieldNames())
 
 
 def _history(spark: SparkSession, ledger_path: str | None, run_id: str | None, batch_id: int) -> dict[str, tuple[bool, int]]:
-    """sink → (has the batch, attempts so far), from the one folder that can hold this batch."""
+    """sink → (has the batch, attempts so far), from the one log that can hold this batch."""
     if not ledger_path:
         return {}
-    folder = _ledger_folder(ledger_path, run_id, batch_id)
-    if not path_exists(spark, folder):
-        return {}
-    rows = (spark.read.schema(LEDGER_SCHEMA).parquet(folder).filter(F.col("batch_id") == batch_id).groupBy("sink")
-            .agg(F.max(F.col("status").isin("ok", "empty")).alias("done"),
-                 F.sum((F.col("status") != "replay_skipped").cast("int")).alias("attempts")).collect())
-    return {r["sink"]: (r["done"], r["attempts"]) for r in rows}
+    out: dict[str, tuple[bool, int]] = {}
+    for r in _ledger_log(spark, ledger_path, run_id, batch_id).records():
+        if r["batch_id"] == batch_id:
+            done, attempts = out.get(r["sink"], (False, 0))
+            out[r["sink"]] = (done or r["status"] in ("ok", "empty"), attempts + (r["status"] != "replay_skipped"))
+    return out
 
 
 def delivered(spark: SparkSession, ledger_path: str | None, run_id: str | None, batch_id: int) -> set[str]:
@@ -113,8 +121,8 @@ def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str |
                history.get(sink.name, (False, 0))[1] + (status != "replay_skipped"))
         records.append(row)
         if ledger_path:
-            (spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append")
-             .parquet(_ledger_folder(ledger_path, run_id, batch_id)))
+            _ledger_log(spark, ledger_path, run_id, batch_id).append(
+                [dict(zip(LEDGER_SCHEMA.fieldNames(), row), delivered_at=now.isoformat() + "Z", entry=uuid.uuid4().hex)])
 
     todo = [s for s in sinks if not history.get(s.name, (False, 0))[0]]
     if not todo:                      # a replay: nothing is computed
@@ -142,7 +150,7 @@ def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str |
                 record(sink, "empty")
             else:
                 try:
-                    rows = _write(spark, batch, batch_id, sink, dates, dedup, key_scope, drop_cols)
+                    rows = _write(spark, batch, run_id, batch_id, sink, dates, dedup, key_scope, drop_cols)
                 except Exception as e:  # K5: one failing sink does not stop the others
                     record(sink, "failed", error=f"{type(e).__name__}: {e}")
                     if on_error == "fail":
@@ -155,11 +163,16 @@ def deliver(df: DataFrame, batch_id: int, sinks: list[Sink], ledger_path: str |
     return spark.createDataFrame(records, LEDGER_SCHEMA)
 
 
-def _write(spark: SparkSession, batch: DataFrame, batch_id: int, sink: Sink, dates: list | None, dedup: bool,
+def _write(spark: SparkSession, batch: DataFrame, run_id: str | None, batch_id: int, sink: Sink, dates: list | None, dedup: bool,
            key_scope: str, drop_cols: tuple[str, ...]) -> int:
     """Rows written to one sink."""
     out = batch
-    if dedup and sink.existing is not None:
+    indexed = dedup and key_scope == "all" and sink.keys is not None
+    if indexed:
+        if sink.keys.generation(spark) is None:
+            sink.keys.rebuild(spark, sink.existing(spark, None))
+        out = sink.keys.drop_held(batch)
+    elif dedup and sink.existing is not None:
         target = sink.existing(spark, dates)
         if target is not None:
             out = drop_existing(batch, target, date_col="event_date" if key_scope == "date" else None, dates=dates)
@@ -167,9 +180,16 @@ def _write(spark: SparkSession, batch: DataFrame, batch_id: int, sink: Sink, dat
         out = out.drop(*drop_cols)
     if not sink.wants_event_date:
         out = out.drop("event_date")
-    obs = Observation(f"rows_{sink.name}_{batch_id}")
-    sink.write(out.observe(obs, F.count(F.lit(1)).alias("rows")), batch_id)
-    return int(obs.get["rows"])
+    if run_id and sink.commit is not None:
+        rows, _ = sink.commit(out, run_id, batch_id)
+    else:
+        obs = Observation(f"rows_{sink.name}_{batch_id}")
+        sink.write(out.observe(obs, F.count(F.lit(1)).alias("rows")), batch_id)
+        rows = int(obs.get["rows"])
+    if sink.keys is not None and sink.keys.generation(spark) is not None:
+        # after the commit, and again on a replay: a crash between the two must not leave keys out (those of the whole batch are in the sink now)
+        sink.keys.add(batch)
+    return rows
 
 
 def failed_deliveries(spark: SparkSession, ledger_path: str) -> DataFrame:
@@ -201,17 +221,13 @@ def redeliver(spark: SparkSession, ledger_path: str, landing_path: str, sinks: l
         try:
             batch = spark.read.format(fmt).load(f"{landing_path}/batch_id={batch_id}")
         except Exception as e:
-            missing = Sink(sink.name, _raiser(e))
-            batch, target = spark.range(1).select(F.lit("").alias("event_id")), missing
+            now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+            attempts = _history(spark, ledger_path, run_id, batch_id).get(sink.name, (False, 0))[1]
+            row = (run_id, sink.name, batch_id, "failed", 0, 0, f"{type(e).__name__}: {e}", r["dedup"], now, attempts + 1)
+            _ledger_log(spark, ledger_path, run_id, batch_id).append(
+                [dict(zip(LEDGER_SCHEMA.fieldNames(), row), delivered_at=now.isoformat() + "Z", entry=uuid.uuid4().hex)])
+            rows = spark.createDataFrame([row], LEDGER_SCHEMA)
         else:
-            target = sink
-        rows = deliver(batch, batch_id, [target], ledger_path, run_id, dedup=r["dedup"] and target is sink,
-                       key_scope=key_scope)
+            rows = deliver(batch, batch_id, [sink], ledger_path, run_id, dedup=r["dedup"], key_scope=key_scope)
         out = rows if out is None else out.unionByName(rows)
     return out
-
-
-def _raiser(error: Exception):
-    def write(df: DataFrame, batch_id: int) -> None:
-        raise error
-    return write

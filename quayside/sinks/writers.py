@@ -12,11 +12,13 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quayside.schema import VersionedSchema, event_schema
 from quayside.session import path_exists
+from quayside.sinks.commit import BatchCommits
+from quayside.sinks.keyindex import KeyIndex
 
 WriteFn = Callable[[DataFrame, int], None]
 
@@ -35,6 +37,10 @@ class Sink:
     keeps_positions: bool = False
     # columns a batch must have
     needs: tuple[str, ...] = ()
+    # (DataFrame, run_id, batch_id) → (rows, written now): the batch as one commit that a replay finds; None when the sink can only append
+    commit: Callable | None = field(default=None, compare=False)
+    # index of the sink's keys over all dates
+    keys: KeyIndex | None = field(default=None, compare=False)
 
     def check(self, columns: list[str]) -> None:
         """Raise if a batch of these columns can't be written."""
@@ -65,12 +71,23 @@ def files_sink(name: str, path: str, fmt: str = "parquet", partition_by: tuple[s
 
     ``REBALANCE(event_date)`` lets AQE cut a hot date into several tasks and
     merge small ones, so file counts stay bounded without a skewed
-    ``repartition``.
+    ``repartition``.  A batch of a named run is one atomic commit, which a replay finds
+    (``sinks.commit``); without a run there is nothing to tell a replay by, and the batch is appended.
     """
-    def write(df: DataFrame, batch_id: int) -> None:
+    def save(df: DataFrame, folder: str) -> None:
         out = with_event_date(df).hint("rebalance", *partition_by) if partition_by else df
         (out.write.mode("append").format(fmt).option("maxRecordsPerFile", max_records_per_file)
-         .partitionBy(*partition_by).save(path))
+         .partitionBy(*partition_by).save(folder))
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        save(df, path)
+
+    def commit(df: DataFrame, run_id: str, batch_id: int) -> tuple[int, bool]:
+        def staged(folder: str) -> int:
+            rows = Observation()
+            save(df.observe(rows, F.count(F.lit(1)).alias("rows")), folder)
+            return int(rows.get["rows"])
+        return BatchCommits(df.sparkSession, path).commit(run_id, batch_id, staged)
 
     def existing(spark, dates=None):
         """Only the given dates' partition folders are listed: a path-based
@@ -81,7 +98,7 @@ def files_sink(name: str, path: str, fmt: str = "parquet", partition_by: tuple[s
             where = [path]
         where = [w for w in where if path_exists(spark, w)]
         return _read_written(spark.read.format(fmt).option("basePath", path), where) if where else None
-    return Sink(name, write, existing, wants_event_date=True, needs=partition_by)
+    return Sink(name, write, existing, wants_event_date=True, needs=partition_by, commit=commit, keys=KeyIndex(f"{path}/_keys"))
 
 
 def landing_sink(name: str, path: str, fmt: str = "parquet") -> Sink:
