@@ -37,7 +37,7 @@ from quayside.llm.texts import slices
 from quayside.session import scratch_path
 
 LONGEST, LEAST, INSIDE, TOP, NO_LANGUAGE = 3, 10, 50, 2000, "und"
-FLUSH_WORDS, RANGE_BYTES, CHUNK_BYTES = 3 << 19, 4 << 20, 1 << 20
+FLUSH_WORDS, RANGE_BYTES, CHUNK_BYTES = 1 << 20, 4 << 20, 1 << 20
 SCALE, PARTS = 1_000_000, 32
 BREAK = b"\n"                    # stands between pieces
 _TABLE = bytes(0x0A if chr(c) in ".,;:!?\n\x0b\x0c\r" else 0x20 if c == 0x09 else c for c in range(256))
@@ -161,21 +161,20 @@ class Transducer:
         return out
 
     def pack(self) -> bytes:
-        """All but the labels."""
-        wide = any(len(w) and w.max() >= 2**31 for w in self.weight)
-        head = np.array([wide, len(self.arcs), *map(len, self.arcs), *map(len, self.fan)], "<i8")
-        kinds = [*[(a, "<i4") for a in self.arcs], *[(a, "<i4") for a in self.fan], *[(a, "<i8" if wide else "<i4") for a in self.weight]]
-        return b"".join([head.tobytes(), *(a.astype(t).tobytes() for a, t in kinds)])
+        """All but the labels: the depth, then each array's length, bytes per number, and numbers."""
+        out = [np.array([len(self.arcs)], "<i8").tobytes()]
+        for a in (*self.arcs, *self.fan, *self.weight):
+            width = next(w for w in (1, 2, 4, 8) if not len(a) or int(a.max()) < 1 << 8 * w)
+            out += [np.array([len(a), width], "<i8").tobytes(), a.astype(f"<u{width}").tobytes()]
+        return b"".join(out)
 
     @classmethod
     def unpack(cls, labels: pa.Array, data: bytes) -> "Transducer":
-        wide, k = np.frombuffer(data, "<i8", 2).tolist()
-        sizes = np.frombuffer(data, "<i8", 2 * k, 16).tolist()
-        at, out = 16 * (k + 1), []
-        for n, t in [*[(s, "<i4") for s in sizes], *[(s, "<i8" if wide else "<i4") for s in sizes[:k]]]:
-            part = np.frombuffer(data, t, n, at)
-            at += part.nbytes
-            out.append(part.astype(np.int64))
+        [k], at, out = np.frombuffer(data, "<i8", 1).tolist(), 8, []
+        for _ in range(3 * k):
+            n, width = np.frombuffer(data, "<i8", 2, at).tolist()
+            out.append(np.frombuffer(data, f"<u{width}", n, at + 16).astype(np.int64))
+            at += 16 + n * width
         return cls(labels, out[:k], out[k:2 * k], out[2 * k:])
 
 
