@@ -36,7 +36,8 @@ from quayside.session import scratch_path
 
 DIMENSIONS, CERTAINTY, SEED = 12, 0.95, 7
 SHARD_ROWS, BLOCK_QUERIES, LEAF = 8_192, 2_048, 128
-TIE = 1e-9
+TIE, TIE_PROJECTED, MOST = 1e-9, 1e-7, np.finfo(float).max
+QUERIES_AT_ONCE = 512
 
 
 def chi_square_cdf(x: float, dimensions: int) -> float:
@@ -76,37 +77,49 @@ class ProjectedTree:
             todo += [order[:len(order) // 2], order[len(order) // 2:]]
         order = np.concatenate(leaves)
         self.ids, self.vectors, self.points, self.norm = ids[order], vectors[order], points[order], largest_norm
+        self.squares = (self.points * self.points).sum(axis=1)
         stops = np.cumsum([len(x) for x in leaves])
         self.bounds = list(zip([0, *stops[:-1].tolist()], stops.tolist()))
         self.low = np.array([points[x].min(axis=0) for x in leaves])
         self.high = np.array([points[x].max(axis=0) for x in leaves])
 
-    def search(self, query_id: int, query: np.ndarray, k: int, limit: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and inner products, as scaled as vectors and query, of the k best found; limit: quantile of the stopping test."""
-        size = np.sqrt((query * query).sum())
-        point = self.axes[:, :-1] @ (query / size)
-        gap = np.maximum(0.0, np.maximum(self.low - point, point - self.high))
-        nearest = (gap * gap).sum(axis=1)
-        found, score, kth = np.empty(0, np.int64), np.empty(0), -np.inf
-        for leaf in np.argsort(nearest, kind="stable").tolist():
-            true2 = max(0.0, 2 - 2 * kth / (self.norm * size))      # squared distance of the k-th best; endless before there are k
-            if nearest[leaf] > limit * true2 + TIE:
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, limit: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids and inner products, as scaled as vectors and queries, of the k best found for each query; limit: quantile of the stopping test.
+
+        All queries take their next nearest leaf together, and a leaf is multiplied with all queries that are at it."""
+        n = len(queries)
+        size = np.sqrt((queries * queries).sum(axis=1))
+        points = (queries / size[:, None]) @ self.axes[:, :-1].T
+        gap = np.stack([(np.maximum(0.0, np.maximum(low - points, points - high)) ** 2).sum(axis=1) for low, high in zip(self.low, self.high)], axis=1)
+        turn = np.argsort(gap, axis=1, kind="stable")
+        best, live = np.full((n, k), -np.inf), np.arange(n)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []          # queries, places of candidates, scores
+        for step in range(len(self.bounds)):
+            kth = best[live].min(axis=1)
+            true2 = np.maximum(0.0, 2 - 2 * kth / (self.norm * size[live]))      # squared distance of the k-th best; endless before there are k
+            leaf = turn[live, step]
+            on = gap[live, leaf] <= limit * true2 + TIE
+            live, leaf, true2, kth = live[on], leaf[on], true2[on], kth[on]
+            if not len(live):
                 break
-            a, b = self.bounds[leaf]
-            away = self.points[a:b] - point
-            near = np.flatnonzero((away * away).sum(axis=1) <= limit * true2 + TIE) + a if kth > -np.inf else np.arange(a, b)
-            near = near[self.ids[near] != query_id]
-            s = self.vectors[near] @ query
-            good = s >= kth - TIE
-            found, score = np.concatenate([found, near[good]]), np.concatenate([score, s[good]])
-            if len(found) >= k:
-                kth = np.partition(score, len(score) - k)[len(score) - k]
-                if len(found) > 4 * k:
-                    keep = score >= kth - TIE
-                    found, score = found[keep], score[keep]
-        exact = (self.vectors[found] * query).sum(axis=1)            # equal vectors score equally
-        best = np.lexsort((self.ids[found], -exact))[:k]
-        return self.ids[found[best]], exact[best]
+            order = np.argsort(leaf, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(leaf[order])) + 1):
+                a, b = self.bounds[leaf[at[0]]]
+                q = live[at]
+                away = ((points[q] ** 2).sum(axis=1)[:, None] + self.squares[a:b] - 2 * points[q] @ self.points[a:b].T)
+                near = (away <= (limit * true2[at] + TIE_PROJECTED)[:, None]) & (self.ids[a:b] != query_ids[q][:, None])
+                s = np.where(near, queries[q] @ self.vectors[a:b].T, -np.inf)
+                good, place = np.nonzero(s >= np.maximum(kth[at] - TIE, -MOST)[:, None])
+                found.append((q[good], a + place, s[good, place]))
+                both = np.concatenate([best[q], s], axis=1)
+                best[q] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+        who, place, score = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3))
+        keep = score >= best[who].min(axis=1) - TIE if len(who) else np.empty(0, bool)
+        who, place = who[keep], place[keep]
+        exact = np.concatenate([(self.vectors[place[x:x + 65_536]] * queries[who[x:x + 65_536]]).sum(axis=1) for x in range(0, len(who), 65_536)] or [np.empty(0)])   # equal vectors score equally
+        order = np.lexsort((self.ids[place], -exact, who))
+        cuts = np.searchsorted(who[order], np.arange(n + 1))
+        return [(self.ids[place[some]], exact[some]) for some in (order[x:min(y, x + k)] for x, y in zip(cuts, cuts[1:]))]
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -154,14 +167,14 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id",
             query_ids = right.column("asked").to_numpy()
             order = np.lexsort((*ask.T[::-1], query_ids))
             first = np.concatenate(([True], query_ids[order][1:] != query_ids[order][:-1]))
-            for i in order[first].tolist():
-                own = frexp(np.abs(ask[i]).max())[1] - 1
-                found, score = tree.search(query_ids[i], np.ldexp(ask[i], -own), k, limit)
-                asked.append(np.full(len(found), query_ids[i]))
-                ids.append(found)
-                scaled.append(score)
-                with np.errstate(over="ignore", under="ignore"):
-                    scores.append(np.ldexp(score, shift + own))
+            for some in np.array_split(order[first], -(-len(order[first]) // QUERIES_AT_ONCE)):
+                own = np.frexp(np.abs(ask[some]).max(axis=1))[1] - 1
+                for i, scale, (found, score) in zip(some.tolist(), own.tolist(), tree.search(query_ids[some], np.ldexp(ask[some], -own[:, None]), k, limit)):
+                    asked.append(np.full(len(found), query_ids[i]))
+                    ids.append(found)
+                    scaled.append(score)
+                    with np.errstate(over="ignore", under="ignore"):
+                        scores.append(np.ldexp(score, shift + scale))
         return pa.table({"query_id": pa.array(np.concatenate(asked) if asked else [], pa.int64()), "vec_id": pa.array(np.concatenate(ids) if ids else [], pa.int64()),
                          "score": pa.array(np.concatenate(scores) if scores else [], pa.float64()), "scaled": pa.array(np.concatenate(scaled) if scaled else [], pa.float64())})
 
