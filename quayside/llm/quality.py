@@ -6,8 +6,9 @@ histogram of character classes and that of its ``COMMON`` most frequent words (a
 words in one bucket), counted over the whole corpus.  A document that passes the base rules
 is kept if it is near one language: for some reference, the Jensen-Shannon distances (base
 2, 0 to 1) of its character classes and of its common words are both within their limits.
-Short texts have noisy histograms: under ``LEAST_CHARS`` characters or ``LEAST_WORDS`` words
-the test in question is not made (``Limits`` sets other lengths; ``ORACLE`` has these).
+Minimum-length guards: under ``LEAST_WORDS`` words a text's word histogram is too noisy, so only its
+character classes are compared; and a label makes a reference only from ``REFERENCE_DOCUMENTS`` documents and
+``REFERENCE_WORDS`` words on, unless no label has as many, so that rare labels don't vouch for their own junk.
 
 The references have one row per language label; more than ``MOST_LANGUAGES`` are refused.
 
@@ -38,7 +39,8 @@ SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "punctuation", "other")
 COMMON = 40
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.185, 0.45
-LEAST_CHARS, LEAST_WORDS = 600, 100
+LEAST_WORDS = 100
+REFERENCE_DOCUMENTS, REFERENCE_WORDS = 20, 2_000
 MOST_LANGUAGES = 512
 WORDS_HELD = 200_000
 #: A text adds to a reference if it has at most one symbol in so many words.
@@ -49,11 +51,10 @@ REFERENCE_SYMBOLS = 20
 class Limits:
     char_distance: float = MAX_CHAR_DISTANCE
     word_distance: float = MAX_WORD_DISTANCE
-    least_chars: int = LEAST_CHARS
     least_words: int = LEAST_WORDS
     #: Documents and words that a label's reference needs, unless no label has as many.
-    reference_documents: int = 0
-    reference_words: int = 0
+    reference_documents: int = REFERENCE_DOCUMENTS
+    reference_words: int = REFERENCE_WORDS
 
 
 @lru_cache(maxsize=1)
@@ -110,25 +111,53 @@ class Reference:
     counts: np.ndarray
 
 
-def verdict(text: str, words: list[bytes], references: list[Reference], limits: Limits) -> tuple[bool, float, float]:
+class References:
+    """All references as matrices, so that a text is compared with all of them at once."""
+
+    def __init__(self, references: list[Reference]):
+        self.n = len(references)
+        self.place = {w: i for i, w in enumerate(sorted({w for r in references for w in r.words}))}
+        width = max((len(r.words) for r in references), default=0)
+        # a reference's words by place, in the order of its counts; those it lacks stand at an empty place
+        self.words = np.full((self.n, width), len(self.place), np.int64)
+        self.word_shares, self.class_shares = np.zeros((self.n, width + 1)), np.zeros((self.n, len(CLASSES)))
+        for k, r in enumerate(references):
+            for w, i in r.words.items():
+                self.words[k, i] = self.place[w]
+            self.word_shares[k, :len(r.words)], self.word_shares[k, -1] = r.counts[:-1] / r.counts.sum(), r.counts[-1] / r.counts.sum()
+            self.class_shares[k] = r.classes / r.classes.sum()
+
+    def class_distances(self, text: str) -> np.ndarray:
+        counts = class_counts(text)
+        return js_distances(np.broadcast_to(counts / counts.sum(), self.class_shares.shape), self.class_shares)
+
+    def word_distances(self, words: list[bytes]) -> np.ndarray:
+        counts = np.zeros(len(self.place) + 1)
+        for w, n in Counter(map(bytes.lower, words)).items():
+            if (at := self.place.get(w)) is not None:
+                counts[at] = n
+        p = np.zeros(self.word_shares.shape)
+        p[:, :-1] = counts[self.words] / len(words)
+        p[:, -1] = (len(words) - counts[self.words].sum(axis=1)) / len(words)
+        return js_distances(p, self.word_shares)
+
+
+def js_distances(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon distance, base 2, of each pair of rows."""
+    m = (p + q) / 2
+    part = [np.where(x > 0, x * np.log2(np.where(x > 0, x / np.where(m > 0, m, 1), 1)), 0.0).sum(axis=1) for x in (p, q)]
+    return np.sqrt(np.maximum(0.0, (part[0] + part[1]) / 2))
+
+
+def verdict(text: str, words: list[bytes], references: References, limits: Limits) -> tuple[bool, float, float]:
     """Whether the text is near a reference, and its distances to the nearest one (0 where not tested)."""
-    by_class = len(text) >= limits.least_chars
-    by_word = len(words) >= limits.least_words
-    classes = class_counts(text) if by_class else None
-    count = Counter(w.lower() for w in words) if by_word else {}
-    best = None
-    for r in references:
-        c = js_distance(classes, r.classes) if by_class else 0.0
-        w = 0.0
-        if by_word:
-            hist = np.zeros(len(r.counts))
-            for word, at in r.words.items():
-                hist[at] = count.get(word, 0)
-            hist[-1] = len(words) - hist.sum()
-            w = js_distance(hist, r.counts)
-        key = (max(c / limits.char_distance, w / limits.word_distance), c, w)
-        best = key if best is None else min(best, key)
-    return (True, 0.0, 0.0) if best is None else (best[0] <= 1, best[1], best[2])
+    if not references.n:
+        return True, 0.0, 0.0
+    c = references.class_distances(text)
+    w = references.word_distances(words) if len(words) >= limits.least_words else np.zeros(references.n)
+    far = np.maximum(c / limits.char_distance, w / limits.word_distance)
+    best = np.lexsort((w, c, far))[0]
+    return bool(far[best] <= 1), float(c[best]), float(w[best])
 
 
 def language_references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON, limits: Limits = Limits()) -> list[Reference]:
@@ -192,7 +221,7 @@ def _references(counted: DataFrame, common: int, limits: Limits) -> list[Referen
 
 def quality_report(df: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(id, base features, base_failed, kept, char_distance, word_distance) of every row."""
-    references = language_references(df, text_col, lang_col, limits=limits)
+    references = References(language_references(df, text_col, lang_col, limits=limits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -216,7 +245,7 @@ def quality_report(df: DataFrame, limits: Limits = Limits(), id_col: str = "doc_
 
 def keep_good(df: DataFrame, limits: Limits = Limits(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``df`` that are kept, with all their columns."""
-    references = language_references(df, text_col, lang_col, limits=limits)
+    references = References(language_references(df, text_col, lang_col, limits=limits))
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +283,9 @@ wc AS (
 good AS (SELECT rid, lang FROM b WHERE lang IS NOT NULL AND NOT none AND NOT base_failed AND n_symbols * 20 <= n_words),
 ref_c AS (SELECT lang, k, sum(n) AS n FROM cls JOIN good USING (rid) GROUP BY ALL),
 ref_w AS (SELECT lang, word, sum(n)::DOUBLE AS n FROM wc JOIN good USING (rid) GROUP BY ALL),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r, sum(n) OVER (PARTITION BY lang) AS total FROM ref_w) WHERE r <= 40),
+size AS (SELECT lang, total, docs FROM (SELECT lang, sum(n) AS total FROM ref_w GROUP BY lang) JOIN (SELECT lang, count(*) AS docs FROM good GROUP BY lang) USING (lang)),
+used AS (SELECT lang FROM size WHERE (total >= 2000 AND docs >= 20) OR NOT EXISTS (SELECT 1 FROM size WHERE total >= 2000 AND docs >= 20)),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r, sum(n) OVER (PARTITION BY lang) AS total FROM ref_w JOIN used USING (lang)) WHERE r <= 40),
 langs AS (SELECT lang, max(total) AS total, sum(n) AS held FROM top GROUP BY lang),
 buckets AS (SELECT lang, r, word, n / total AS q FROM top UNION ALL SELECT lang, 0, NULL, (total - held) / total FROM langs),
 doc_w AS (
@@ -266,7 +297,7 @@ word_d AS (
   FROM doc_p GROUP BY ALL),
 cls_p AS (
   SELECT c.rid, r.lang, c.n / sum(c.n) OVER (PARTITION BY c.rid, r.lang) AS p, r.n / sum(r.n) OVER (PARTITION BY c.rid, r.lang) AS q
-  FROM cls c JOIN ref_c r USING (k) JOIN b ON b.rid = c.rid AND length(b.text) >= 600),
+  FROM cls c JOIN ref_c r USING (k) JOIN used USING (lang)),
 class_d AS (
   SELECT rid, lang, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS d
   FROM cls_p GROUP BY ALL),

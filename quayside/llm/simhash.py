@@ -16,7 +16,8 @@ its shape only decides how even the shards are, never which links are found.
 Contract: null and blank texts have fingerprint zero and are linked like any other; fewer
 words than a shingle's are one shingle; an id's rows count one by one; a component's id is
 its smallest non-null document id; an empty table gives an empty result; extra columns play
-no part, and ``near_dedup`` keeps them.
+no part, and ``near_dedup`` keeps them.  Whole texts count; a very long one is hashed in blocks of
+``HASHES_AT_ONCE`` shingles.
 """
 
 from __future__ import annotations
@@ -225,19 +226,15 @@ def simhash_components(df: DataFrame, words: int = WORDS, bits: int = BITS, id_c
     return near_groups(df, words, bits, id_col, text_col).select(F.col("id").alias(id_col), hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def near_dedup(df: DataFrame, words: int = WORDS, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text", by_label: bool = True) -> DataFrame:
-    """One row of ``df`` for each component: the one with the smallest id (nulls last), then the smallest hash of its text.
-
-    ``by_label``: components with the same ``component_id`` (an id that occurs with unrelated texts) count as one, and one row
-    of all of them stays; without it each of them keeps its own row."""
+def near_dedup(df: DataFrame, words: int = WORDS, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``df`` for each component: the one with the smallest id (nulls last), then the smallest hash of its text, then the
+    smallest of the other columns.  An id that occurs with unrelated texts keeps a row for each of their components."""
     groups = near_groups(df, words, bits, id_col, text_col)
     # ids are compared as numbers or texts; a null id comes last
     key = F.struct(F.col("id").isNull().alias("none"), "id", "row")
-    root = hex_digits(F.col("root"))
-    # the prefix tells a label from a root
-    group = F.coalesce(F.concat(F.lit("id "), F.col("component_id").cast("string")), root) if by_label else root
-    keep = groups.groupBy(group.alias("group")).agg(F.min(key).alias("key")).select(F.col("key.id").alias("__id"), F.col("key.row").alias("__row")).distinct()
+    keep = groups.groupBy("root").agg(F.min(key).alias("key")).select(F.col("key.id").alias("__id"), F.col("key.row").alias("__row")).distinct()
     kept = df.join(keep, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__row")))
-    # rows repeated in full are one document
-    same = Window.partitionBy("__id", "__row").orderBy(F.lit(1))
+    # rows with the same id and text are one document; maps have no order
+    rest = [kept[f.name] for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    same = Window.partitionBy("__id", "__row").orderBy(*rest)
     return kept.withColumn("__n", F.row_number().over(same)).filter("__n = 1").select(*[kept[c] for c in df.columns])

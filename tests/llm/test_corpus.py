@@ -67,8 +67,8 @@ def test_components_of_tables(docs, edge, none):
 def test_one_row_of_each_component_stays(edge, none):
     rows = [(i, t) for i, t, _, _ in EDGE]
     groups = collections.defaultdict(set)
-    for (i, t), (_, f, c) in zip(rows, plain_components(rows)):
-        groups[c if c is not None else f].add(i)
+    for (i, t), g in zip(rows, components([plain_fingerprint(t) for _, t in rows])):
+        groups[g].add(i)
     kept = simhash.near_dedup(edge)
     assert kept.columns == edge.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(min((x for x in g if x is not None), default=None)) for g in groups.values())
@@ -89,9 +89,14 @@ def test_linked_rows_without_ids_are_one(spark, edge):
     words = [f"w{i}" for i in range(400)]
     first, second = next((a, b) for k in range(400) if 0 < (plain_fingerprint(a := " ".join(words)) ^ plain_fingerprint(b := " ".join(words[:k] + words[k + 1:]))).bit_count() <= 2)
     df = spark.createDataFrame([(None, first), (None, second), (None, "something else")], "doc_id long, text string")
-    for by_label in (True, False):
-        kept = [r.text for r in simhash.near_dedup(df, by_label=by_label).collect()]
-        assert len(kept) == 2 and "something else" in kept
+    kept = [r.text for r in simhash.near_dedup(df).collect()]
+    assert len(kept) == 2 and "something else" in kept
+
+
+def test_one_id_with_unrelated_texts_keeps_both(spark):
+    ship_package(spark)
+    df = spark.createDataFrame([(6, "one text of its own", "b"), (6, "one text of its own", "a"), (6, "something else entirely here", "c")], "doc_id long, text string, source string")
+    assert sorted(r.source for r in simhash.near_dedup(df).collect()) == ["a", "c"]
 
 
 def test_trees_lose_no_link():
@@ -252,7 +257,7 @@ def plain_js(p, q):
 def test_quality_features_and_verdict(docs, edge, none):
     for df in (docs, edge):
         rows = df.select("doc_id", "text", "lang").collect()
-        references = {}
+        references, large = {}, set()
         for lang in {r.lang for r in rows if r.lang is not None}:
             good = [r.text for r in rows if r.lang == lang and r.text is not None and not (f := plain_features(r.text))[5] and f[2] * quality.REFERENCE_SYMBOLS <= f[0]]
             if good:
@@ -260,6 +265,9 @@ def test_quality_features_and_verdict(docs, edge, none):
                 words = collections.Counter(w for t in good for w in WORD.findall(lower(t)))
                 top = sorted(words, key=lambda w: (-words[w], w.encode()))[:quality.COMMON]
                 references[lang] = classes, top, np.array([words[w] for w in top] + [sum(words.values()) - sum(words[w] for w in top)], float)
+                if len(good) >= quality.REFERENCE_DOCUMENTS and sum(words.values()) >= quality.REFERENCE_WORDS:
+                    large.add(lang)
+        references = {k: v for k, v in references.items() if k in large or not large}
         want = []
         for r in rows:
             f = plain_features(r.text)
@@ -268,7 +276,7 @@ def test_quality_features_and_verdict(docs, edge, none):
                 words = collections.Counter(WORD.findall(lower(r.text)))
                 scores = []
                 for classes, top, counts in references.values():
-                    c = plain_js(quality.class_counts(r.text).astype(float), classes) if len(r.text) >= quality.LEAST_CHARS else 0
+                    c = plain_js(quality.class_counts(r.text).astype(float), classes)
                     hist = np.array([words[w] for w in top] + [f[0] - sum(words[w] for w in top)], float)
                     w = plain_js(hist, counts) if f[0] >= quality.LEAST_WORDS else 0
                     scores.append(max(c / quality.MAX_CHAR_DISTANCE, w / quality.MAX_WORD_DISTANCE))
@@ -306,19 +314,22 @@ def short_good(docs):
 
 def test_pipeline_judges_short_texts_by_their_characters(spark, docs):
     junk, good = " ".join(map(str, range(1000, 1060))), short_good(docs)
-    assert len(junk) < quality.LEAST_CHARS and not plain_features(junk)[5]
-    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, added(docs, [(-1, junk, "en"), (-2, good, "en")]), SF).collect()}
+    assert len(junk) < 600 and not plain_features(junk)[5]
+    more = added(docs, [(-1, junk, "en"), (-2, good, "en")])
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, more, SF).collect()}
     assert -2 in kept and -1 not in kept
+    # one verdict: the report says the same
+    assert kept == {r.doc_id for r in quality.quality_report(more).collect() if r.kept}
 
 
 def test_pipeline_takes_no_reference_from_a_rare_label(spark, docs):
     junk = " ".join(map(str, range(10_000, 10_200)))
-    assert len(junk) >= quality.LEAST_CHARS and not plain_features(junk)[5]
+    assert len(junk) >= 600 and not plain_features(junk)[5]
     rows = [(-1, junk, "rare"), (-2, junk + " 7", "en"), (-3, short_good(docs), "rarer")]
     kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, added(docs, rows), SF).collect()}
     assert -3 in kept and not {-1, -2} & kept
     alone = docs.limit(0).unionByName(added(docs, rows).filter("doc_id = -1"))       # no label has enough: all make references
-    assert len(quality.language_references(alone, limits=corpus_pipeline.LIMITS)) == 1
+    assert len(quality.language_references(alone)) == 1
 
 
 # pipeline
