@@ -217,6 +217,9 @@ def oracle_queries() -> dict[str, str]:
         "evolved_table_append": b + """SELECT event_id, "timestamp",
             CASE WHEN "offset" % 3 > 0 THEN 'region-' || source END AS region,
             "offset" % 3 < 2 AS has_metadata FROM acc""",
+        "newer_rows_older_table": b + """SELECT policy, CASE WHEN policy = 'quarantine' AND "offset" % 2 = 1 THEN 'quarantine' ELSE 'table' END AS place,
+            event_id, CASE WHEN "offset" % 2 = 1 THEN 'region-' || source END AS region
+            FROM acc, (VALUES ('evolve'), ('quarantine')) v(policy)""",
         "dedup_all_dates": b + """SELECT event_id, CAST(1 AS BIGINT) AS row_count FROM acc GROUP BY event_id""",
         "layout_by_day": b + """SELECT event_date, count(*) AS events FROM acc GROUP BY 1""",
         "layout_by_month": b + """SELECT CAST(strftime("timestamp", '%Y%m') AS INTEGER) AS event_month,

@@ -21,7 +21,7 @@ from quayside.operators.decode import decode_events
 from quayside.operators.dedup import keep_first
 from quayside.operators.validate import coerce_events, outcome_counts, quarantine
 from quayside.plans.ingest import accepted_conformed, accepted_rows, process_events
-from quayside.schema import add_field, ensure_table, event_schema, evolve_table, field, remove_field
+from quayside.schema import POLICIES, add_field, ensure_table, event_schema, evolve_table, field, remove_field
 from quayside.session import ensure_checkpoint_dir, pin_session, scratch_path
 from quayside.sinks.commit import read_committed
 from quayside.sinks.deliver import deliver, redeliver
@@ -329,6 +329,27 @@ def q_evolved_table_append(spark, sf_dir):
                                           F.col("metadata").isNotNull().alias("has_metadata")))
 
 
+def q_newer_rows_older_table(spark, sf_dir):
+    """Rows with a column that the table lacks (those with an odd offset have a value there), by policy: where they arrive."""
+    ensure_checkpoint_dir(spark)
+    a = _accepted(spark, sf_dir, keep=("offset", "event_date")).withColumn("region", F.when(F.col("offset") % 2 == 1, F.concat(F.lit("region-"), F.col("source"))))
+    batch, out = a.drop("offset"), None
+    for policy in POLICIES:
+        table, away = f"quayside_newer_{uuid.uuid4().hex[:10]}", scratch_path(spark, "newer-quarantine")
+        ensure_table(spark, event_schema(1), table, location=scratch_path(spark, table))
+        sink = table_sink("t", table, on_newer=policy, quarantine=files_sink("q", away))
+        deliver(batch, 0, [sink], scratch_path(spark, "newer-ledger"), f"newer-{policy}")
+        held = spark.table(table)
+        region = F.col("region") if "region" in held.columns else F.lit(None).cast("string")
+        parts = [held.select(F.lit(policy).alias("policy"), F.lit("table").alias("place"), "event_id", region.alias("region"))]
+        if policy == "quarantine":
+            parts.append(spark.read.parquet(away).select(F.lit(policy).alias("policy"), F.lit("quarantine").alias("place"), "event_id",
+                                                         F.get_json_object("raw_value", "$.region").alias("region")))
+        for p in parts:
+            out = p if out is None else out.unionByName(p)
+    return out
+
+
 def q_dedup_all_dates(spark, sf_dir):
     """One row per event_id over all batches and dates: the second batch repeats the first
     with event times a day later, and brings the odd offsets."""
@@ -428,4 +449,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_replay_safe": q_table_replay_safe,
     "evolved_table_append": q_evolved_table_append,
     "dedup_all_dates": q_dedup_all_dates,
+    "newer_rows_older_table": q_newer_rows_older_table,
 }

@@ -237,3 +237,52 @@ def evolve_table(spark: SparkSession, table: str, current: VersionedSchema, targ
         spark.sql(stmt)
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{VERSION_PROPERTY}'='{target.version}')")
     return True
+
+
+POLICIES = ("refuse", "evolve", "quarantine")
+# types that a table's column takes without loss
+WIDENINGS = {("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("smallint", "int"), ("smallint", "bigint"),
+             ("int", "bigint"), ("int", "double"), ("float", "double"), ("date", "timestamp")}
+
+
+class SchemaMismatch(ValueError):
+    """A batch has columns that the table lacks or can't take."""
+
+
+@dataclass(frozen=True)
+class Mismatch:
+    newer: tuple[StructField, ...]      # columns the table lacks
+    other: tuple[StructField, ...]      # the table's fields of another type than the batch's
+
+    def __bool__(self) -> bool:
+        return bool(self.newer or self.other)
+
+
+def mismatch(batch: StructType, held: StructType) -> Mismatch:
+    """What of ``batch`` a table with the columns ``held`` would lose or refuse."""
+    of = {f.name.lower(): f for f in held.fields}
+    newer = tuple(f for f in batch.fields if f.name.lower() not in of)
+    other = tuple(h for f in batch.fields if (h := of.get(f.name.lower())) is not None and h.dataType != f.dataType
+                  and (f.dataType.simpleString(), h.dataType.simpleString()) not in WIDENINGS)
+    return Mismatch(newer, other)
+
+
+def add_missing_columns(spark: SparkSession, table: str, batch: StructType, tries: int = 5) -> None:
+    """Bring the table to all columns of ``batch``; another writer may do the same meanwhile, so a refused change is
+    looked at again.  Every change raises the table's stored version by one."""
+    for k in range(tries):
+        spark.catalog.refreshTable(table)
+        found = mismatch(batch, spark.table(table).schema)
+        if found.other:
+            raise SchemaMismatch(f"{table}: other types for {', '.join(f.name for f in found.other)}; only columns can be added")
+        if not found.newer:
+            return
+        version = table_version(spark, table)
+        try:
+            # one column at a time: what another writer has added by now stops only its own statement
+            for f in found.newer:
+                spark.sql(migration_statements(table, [SchemaChange("add", f.name, None, f)])[0])
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{VERSION_PROPERTY}'='{(version or 0) + 1}')")
+        except Exception:
+            if k == tries - 1:
+                raise

@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quayside.schema import VersionedSchema, event_schema
+from quayside.schema import POLICIES, SchemaMismatch, VersionedSchema, add_missing_columns, event_schema, mismatch, table_version
 from quayside.session import path_exists
 from quayside.sinks.commit import BatchCommits
 from quayside.sinks.keyindex import KeyIndex
@@ -112,16 +112,52 @@ def landing_sink(name: str, path: str, fmt: str = "parquet") -> Sink:
     return Sink(name, write, wants_event_date=True, keeps_positions=True)
 
 
-def table_sink(name: str, table: str, using: str = "parquet") -> Sink:
+NEWER_SCHEMA = "newer_schema"      # reject reason of rows that a table of an older schema can't hold
+
+
+def table_sink(name: str, table: str, using: str = "parquet", on_newer: str = "refuse", quarantine: Sink | None = None) -> Sink:
     """K3 / K7 for catalog tables.  ``using="iceberg"`` appends with
     DataFrameWriterV2 (hidden ``days(timestamp)`` partitioning comes from
-    the table); file-format tables get the ``event_date`` column."""
+    the table); file-format tables get the ``event_date`` column.
+
+    The batch's schema is held against the table's at every write.  ``on_newer`` says what happens to columns that the table
+    lacks: ``"refuse"`` fails the batch, with nothing written; ``"evolve"`` adds them to the table first;
+    ``"quarantine"`` writes the rows that have no value there and sends the others, as JSON, to the ``quarantine`` sink.
+    A column of another type fails the batch, or under ``"quarantine"`` sends the rows whose value can't be cast there.  Rows of an older
+    schema have NULL in the columns they lack."""
+    if on_newer not in POLICIES:
+        raise ValueError(f"on_newer must be one of {POLICIES}")
+    if on_newer == "quarantine" and quarantine is None:
+        raise ValueError("on_newer='quarantine' needs a quarantine sink")
+
+    def fitted(df: DataFrame, batch_id: int) -> DataFrame:
+        """The rows that go to the table, after the policy."""
+        spark = df.sparkSession
+        found = mismatch(df.schema, spark.table(table).schema)
+        if not found:
+            return df
+        if on_newer == "evolve":
+            add_missing_columns(spark, table, df.schema)
+            return df
+        if on_newer == "refuse":
+            raise SchemaMismatch(f"{table} (version {table_version(spark, table)}) lacks {', '.join(f.name for f in found.newer) or 'nothing'}"
+                                 f" and has other types for {', '.join(f.name for f in found.other) or 'nothing'}")
+        newer = [F.col(f.name).isNotNull() for f in found.newer]
+        uncast = [F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in found.other]
+        odd = F.lit(False)
+        for c in [*newer, *uncast]:
+            odd = odd | c
+        away = df.filter(odd).withColumn("raw_value", F.to_json(F.struct(*df.columns)))
+        quarantine.write(away.select("raw_value", "event_id", F.lit(NEWER_SCHEMA).alias("reject_reason"), F.to_date("timestamp").alias("event_date")), batch_id)
+        kept = df.filter(~odd).drop(*[f.name for f in found.newer])
+        return kept.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in found.other}) if found.other else kept
+
     def write(df: DataFrame, batch_id: int) -> None:
         if using.lower() == "iceberg":
-            df.writeTo(table).append()
+            fitted(df, batch_id).writeTo(table).append()
         else:
+            out = fitted(with_event_date(df), batch_id).hint("rebalance", "event_date")
             columns = df.sparkSession.table(table).schema
-            out = with_event_date(df).hint("rebalance", "event_date")
             # rows of an older schema, or one with removed fields, have NULL in the columns they lack
             out.select(*[F.col(f.name) if f.name in out.columns else F.lit(None).cast(f.dataType).alias(f.name)
                          for f in columns.fields]).write.insertInto(table)

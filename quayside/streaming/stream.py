@@ -34,6 +34,8 @@ def handle_batch(processed: DataFrame, batch_id: int, sinks: list[Sink], ledger_
     once (persisted) for all outputs; a batch that every output has already
     is not computed at all.  Metrics of a batch replace those of an earlier
     try."""
+    if metrics_path and not run_id:
+        raise ValueError("metrics need a run_id: batch ids are only unique within one query")
     spark = processed.sparkSession
     outputs = [s.name for s in sinks] + ([quarantine.name] if quarantine is not None else [])
     if ledger_path and run_id and set(outputs) <= delivered(spark, ledger_path, run_id, batch_id):
@@ -42,7 +44,7 @@ def handle_batch(processed: DataFrame, batch_id: int, sinks: list[Sink], ledger_
     try:
         if metrics_path:
             (outcome_counts(b).coalesce(1).write.mode("overwrite")
-             .parquet(f"{metrics_path}/run_id={run_id or 'none'}/batch_id={batch_id}"))
+             .parquet(f"{metrics_path}/run_id={run_id}/batch_id={batch_id}"))
         accepted = accepted_conformed(b, schema, keep=("partition", "offset", "event_date"), transform=transform)
         # b is persisted: the accepted / quarantine projections need no second cache
         deliver(accepted, batch_id, sinks, ledger_path, run_id, on_error=on_error, dedup=dedup, key_scope=key_scope,

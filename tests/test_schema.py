@@ -115,3 +115,62 @@ def test_ensure_database_and_empty(spark):
     assert spark.catalog.databaseExists(name)
     e = empty(spark, event_schema().struct)
     assert e.count() == 0 and e.schema == event_schema().struct
+
+
+def _v1_rows(spark, ids):
+    return spark.createDataFrame([(i,) for i in ids], "event_id string").select(
+        "event_id", F.lit("t").alias("event_type"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"), F.lit("{}").alias("payload"),
+        F.lit("s").alias("source"), F.lit(None).cast("string").alias("metadata"), F.lit(None).cast("timestamp").alias("processed_at"))
+
+
+def test_newer_rows_into_an_older_table(spark, tmp_dir):
+    from quayside.schema import SchemaMismatch
+    from quayside.sinks.writers import files_sink, table_sink
+    newer = _v1_rows(spark, ["a", "b"]).withColumn("region", F.when(F.col("event_id") == "b", "eu"))
+    for policy in ("refuse", "evolve", "quarantine"):
+        table = f"newer_{uuid.uuid4().hex[:8]}"
+        ensure_table(spark, event_schema(), table, location=f"{tmp_dir}/{table}")
+        sink = table_sink("t", table, on_newer=policy, quarantine=files_sink("q", f"{tmp_dir}/q"))
+        sink.write(_v1_rows(spark, ["old"]), 0)
+        if policy == "refuse":
+            with pytest.raises(SchemaMismatch):
+                sink.write(newer, 1)
+            assert [r.event_id for r in spark.table(table).collect()] == ["old"]
+        elif policy == "evolve":
+            sink.write(newer, 1)
+            sink.write(_v1_rows(spark, ["old2"]), 2)          # a writer of the older schema goes on
+            assert sorted((r.event_id, r.region) for r in spark.table(table).collect()) == [("a", None), ("b", "eu"), ("old", None), ("old2", None)]
+            assert table_version(spark, table) == 2
+        else:
+            sink.write(newer, 1)
+            assert sorted(r.event_id for r in spark.table(table).collect()) == ["a", "old"]
+            away = spark.read.parquet(f"{tmp_dir}/q").collect()
+            assert [(r.event_id, r.reject_reason) for r in away] == [("b", "newer_schema")] and '"region":"eu"' in away[0].raw_value
+    with pytest.raises(ValueError):
+        table_sink("t", "x", on_newer="quarantine")
+
+
+def test_other_types_and_a_second_writer(spark, tmp_dir, monkeypatch):
+    from quayside import schema as schema_module
+    from quayside.schema import SchemaMismatch, add_missing_columns
+    from quayside.sinks.writers import files_sink, table_sink
+    table = f"types_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, add_field(event_schema(), field("n", "integer")), table, location=f"{tmp_dir}/{table}")
+    rows = _v1_rows(spark, ["a", "b"]).withColumn("n", F.when(F.col("event_id") == "a", "7").otherwise("x"))
+    for policy in ("refuse", "evolve"):
+        with pytest.raises(SchemaMismatch):
+            table_sink("t", table, on_newer=policy).write(rows, 0)
+    table_sink("t", table, on_newer="quarantine", quarantine=files_sink("q", f"{tmp_dir}/q2")).write(rows, 0)
+    assert [(r.event_id, r.n) for r in spark.table(table).collect()] == [("a", 7)]
+    assert [r.event_id for r in spark.read.parquet(f"{tmp_dir}/q2").collect()] == ["b"]
+    # another writer adds the column between the look and the change
+    wider = rows.drop("n").withColumn("region", F.lit("eu")).withColumn("zone", F.lit("z")).schema
+    statements = schema_module.migration_statements
+
+    def late(name, changes):
+        monkeypatch.undo()
+        spark.sql(statements(name, changes)[0])
+        return statements(name, changes)
+    monkeypatch.setattr(schema_module, "migration_statements", late)
+    add_missing_columns(spark, table, wider)
+    assert {"region", "zone"} <= set(spark.table(table).columns)
