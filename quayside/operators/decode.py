@@ -1,6 +1,7 @@
 """Envelope → event fields.
 
-``decode_events`` is a narrow projection: no shuffle, no Python.  Output:
+``decode_events`` is a narrow projection: no shuffle, and for JSON no Python
+(Avro and Protobuf without Spark's modules are read by Arrow batch).  Output:
 the six event fields as text, the source position (``kafka_timestamp``,
 ``partition``, ``offset``), the raw value text (``raw_value``, for the
 quarantine) and ``decode_error`` (NULL when the value could be decoded).
@@ -8,11 +9,16 @@ quarantine) and ``decode_error`` (NULL when the value could be decoded).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
-from quayside.functions import wire
+from quayside.functions import avro, cursors, protobuf, wire
+
+# the record readers run in Python workers, which need not have this package
+for _module in (cursors, avro, protobuf):
+    cloudpickle.register_pickle_by_value(_module)
 
 # fixed values: the event fields the producer contract defines, in order
 EVENT_FIELDS = ("event_id", "event_type", "timestamp", "payload", "source", "metadata")
@@ -58,63 +64,81 @@ def _as_text(c: Column, dtype) -> Column:
     return c.cast("string")
 
 
-def _decoder(fmt: str):
-    try:
+def _has_spark_module(spark: SparkSession, fmt: str) -> bool:
+    """Whether Spark's own module for the format is on the classpath."""
+    package = getattr(spark._jvm.org.apache.spark.sql, fmt)
+    return type(getattr(package, f"{fmt.capitalize()}DataToCatalyst")).__name__ != "JavaPackage"
+
+
+def _avro_record(body: Column, schema, spark_module: bool) -> Column:
+    writer, reader = (schema["writer"], schema.get("reader")) if isinstance(schema, dict) and "writer" in schema else (schema, None)
+    if not spark_module:
+        return avro.avro_column(body, writer, reader)
+    from pyspark.sql.avro.functions import from_avro
+    return from_avro(body, writer, {"mode": "PERMISSIVE", **({"avroSchema": reader} if reader else {})})
+
+
+def _protobuf_record(body: Column, schema: dict, message, spark_module: bool) -> Column:
+    if not spark_module:
+        return protobuf.protobuf_column(body, message)
+    from pyspark.sql.protobuf.functions import from_protobuf
+    return from_protobuf(body, schema["message"], binaryDescriptorSet=schema["descriptor"], options={"mode": "PERMISSIVE"})
+
+
+def _variants(fmt: str, schemas: dict, spark_module: bool) -> list[tuple[Column, Column]]:
+    """(condition, decoded record) of every schema, and of every message of it."""
+    sid, body, out = F.col("_sid"), F.col("_body"), []
+    for schema_id, schema in schemas.items():
         if fmt == "avro":
-            from pyspark.sql.avro.functions import from_avro
-            return lambda body, schema: from_avro(body, schema, {"mode": "PERMISSIVE"})
-        from pyspark.sql.protobuf.functions import from_protobuf
-        return lambda body, schema: from_protobuf(body, schema["message"], binaryDescriptorSet=schema["descriptor"],
-                                                  options={"mode": "PERMISSIVE"})
-    except ImportError as e:  # pragma: no cover - depends on the installation
-        raise MissingConnectorError(f"spark-{fmt} Python module is not available: {e}") from e
+            here = sid == schema_id
+            out.append((here, _avro_record(F.when(here, body), schema, spark_module)))
+            continue
+        for one in schema if isinstance(schema, list) else [schema]:
+            message, path = protobuf.load_message(one["message"], one["descriptor"])
+            for prefix in protobuf.index_prefixes(path):
+                here = (sid == schema_id) & (F.hex(F.substring(body, 1, len(prefix))) == prefix.hex().upper())
+                rest = F.substring(body, len(prefix) + 1, 2147483647)
+                out.append((here, _protobuf_record(F.when(here, rest), one, message, spark_module)))
+    return out
 
 
 def decode_framed(envelopes: DataFrame, fmt: str, schemas: dict, keep_key: bool = False) -> DataFrame:
     """Registry-framed Avro/Protobuf values → event fields.
 
-    ``schemas`` maps schema id → writer schema (Avro: JSON text; Protobuf:
-    ``{"message": name, "descriptor": bytes}``).  Each id is decoded with its
-    own schema in one projection (a CASE over the schema id), so records of
-    several schema versions are decoded in the same pass without grouping.
+    ``schemas`` maps schema id → writer schema.  Avro: JSON text, or
+    ``{"writer": text, "reader": text}`` to read under another schema.
+    Protobuf: ``{"message": name, "descriptor": bytes}``, or a list of them where
+    values of one id hold several messages of the file (nested ones too): the
+    index list before the body says which.  Records of several schema versions
+    are decoded in one pass, without grouping.
+
+    Spark's own module decodes where it is on the classpath, else the Arrow
+    readers of ``functions.avro`` and ``functions.protobuf`` do, a batch at a
+    time.  ``decode_error``: ``bad_frame``, ``unknown_schema_id``,
+    ``unsupported_message_index`` or ``bad_record``.
     """
     fmt = _check_format(fmt, schemas)
-    decode = _decoder(fmt)
     value = F.col("value")
-    sid = wire.frame_schema_id(value)
-    body = wire.frame_body(value)
-    if fmt == "protobuf":
-        body = F.substring(body, 2, 2147483647)
-    try:
-        per_id = {}
-        for schema_id, schema in schemas.items():
-            rec = decode(body, schema)
-            per_id[schema_id] = rec
-        probe = envelopes.select(*[r.alias(f"s{k}") for k, r in per_id.items()])
-    except Exception as e:  # Py4J / analysis errors when the module jar is missing
-        raise MissingConnectorError(
-            f"decoding {fmt} needs the spark-{fmt} package on the classpath "
-            f"(e.g. --packages org.apache.spark:spark-{fmt}_2.13:<spark version>): {e}") from e
-    text_struct = {}
-    for k in per_id:
-        dtype = probe.schema[f"s{k}"].dataType
-        names = {f.name: f.dataType for f in dtype.fields}
-        text_struct[k] = F.struct(*[
-            (_as_text(per_id[k].getField(f), names[f]) if f in names else F.lit(None).cast("string")).alias(f)
-            for f in EVENT_FIELDS])
-    record = None
-    for k, st in text_struct.items():
-        record = (F.when(sid == k, st) if record is None else record.when(sid == k, st))
-    error = (F.when(~wire.frame_ok(value), F.lit("bad_frame"))
-             .when(~sid.isin(*schemas.keys()), F.lit("unknown_schema_id")))
-    if fmt == "protobuf":
-        error = error.when(~wire.protobuf_single_message(wire.frame_body(value)), F.lit("unsupported_message_index"))
-    cols = [record.alias("data"), *_positions(envelopes), F.hex(value).alias("raw_value"), error.alias("decode_error")]
-    if keep_key:
-        cols.append(F.col("key").cast("string").alias("key"))
-    out = envelopes.select(*cols)
-    return out.select(*[F.col(f"data.{f}").alias(f) for f in EVENT_FIELDS],
-                      *[c for c in out.columns if c != "data"])
+    ok = F.coalesce(wire.frame_ok(value), F.lit(False))
+    kept = [F.col("key").cast("string").alias("key")] if keep_key else []
+    framed = envelopes.select(*_positions(envelopes), *kept, F.hex(value).alias("raw_value"), ok.alias("_ok"),
+                              F.when(ok, wire.frame_schema_id(value)).alias("_sid"), F.when(ok, wire.frame_body(value)).alias("_body"))
+    variants = _variants(fmt, schemas, _has_spark_module(envelopes.sparkSession, fmt))
+    decoded = framed.select("*", *[record.alias(f"_r{k}") for k, (_, record) in enumerate(variants)])
+    known, data = F.lit(False), None
+    for k, (here, _) in enumerate(variants):
+        types = {f.name: f.dataType for f in decoded.schema[f"_r{k}"].dataType.fields}
+        record = F.col(f"_r{k}")
+        texts = F.struct(*[(_as_text(record[f], types[f]) if f in types else F.lit(None).cast("string")).alias(f) for f in EVENT_FIELDS])
+        data = F.when(record.isNotNull(), texts) if data is None else data.when(record.isNotNull(), texts)
+        known = known | here
+    error = (F.when(~F.col("_ok"), F.lit("bad_frame"))
+             .when(~F.col("_sid").isin(*schemas.keys()), F.lit("unknown_schema_id"))
+             .when(~known, F.lit("unsupported_message_index"))
+             .when(data.isNull(), F.lit("bad_record")))
+    rest = ["kafka_timestamp", "partition", "offset", *(["key"] if keep_key else []), "raw_value"]
+    out = decoded.select(data.alias("data"), *rest, error.alias("decode_error"))
+    return out.select(*[F.col(f"data.{f}").alias(f) for f in EVENT_FIELDS], *rest, "decode_error")
 
 
 def decode_events(envelopes: DataFrame, fmt: str = "json", schemas: dict | None = None,
