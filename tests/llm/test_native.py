@@ -97,3 +97,25 @@ def test_taken_words_are_near_the_targets(spark):
         t = by.setdefault(r.target, [0])
         t[0] += r.taken
     assert all(abs(taken[0] / target - 1) < 0.05 for target, taken in by.items())
+
+
+def test_many_spans_in_one_text(spark):
+    """Blocks of spans give what a plain walk gives, also where spans touch, overlap or are dropped."""
+    kinds = ("password=abcdef{0}", "secret:abc", "AKIA" + "A" * 16 + "{0}", "é{0} 0123456789abcdef0123456789", "token=0123456789abcdef0123456789")
+    texts = {n: " \n".join(kinds[(k * k + n) % 5].format(k) for k in range(n)) for n in (1, 2, 3, 4, 5, 9, 10, 300, 2000)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    spans = {r.doc_id: r.spans for r in secret_scan.secret_digest(df).collect()}
+    for n, text in texts.items():
+        want, out, at = [], "", 0
+        for rank, rule in enumerate(secret_scan.RULES):
+            for m in re.finditer(rule.pattern, text):
+                if len(m.group(rule.group)) >= rule.least:
+                    want.append((m.start(), rank, m.end(), rule.kind))
+        want.sort()
+        assert spans[n] == ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in want), n
+        for a, _, b, _ in want:
+            if a > at or not out:
+                out += text[at:a] + "[secret]"
+            at = max(at, b)
+        assert got[n] == out + text[at:], n
