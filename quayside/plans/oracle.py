@@ -226,6 +226,30 @@ def oracle_queries() -> dict[str, str]:
             count(*) AS events FROM acc GROUP BY 1""",
         "schema_evolve_read": b + f"""SELECT event_id, "timestamp",
             CASE WHEN "timestamp" >= {_ts(EVOLVE_TIME)} THEN 'region-' || source END AS region FROM acc""",
+        "avro_decode": """WITH t AS (SELECT *, CASE event_id % 50 WHEN 0 THEN 'bad_record' WHEN 1 THEN 'unknown_schema_id' END AS err FROM events)
+            SELECT event_id AS "offset", CASE WHEN err IS NULL THEN CAST(event_id AS VARCHAR) END AS event_id,
+              CASE WHEN err IS NULL THEN event_type END AS event_type, CASE WHEN err IS NULL THEN ts END AS event_time,
+              CASE WHEN err IS NULL THEN CASE WHEN event_id % 4 < 2 THEN props
+                ELSE '{"user":' || user_id || ',"marks":[' || -event_id || ',' || user_id || ']'
+                     || CASE WHEN event_id % 3 = 0 THEN '' ELSE ',"note":"' || event_type || '"' END || '}' END END AS payload,
+              CASE WHEN err IS NULL THEN CASE WHEN event_id % 4 < 2 THEN 'src-' || (user_id % 3)
+                ELSE ['web', 'app', 'api'][user_id % 3 + 1] END END AS source,
+              CASE WHEN err IS NULL AND (event_id % 4 < 2 OR event_id % 7 > 0) THEN '{"user_id":' || user_id || '}' END AS metadata,
+              err AS decode_error FROM t""",
+        "protobuf_decode": """WITH t AS (SELECT *, event_id % 10 = 7 AS inner_event, CASE event_id % 50 WHEN 0 THEN 'bad_record'
+                WHEN 1 THEN 'unknown_schema_id' WHEN 2 THEN 'unsupported_message_index' END AS err FROM events)
+            SELECT event_id AS "offset", CASE WHEN err IS NULL THEN CAST(event_id AS VARCHAR) END AS event_id,
+              CASE WHEN err IS NULL THEN event_type END AS event_type, CASE WHEN err IS NULL AND NOT inner_event THEN ts END AS event_time,
+              CASE WHEN err IS NULL THEN CASE WHEN inner_event THEN props
+                ELSE '{"user":' || -user_id || ',"marks":[' || CASE WHEN event_id % 5 = 0 THEN '' ELSE user_id || ',' || event_id END || ']}' END END AS payload,
+              CASE WHEN err IS NULL AND NOT inner_event THEN ['web', 'app', 'api'][user_id % 3 + 1] END AS source,
+              CASE WHEN err IS NULL AND NOT inner_event THEN '{"user_id":' || user_id || '}' END AS metadata,
+              err AS decode_error FROM t""",
+        "late_side_output": b + """, mark AS (SELECT date_trunc('milliseconds', max("timestamp")) - INTERVAL 1 HOUR AS m FROM acc WHERE "offset" % 2 = 0),
+            firsts AS (SELECT event_id, "offset", "timestamp", "offset" % 2 AS half,
+                row_number() OVER (PARTITION BY event_id ORDER BY "offset" % 2, "partition", "offset") AS rn FROM acc)
+            SELECT event_id, "offset", "timestamp", CASE WHEN half = 1 AND "timestamp" <= m THEN 'late' ELSE 'delivered' END AS arrival,
+              CASE WHEN half = 1 AND "timestamp" <= m THEN m END AS missed_watermark FROM firsts, mark WHERE rn = 1""",
         "generated_events": base_cte("producer", PRODUCER_AS_OF) + f"SELECT {CONFORMED} FROM acc",
     }
     return q

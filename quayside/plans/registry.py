@@ -28,6 +28,8 @@ from quayside.sinks.deliver import deliver, redeliver
 from quayside.sinks.writers import Sink, clickhouse_layout, files_sink, landing_sink, table_sink
 from quayside.sources.envelope import envelope_from_events, read_envelope_files, write_envelope_files
 from quayside.sources.producer import producer_envelopes
+from quayside.sources.records import AVRO_SCHEMAS, PROTOBUF_SCHEMAS, avro_envelopes, protobuf_envelopes
+from quayside.streaming.late import batches_of_data_only, dedup_keeping_late
 from quayside.streaming.stream import handle_batch, start_stream
 
 # fixed batch time of the deterministic runs: inside the events' month, so
@@ -414,6 +416,37 @@ def q_generated_events(spark, sf_dir):
     return _out(accepted_conformed(process_events(env, as_of=PRODUCER_AS_OF)))
 
 
+def _decoded_records(envelopes: DataFrame, fmt: str, schemas: dict) -> DataFrame:
+    d = decode_events(envelopes, fmt, schemas)
+    return _out(d.select("offset", "event_id", "event_type", F.col("timestamp").cast("timestamp").alias("event_time"), "payload", "source",
+                         "metadata", "decode_error"))
+
+
+def q_avro_decode(spark, sf_dir):
+    """Every event as a framed Avro value of one of two writer schemas, decoded."""
+    return _decoded_records(avro_envelopes(_events(spark, sf_dir)), "avro", AVRO_SCHEMAS)
+
+
+def q_protobuf_decode(spark, sf_dir):
+    """Every event as a framed Protobuf value of one of two messages of a file, decoded."""
+    return _decoded_records(protobuf_envelopes(_events(spark, sf_dir)), "protobuf", PROTOBUF_SCHEMAS)
+
+
+def q_late_side_output(spark, sf_dir):
+    """One row per event_id over two runs of a stream: the even offsets, then the odd ones, of which those behind the watermark are late."""
+    ensure_checkpoint_dir(spark)
+    src, out, checkpoint = (scratch_path(spark, f"late-{n}") for n in ("src", "out", "checkpoint"))
+    env = _envelopes(spark, sf_dir)
+    for half in (0, 1):
+        write_envelope_files(env.filter(F.col("offset") % 2 == half), src, files=2)
+        rows = accepted_conformed(process_events(read_envelope_files(spark, src, streaming=True), as_of=AS_OF), keep=("partition", "offset"))
+        with batches_of_data_only(spark):
+            q = (dedup_keeping_late(rows).writeStream.format("parquet").option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start(out))
+        q.awaitTermination()
+    return _out(spark.read.parquet(out).select("event_id", "offset", "timestamp", "arrival", "missed_watermark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_parse": q_envelope_parse,
     "wire_frame_split": q_wire_frame_split,
@@ -450,4 +483,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "evolved_table_append": q_evolved_table_append,
     "dedup_all_dates": q_dedup_all_dates,
     "newer_rows_older_table": q_newer_rows_older_table,
+    "avro_decode": q_avro_decode,
+    "protobuf_decode": q_protobuf_decode,
+    "late_side_output": q_late_side_output,
 }

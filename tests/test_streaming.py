@@ -8,6 +8,7 @@ from quayside.plans.ingest import accepted_conformed, process_events
 from quayside.sinks.deliver import read_ledger
 from quayside.sinks.writers import files_sink
 from quayside.sources.envelope import envelope_from_events, read_envelope_files, write_envelope_files
+from quayside.streaming.late import batches_of_data_only, dedup_keeping_late, split_late
 from quayside.streaming.stream import dedup_within_watermark, handle_batch, start_stream
 
 SF = "/root/testdata/sf0.001"
@@ -128,3 +129,24 @@ def test_transform_sees_accepted_rows_only(spark, tmp_dir, landed):
     out = spark.read.parquet(f"{tmp_dir}/out")
     assert out.filter("event_type <> upper(event_type)").count() == 0 and out.count() == len(landed[1])
     assert out.count() + spark.read.parquet(f"{tmp_dir}/q").count() == spark.read.parquet(landed[0]).count()
+
+
+def test_late_rows_are_kept_apart(spark, tmp_dir):
+    """Ten ids over two runs: all arrive once, those behind the watermark as late; copies in a batch and over runs go."""
+    src, out, checkpoint = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    schema = "event_id string, timestamp timestamp, partition int, offset long, note string"
+    row = "SELECT '{}' AS event_id, TIMESTAMP'2024-01-0{} 12:00:00' AS timestamp, 0 AS partition, {}L AS offset, cast(null AS string) AS note"
+    runs = ([(f"a{k}", 5, 10 - k) for k in range(5)] + [("a0", 5, 1), ("a1", 4, 99)],
+            [("b0", 6, 20), ("b1", 5, 21), ("b2", 1, 22), ("b2", 1, 3), ("b3", 2, 23), ("b4", 4, 24), ("a2", 1, 25), ("a3", 5, 26)])
+    for rows in runs:
+        spark.sql(" UNION ALL ".join(row.format(*r) for r in rows)).coalesce(1).write.mode("append").parquet(src)
+        with batches_of_data_only(spark):
+            q = (dedup_keeping_late(spark.readStream.schema(schema).parquet(src), "1 hour").writeStream.format("parquet")
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
+        q.awaitTermination(120)
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+    delivered, late = split_late(spark.read.parquet(out))
+    assert delivered.columns == schema.replace(",", "").split()[::2]
+    assert {(r.event_id, r.offset) for r in delivered.collect()} == {("a0", 1), ("a1", 9), ("a2", 8), ("a3", 7), ("a4", 6), ("b0", 20), ("b1", 21)}
+    assert {(r.event_id, r.offset) for r in late.collect()} == {("b2", 3), ("b3", 23), ("b4", 24)}
+    assert [str(r[0]) for r in late.select("missed_watermark").distinct().collect()] == ["2024-01-05 11:00:00"]
