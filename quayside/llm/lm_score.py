@@ -20,11 +20,12 @@ of a batch are summed to its documents.
 
 Contract: null and blank texts are the end alone; ids that repeat give a row each; a null id
 reads as the empty text in the split; an empty table gives an empty result; extra columns
-play no part.  Without training rows all counts are 0: N + 1 * (V + 1) is 1.
+play no part.  Whole texts count; the time for a word without blanks grows with its length.  Without training rows all counts are 0: N + 1 * (V + 1) is 1.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -48,6 +49,8 @@ POSTINGS_HELD = 2_000_000
 POSTING = np.dtype([("doc", "<u2"), ("n", "<u2")])
 SUMS = np.dtype([("doc", "<u2"), ("known", "<u4"), ("tokens", "<u4"), ("base", "<f8"), ("score", "<f8")])
 WORDS_AT_ONCE = 8_192
+#: A word of more characters is scored by itself, in stretches of so many places.
+LONG_WORD, STRETCH = 256, 1 << 16
 END = ""                       # stands for the end in the postings; no word is empty
 
 
@@ -83,7 +86,10 @@ class Lattice:
     def score(self, words: list[str]) -> np.ndarray:
         """Natural log of each word's marginal probability."""
         out = np.zeros(len(words))
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        order = sorted((i for i, w in enumerate(words) if len(w) <= LONG_WORD), key=lambda i: len(words[i]))
+        for i, w in enumerate(words):
+            if len(w) > LONG_WORD:
+                out[i] = self._score_long(START + w)
         for at in range(0, len(order), WORDS_AT_ONCE):
             some = order[at:at + WORDS_AT_ONCE]
             out[some] = self._score_block([START + words[i] for i in some])
@@ -120,6 +126,43 @@ class Lattice:
                     break
         return alpha[first + size]
 
+    def _score_long(self, word: str) -> float:
+        """One word: its pieces are found for many places at once, then summed up place by place."""
+        chars = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64)
+        alpha = [0.0]                                              # of the places before and in this stretch, the last one last
+        for a in range(0, len(chars), STRETCH):
+            b = min(a + STRETCH, len(chars))
+            start = np.arange(max(0, a - self.depth + 1), b)       # pieces that end after a and not after b
+            node = np.zeros(len(start), np.int64)
+            ends, lengths, costs = [], [], []
+            for k in range(self.depth):
+                node = self.child.get(node << 21 | chars[start + k]).astype(np.int64)
+                piece = np.where(node >= 0, self.piece[node], -1)
+                hit = (piece >= 0) & (start + k >= a)
+                ends.append(start[hit] + k + 1)
+                costs.append(self.logp[piece[hit]])
+                if k == 0:
+                    spelled = start[(piece < 0) & (start >= a)]
+                    seen, which = np.unique(chars[spelled], return_inverse=True)
+                    cost = np.array([self.byte_logp[list(chr(c).encode("utf-8", "surrogatepass"))].sum() for c in seen.tolist()])
+                    ends.append(spelled + 1)
+                    costs.append(cost[which] if len(seen) else cost)
+                lengths.append(np.full(sum(map(len, ends)) - sum(map(len, lengths)), k + 1))
+                going = (node >= 0) & (start + k + 1 < b)
+                start, node = start[going], node[going]
+                if not len(start):
+                    break
+            end, length, cost = map(np.concatenate, (ends, lengths, costs))
+            order = np.argsort(end, kind="stable")
+            length, cost = length[order].tolist(), cost[order].tolist()
+            cut = np.searchsorted(end[order], np.arange(a + 1, b + 2)).tolist()
+            for lo, hi in zip(cut, cut[1:]):
+                terms = [alpha[-n] + c for n, c in zip(length[lo:hi], cost[lo:hi])]
+                most = max(terms)
+                alpha.append(most + math.log(sum([math.exp(t - most) for t in terms])))
+            del alpha[:-self.depth]
+        return alpha[-1]
+
     @staticmethod
     def _add(alpha: np.ndarray, at: np.ndarray, step: int, logp: np.ndarray) -> None:
         alpha[at + step] = np.logaddexp(alpha[at + step], alpha[at] + logp)

@@ -10,7 +10,9 @@ Minimum-length guards: under ``LEAST_WORDS`` words a text's word histogram is to
 character classes are compared; and a label makes a reference only from ``REFERENCE_DOCUMENTS`` documents and
 ``REFERENCE_WORDS`` words on, unless no label has as many, so that rare labels don't vouch for their own junk.
 
-The references have one row per language label; more than ``MOST_LANGUAGES`` are refused.
+The references have one row per language label.  Their counts are a written table, and
+``LANGUAGES_AT_ONCE`` labels are compared at a time: up to so many in one pass over the texts, each further
+block of labels in a further pass, which carries on the nearest one so far.
 
 Contract: a null text has no words and fails; a null language adds to no reference and is
 judged like any other, and so is a text whose label has no reference because it has too few
@@ -31,7 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
+from quayside.llm.langid import label_blocks
 from quayside.llm.texts import slices, texts_of
 from quayside.session import scratch_path
 
@@ -41,7 +45,7 @@ COMMON = 40
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.185, 0.45
 LEAST_WORDS = 100
 REFERENCE_DOCUMENTS, REFERENCE_WORDS = 20, 2_000
-MOST_LANGUAGES = 512
+LANGUAGES_AT_ONCE = 512
 WORDS_HELD = 200_000
 #: A text adds to a reference if it has at most one symbol in so many words.
 REFERENCE_SYMBOLS = 20
@@ -160,7 +164,14 @@ def verdict(text: str, words: list[bytes], references: References, limits: Limit
     return bool(far[best] <= 1), float(c[best]), float(w[best])
 
 
-def language_references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON, limits: Limits = Limits()) -> list[Reference]:
+def nearer(a: tuple[bool, float, float], b: tuple[bool, float, float], limits: Limits) -> tuple[bool, float, float]:
+    """Of two verdicts over different references, the one with the nearest."""
+    far = lambda v: (max(v[1] / limits.char_distance, v[2] / limits.word_distance), v[1], v[2])
+    return min(a, b, key=far)
+
+
+def language_references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON, limits: Limits = Limits(),
+                        at_once: int = LANGUAGES_AT_ONCE) -> LanguageReferences:
     """References of the language labels, from the rows of ``df`` that pass the base rules."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = defaultdict(Counter)
@@ -190,73 +201,127 @@ def language_references(df: DataFrame, text_col: str = "text", lang_col: str = "
     counted = (df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
                .filter("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(count, "lang string, kind int, key binary, n long")
                .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")))
-    return _references(counted, common, limits)
-
-
-def _references(counted: DataFrame, common: int, limits: Limits) -> list[Reference]:
-    spark = counted.sparkSession
+    spark = df.sparkSession
     path = scratch_path(spark, "quality-counts")
     counted.write.parquet(path)
-    counted = spark.read.parquet(path)
-    top = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    # the row_number filter is applied in each task before rows of a language meet
-    rows = counted.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= max(common, len(CLASSES))).collect()
-    totals = {r["lang"]: r["n"] for r in counted.filter("kind = 1").groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    documents = {r["lang"]: r["n"] for r in counted.filter("kind = 2").select("lang", "n").collect()}
-    large = {lang: n for lang, n in totals.items() if n >= limits.reference_words and documents[lang] >= limits.reference_documents}
-    totals = large or totals
-    if len(totals) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    out = []
-    for lang in sorted(totals):
-        classes = np.zeros(len(CLASSES))
-        for r in rows:
-            if r["lang"] == lang and r["kind"] == 0:
-                classes[int(bytes(r["key"]))] = r["n"]
-        words = [(bytes(r["key"]), r["n"]) for r in sorted(rows, key=lambda r: r["r"]) if r["lang"] == lang and r["kind"] == 1 and r["r"] <= common]
-        counts = np.array([n for _, n in words] + [totals[lang] - sum(n for _, n in words)], float)
-        out.append(Reference(classes, {w: i for i, (w, _) in enumerate(words)}, counts))
-    return out
-
-
-def quality_report(df: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    return LanguageReferences(spark.read.parquet(path), common, limits, at_once)
+
+
+class LanguageReferences:
+    """References of a corpus, read from the written counts (lang, kind, key, n) by blocks of labels."""
+
+    def __init__(self, counted: DataFrame, common: int, limits: Limits, at_once: int):
+        spark = counted.sparkSession
+        path = scratch_path(spark, "quality-sizes")
+        (counted.filter("kind > 0").groupBy("lang").agg(F.sum(F.expr("if(kind = 1, n, 0)")).alias("words"), F.sum(F.expr("if(kind = 2, n, 0)")).alias("documents"))
+         .write.parquet(path))
+        sizes = spark.read.parquet(path)                  # a row per label
+        large = sizes.filter((F.col("words") >= limits.reference_words) & (F.col("documents") >= limits.reference_documents))
+        self.used = sizes if large.isEmpty() else large
+        self.counted, self.common = counted, common
+        self.blocks = label_blocks(self.used, at_once)
+
+    def __len__(self) -> int:
+        return self.used.count()
+
+    def block(self, k: int) -> References:
+        """References of the labels of block k; without any label, none."""
+        if not self.blocks:
+            return References([])
+        totals = {r["lang"]: r["words"] for r in self.used.filter(F.col("lang").between(*self.blocks[k])).collect()}
+        top = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
+        # the row_number filter is applied in each task before rows of a language meet
+        rows = (self.counted.filter((F.col("kind") < 2) & F.col("lang").isin(list(totals)))
+                .withColumn("r", F.row_number().over(top)).filter(F.col("r") <= max(self.common, len(CLASSES))).collect())
+        of_label: dict[str, list] = defaultdict(list)
+        for r in sorted(rows, key=lambda r: r["r"]):
+            of_label[r["lang"]].append(r)
+        out = []
+        for lang in sorted(totals):
+            classes = np.zeros(len(CLASSES))
+            for r in of_label[lang]:
+                if r["kind"] == 0:
+                    classes[int(bytes(r["key"]))] = r["n"]
+            words = [(bytes(r["key"]), r["n"]) for r in of_label[lang] if r["kind"] == 1 and r["r"] <= self.common]
+            counts = np.array([n for _, n in words] + [totals[lang] - sum(n for _, n in words)], float)
+            out.append(Reference(classes, {w: i for i, (w, _) in enumerate(words)}, counts))
+        return References(out)
+
+
+FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def by_blocks(state: DataFrame, references: LanguageReferences, compare) -> DataFrame:
+    """``compare(state, references, first, last)`` with each block of references in turn; what it carries on is written in between."""
+    passes = max(1, len(references.blocks))
+    for k in range(passes):
+        state = compare(state, references.block(k), k == 0, k == passes - 1)
+        if k < passes - 1:
+            path = scratch_path(state.sparkSession, "quality-judged")
+            state.write.parquet(path)
+            state = state.sparkSession.read.parquet(path)
+    return state
+
+
+def quality_report(df: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                   at_once: int = LANGUAGES_AT_ONCE) -> DataFrame:
     """(id, base features, base_failed, kept, char_distance, word_distance) of every row."""
-    references = References(language_references(df, text_col, lang_col, limits=limits))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            features, failed, judged = [], [], []
-            for text in texts_of(part.column(1)):
-                words, found, bad = base_features(text)
-                features.append(found)
-                failed.append(bad)
-                judged.append((False, 0.0, 0.0) if bad else verdict(text, words, references, limits))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), *(pa.array([f[k] for f in features], pa.int64()) for k in range(5)), pa.array(failed, pa.bool_()),
-                 pa.array([j[0] for j in judged], pa.bool_()), pa.array([j[1] for j in judged], pa.float64()), pa.array([j[2] for j in judged], pa.float64())],
-                ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance"])
-
     kind = df.schema[id_col].dataType.simpleString()
-    return (df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, f"id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-                             "base_failed boolean, kept boolean, char_distance double, word_distance double")
-            .withColumnRenamed("id", id_col))
-
-
-def keep_good(df: DataFrame, limits: Limits = Limits(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    result = ", ".join(f"{name} long" for name in FEATURES) + ", base_failed boolean, kept boolean, char_distance double, word_distance double"
+
+    def compare(state: DataFrame, references: References, first: bool, last: bool) -> DataFrame:
+        carried = 1 if last else 2                          # the id, and the text for the next block
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches):
+                features, failed, judged = [], [], []
+                earlier = [] if first else [part.column(2 + k).to_pylist() for k in range(9)]
+                for i, text in enumerate(texts_of(part.column(1))):
+                    if first:
+                        words, found, bad = base_features(text)
+                        verdict_0 = None
+                    else:
+                        found, bad, verdict_0 = [e[i] for e in earlier[:5]], earlier[5][i], tuple(e[i] for e in earlier[6:])
+                        words = [] if bad else text.encode().split()
+                    features.append(found)
+                    failed.append(bad)
+                    now = (False, 0.0, 0.0) if bad else verdict(text, words, references, limits)
+                    judged.append(now if bad or first else nearer(verdict_0, now, limits))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:carried], *(pa.array([f[k] for f in features], pa.int64()) for k in range(5)), pa.array(failed, pa.bool_()),
+                     pa.array([j[0] for j in judged], pa.bool_()), pa.array([j[1] for j in judged], pa.float64()), pa.array([j[2] for j in judged], pa.float64())],
+                    [*["id", "text"][:carried], *FEATURES, "base_failed", "kept", "char_distance", "word_distance"])
+
+        return state.mapInArrow(run, f"id {kind}, {result}" if last else f"id {kind}, text string, {result}")
+
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return by_blocks(texts, language_references(df, text_col, lang_col, limits=limits, at_once=at_once), compare).withColumnRenamed("id", id_col)
+
+
+def keep_good(df: DataFrame, limits: Limits = Limits(), text_col: str = "text", lang_col: str = "lang", at_once: int = LANGUAGES_AT_ONCE) -> DataFrame:
     """The rows of ``df`` that are kept, with all their columns."""
-    references = References(language_references(df, text_col, lang_col, limits=limits))
-    at = df.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            good = []
-            for text in texts_of(part.column(at)):
-                words, _, bad = base_features(text)
-                good.append(not bad and verdict(text, words, references, limits)[0])
-            yield part.filter(pa.array(good, pa.bool_()))
-
-    return df.mapInArrow(run, df.schema)
+    names, schema = df.columns, df.schema
+    at, near = names.index(text_col), "near"
+    while near in map(str.lower, names):
+        near += "_"
+    with_near = StructType([*schema.fields, StructField(near, BooleanType())])
+
+    def compare(state: DataFrame, references: References, first: bool, last: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches):
+                passed, good = [], []
+                before = [False] * part.num_rows if first else part.column(len(names)).to_pylist()
+                for text, near_one in zip(texts_of(part.column(at)), before):
+                    words, _, bad = base_features(text) if first else ([] if near_one else text.encode().split(), None, False)
+                    passed.append(not bad)
+                    good.append(near_one or not bad and verdict(text, words, references, limits)[0])
+                columns = part.columns[:len(names)]
+                out = pa.RecordBatch.from_arrays(columns if last else [*columns, pa.array(good, pa.bool_())], names if last else with_near.names)
+                yield out.filter(pa.array(good if last else passed, pa.bool_()))
+
+        return state.mapInArrow(run, schema if last else with_near)
+
+    return by_blocks(df, language_references(df, text_col, lang_col, limits=limits, at_once=at_once), compare)
 
 
 ORACLE = r"""

@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -186,8 +187,86 @@ def test_lattice_scores(docs, edge, none):
     assert lm_score.score_documents(none, PIECES).count() == 0
 
 
+def test_a_long_word_takes_time_by_its_length():
+    library = lm_score._library(PIECES)
+    rng = np.random.default_rng(3)
+    logp = np.log(rng.dirichlet(np.ones(library.get_piece_size())))
+    lattice = lm_score.Lattice(PIECES, logp)
+    base = "thequickbrownfoxjumpsü日over"
+    some = [(base * 400)[:n] for n in (1, 255, 256, 257, 300, 1000, lm_score.STRETCH // 16 + 3)]
+    short = lattice._score_block([lm_score.START + w for w in some])
+    assert np.allclose(lattice.score(some), short, rtol=1e-9)
+    stretch, lm_score.STRETCH = lm_score.STRETCH, 37               # stretches shorter than the word
+    try:
+        assert np.allclose(lattice.score(some), short, rtol=1e-9)
+    finally:
+        lm_score.STRETCH = stretch
+    began = time.monotonic()
+    million = lattice.score([base * 40_000])[0]
+    assert len(base) * 40_000 >= 1_000_000 and np.isfinite(million) and time.monotonic() - began < 60
+
+
 # language ID
 
+def plain_grams(text):
+    """Buckets of the 2- and 3-grams; the last 2-gram counts four times."""
+    t = " " + re.sub(r"[^a-z]+", " ", text.lower()).strip() + " "
+    c = list(map(ord, t))
+    two = [(a * 0x9E3779B97F4A7C15 + b) % 2**64 for a, b in zip(c, c[1:])]
+    three = [(x * 0xC2B2AE3D27D4EB4F + d) % 2**64 for x, d in zip(two, c[2:])]
+    place = lambda h, m: (h * m % 2**64) >> 50
+    two = [place(h, 0xD6E8FEB86659FD93) for h in two]
+    return two + [place(h, 0xA5CB9243F0AEF993) for h in three] + 3 * two[-1:]
+
+
+def test_training_counts_what_the_texts_have(spark):
+    ship_package(spark)
+    rows = [(1, "the cat sat", "en"), (2, "le chat noir", "fr"), (3, "Die Katze!", "de"), (4, "12 34", "en"), (5, "the", "en"), (6, None, "fr"), (7, "x", None),
+            (8, "la la", "fr"), (9, "...", "zz"), (9, "die die", "de")]
+    counts, docs = collections.defaultdict(collections.Counter), collections.Counter()
+    for _, t, lang in rows:
+        if t and lang and re.search("[a-z]", t.lower()):
+            counts[lang].update(plain_grams(t))
+            docs[lang] += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    for at_once in (1, 2, 512):
+        got = {r.lang: r for r in langid.train(df, at_once=at_once).collect()}
+        assert {lang: r.documents for lang, r in got.items()} == docs
+        for lang, r in got.items():
+            n = np.frombuffer(r.grams, np.int64)
+            assert {int(b): int(n[b]) for b in np.flatnonzero(n)} == counts[lang]
+        # the posterior, from these counts
+        pred = {(r.doc_id, r.lang_pred): r.score for r in langid.predict(df, langid.train(df, at_once=at_once), at_once=at_once).collect()}
+        for i, t, _ in rows:
+            if not t or not re.search("[a-z]", t.lower()):
+                assert pred[i, "und"] == 0
+                continue
+            total = {lang: math.log(docs[lang] / sum(docs.values())) + sum(math.log((c[g] + 0.5) / (sum(c.values()) + 0.5 * langid.BUCKETS)) for g in plain_grams(t)) for lang, c in counts.items()}
+            best = max(total, key=total.get)
+            assert pred[i, best] == pytest.approx(1 / sum(math.exp(x - total[best]) for x in total.values()))
+
+
+def many_labels(spark, docs, n=600):
+    """Rows of ``docs`` under n labels, with texts of at least 50 words."""
+    texts = [r.text for r in docs.orderBy("doc_id").collect() if r.text and len(r.text.split()) >= 60]
+    rows = [(i, " ".join(texts[i % len(texts)].split()[i % 7:70 + i % 11]), f"l{i % n:04d}") for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+
+
+def test_more_labels_than_are_held_at_once(spark, docs):
+    df = many_labels(spark, docs)
+    result = lambda frame: sorted((*r[:-1], round(r[-1], 9)) for r in frame.collect())
+    one, blocks = (result(langid.language_id(df, parts=1, part=1, at_once=n)) for n in (1000, 512))
+    assert one == blocks and len(langid.label_blocks(df, 512)) == 2
+    judged = [sorted((*r[:-2], round(r[-2], 9), round(r[-1], 9)) for r in quality.quality_report(df, at_once=n).collect()) for n in (1000, 512, 250)]
+    assert judged[0] == judged[1] == judged[2] and len(judged[0]) == 600
+    kept = {r[0] for r in judged[0] if r[7]}
+    assert kept
+    for n in (512, 250):
+        good = quality.keep_good(df.selectExpr("*", "doc_id AS NEAR"), at_once=n)
+        assert good.columns == ["doc_id", "text", "lang", "NEAR"] and {r.doc_id for r in good.collect()} == kept
+
+
 def test_held_out_accuracy(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     ship_package(spark)
