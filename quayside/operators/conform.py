@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType, TimestampType
 
+from quayside.functions import json as J
 from quayside.functions.timestamps import python_isoformat
 from quayside.schema import JSON_TYPES, declared_default_sql, logical_type
 
@@ -46,11 +47,20 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
 def export_json_column() -> Column:
     """P11 as one column: the event as JSON text with an ISO timestamp,
     payload/metadata nested as JSON, missing metadata as ``{}``."""
-    payload = F.coalesce(F.col("payload"), F.lit("{}"))
-    metadata = F.coalesce(F.col("metadata"), F.lit("{}"))
-    return F.to_json(F.struct(
-        F.col("event_id"), F.col("event_type"), python_isoformat("timestamp").alias("timestamp"),
-        F.parse_json(payload).alias("payload"), F.col("source"), F.parse_json(metadata).alias("metadata")))
+    payload, metadata = "coalesce(payload, '{}')", "coalesce(metadata, '{}')"
+    head = F.struct(F.col("event_id"), F.col("event_type"), python_isoformat("timestamp").alias("timestamp"))
+    as_variants = F.to_json(F.struct(
+        head["event_id"].alias("event_id"), head["event_type"].alias("event_type"), head["timestamp"].alias("timestamp"),
+        F.expr(f"try_parse_json({payload})").alias("payload"), F.col("source"), F.expr(f"try_parse_json({metadata})").alias("metadata")))
+    # VARIANT takes no duplicate keys and no NaN: such documents go into the text as they are written
+    before, after = F.to_json(head), F.to_json(F.struct("source"))
+    as_text = F.concat(
+        F.regexp_replace(before, r"\}$", ""),
+        F.lit(',"payload":'), F.expr(J.compact_sql(payload)), F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit(","), F.regexp_replace(after, r"^\{|\}$", ""))),
+        F.lit(',"metadata":'), F.expr(J.compact_sql(metadata)), F.lit("}"))
+    parses = F.expr(f"try_parse_json({payload}) IS NOT NULL AND try_parse_json({metadata}) IS NOT NULL")
+    valid = F.expr(f"({J.valid_sql(payload)}) AND ({J.valid_sql(metadata)})")
+    return F.when(parses, as_variants).when(valid, as_text).otherwise(F.raise_error(F.lit("payload or metadata is not a JSON document")).cast("string"))
 
 
 def export_json(df: DataFrame) -> DataFrame:

@@ -29,7 +29,8 @@ def enrich_events(classified: DataFrame, version: str = PROCESSING_VERSION) -> D
         f"CASE WHEN reject_reason IS NULL THEN CASE WHEN metadata_truthy THEN {J.compact_sql('metadata')} "
         f"ELSE '{{}}' END END AS _object",
         "CASE WHEN reject_reason IS NULL AND metadata_truthy THEN json_object_keys(metadata) END AS _keys",
-    ).selectExpr("*", f"CASE WHEN {held} THEN {J.object_map_sql('_object')} END AS _metadata_map")
+    # VARIANT takes no duplicate keys and no NaN: there the members are appended, and the last one of a name counts
+    ).selectExpr("*", f"CASE WHEN ({held}) AND try_parse_json(_object) IS NOT NULL THEN {J.object_map_sql('_object')} END AS _metadata_map")
     # nearly all rows have neither key: the two members are appended to the text, which leaves
     # numbers of any length as they are; only where a key is overwritten is the object rebuilt
     merged = (f"CASE WHEN reject_reason IS NOT NULL THEN metadata "

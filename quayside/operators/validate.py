@@ -51,12 +51,10 @@ def batch_time(as_of=None) -> Column:
     return F.expr(batch_time_sql(as_of))
 
 
-def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False) -> DataFrame:
-    """JSON facts for payload/metadata and the event time.
+def coerce_times(events: DataFrame, as_of=None, digits_as_epoch: bool = False) -> DataFrame:
+    """The event time.
 
-    Adds ``payload_valid``, ``payload_truthy``, ``metadata_valid``,
-    ``metadata_truthy``, ``metadata_is_object``, ``timestamp_text``,
-    ``timestamp_defaulted``, ``batch_ts`` and ``event_date``; replaces
+    Adds ``timestamp_text``, ``timestamp_defaulted``, ``batch_ts`` and ``event_date``; replaces
     ``timestamp`` with the coerced instant (the batch time when the text is
     missing or unknown).
 
@@ -69,28 +67,43 @@ def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False)
     time_helpers, event_time = event_time_columns("timestamp", ts_type, digits_as_epoch)
     parsed = events.selectExpr(
         "*",
-        f"CASE WHEN {J.present_sql('payload')} THEN {J.valid_sql('payload')} END AS _payload_ok",
-        f"CASE WHEN {J.present_sql('metadata')} THEN {J.valid_sql('metadata')} END AS _metadata_ok",
         *[f"{sql} AS {name}" for name, sql in time_helpers.items()],
         f"{batch_time_sql(as_of)} AS batch_ts",
     ).selectExpr("*", f"{event_time} AS _event_time")
     # the broker time is the same on every replay of a record, the batch time is not
     stable = "kafka_timestamp, " if "kafka_timestamp" in events.columns else ""
-    # _payload_ok and _metadata_ok: NULL when not given
     facts = {
         "timestamp": "coalesce(_event_time, batch_ts)",
         "timestamp_text": "CAST(`timestamp` AS STRING)",
         "timestamp_defaulted": "_event_time IS NULL",
+        "event_date": f"to_date(coalesce(_event_time, {stable}batch_ts))",
+    }
+    kept = [c for c in events.columns if c != "timestamp"] + ["batch_ts"]
+    return with_settled_columns(parsed.selectExpr(*[f"`{c}`" for c in [*kept, "timestamp", "_event_time"]]), facts, keep=kept)
+
+
+def check_json(events: DataFrame) -> DataFrame:
+    """Adds ``payload_valid``, ``payload_truthy``, ``metadata_valid``,
+    ``metadata_truthy`` and ``metadata_is_object``."""
+    # _payload_ok and _metadata_ok: NULL when not given
+    parsed = events.selectExpr(
+        "*",
+        f"CASE WHEN {J.present_sql('payload')} THEN {J.valid_sql('payload')} END AS _payload_ok",
+        f"CASE WHEN {J.present_sql('metadata')} THEN {J.valid_sql('metadata')} END AS _metadata_ok",
+    )
+    return with_settled_columns(parsed, {
         "payload_valid": "coalesce(_payload_ok, true)",
         "payload_truthy": f"coalesce(_payload_ok AND {J.truthy_sql('payload')}, false)",
         "metadata_valid": "coalesce(_metadata_ok, true)",
         "metadata_truthy": f"coalesce(_metadata_ok AND {J.truthy_sql('metadata')}, false)",
         "metadata_is_object": f"coalesce(_metadata_ok AND {J.object_sql('metadata')}, false)",
-        "event_date": f"to_date(coalesce(_event_time, {stable}batch_ts))",
-    }
-    kept = [c for c in events.columns if c != "timestamp"] + ["batch_ts"]
-    inputs = [*kept, "timestamp", "_payload_ok", "_metadata_ok", "_event_time"]
-    return with_settled_columns(parsed.selectExpr(*[f"`{c}`" for c in inputs]), facts, keep=kept)
+    }, keep=events.columns)
+
+
+def coerce_events(events: DataFrame, as_of=None, digits_as_epoch: bool = False) -> DataFrame:
+    """``coerce_times`` and ``check_json``, a fence each: who asks for the time
+    only takes the first and does not pay for the JSON checks, nor the other way round."""
+    return check_json(coerce_times(events, as_of, digits_as_epoch))
 
 
 def with_settled_columns(df: DataFrame, exprs: dict[str, str], keep: list[str]) -> DataFrame:
@@ -109,7 +122,7 @@ def with_settled_columns(df: DataFrame, exprs: dict[str, str], keep: list[str])
 
 def reject_reason_sql() -> str:
     """SQL: first failing rule, in REJECT_REASONS order; NULL when all pass."""
-    value_is_object = f"coalesce(try_parse_json(raw_value) IS NOT NULL AND {J.object_sql('raw_value')}, false)"
+    value_is_object = f"coalesce(({J.valid_sql('raw_value')}) AND {J.object_sql('raw_value')}, false)"
     rules = [
         ("decode_error IS NOT NULL OR (event_id IS NULL AND NOT " + value_is_object + ")", "malformed_value"),
         ("event_id IS NULL", "missing_event_id"),

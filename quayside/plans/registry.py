@@ -19,7 +19,7 @@ from quayside.functions import wire
 from quayside.operators.conform import conform, export_json_column, read_conformed
 from quayside.operators.decode import decode_events
 from quayside.operators.dedup import keep_first
-from quayside.operators.validate import coerce_events, outcome_counts, quarantine
+from quayside.operators.validate import check_json, coerce_times, outcome_counts, quarantine
 from quayside.plans.ingest import accepted_conformed, accepted_rows, process_events
 from quayside.schema import POLICIES, add_field, ensure_table, event_schema, evolve_table, field, remove_field
 from quayside.session import ensure_checkpoint_dir, pin_session, scratch_path
@@ -91,22 +91,18 @@ def q_wire_frame_split(spark, sf_dir):
         wire.frame_ok(F.col("value")).alias("frame_ok"))
 
 
-def _coerced(spark, sf_dir):
-    return coerce_events(decode_events(_envelopes(spark, sf_dir)), as_of=AS_OF)
-
-
 def q_timestamp_coerce(spark, sf_dir):
-    c = _coerced(spark, sf_dir)
+    c = coerce_times(decode_events(_envelopes(spark, sf_dir)), as_of=AS_OF)
     return _out(c.select("offset", "event_id", "timestamp_text", "timestamp", "timestamp_defaulted"))
 
 
 def q_payload_json_check(spark, sf_dir):
-    return _coerced(spark, sf_dir).select("offset", "event_id", "payload", "payload_valid", "payload_truthy")
+    return check_json(decode_events(_envelopes(spark, sf_dir))).select("offset", "event_id", "payload", "payload_valid", "payload_truthy")
 
 
 def q_metadata_json_check(spark, sf_dir):
-    return _coerced(spark, sf_dir).select("offset", "event_id", "metadata", "metadata_valid", "metadata_truthy",
-                                          "metadata_is_object")
+    return check_json(decode_events(_envelopes(spark, sf_dir))).select(
+        "offset", "event_id", "metadata", "metadata_valid", "metadata_truthy", "metadata_is_object")
 
 
 def q_mandatory_fields(spark, sf_dir):
@@ -117,7 +113,7 @@ def q_mandatory_fields(spark, sf_dir):
 
 
 def q_future_filter(spark, sf_dir):
-    c = _coerced(spark, sf_dir)
+    c = coerce_times(decode_events(_envelopes(spark, sf_dir)), as_of=AS_OF)
     return _out(c.select("offset", "event_id", "timestamp",
                          (F.col("timestamp") > F.col("batch_ts")).alias("is_future")))
 
@@ -167,13 +163,12 @@ def q_conform_empty(spark, sf_dir):
 
 def q_export_event_json(spark, sf_dir):
     a = _accepted(spark, sf_dir)
-    ej = F.col("event_json")
-    return a.select("offset", export_json_column().alias("event_json")).select(
-        "offset",
-        F.get_json_object(ej, "$.event_id").alias("ej_event_id"),
-        F.get_json_object(ej, "$.timestamp").alias("ej_timestamp"),
-        F.get_json_object(ej, "$.payload").alias("ej_payload"),
-        F.get_json_object(ej, "$.metadata.processing_version").alias("ej_processing_version"))
+    # from_json reads NaN, which get_json_object does not, but would quote it in the payload's own text
+    fields = "event_id STRING, timestamp STRING, metadata STRUCT<processing_version: STRING>"
+    text = a.select("offset", export_json_column().alias("event_json"))
+    return text.select("offset", F.from_json("event_json", fields).alias("ej"), F.regexp_extract("event_json", '"payload":(.*),"source":', 1).alias("ej_payload")).select(
+        "offset", F.col("ej.event_id").alias("ej_event_id"), F.col("ej.timestamp").alias("ej_timestamp"),
+        "ej_payload", F.col("ej.metadata.processing_version").alias("ej_processing_version"))
 
 
 def _deduped(spark, sf_dir) -> DataFrame:

@@ -70,6 +70,8 @@ DIRT: dict[int, dict[str, str]] = {
     31: {"payload": "'\"payload\":\" \"'"},
     32: {"event_type": "'\"event_type\":\"\"'"},
     33: {"metadata": "'\"metadata\":{\"user_id\":' || uid || ',\"big\":123456789012345678901234567890123456789012345}'"},
+    34: {"payload": "'\"payload\":\"{' || chr(92) || '\"a' || chr(92) || '\":1,' || chr(92) || '\"a' || chr(92) || '\":2}\"'"},
+    35: {"payload": "'\"payload\":\"{' || chr(92) || '\"a' || chr(92) || '\":NaN}\"'"},
 }
 
 # Clean members, in record order.

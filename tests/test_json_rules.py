@@ -2,6 +2,7 @@
 
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,8 +14,12 @@ CASES = ['{"a":1}', '{"a":1} junk', "1],[2", '1},{"a":2', "[]", "{}", "0", "0.0"
          "1.5e3", "-0.000", "  0  ", '"0"', "[[]]", '{"":0}', "tru", "{", "", " ", "01", "1.", ".5", "[1,]",
          '{"a":1,}', "'a'", "Infinity", "{ }", "[ \n]", "1,2", '1,"b":2', "1],[", '{"a":1},{"b":2}', '1}', '1]', "1],[2]", "1e-400", ' "" ',
          "{\t}", '"a', '"a\\', '"}', '"]', '],[', '},{', '"x"],["y"', '"x"},{"v":"y"', "1 /* c */", "nul", "[1", '{"v":1']
-# Python accepts NaN/Infinity and duplicate keys; the engine rejects them (README).
-PY_ONLY = {"Infinity"}
+# Python accepts NaN, the infinities and duplicate keys, and so does the engine; nesting beyond LEVELS is folded
+CASES += ["NaN", "-Infinity", "-NaN", "+Infinity", '{"a":1,"a":2}', '{"a":NaN}', "[-Infinity,Infinity]", '{"a":{"a":{"a":{"a":{"a":{"a":[1,{"b":null}]}}}}}}',
+          "[[[[[[]]]]]]", "[[[[[[]]]]]", "[[[[[[1,]]]]]]", "[[[[[[1] ,[2]]]]]]", "[[[[[{[]:1}]]]]]", "[[[[[1[]]]]]]", "[[[[[[][]]]]]]", '[[[[["[","]"]]]]]', '[[[[["a\\x", "b"]]]]]',
+          "[[[[[\n{ }\t]]]]]", "[" * 60 + "1" + "]" * 60, "[" * 60 + "1" + "]" * 59, '{"a":"\t"}', '"\\u00e"', "1\u0085", "1\u2028", "\ufeff1", "[1 2]", '{"a" 1}', '{a:1}', "[[[[[{\"a\":}]]]]]",
+          "[" + "1," * 20_000 + "1]", "[" + '{"k":[1,2]},' * 5_000 + "{}]", '"' + "é\\n" * 30_000 + '"', "[[[[[" + '{"k":[1,{"z":"x]"}]},' * 2_000 + "{}]]]]]"]
+PY_ONLY: set = set()
 
 
 def py_valid(s):
@@ -45,12 +50,33 @@ def test_truthiness(rows, text):
     assert rows[text]["obj"] == isinstance(v, dict)
 
 
-def test_rejected_python_extensions(spark):
+def test_python_extensions(spark):
     df = spark.createDataFrame([("NaN",), ('{"a":1,"a":2}',)], "s string")
-    assert not any(r[0] for r in df.select(is_valid("s")).collect())
+    assert all(r[0] and r[1] for r in df.select(is_valid("s"), is_truthy("s")).collect())
     assert math.isnan(json.loads("NaN"))
 
 
+def test_generated_documents_agree_with_python(spark):
+    rng = random.Random(5)
+    tokens = ["{", "}", "[", "]", ",", ":", '"a"', '"]"', "1", "-0.5e3", "null", " ", "NaN", '"\\"', "true", "0"]
+
+    def document(depth):
+        kind = rng.random()
+        if depth == 0 or kind < 0.3:
+            return rng.choice(["1", '"x"', "null", "-2.5E+7", '"\\\\"', "NaN", "[]", "{}"])
+        members = [document(depth - 1) for _ in range(rng.randrange(4))]
+        return "[" + ", ".join(members) + "]" if kind < 0.65 else "{" + ",".join(f'"k{i % 2}" : {m}' for i, m in enumerate(members)) + "}"
+
+    texts = [document(rng.randrange(9)) for _ in range(600)]
+    for t in list(texts):                                   # and one edit away from a document
+        at = rng.randrange(len(t))
+        texts.append(t[:at] + rng.choice([*tokens, ""]) + t[at + rng.randrange(2):])
+    texts += ["".join(rng.choices(tokens, k=rng.randrange(1, 9))) for _ in range(600)]
+    got = spark.createDataFrame([(t,) for t in texts], "s string").select("s", is_valid("s")).collect()
+    wrong = [r[0] for r in got if r[1] != py_valid(r[0])]
+    assert not wrong, wrong[:5]
+
+
 MERGE_CASES = ['{"a":1}', '{"processed_at":"old","b":[1,null]}', '{"x":{"y":{"z":null}},"processing_version":"0.9","w":true}',
                '{"processing_version":"0.9","processed_at":"old"}', '{}', '{"s":"é\\"q"}']
 

@@ -89,6 +89,39 @@ def test_registered_reads_add_no_shuffle(spark):
         assert "Exchange" not in plan, name
 
 
+def test_time_alone_pays_for_no_json_check(spark):
+    from quayside.plans import registry
+    from quayside.functions.json import NUMBER
+    for name, checks in (("timestamp_coerce", False), ("future_filter", False), ("payload_json_check", True)):
+        plan = _plan(registry.QUERIES[name](spark, SF))
+        assert ("parse_json" in plan or NUMBER in plan) == checks, name
+        assert ("_strptime_groups" in plan) != checks, name
+
+
+def test_export_of_what_variant_refuses(spark):
+    import json
+    from quayside.operators.conform import export_json
+    rows = [("a", "t", "s", '{"k":1,"k": 2}', None), ("b", "t", None, '{"k": NaN}', '{"m":[1, 2]}'), ("c", "t", "s", None, '{"x":{"y":1,"y":3}}')]
+    df = spark.createDataFrame(rows, "event_id string, event_type string, source string, payload string, metadata string").selectExpr(
+        "*", "TIMESTAMP'2024-01-01 00:00:00' AS timestamp")
+    got = {r.event_id: r.event_json for r in export_json(df).collect()}
+    assert json.loads(got["a"]) == {"event_id": "a", "event_type": "t", "timestamp": "2024-01-01T00:00:00", "payload": {"k": 2}, "source": "s", "metadata": {}}
+    assert list(json.loads(got["b"])) == ["event_id", "event_type", "timestamp", "payload", "metadata"] and '"payload":{"k":NaN}' in got["b"]
+    assert json.loads(got["c"])["metadata"] == {"x": {"y": 3}}
+
+
+def test_enrichment_of_what_variant_refuses(spark):
+    import json
+    from helpers import envelopes
+    texts = ['{"event_id":"%d","event_type":"t","payload":{"a":1},"source":"s","metadata":"%s"}' % (i, m.replace('"', '\\"'))
+             for i, m in enumerate(('{"k":1,"k":2}', '{"processed_at":"old","k":NaN}', '{"processed_at":"old","k":{"z":1,"z":2}}'))]
+    rows = {r.event_id: r.metadata for r in accepted_conformed(process_events(envelopes(spark, texts), as_of=AS_OF)).collect()}
+    new = {"processed_at": "2024-01-25T00:00:00", "processing_version": "1.0"}
+    assert json.loads(rows["0"]) == {"k": 2, **new} and json.loads(rows["2"]) == {"k": {"z": 2}, **new}
+    kept = json.loads(rows["1"])
+    assert kept.pop("k") != kept and kept == new
+
+
 def test_transform_reads_its_input_once(spark):
     from quayside.plans import registry
     assert _plan(registry.QUERIES["user_transform"](spark, SF)).count("FileScan parquet") == 1
