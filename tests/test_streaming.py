@@ -150,3 +150,33 @@ def test_late_rows_are_kept_apart(spark, tmp_dir):
     assert {(r.event_id, r.offset) for r in delivered.collect()} == {("a0", 1), ("a1", 9), ("a2", 8), ("a3", 7), ("a4", 6), ("b0", 20), ("b1", 21)}
     assert {(r.event_id, r.offset) for r in late.collect()} == {("b2", 3), ("b3", 23), ("b4", 24)}
     assert [str(r[0]) for r in late.select("missed_watermark").distinct().collect()] == ["2024-01-05 11:00:00"]
+
+
+def test_late_dedup_holds_its_keys_in_buckets(spark, tmp_dir):
+    """State rows are bounded by the buckets, however many keys; chunks, null keys, copies in a batch and over runs, the time keys are kept."""
+    src, out, checkpoint, chunk = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def run(keys, keep_seconds=86_400, buckets=4):
+        rows = spark.sql(f"SELECT CASE WHEN id >= 0 THEN id END AS event_id, TIMESTAMP'2024-01-05 12:00:00' AS timestamp, 0 AS partition, n AS offset "
+                         f"FROM (SELECT explode(sequence({keys[0]}, {keys[1]})) AS id) CROSS JOIN (SELECT explode(array(2L, 1L, 3L)) AS n)")
+        rows.coalesce(1).write.mode("append").parquet(src)
+        with batches_of_data_only(spark):
+            q = (dedup_keeping_late(spark.readStream.schema(rows.schema).parquet(src), "1 hour", keep_seconds=keep_seconds, buckets=buckets)
+                 .writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
+        q.awaitTermination(120)
+        assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= buckets
+        return spark.read.parquet(out)
+
+    before = spark.conf.get(chunk)
+    spark.conf.set(chunk, "7")
+    try:
+        first = run((-1, 59))
+        assert first.count() == first.select("event_id").distinct().count() == 61 and first.filter("offset <> 1").count() == 0
+        assert first.filter("arrival <> 'delivered'").count() == 0
+        assert run((-1, 79)).count() == 81
+        assert run((0, 9)).count() == 81
+        assert run((0, 9), keep_seconds=1).count() == 91          # the last batch began more than a second before: all keys are out of time
+        with pytest.raises(Exception, match="buckets"):
+            run((0, 99), buckets=5)
+    finally:
+        spark.conf.set(chunk, before)
