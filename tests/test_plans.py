@@ -132,3 +132,11 @@ def test_accepted_rows_carry_no_raw_value(spark):
     p = process_events(env, as_of=AS_OF)
     assert p.filter("reject_reason IS NULL AND raw_value IS NOT NULL").count() == 0
     assert p.filter("reject_reason IS NOT NULL AND raw_value IS NULL").count() == 0
+
+
+def test_small_event_files_are_decoded_on_all_cores(spark):
+    from quayside.plans.registry import _envelopes
+
+    envelopes = _envelopes(spark, "/root/testdata/sf0.001")
+    assert envelopes.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert envelopes.count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
